@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workload this library serves is a batch, rolling-window reload; it has
+no streams, watermarks or event-time windows.  Late and restated data are
+handled by snapshot selection (``operators.snapshot``) and by reloading the
+whole open window on every run (``operators.reload``), which is the batch
+form of an upsert.  Nothing here is needed to run any registered query.
+"""
