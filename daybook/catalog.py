@@ -206,7 +206,7 @@ def q_snapshot_center_period(spark, d):
 
 
 def q_snapshot_center_month_account(spark, d):
-    feed = normalise_keys(fixture(spark, d, "account_feed")).withColumn("MONTH", F.expr("PERIOD div 100"))
+    feed = normalise_keys(fixture(spark, d, "account_feed")).withColumn("MONTH", F.expr("CAST(PERIOD div 100 AS INT)"))
     return latest_snapshot(feed, ["CENTER", "MONTH", "ACCOUNT"])
 
 
