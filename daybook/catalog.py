@@ -2,8 +2,9 @@
 
 Each callable takes ``(spark, sf_dir)``, derives its inputs from the whole
 driver tables (``daybook.sources.fixtures``) and returns a lazy DataFrame.
-Measures are exact decimals inside; ``finalize`` casts them to DOUBLE at the
-end so results compare bit-for-bit with the DuckDB oracle.
+Money measures are whole cents in DOUBLE (exact, order-independent sums);
+``finalize`` casts every remaining numeric measure to DOUBLE so results
+compare bit-for-bit with the DuckDB oracle.
 
 The scenario clock is 2000-03-15 (closed month = leap February 2000); the
 event-stream snapshots use 2024-01-20, the only month the events cover.
@@ -64,7 +65,7 @@ EVENT_PIVOT = {"DBACHECKS": ["click"], "PROMOTERS_NPS": ["purchase"], "DETRACTOR
                "PASSIVE_NPS": ["view"]}
 EVENT_ACCOUNTS = ["click", "purchase", "view"]
 YOY_MEASURES = ["NET_CHECK_FEES", "CHECKLOSS", "ATM_FEE", "PPLOADFEESANDCARDSALES"]
-TEXT_CAST = "decimal(18,4)"
+TEXT_CAST = "double"
 
 
 def clock() -> RunClock:

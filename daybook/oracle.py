@@ -208,7 +208,7 @@ STAFF = [("HOURSOVERSTAFFED", "HOURSOVERSTAFFED"), ("HOURSUNDERSTAFFED", "HOURSU
          ("SCHEDULEDHOURS", "SCHEDULEDHOURS"), ("TOTALCMOT", "CM_OT"), ("TOTALSAOT", "SA_OT"),
          ("PAYDATEDAYS", "PAYDATE_DAYS"), ("CORPORATEAUDITSCOREDENOMINATOR", "CORP_SCORE_DEN"),
          ("CORPORATEAUDITSCORENUMERATOR", "CORP_SCORE_NUM"), ("CHECKITEMS", "CHECKITEMS")]
-CAST_T = "DECIMAL(18,4)"
+CAST_T = "DOUBLE"
 
 
 def fl(x: str) -> str:

@@ -4,9 +4,9 @@ The warehouse feeds (daily wide views, account snapshots, goal cube, center
 hierarchy, calendar) are not public, so every input is derived from the
 given tables by a SQL recipe.  Recipes use only syntax that Spark SQL and
 DuckDB read alike, so both engines see identical inputs and the comparison
-tests the operators, not the derivation.  All measures are exact decimals
-(inputs cast to DECIMAL(12,2) before any product) so sums are
-order-independent; results are cast to DOUBLE only at the very end.
+tests the operators, not the derivation.  Money measures are whole cents held
+in DOUBLE: every value and every partial sum is an integer below 2**53, so
+sums are exact and independent of the order in which partitions combine.
 
 ``table`` maps a base-table name to an SQL table reference: Spark reads
 ``parquet.`<dir>/<name>.parquet```, DuckDB uses its pre-registered views.
@@ -39,23 +39,26 @@ def day_key_sql(ts: str) -> str:
     return f"CAST(year({ts}) * 10000 + month({ts}) * 100 + day({ts}) AS INT)"
 
 
+def cents(x: str) -> str:
+    """A 2-decimal double as whole cents (same IEEE ops in both engines)."""
+    return f"floor({x} * 100 + 0.5)"
+
+
 def _li_decimal(j: int) -> str:
-    base = ["l_tax", "l_discount", "l_quantity"][j % 3]
+    base = [cents("l_tax"), cents("l_discount"), "floor(l_quantity)"][j % 3]
     return (f"CASE WHEN (l_orderkey + {j}) % 7 = 0 THEN NULL ELSE "
-            f"CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST({base} AS DECIMAL(12,2)) * {j % 4 + 1} "
-            f"AS DECIMAL(18,4)) END")
+            f"CAST({cents('l_extendedprice')} * {base} * {j % 4 + 1} AS DOUBLE) END")
 
 
 def _li_text(j: int) -> str:
     return (f"CASE WHEN (l_orderkey + {j}) % 13 = 0 THEN 'n/a' "
             f"WHEN (l_orderkey + {j}) % 7 = 0 THEN NULL "
-            f"ELSE CAST(CAST(CAST(l_quantity AS DECIMAL(12,2)) * {j % 4 + 1} AS DECIMAL(18,2)) AS STRING) END")
+            f"ELSE CAST(CAST(floor(l_quantity) * {j % 4 + 1} AS DECIMAL(18,2)) AS STRING) END")
 
 
 def _orders_decimal(j: int) -> str:
     return (f"CASE WHEN (o_orderkey + {j}) % 7 = 0 THEN NULL ELSE "
-            f"CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.0{j % 5 + 1} AS DECIMAL(4,2)) "
-            f"AS DECIMAL(18,4)) END")
+            f"CAST({cents('o_totalprice')} * {j % 5 + 1} AS DOUBLE) END")
 
 
 LI_CENTER = "CAST((l_suppkey % 100) * 61 AS INT)"
@@ -102,7 +105,7 @@ def account_feed_sql(t: TableRef) -> str:
     return (
         f"SELECT {LI_ACCOUNT_CENTER} AS CENTER, CAST({LI_DAY} AS STRING) AS PERIOD, "
         f"l_returnflag || l_linestatus || CAST(l_linenumber AS STRING) AS ACCOUNT, "
-        f"CAST(l_quantity AS DECIMAL(12,2)) AS DATA_VALUE, "
+        f"CAST(floor(l_quantity) AS DOUBLE) AS DATA_VALUE, "
         f"CAST({LI_DAY} + l_orderkey % 3 AS INT) AS EXTRACT_DATE_ID "
         f"FROM {t('lineitem')}"
     )
@@ -113,7 +116,7 @@ def events_feed_sql(t: TableRef) -> str:
     d = day_key_sql("ts")
     return (
         f"SELECT CAST((user_id % 10) * 610 AS INT) AS CENTER, CAST({d} AS STRING) AS PERIOD, "
-        f"event_type AS ACCOUNT, CAST(value AS DECIMAL(12,2)) AS DATA_VALUE, "
+        f"event_type AS ACCOUNT, CAST({cents('value')} AS DOUBLE) AS DATA_VALUE, "
         f"CAST({d} + event_id % 3 AS INT) AS EXTRACT_DATE_ID FROM {t('events')}"
     )
 
@@ -126,7 +129,7 @@ def goals_sql(t: TableRef) -> str:
         f"WHEN o_orderkey % 17 = 1 THEN 'D' || CAST(o_custkey % 10 AS STRING) "
         f"WHEN o_orderkey % 17 = 2 THEN '0' || {c} ELSE {c} END AS CENTER, "
         f"CAST({O_DAY} AS STRING) AS PERIOD, o_orderpriority AS ACCOUNT, "
-        f"CAST(o_totalprice AS DECIMAL(12,2)) AS GOAL_VALUE, "
+        f"CAST({cents('o_totalprice')} AS DOUBLE) AS GOAL_VALUE, "
         f"CAST({O_DAY} + o_custkey % 3 AS INT) AS EXTRACT_DATE_ID FROM {t('orders')}"
     )
 
