@@ -38,6 +38,7 @@ from daybook.operators.yoy import (calendar_key, last_year_key, weekday_key, wit
 from daybook.plans import ops_goals as og
 from daybook.plans.revenue import (RevenueParams, RevenueSources, daily_revenue, revenue_actuals,
                                    revenue_merged, revenue_output, run_revenue)
+from daybook.session import tune
 from daybook.sources.feeds import normalise_keys
 from daybook.sources.fixtures import fixture
 
@@ -86,9 +87,9 @@ def finalize(df: DataFrame) -> DataFrame:
 
 # ---- shared inputs ------------------------------------------------------------
 
-def revenue_history(spark, d) -> DataFrame:
+def revenue_history(spark, d, spread: bool = False) -> DataFrame:
     """Stand-in for the revenue target: the actual daily stage over all days."""
-    return daily_revenue(fixture(spark, d, "daily_actual"), *ALL_DAYS, actual=True)
+    return daily_revenue(fixture(spark, d, "daily_actual", spread), *ALL_DAYS, actual=True)
 
 
 def revenue_sources(spark, d) -> RevenueSources:
@@ -140,7 +141,7 @@ def q_center_day_spine(spark, d):
 
 
 def q_fact_center_filter(spark, d):
-    feed = fixture(spark, d, "daily_actual")
+    feed = fixture(spark, d, "daily_actual", spread=True)
     return (feed.where(is_fact_center("CENTER")).groupBy("CENTER")
             .agg(F.count(F.lit(1)).alias("N_ROWS"), F.sum("ATM_FEE").alias("ATM_FEE")))
 
@@ -152,13 +153,13 @@ def q_rollup_member_filter(spark, d):
 
 
 def q_daily_actual_measures(spark, d):
-    daily = revenue_history(spark, d)
+    daily = revenue_history(spark, d, spread=True)
     return daily.drop("NET_CHECK_COLLECTIONS", "CHECKLOSS", "NET_CHECK_REVENUE", "NET_LOAN_REVENUE",
                       "LOAN_LOSS", "PPLOADFEESANDCARDSALES", "DDLOADFEESANDCARDSALES")
 
 
 def q_check_loan_card_derivations(spark, d):
-    return revenue_history(spark, d).select(
+    return revenue_history(spark, d, spread=True).select(
         "CENTER", "PERIOD", "NET_CHECK_COLLECTIONS", "CHECKLOSS", "NET_CHECK_REVENUE", "NET_LOAN_REVENUE",
         "LOAN_LOSS", "PPLOADFEESANDCARDSALES", "DDLOADFEESANDCARDSALES")
 
@@ -221,15 +222,15 @@ def q_goal_pivot_cutoff(spark, d):
 
 
 def q_text_metric_sums(spark, d):
-    return og.checks_component(fixture(spark, d, "center_metrics"), *ALL_DAYS, cast_to=TEXT_CAST)
+    return og.checks_component(fixture(spark, d, "center_metrics", spread=True), *ALL_DAYS, cast_to=TEXT_CAST)
 
 
 def q_staffing_hours(spark, d):
-    return og.hours_component(fixture(spark, d, "staff_metrics"), *ALL_DAYS, cast_to=TEXT_CAST)
+    return og.hours_component(fixture(spark, d, "staff_metrics", spread=True), *ALL_DAYS, cast_to=TEXT_CAST)
 
 
 def q_buyback_rollup(spark, d):
-    return og.bbk_component(fixture(spark, d, "visit_metrics"), *ALL_DAYS)
+    return og.bbk_component(fixture(spark, d, "visit_metrics", spread=True), *ALL_DAYS)
 
 
 def q_lagged_open_month(spark, d):
@@ -356,7 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: (lambda f: (lambda spark, d: finalize(f(spark, d))))(f) for k, f in QUERIES.items()}
+    return {k: (lambda f: (lambda spark, d: finalize(f(tune(spark), d))))(f) for k, f in QUERIES.items()}
 
 
 __all__ = ["QUERIES", "registered", "finalize", "clock", "yyyymmdd"]

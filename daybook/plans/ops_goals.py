@@ -25,6 +25,7 @@ from daybook.functions.dates import add_months, day_key, last_day, month_start
 from daybook.functions.measures import c0, derive_card_sales, derive_shop_totals
 from daybook.functions.predicates import is_fact_center, is_operating_center, is_rollup_member
 from daybook.operators.audit import AuditLog
+from daybook.session import tune
 from daybook.operators.merge import merge_metrics
 from daybook.operators.pivot import pivot_accounts
 from daybook.operators.snapshot import latest_snapshot, preaggregate
@@ -280,6 +281,7 @@ def ops_metrics(src: OpsSources, lo: int, hi: int, acc: OpsAccounts = OpsAccount
 
 def run_ops_goals(src: OpsSources, clock: RunClock, acc: OpsAccounts = OpsAccounts(),
                   cast_to: str = "double", audit: AuditLog | None = None) -> DataFrame:
+    tune(src.hierarchy.sparkSession)
     stage = audit.stage if audit else (lambda name, df: df)
     spine = stage("spine", build_spine(src.hierarchy, clock.start, clock.end))
     metrics = ops_metrics(src, clock.start_id, clock.end_id, acc, cast_to)

@@ -24,6 +24,7 @@ from daybook.functions.measures import (
 from daybook.functions.dates import period_to_date
 from daybook.functions.predicates import is_fact_center
 from daybook.operators.audit import AuditLog
+from daybook.session import tune
 from daybook.operators.merge import merge_actual_plan
 from daybook.operators.spine import build_spine
 from daybook.operators.window import clip_to_run_window
@@ -103,6 +104,7 @@ def revenue_output(merged: DataFrame, clock: RunClock) -> DataFrame:
 
 def run_revenue(src: RevenueSources, clock: RunClock, params: RevenueParams = RevenueParams(),
                 audit: AuditLog | None = None) -> DataFrame:
+    tune(src.actual.sparkSession)
     stage = audit.stage if audit else (lambda name, df: df)
     spine = stage("spine", build_spine(src.hierarchy, clock.start, clock.end))
     actual_daily = daily_revenue(src.actual, clock.start_id, clock.end_id, actual=True)
