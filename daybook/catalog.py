@@ -77,12 +77,12 @@ def finalize(df: DataFrame) -> DataFrame:
     """Cast measures to DOUBLE (exact decimal -> correctly rounded double)."""
     cols = []
     for f in df.schema.fields:
-        numeric = isinstance(f.dataType, (DecimalType, DoubleType, FloatType, LongType))
+        numeric = isinstance(f.dataType, (DecimalType, FloatType, LongType))
         if numeric and f.name not in KEY_COLUMNS:
-            cols.append(F.col(f.name).cast("double").alias(f.name))
+            cols.append(f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`")
         else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+            cols.append(f"`{f.name}`")
+    return df.selectExpr(*cols)
 
 
 # ---- shared inputs ------------------------------------------------------------

@@ -71,44 +71,57 @@ def revenue_feed_columns(actual: bool = True) -> list[str]:
     return cols + (ACTUAL_ONLY if actual else [])
 
 
-def revenue_daily_aggregates(actual: bool = True) -> list[Column]:
-    """The daily aggregate list (actual feed adds the 3 check counts)."""
-    def add(parts):
-        out = s0(parts[0])
-        for p in parts[1:]:
-            out = out + s0(p)
-        return out
+def q(c: str) -> str:
+    """Quoted identifier for SQL-expression strings."""
+    return f"`{c}`"
+
+
+def sql_s0(c: str) -> str:
+    return f"SUM(COALESCE({q(c)}, 0))"
+
 
+def sql_c0(c: str) -> str:
+    return f"COALESCE({q(c)}, 0)"
+
+
+def revenue_daily_aggregate_sql(actual: bool = True) -> list[str]:
+    """E1/E2 as SQL expressions (the actual feed adds the 3 check counts).
+
+    Wide registries are handed to Spark as expression strings: one parse in
+    the JVM instead of several driver round trips per Column object."""
     aggs = [
-        (s0("NET_CHECK_FEES") + s0("MOBILE_CHECK_ACE_FEES")).alias("NET_CHECK_FEES"),
-        F.sum(c0(COLLECT_PARTS[0]) + c0(COLLECT_PARTS[1])).alias("STORE_CHECK_COLLECTIONS"),
-        F.sum((c0(RETURN_PARTS[0]) + c0(RETURN_PARTS[1])) * F.lit(-1)).alias("STORE_CHECK_RETURNS"),
-        add(INTEREST_PARTS).alias("TOTAL_INTEREST_INCOME"),
-        add(FIRST_RETURN_PARTS).alias("LOAN_FIRST_RETURNS"),
-        add(COLLECTION_PARTS).alias("NET_LOAN_COLLECTIONS"),
-        (s("MONEY_ORDER_FEES") + s("MONEY_GRAM_FEES") + s("BILL_PAYMENT_FEES")).alias("TOTAL_MONEY_SERVICES"),
+        f"{sql_s0('NET_CHECK_FEES')} + {sql_s0('MOBILE_CHECK_ACE_FEES')} AS NET_CHECK_FEES",
+        f"SUM({sql_c0(COLLECT_PARTS[0])} + {sql_c0(COLLECT_PARTS[1])}) AS STORE_CHECK_COLLECTIONS",
+        f"SUM(({sql_c0(RETURN_PARTS[0])} + {sql_c0(RETURN_PARTS[1])}) * -1) AS STORE_CHECK_RETURNS",
+        " + ".join(map(sql_s0, INTEREST_PARTS)) + " AS TOTAL_INTEREST_INCOME",
+        " + ".join(map(sql_s0, FIRST_RETURN_PARTS)) + " AS LOAN_FIRST_RETURNS",
+        " + ".join(map(sql_s0, COLLECTION_PARTS)) + " AS NET_LOAN_COLLECTIONS",
+        "SUM(`MONEY_ORDER_FEES`) + SUM(`MONEY_GRAM_FEES`) + SUM(`BILL_PAYMENT_FEES`) AS TOTAL_MONEY_SERVICES",
     ]
-    aggs += [s(c).alias(c) for c in PLAIN_SUMS]
-    if actual:
-        aggs += [s(c).alias(c) for c in ACTUAL_ONLY]
+    aggs += [f"SUM({q(c)}) AS {q(c)}" for c in PLAIN_SUMS + (ACTUAL_ONLY if actual else [])]
     return aggs
 
 
+def revenue_daily_aggregates(actual: bool = True) -> list[Column]:
+    return [F.expr(e) for e in revenue_daily_aggregate_sql(actual)]
+
+
 def derive_check_loan_card(df: DataFrame) -> DataFrame:
     """Check, loan and card-load roll-ups on the daily aggregate."""
-    r = c0("REGULAR_CHECK_1ST_TIME_RETURNED_VOLUME")
-    net_coll = r + c0("STORE_CHECK_COLLECTIONS") + c0("STORE_CHECK_RETURNS")
-    checkloss = (r - net_coll) * F.lit(-1)
-    loan_loss = c0("LOAN_FIRST_RETURNS") - c0("NET_LOAN_COLLECTIONS")
-    return df.withColumns({
-        "NET_CHECK_COLLECTIONS": net_coll,
-        "CHECKLOSS": checkloss,
-        "NET_CHECK_REVENUE": c0("NET_CHECK_FEES") + c0("NET_TAX_FEES") + checkloss,
-        "NET_LOAN_REVENUE": c0("TOTAL_INTEREST_INCOME") - loan_loss,
-        "LOAN_LOSS": loan_loss,
-        "PPLOADFEESANDCARDSALES": c0("PREPAID_CARD_SALE_REVENUE") + c0("PREPAID_STORE_LOAD_REVENUE"),
-        "DDLOADFEESANDCARDSALES": c0("DDA_CARD_SALE_REVENUE") + c0("DDA_STORE_LOAD_REVENUE"),
-    })
+    r = sql_c0("REGULAR_CHECK_1ST_TIME_RETURNED_VOLUME")
+    net_coll = f"({r} + {sql_c0('STORE_CHECK_COLLECTIONS')} + {sql_c0('STORE_CHECK_RETURNS')})"
+    checkloss = f"(({r} - {net_coll}) * -1)"
+    loan_loss = f"({sql_c0('LOAN_FIRST_RETURNS')} - {sql_c0('NET_LOAN_COLLECTIONS')})"
+    return df.selectExpr(
+        "*",
+        f"{net_coll} AS NET_CHECK_COLLECTIONS",
+        f"{checkloss} AS CHECKLOSS",
+        f"{sql_c0('NET_CHECK_FEES')} + {sql_c0('NET_TAX_FEES')} + {checkloss} AS NET_CHECK_REVENUE",
+        f"{sql_c0('TOTAL_INTEREST_INCOME')} - {loan_loss} AS NET_LOAN_REVENUE",
+        f"{loan_loss} AS LOAN_LOSS",
+        f"{sql_c0('PREPAID_CARD_SALE_REVENUE')} + {sql_c0('PREPAID_STORE_LOAD_REVENUE')} AS PPLOADFEESANDCARDSALES",
+        f"{sql_c0('DDA_CARD_SALE_REVENUE')} + {sql_c0('DDA_STORE_LOAD_REVENUE')} AS DDLOADFEESANDCARDSALES",
+    )
 
 
 # Revenue measures in target column order.  Each is output as
@@ -169,45 +182,40 @@ DDA_COMMISSIONS = ["DDA_INTERCHANGE_COMMISSION", "DDA_WITHDRAWAL_COMMISSION", "D
                    "DDA_TRANSACTION_COMMISSION", "OTHER_DDA_CARD_REVENUE"]
 
 
-def card_rollup_columns(suffix: str) -> dict[str, Column]:
-    """F7/F8 for one of actual (''), last year ('_LY') or plan ('_PLAN').
+def _named(m: str, suffix: str) -> str:
+    return q(ly_name(m) if suffix == "_LY" else m + suffix)
+
+
+def card_rollup_sql(suffix: str) -> list[str]:
+    """F7 for one of actual (''), last year ('_LY') or plan ('_PLAN').
 
     The last-year ELITE and TOTALCOMM omit the out-of-network ATM and
     interchange commissions that the actual and plan versions include; this
     asymmetry is part of the report's definition and is kept.
     """
-    def col(m):
-        return F.col(ly_name(m) if suffix == "_LY" else m + suffix)
-
     def total(names):
-        out = col(names[0])
-        for n in names[1:]:
-            out = out + col(n)
-        return out
+        return " + ".join(_named(n, suffix) for n in names)
 
-    extra = None if suffix == "_LY" else c0(col(PREPAID_EXTRA[0])) + c0(col(PREPAID_EXTRA[1]))
-    elite = total(["PPLOADFEESANDCARDSALES", "PREPAID_WITHDRAWAL_REVENUE"] + PREPAID_COMMISSIONS)
+    extra = "" if suffix == "_LY" else "".join(f" + COALESCE({_named(m, suffix)}, 0)" for m in PREPAID_EXTRA)
+    elite = total(["PPLOADFEESANDCARDSALES", "PREPAID_WITHDRAWAL_REVENUE"] + PREPAID_COMMISSIONS) + extra
     dda = total(["DDLOADFEESANDCARDSALES", "DDA_WITHDRAWAL_REVENUE"] + DDA_COMMISSIONS)
-    comm = total(PREPAID_COMMISSIONS + DDA_COMMISSIONS)
-    if extra is not None:
-        elite, comm = elite + extra, comm + extra
-    return {
-        "OTHERREVENUE" + suffix: col("GREEN_DOT_LOAD_FEES") + col("ATM_FEE"),
-        "ELITE" + suffix: elite,
-        "DDA" + suffix: dda,
-        "TOTALCOMM" + suffix: comm,
-    }
+    comm = total(PREPAID_COMMISSIONS + DDA_COMMISSIONS) + extra
+    return [
+        f"{_named('GREEN_DOT_LOAD_FEES', suffix)} + {_named('ATM_FEE', suffix)} AS OTHERREVENUE{suffix}",
+        f"{elite} AS ELITE{suffix}",
+        f"{dda} AS DDA{suffix}",
+        f"{comm} AS TOTALCOMM{suffix}",
+    ]
 
 
-def total_card_revenue(suffix: str) -> Column:
-    def col(m):
-        return F.col(ly_name(m) if suffix == "_LY" else m + suffix)
-    return (F.col("ELITE" + suffix) + F.col("DDA" + suffix)
-            + col("GREEN_DOT_LOAD_FEES") + col("ATM_FEE"))
+def total_card_revenue_sql(suffix: str) -> str:
+    """F8: ELITE + DDA + green-dot loads + ATM fee."""
+    return (f"ELITE{suffix} + DDA{suffix} + {_named('GREEN_DOT_LOAD_FEES', suffix)} + "
+            f"{_named('ATM_FEE', suffix)} AS TOTALCARDREV{suffix}")
 
 
 def revenue_output_columns() -> list[str]:
-    """The 201 value columns of the revenue target (without load stamps)."""
+    """The 202 columns of the revenue target (its 203rd is the load stamp)."""
     cols = ["CENTER", "PERIOD", "DATES"]
     for m in REVENUE_MEASURES:
         cols += [m, ly_name(m)] + ([plan_name(m)] if has_plan(m) else [])

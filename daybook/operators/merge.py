@@ -21,7 +21,7 @@ KEYS = ("CENTER", "PERIOD")
 def merge_actual_plan(actual: DataFrame, plan: DataFrame, measures: list[str], keys=KEYS,
                       plan_suffix: str = "_PLAN") -> DataFrame:
     """Full outer join; plan measures renamed ``<m>_PLAN``; keys coalesced."""
-    plan = plan.select(*keys, *[F.col(m).alias(m + plan_suffix) for m in measures])
+    plan = plan.selectExpr(*keys, *[f"`{m}` AS `{m}{plan_suffix}`" for m in measures])
     return actual.join(plan, list(keys), "full")
 
 
@@ -30,7 +30,7 @@ def merge_metrics(frames: list[DataFrame], keys=KEYS) -> DataFrame:
     if len(values) != len(set(values)):
         raise ValueError("merge_metrics: value columns must be disjoint across inputs")
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return union.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+    return union.groupBy(*keys).agg(*[F.expr(f"max(`{c}`) AS `{c}`") for c in values])
 
 
 def merge_metrics_chain(frames: list[DataFrame], keys=KEYS) -> DataFrame:

@@ -37,18 +37,30 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _partition_keys(spark: SparkSession, path: str, col: str = "PERIOD") -> set[int]:
-    fs, p, _ = _fs(spark, path)
+def list_children(spark: SparkSession, path: str) -> list[str]:
+    """Child paths of a directory, fetched as one string (one round trip
+    however many partitions the table has)."""
+    fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
-        return set()
-    out = set()
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(col + "="):
-            out.add(int(name.split("=", 1)[1]))
+        return []
+    listing = jvm.java.util.Arrays.asList(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))).toString()
+    return [x.strip() for x in listing[1:-1].split(", ") if x.strip()]
+
+
+def partition_dirs(spark: SparkSession, path: str, col: str = "PERIOD") -> dict[int, str]:
+    """``{key: path}`` for the ``col=<int>`` partition directories of a table."""
+    out = {}
+    for child in list_children(spark, path):
+        name = child.rstrip("/").rsplit("/", 1)[-1]
+        if name.startswith(col + "="):
+            out[int(name.split("=", 1)[1])] = child
     return out
 
 
+def _partition_keys(spark: SparkSession, path: str, col: str = "PERIOD") -> set[int]:
+    return set(partition_dirs(spark, path, col))
+
+
 def write_reload(spark: SparkSession, fresh: DataFrame, target: str, expiration_id: int) -> dict:
     """Replace the target's window with ``fresh``; returns partition stats."""
     staging = f"{scratch_dir(spark)}/staging-{uuid.uuid4().hex}"

@@ -52,8 +52,8 @@ def with_last_year(
     hist = history
     if ranges:
         hist = hist.where(period_in_ranges(hist, ranges))
-    hist = hist.select(*[F.col(k) for k in keys], F.col("PERIOD").cast("int").alias(LY_KEY),
-                       *[F.col(src).alias(dst) for dst, src in columns.items()])
+    hist = hist.selectExpr(*[f"`{k}`" for k in keys], f"CAST(PERIOD AS INT) AS {LY_KEY}",
+                           *[f"`{src}` AS `{dst}`" for dst, src in columns.items()])
     keyed = df.withColumn(LY_KEY, yyyymmdd(key))
     return keyed.join(hist, [*keys, LY_KEY], "left").drop(LY_KEY)
 

@@ -299,7 +299,7 @@ def run_ops_goals(src: OpsSources, clock: RunClock, acc: OpsAccounts = OpsAccoun
     out = clip_to_run_window(merged, clock.expiration_id, clock.goal_end_id)
     out = out.withColumns({"DATES": F.to_date(F.col("PERIOD").cast("string"), "yyyyMMdd"),
                            "EXTRACT_DATE_ID": F.lit(clock.extract_id)})
-    return stage("insert", out.select(*OPS_OUTPUT_COLUMNS))
+    return stage("insert", out.selectExpr(*[f"`{c}`" for c in OPS_OUTPUT_COLUMNS]))
 
 
 def _d(k: int):

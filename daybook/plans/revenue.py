@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from daybook.functions.clock import RunClock
 from daybook.functions.measures import (
-    CARD_ROLLUPS, REVENUE_MEASURES, c0, card_rollup_columns, derive_check_loan_card, has_plan,
-    ly_name, plan_name, revenue_daily_aggregates, revenue_output_columns, total_card_revenue,
+    CARD_ROLLUPS, REVENUE_MEASURES, card_rollup_sql, derive_check_loan_card, has_plan, ly_name, plan_name, q,
+    revenue_daily_aggregates, revenue_output_columns, sql_c0, total_card_revenue_sql,
 )
-from daybook.functions.dates import period_to_date
 from daybook.functions.predicates import is_fact_center
 from daybook.operators.audit import AuditLog
 from daybook.session import tune
@@ -64,7 +63,7 @@ def daily_revenue(feed: DataFrame, lo: int, hi: int, actual: bool = True) -> Dat
 
 def revenue_actuals(spine: DataFrame, actual_daily: DataFrame, history: DataFrame, clock: RunClock) -> DataFrame:
     """Spine-dense actuals with last-year columns (prevmonth + open-month regimes)."""
-    cur = spine.join(actual_daily.select(*KEYS, *REVENUE_MEASURES), KEYS, "left")
+    cur = spine.join(actual_daily.selectExpr(*KEYS, *map(q, REVENUE_MEASURES)), KEYS, "left")
     return with_last_year_two_regime(cur, history, {ly_name(m): m for m in REVENUE_MEASURES}, clock)
 
 
@@ -73,33 +72,32 @@ def revenue_merged(actuals: DataFrame, plan_daily: DataFrame, clock: RunClock,
     """D7 + F4-F6 + C8: zero-filled actual/LY/plan triples on the run window."""
     plan_measures = [m for m in REVENUE_MEASURES if has_plan(m)]
     merged = merge_actual_plan(actuals.drop("DAY"), plan_daily, plan_measures)
-    day = period_to_date("PERIOD")
-    override = F.col("CENTER").isin(list(params.override_centers))
-    cols = [F.col("CENTER"), F.col("PERIOD"), day.alias("DATES")]
+    day = "to_date(CAST(PERIOD AS STRING), 'yyyyMMdd')"
+    centers = ", ".join(str(int(c)) for c in params.override_centers)
+    cols = ["CENTER", "PERIOD", f"{day} AS DATES"]
     for m in REVENUE_MEASURES:
         if m == params.accrual_measure:
-            accrue = (F.col("PERIOD") > F.lit(params.accrual_since)) & (day < F.lit(clock.as_of))
-            cols.append(F.when(accrue, c0(plan_name(m))).otherwise(F.lit(0)).alias(m))
+            cols.append(f"CASE WHEN PERIOD > {int(params.accrual_since)} AND {day} < DATE'{clock.as_of}' "
+                        f"THEN {sql_c0(plan_name(m))} ELSE 0 END AS {q(m)}")
         else:
-            cols.append(c0(m).alias(m))
-        cols.append(c0(ly_name(m)).alias(ly_name(m)))
+            cols.append(f"{sql_c0(m)} AS {q(m)}")
+        cols.append(f"{sql_c0(ly_name(m))} AS {q(ly_name(m))}")
         if has_plan(m):
-            plan = c0(plan_name(m))
-            if m in params.override_measures:
-                plan = F.when(override, F.lit(0)).otherwise(plan)
-            cols.append(plan.alias(plan_name(m)))
-    out = merged.select(*cols)
+            plan = sql_c0(plan_name(m))
+            if m in params.override_measures and centers:
+                plan = f"CASE WHEN CENTER IN ({centers}) THEN 0 ELSE {plan} END"
+            cols.append(f"{plan} AS {q(plan_name(m))}")
+    out = merged.selectExpr(*cols)
     return clip_to_run_window(out, clock.expiration_id).where(F.col("DATES") <= F.lit(clock.month_end))
 
 
 def revenue_output(merged: DataFrame, clock: RunClock) -> DataFrame:
     """F7/F8 card roll-ups and the target column order (without load stamp)."""
-    out = merged
-    for sfx in ("", "_LY", "_PLAN"):
-        out = out.withColumns(card_rollup_columns(sfx))
-    out = out.withColumns({"TOTALCARDREV" + sfx: total_card_revenue(sfx) for sfx in ("", "_LY", "_PLAN")})
-    out = out.withColumn("EXTRACT_DATE_ID", F.lit(clock.extract_id))
-    return out.select(*revenue_output_columns())
+    sfx = ("", "_LY", "_PLAN")
+    out = merged.selectExpr("*", *[e for s in sfx for e in card_rollup_sql(s)])
+    out = out.selectExpr("*", *[total_card_revenue_sql(s) for s in sfx],
+                         f"{int(clock.extract_id)} AS EXTRACT_DATE_ID")
+    return out.selectExpr(*[q(c) for c in revenue_output_columns()])
 
 
 def run_revenue(src: RevenueSources, clock: RunClock, params: RevenueParams = RevenueParams(),

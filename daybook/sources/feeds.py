@@ -19,12 +19,8 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def normalise_keys(df: DataFrame, center_type: str = "int") -> DataFrame:
     """CENTER -> int (try_cast: roll-up names become NULL), PERIOD -> int."""
-    others = [c for c in df.columns if c.upper() not in ("CENTER", "PERIOD")]
-    return df.select(
-        F.expr(f"try_cast(CENTER AS {center_type})").alias("CENTER"),
-        F.expr("try_cast(PERIOD AS int)").alias("PERIOD"),
-        *others,
-    )
+    others = [f"`{c}`" for c in df.columns if c.upper() not in ("CENTER", "PERIOD")]
+    return df.selectExpr(f"try_cast(CENTER AS {center_type}) AS CENTER", "try_cast(PERIOD AS int) AS PERIOD", *others)
 
 
 def window_feed(df: DataFrame, lo: int, hi: int, center_rule=None, columns: list[str] | None = None) -> DataFrame:
@@ -34,5 +30,25 @@ def window_feed(df: DataFrame, lo: int, hi: int, center_rule=None, columns: list
         cond = cond & center_rule(F.col("CENTER"))
     out = df.where(cond)
     if columns is not None:
-        out = out.select("CENTER", "PERIOD", *columns)
+        out = out.selectExpr("CENTER", "PERIOD", *[f"`{c}`" for c in columns])
     return normalise_keys(out)
+
+
+def read_partitions(spark: SparkSession, table: str, ranges: list[tuple[int, int]], col: str = "PERIOD") -> DataFrame:
+    """Read only the ``col=<key>`` partitions of a Parquet table that fall in
+    ``ranges`` (inclusive day keys).
+
+    A plain-path table is otherwise discovered by listing every partition
+    (years of days) before pruning; here one non-recursive listing of the
+    table root picks the directories and only those are scanned.  With a
+    catalog-managed table, ``spark.table(...).where(...)`` prunes the same way.
+    """
+    from daybook.operators.reload import partition_dirs
+    parts = partition_dirs(spark, table, col)
+    if not parts:
+        raise ValueError(f"{table}: no {col}= partitions")
+    keep = [p for k, p in sorted(parts.items()) if any(lo <= k <= hi for lo, hi in ranges)]
+    reader = spark.read.option("basePath", table)
+    if keep:
+        return reader.parquet(*keep)
+    return reader.parquet(next(iter(parts.values()))).where(F.lit(False))

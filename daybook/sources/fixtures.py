@@ -217,3 +217,14 @@ def fixture(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -
 def fixture_sql(name: str) -> str:
     """The same recipe for DuckDB (base tables as pre-registered views)."""
     return RECIPES[name](duckdb_table_ref)
+
+
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names: list[str] | None = None) -> dict[str, str]:
+    """Write each recipe's output as a Parquet table under ``out_dir``
+    (production-shaped inputs for benchmarks); returns name -> path."""
+    paths = {}
+    for name in names or list(RECIPES):
+        path = f"{out_dir.rstrip('/')}/{name}"
+        fixture(spark, sf_dir, name, spread=True).write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths
