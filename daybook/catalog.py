@@ -46,7 +46,7 @@ AS_OF = dt.date(2000, 3, 15)
 EVENTS_AS_OF = dt.date(2024, 1, 20)
 ALL_DAYS = (0, 99991231)
 KEY_COLUMNS = {"CENTER", "PERIOD", "EXTRACT_DATE_ID", "CALENDAR_DATE_ID", "EXPIRATION_DATE_ID",
-               "GOAL_END_ID", "N_ROWS", "MONTH"}
+               "GOAL_END_ID", "N_ROWS", "MONTH", "ROW_COUNT", "SEVERITY"}
 FIXTURE_PARAMS = RevenueParams(override_centers=(1525,), accrual_since=20000215)
 FIXTURE_ACCOUNTS = og.OpsAccounts(
     nps={"DBACHECKS": ["AF1"], "PROMOTERS_NPS": ["NO1"], "DETRACTORS_NPS": ["RF1"],

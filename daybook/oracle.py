@@ -511,6 +511,18 @@ def sql_window_reload() -> str:
     return with_(**ctes) + final(cols, "r")
 
 
+def sql_stage_audit_counts() -> str:
+    """Audit rows of one revenue run: start, each stage's row count, end."""
+    ctes = {**revenue_ctes(), "data": revenue_data_sql(), "ins": card_rollup_sql()}
+    stages = [("Start of revenue", "0"), ("spine", "(SELECT COUNT(*) FROM spine)"),
+              ("actuals", "(SELECT COUNT(*) FROM actuals)"), ("plan", "(SELECT COUNT(*) FROM plan)"),
+              ("data", "(SELECT COUNT(*) FROM data)"), ("insert", "(SELECT COUNT(*) FROM ins)"),
+              ("Procedure Completed Successfully", "0")]
+    body = " UNION ALL ".join(f"SELECT '{m}' AS MESSAGE, CAST({n} AS BIGINT) AS ROW_COUNT, 0 AS SEVERITY"
+                              for m, n in stages)
+    return with_(**ctes) + body
+
+
 def build() -> dict[str, str]:
     from daybook.functions.measures import revenue_output_columns
     ov = FIXTURE_PARAMS.override_measures
@@ -544,6 +556,7 @@ def build() -> dict[str, str]:
         "card_rollups": _sql_revenue(["CENTER", "PERIOD", *roll], True),
         "metric_merge_12way": sql_metric_merge_12way(),
         "window_reload": sql_window_reload(),
+        "stage_audit_counts": sql_stage_audit_counts(),
         "revenue_tracker": _sql_revenue(revenue_output_columns(), True),
         "ops_goals": ops_goals_sql(),
     }

@@ -21,7 +21,6 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_oracle_but_audit():
+def test_every_query_has_oracle():
     import __spark_entry__ as e
-    assert set(e.queries()) - set(e.oracle_sql()) == {"stage_audit_counts"} or \
-        set(e.queries()) == set(e.oracle_sql())
+    assert set(e.queries()) == set(e.oracle_sql())
