@@ -1,8 +1,9 @@
 """Measure registry for the revenue tracker and derived roll-ups.
 
-Aggregates are declared once as Column expressions so the daily stage is a
-single ``groupBy(CENTER, PERIOD).agg(*exprs)`` (partial + final hash
-aggregation; skew on a hot center is absorbed by the map-side combine).
+Aggregates are declared once (as SQL expression strings for the wide
+registries) so the daily stage is a single ``groupBy(CENTER, PERIOD).agg``
+(partial + final hash aggregation; skew on a hot center is absorbed by the
+map-side combine).
 
 Two sum flavours are kept per measure because they differ on all-NULL groups:
 ``s(x)`` = SUM(x) (NULL when every x is NULL) and ``s0(x)`` = SUM(coalesce(x,0)).
