@@ -26,6 +26,11 @@ from pyspark.sql import functions as F
 from daybook.session import scratch_dir
 
 
+def stamp_run(df: DataFrame, column: str = "DW_MOD_DATETIME") -> DataFrame:
+    """Load stamp (I2), added at write time so value comparisons stay stable."""
+    return df.withColumn(column, F.current_timestamp())
+
+
 def reload_window(history: DataFrame, fresh: DataFrame, expiration_id: int) -> DataFrame:
     kept = history.where(F.col("PERIOD") < F.lit(expiration_id))
     return kept.unionByName(fresh.select(*history.columns))
@@ -43,7 +48,13 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
         return []
-    listing = jvm.java.util.Arrays.asList(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))).toString()
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))
+    n = len(paths)
+    if n == 0:
+        return []
+    objs = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, n)
+    jvm.java.lang.System.arraycopy(paths, 0, objs, 0, n)
+    listing = jvm.java.util.Arrays.toString(objs)
     return [x.strip() for x in listing[1:-1].split(", ") if x.strip()]
 
 

@@ -24,7 +24,8 @@ from daybook.functions.clock import RunClock
 from daybook.functions.dates import add_months, day_key, last_day, month_start
 from daybook.functions.measures import c0, derive_card_sales, derive_shop_totals
 from daybook.functions.predicates import is_fact_center, is_operating_center, is_rollup_member
-from daybook.operators.audit import AuditLog
+from daybook.operators.audit import AuditLog, run_job
+from daybook.operators.reload import stamp_run, write_reload
 from daybook.session import tune
 from daybook.operators.merge import merge_metrics
 from daybook.operators.pivot import pivot_accounts
@@ -307,5 +308,22 @@ def _d(k: int):
     return key_day(k)
 
 
-__all__ = ["OpsAccounts", "OpsSources", "run_ops_goals", "ops_metrics", "spine_components",
+
+def load_ops_goals(src, clock: RunClock, target: str, audit: AuditLog, acc: OpsAccounts = OpsAccounts(), cast_to: str = "double") -> int:
+    """Job entry (I5): audit start, stage counts, stamped reload of the run
+    window into ``target`` (partitioned by PERIOD), audit end; returns 0.
+    Any failure is audited with its message and re-raised."""
+    spark = src.hierarchy.sparkSession
+
+    def body():
+        fresh = stamp_run(run_ops_goals(src, clock, acc, cast_to, audit=audit))
+        audit.log(f"Delete from target where PERIOD >= {clock.expiration_id}")
+        stats = write_reload(spark, fresh, target, clock.expiration_id)
+        audit.collect_stages()
+        audit.log(f"Reloaded partitions: {stats['written']} written, {stats['dropped']} dropped")
+        return 0
+    return run_job(audit, "ops_goals", body)
+
+
+__all__ = ["load_ops_goals", "OpsAccounts", "OpsSources", "run_ops_goals", "ops_metrics", "spine_components",
            "goal_component", "OPS_OUTPUT_COLUMNS", "LY_MAP", "add_months"]

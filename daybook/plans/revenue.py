@@ -22,7 +22,8 @@ from daybook.functions.measures import (
     revenue_daily_aggregates, revenue_output_columns, sql_c0, total_card_revenue_sql,
 )
 from daybook.functions.predicates import is_fact_center
-from daybook.operators.audit import AuditLog
+from daybook.operators.audit import AuditLog, run_job
+from daybook.operators.reload import stamp_run, write_reload
 from daybook.session import tune
 from daybook.operators.merge import merge_actual_plan
 from daybook.operators.spine import build_spine
@@ -112,5 +113,22 @@ def run_revenue(src: RevenueSources, clock: RunClock, params: RevenueParams = Re
     return stage("insert", revenue_output(merged, clock))
 
 
-__all__ = ["RevenueParams", "RevenueSources", "daily_revenue", "revenue_actuals", "revenue_merged",
+
+def load_revenue(src, clock: RunClock, target: str, audit: AuditLog, params: RevenueParams = RevenueParams()) -> int:
+    """Job entry (I5): audit start, stage counts, stamped reload of the run
+    window into ``target`` (partitioned by PERIOD), audit end; returns 0.
+    Any failure is audited with its message and re-raised."""
+    spark = src.actual.sparkSession
+
+    def body():
+        fresh = stamp_run(run_revenue(src, clock, params, audit=audit))
+        audit.log(f"Delete from target where PERIOD >= {clock.expiration_id}")
+        stats = write_reload(spark, fresh, target, clock.expiration_id)
+        audit.collect_stages()
+        audit.log(f"Reloaded partitions: {stats['written']} written, {stats['dropped']} dropped")
+        return 0
+    return run_job(audit, "revenue", body)
+
+
+__all__ = ["load_revenue", "RevenueParams", "RevenueSources", "daily_revenue", "revenue_actuals", "revenue_merged",
            "revenue_output", "run_revenue", "CARD_ROLLUPS"]
