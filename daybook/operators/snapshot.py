@@ -8,13 +8,12 @@ version are dropped, as an inner join to the group max would.
 Plan shape: ``groupBy(keys).max(version)`` is a partial+final aggregate (a hot
 key collapses map-side), and the semi join back lets AQE broadcast the
 newest-version table or split a skewed partition at run time.  Callers that
-only sum values afterwards should pre-aggregate to (keys, version) first,
-which bounds every key to a handful of rows before any exchange.
+only sum values afterwards use ``newest_sums``: two aggregations and no join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,3 +26,21 @@ def latest_snapshot(df: DataFrame, keys: list[str], version: str = "EXTRACT_DATE
 def preaggregate(df: DataFrame, keys: list[str], value: str, version: str = "EXTRACT_DATE_ID") -> DataFrame:
     """Sum ``value`` per (keys, version): exact for any later sum over latest rows."""
     return df.groupBy(*keys, version).agg(F.sum(value).alias(value))
+
+
+def newest_sums(df: DataFrame, keys: list[str], columns: dict[str, Column | None],
+                version: str = "EXTRACT_DATE_ID") -> DataFrame:
+    """Per key, sums over the rows of the newest ``version`` only (no join).
+
+    ``columns`` maps output name -> value Column (``None``: the column of the
+    same name).  Step 1 sums per (keys, version), so rows tied on the newest
+    version are already added up; step 2 keeps, per key, the sums of the
+    greatest version with ``max_by`` (versions are unique per key after step
+    1).  Two aggregations, both partial + final: a hot key collapses map-side
+    and no raw row is joined back.
+    """
+    clean = df.na.drop(subset=[*keys, version])
+    sums = clean.groupBy(*keys, version).agg(
+        *[F.sum(v if v is not None else F.col(n)).alias(n) for n, v in columns.items()])
+    newest = sums.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.col(version)).alias("_newest"))
+    return newest.select(*keys, *[F.col(f"_newest.{n}").alias(n) for n in columns])

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.clock import RunClock
@@ -29,7 +29,7 @@ from daybook.operators.reload import stamp_run, write_reload
 from daybook.session import tune
 from daybook.operators.merge import merge_metrics
 from daybook.operators.pivot import pivot_accounts
-from daybook.operators.snapshot import latest_snapshot, preaggregate
+from daybook.operators.snapshot import newest_sums, preaggregate
 from daybook.operators.spine import build_spine
 from daybook.operators.window import clip_to_run_window, period_between
 from daybook.operators.yoy import with_last_year_two_regime
@@ -100,15 +100,20 @@ def snapshot_pivot(feed: DataFrame, lo: int, hi: int, columns: dict, center_rule
     if account_filter:
         raw = raw.where(F.col("ACCOUNT").isin([a for accts in columns.values() for a in accts]))
     df = window_feed(raw, lo, hi, center_rule=center_rule)
-    latest = latest_snapshot(preaggregate(df, [*KEYS, "ACCOUNT"], V), [*KEYS, "ACCOUNT"])
+    latest = newest_sums(df, [*KEYS, "ACCOUNT"], {V: None})
     return pivot_accounts(latest, columns, value=V)
 
 
+def account_sums(columns: dict) -> dict:
+    """Conditional sums per output column (the pivot inside a D6b snapshot)."""
+    return {name: F.when(F.col("ACCOUNT").isin(list(accts)), F.col(V)).otherwise(F.lit(0))
+            for name, accts in columns.items()}
+
+
 def snapshot_sum(feed: DataFrame, lo: int, hi: int, accounts: list, out: str) -> DataFrame:
     """Newest extract per (center, day) over an account set, summed (D6b + E9)."""
     df = window_feed(feed.where(F.col("ACCOUNT").isin(accounts)), lo, hi)
-    latest = latest_snapshot(preaggregate(df, [*KEYS, "ACCOUNT"], V), KEYS)
-    return latest.groupBy(*KEYS).agg(F.sum(V).alias(out))
+    return newest_sums(df, KEYS, {out: F.col(V)})
 
 
 def nps_component(feed, lo, hi, acc: OpsAccounts):
@@ -127,8 +132,7 @@ def dds_component(feed, lo, hi, acc: OpsAccounts):
 def dda_component(feed, lo, hi, acc: OpsAccounts):
     accts = [a for v in acc.dda.values() for a in v]
     df = window_feed(feed.where(F.col("ACCOUNT").isin(accts)), lo, hi)
-    latest = latest_snapshot(preaggregate(df, [*KEYS, "ACCOUNT"], V), KEYS)
-    return pivot_accounts(latest, acc.dda, value=V)
+    return newest_sums(df, KEYS, account_sums(acc.dda))
 
 
 def prepaid_component(feed, lo, hi, acc: OpsAccounts):
@@ -153,8 +157,13 @@ def cash_component(feed, lo, hi):
     lo_m = day_key(month_start(_d(lo)))
     hi_m = day_key(last_day(_d(hi)))
     df = window_feed(feed, lo_m, hi_m, center_rule=is_fact_center)
-    pre = preaggregate(df, [*KEYS, "ACCOUNT"], V).withColumn("MONTH", F.expr("PERIOD div 100"))
-    latest = latest_snapshot(pre, ["CENTER", "MONTH", "ACCOUNT"])
+    version = "EXTRACT_DATE_ID"
+    df = df.na.drop(subset=[*KEYS, "ACCOUNT", version])
+    # per (center, month, account) at most ~31 days x a few extracts remain after
+    # the pre-aggregation, so the window partitions are small whatever the skew
+    pre = preaggregate(df, [*KEYS, "ACCOUNT"], V, version).withColumn("MONTH", F.expr("PERIOD div 100"))
+    newest = F.max(version).over(Window.partitionBy("CENTER", "MONTH", "ACCOUNT"))
+    latest = pre.withColumn("_NEWEST", newest).where(F.col(version) == F.col("_NEWEST"))
     return (latest.where(F.col("PERIOD").between(lo, hi))
             .groupBy(*KEYS).agg(F.sum(V).alias("AUDCASHSHORTS")))
 
@@ -188,8 +197,7 @@ def goal_component(goals: DataFrame, clock: RunClock, acc: OpsAccounts) -> DataF
     '025' land in one row."""
     raw = goals.where(period_between(goals, clock.expiration_id, clock.goal_end_id)
                       & ~is_rollup_member(F.col("CENTER")))
-    pre = preaggregate(raw, [*KEYS, "ACCOUNT"], "GOAL_VALUE")
-    latest = normalise_keys(latest_snapshot(pre, [*KEYS, "ACCOUNT"]))
+    latest = normalise_keys(newest_sums(raw, [*KEYS, "ACCOUNT"], {"GOAL_VALUE": None}))
     cutoff = {"FTDD_GOAL_MTD": F.col("PERIOD") < F.lit(clock.end_id)}
     return pivot_accounts(latest, acc.goals, value="GOAL_VALUE", conditions=cutoff)
 
