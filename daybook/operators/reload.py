@@ -9,8 +9,9 @@ Why the writer is shaped this way:
 * the fresh window reads the target itself (last-year columns), so it is
   first written to a staging directory: overwriting a path that the running
   plan still reads would lose data;
-* the staged rows then replace their partitions with a dynamic partition
-  overwrite (other partitions untouched, task retries are idempotent);
+* the staged rows (one file per day) then replace their partitions with a
+  dynamic partition overwrite (other partitions untouched, task retries are
+  idempotent);
 * partitions ``>= expiration_id`` that the new run did not produce are
   dropped afterwards, which dynamic overwrite alone would leave behind.
 Reruns are safe: last-year keys lie >= 364 days back, outside the window.
@@ -75,7 +76,10 @@ def _partition_keys(spark: SparkSession, path: str, col: str = "PERIOD") -> set[
 def write_reload(spark: SparkSession, fresh: DataFrame, target: str, expiration_id: int) -> dict:
     """Replace the target's window with ``fresh``; returns partition stats."""
     staging = f"{scratch_dir(spark)}/staging-{uuid.uuid4().hex}"
-    fresh.write.mode("overwrite").partitionBy("PERIOD").parquet(staging)
+    # cluster by day first: one file per day partition instead of one per
+    # (task, day); the window is at most ~62 days of centers, so each file
+    # stays a few MB even for thousands of centers
+    fresh.repartition("PERIOD").write.mode("overwrite").partitionBy("PERIOD").parquet(staging)
     new_keys = _partition_keys(spark, staging)
     old_keys = _partition_keys(spark, target)
     if new_keys:
