@@ -20,11 +20,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, FloatType, LongType
+from pyspark.sql.types import DecimalType, FloatType, LongType
 
 from daybook.functions.clock import RunClock, clock_columns, expiration_of, goal_end_id
-from daybook.functions.dates import yyyymmdd
-from daybook.functions.measures import REVENUE_MEASURES, ly_name
+from daybook.functions.measures import ly_name
 from daybook.functions.predicates import is_fact_center, is_rollup_member
 from daybook.operators.audit import AuditLog, run_job
 from daybook.operators.merge import merge_metrics
@@ -32,7 +31,6 @@ from daybook.operators.pivot import pivot_accounts
 from daybook.operators.reload import reload_window
 from daybook.operators.snapshot import latest_snapshot
 from daybook.operators.spine import build_spine
-from daybook.operators.window import in_window
 from daybook.operators.yoy import (calendar_key, last_year_key, weekday_key, with_last_year,
                                    with_last_year_two_regime)
 from daybook.plans import ops_goals as og
@@ -360,4 +358,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda f: (lambda spark, d: finalize(f(tune(spark), d))))(f) for k, f in QUERIES.items()}
 
 
-__all__ = ["QUERIES", "registered", "finalize", "clock", "yyyymmdd"]
+__all__ = ["QUERIES", "registered", "finalize", "clock"]

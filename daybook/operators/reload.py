@@ -33,8 +33,10 @@ def stamp_run(df: DataFrame, column: str = "DW_MOD_DATETIME") -> DataFrame:
 
 
 def reload_window(history: DataFrame, fresh: DataFrame, expiration_id: int) -> DataFrame:
+    """History before the expiration key + the fresh rows from it on (the
+    insert is clipped to the window like the delete, so reruns are idempotent)."""
     kept = history.where(F.col("PERIOD") < F.lit(expiration_id))
-    return kept.unionByName(fresh.select(*history.columns))
+    return kept.unionByName(fresh.where(F.col("PERIOD") >= F.lit(expiration_id)).select(*history.columns))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -75,6 +77,7 @@ def _partition_keys(spark: SparkSession, path: str, col: str = "PERIOD") -> set[
 
 def write_reload(spark: SparkSession, fresh: DataFrame, target: str, expiration_id: int) -> dict:
     """Replace the target's window with ``fresh``; returns partition stats."""
+    fresh = fresh.where(F.col("PERIOD") >= F.lit(expiration_id))
     staging = f"{scratch_dir(spark)}/staging-{uuid.uuid4().hex}"
     # cluster by day first: one file per day partition instead of one per
     # (task, day); the window is at most ~62 days of centers, so each file

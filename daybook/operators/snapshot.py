@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 def latest_snapshot(df: DataFrame, keys: list[str], version: str = "EXTRACT_DATE_ID") -> DataFrame:
     clean = df.na.drop(subset=[*keys, version])
     newest = clean.groupBy(*keys).agg(F.max(version).alias(version))
-    return clean.join(newest, [*keys, version], "left_semi")
+    return clean.join(newest, [*keys, version], "left_semi").select(*df.columns)
 
 
 def preaggregate(df: DataFrame, keys: list[str], value: str, version: str = "EXTRACT_DATE_ID") -> DataFrame:

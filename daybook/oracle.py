@@ -15,8 +15,7 @@ import datetime as dt
 from daybook.catalog import (ALL_DAYS, EVENT_ACCOUNTS, EVENT_PIVOT, FIXTURE_ACCOUNTS, FIXTURE_PARAMS, KEY_COLUMNS,
                              YOY_MEASURES, clock)
 from daybook.functions import measures as M
-from daybook.functions.dates import day_key
-from daybook.sources.fixtures import CENTER_TEXT_COLUMNS, fixture_sql
+from daybook.sources.fixtures import fixture_sql
 
 C = clock()
 ONE = dt.timedelta(days=1)
@@ -336,9 +335,6 @@ def ops_stage(n: str, cols: list[str]) -> str:
     return f"SELECT CENTER, PERIOD, {', '.join(cols + list(OPS_LY[n]))} FROM ({body}) z"
 
 
-OPS_OUT = None  # filled lazily from the Spark job's column list
-
-
 def ops_goals_sql() -> str:
     from daybook.plans.ops_goals import OPS_OUTPUT_COLUMNS
     comps = ops_components(C.start_id, C.end_id)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.clock import RunClock
-from daybook.functions.dates import add_months, day_key, last_day, month_start
+from daybook.functions.dates import day_key, key_day, last_day, month_start
 from daybook.functions.measures import c0, derive_card_sales, derive_shop_totals
 from daybook.functions.predicates import is_fact_center, is_operating_center, is_rollup_member
 from daybook.operators.audit import AuditLog, run_job
@@ -154,8 +154,8 @@ def cash_component(feed, lo, hi):
     """Newest extract per (center, *month*, account) (D6c).  The month is read
     whole before the snapshot (a later day of the month may carry the newest
     extract); the exact window applies after it."""
-    lo_m = day_key(month_start(_d(lo)))
-    hi_m = day_key(last_day(_d(hi)))
+    lo_m = day_key(month_start(key_day(lo)))
+    hi_m = day_key(last_day(key_day(hi)))
     df = window_feed(feed, lo_m, hi_m, center_rule=is_fact_center)
     version = "EXTRACT_DATE_ID"
     df = df.na.drop(subset=[*KEYS, "ACCOUNT", version])
@@ -311,11 +311,6 @@ def run_ops_goals(src: OpsSources, clock: RunClock, acc: OpsAccounts = OpsAccoun
     return stage("insert", out.selectExpr(*[f"`{c}`" for c in OPS_OUTPUT_COLUMNS]))
 
 
-def _d(k: int):
-    from daybook.functions.dates import key_day
-    return key_day(k)
-
-
 
 def load_ops_goals(src, clock: RunClock, target: str, audit: AuditLog, acc: OpsAccounts = OpsAccounts(), cast_to: str = "double") -> int:
     """Job entry (I5): audit start, stage counts, stamped reload of the run
@@ -334,4 +329,4 @@ def load_ops_goals(src, clock: RunClock, target: str, audit: AuditLog, acc: OpsA
 
 
 __all__ = ["load_ops_goals", "OpsAccounts", "OpsSources", "run_ops_goals", "ops_metrics", "spine_components",
-           "goal_component", "OPS_OUTPUT_COLUMNS", "LY_MAP", "add_months"]
+           "goal_component", "OPS_OUTPUT_COLUMNS", "LY_MAP"]

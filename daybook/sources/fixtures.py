@@ -171,7 +171,10 @@ _SPLITS: dict[str, int] = {}
 def _scan_splits(spark: SparkSession, path: str) -> int:
     """Number of scan tasks Spark plans for ``path`` (file listing only, no job)."""
     if path not in _SPLITS:
-        _SPLITS[path] = spark.read.parquet(path).rdd.getNumPartitions()
+        try:
+            _SPLITS[path] = spark.read.parquet(path).rdd.getNumPartitions()
+        except Exception:  # sessions without RDD access: never spread
+            _SPLITS[path] = 1 << 30
     return _SPLITS[path]
 
 
