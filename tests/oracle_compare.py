@@ -22,7 +22,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("nan",)
-        return round(v, 6)
+        return repr(v)  # exact: also tells -0.0 from 0.0
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
