@@ -103,7 +103,7 @@ def ops_sources(spark, d, history: DataFrame | None = None) -> og.OpsSources:
                         center=fixture(spark, d, "center_metrics"), employees=acct, shops=acct,
                         history=history)
     if history is None:
-        src.history = ops_history(src, clock())
+        src.history = _cached(spark, d, "ops_history", lambda: ops_history(src, clock()))
     return src
 
 
@@ -114,6 +114,22 @@ def ops_history(src: og.OpsSources, c: RunClock) -> DataFrame:
     return og.ops_metrics(src, lo, hi, FIXTURE_ACCOUNTS, TEXT_CAST)
 
 
+_HISTORY: dict[tuple, DataFrame] = {}
+
+
+def _cached(spark, d, name, build):
+    """One lazily built stand-in frame per (session, dir): plans are analysed
+    once and queries sharing a stand-in share identical subplans."""
+    try:
+        sid = str(spark._jsparkSession.sessionUUID())
+    except Exception:  # pragma: no cover
+        sid = str(id(spark))
+    key = (sid, d.rstrip("/"), name)
+    if key not in _HISTORY:
+        _HISTORY[key] = build()
+    return _HISTORY[key]
+
+
 def spine(spark, d) -> DataFrame:
     c = clock()
     return build_spine(fixture(spark, d, "hierarchy"), c.start, c.end)
