@@ -64,3 +64,13 @@ def test_audit_counts_stages_and_failure_path(spark):
         run_job(failing, "job", lambda: 1 / 0)
     assert failing.events[-1].SEVERITY == 1 and "division" in failing.events[-1].MESSAGE
     assert failing.to_df(spark).count() == 2
+
+
+def test_audit_rows_append_to_table(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="daybook-audit-"), "audit")
+    for run in range(2):
+        log = AuditLog(etl_date=20000314 + run, job_id=run)
+        log.log("start")
+        log.append_to(spark, path)
+    got = sorted((r.ETL_DATE, r.MESSAGE) for r in spark.read.parquet(path).collect())
+    assert got == [(20000314, "start"), (20000315, "start")]
