@@ -135,6 +135,20 @@ def dda_component(feed, lo, hi, acc: OpsAccounts):
     return newest_sums(df, KEYS, account_sums(acc.dda))
 
 
+def dda_feed_components(feed, lo, hi, acc: OpsAccounts) -> tuple[DataFrame, DataFrame]:
+    """DDA cards (D6b) and NC4S (D6a) from one read of the DDA feed: both
+    start from the same per-(center, day, account, extract) sums, so the
+    scan and its first exchange are shared (the exchange is reused)."""
+    version = "EXTRACT_DATE_ID"
+    df = window_feed(feed, lo, hi).na.drop(subset=[*KEYS, "ACCOUNT", version])
+    pre = preaggregate(df, [*KEYS, "ACCOUNT"], V, version)
+    dda_accts = [a for v in acc.dda.values() for a in v]
+    dda = newest_sums(pre.where(F.col("ACCOUNT").isin(dda_accts)), KEYS, account_sums(acc.dda))
+    nc4s = pivot_accounts(newest_sums(pre.where(is_fact_center("CENTER")), [*KEYS, "ACCOUNT"], {V: None}),
+                          acc.nc4s, value=V)
+    return dda, nc4s
+
+
 def prepaid_component(feed, lo, hi, acc: OpsAccounts):
     return snapshot_sum(feed, lo, hi, acc.prepaid, "PREPAIDCARDSALEITEMS")
 
@@ -267,16 +281,17 @@ class OpsSources:
 
 
 def spine_components(src: OpsSources, lo: int, hi: int, acc: OpsAccounts, cast_to: str = "double") -> list[DataFrame]:
+    dda, nc4s = dda_feed_components(src.dda, lo, hi, acc)
     return [
         nps_component(src.nps, lo, hi, acc),
         hours_component(src.staff, lo, hi, cast_to),
         dds_component(src.dds, lo, hi, acc),
-        dda_component(src.dda, lo, hi, acc),
+        dda,
         prepaid_component(src.prepaid, lo, hi, acc),
         bbk_component(src.visit, lo, hi),
         cash_component(src.cash, lo, hi),
         checks_component(src.center, lo, hi, cast_to),
-        nc4s_component(src.dda, lo, hi, acc),
+        nc4s,
         employees_component(src.employees, lo, hi, acc),
         shops_component(src.shops, lo, hi, acc),
     ]
