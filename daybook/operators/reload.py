@@ -79,19 +79,22 @@ def write_reload(spark: SparkSession, fresh: DataFrame, target: str, expiration_
     """Replace the target's window with ``fresh``; returns partition stats."""
     fresh = fresh.where(F.col("PERIOD") >= F.lit(expiration_id))
     staging = f"{scratch_dir(spark)}/staging-{uuid.uuid4().hex}"
-    # cluster by day first: one file per day partition instead of one per
-    # (task, day); the window is at most ~62 days of centers, so each file
-    # stays a few MB even for thousands of centers
-    fresh.repartition("PERIOD").write.mode("overwrite").partitionBy("PERIOD").parquet(staging)
-    new_keys = _partition_keys(spark, staging)
-    old_keys = _partition_keys(spark, target)
-    if new_keys:
-        (spark.read.parquet(staging).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("PERIOD").parquet(target))
-    stale = sorted(k for k in old_keys if k >= expiration_id and k not in new_keys)
-    fs, p, jvm = _fs(spark, target)
-    for k in stale:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(p, f"PERIOD={k}"), True)
-    fs_s, p_s, _ = _fs(spark, staging)
-    fs_s.delete(p_s, True)
+    try:
+        # cluster by day first: one file per day partition instead of one per
+        # (task, day); the window is at most ~62 days of centers, so each file
+        # stays a few MB even for thousands of centers
+        fresh.repartition("PERIOD").write.mode("overwrite").partitionBy("PERIOD").parquet(staging)
+        new_keys = _partition_keys(spark, staging)
+        old_keys = _partition_keys(spark, target)
+        if new_keys:
+            (spark.read.parquet(staging).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("PERIOD").parquet(target))
+        stale = sorted(k for k in old_keys if k >= expiration_id and k not in new_keys)
+        fs, p, jvm = _fs(spark, target)
+        for k in stale:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(p, f"PERIOD={k}"), True)
+    finally:
+        fs_s, p_s, _ = _fs(spark, staging)
+        if fs_s.exists(p_s):
+            fs_s.delete(p_s, True)
     return {"written": len(new_keys), "dropped": len(stale)}
