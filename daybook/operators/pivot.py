@@ -12,19 +12,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _sql_list(values: list[str]) -> str:
+    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+
+
 def pivot_accounts(
     df: DataFrame,
     columns: dict[str, list[str]],
     value: str = "DATA_VALUE",
     keys: tuple[str, ...] = ("CENTER", "PERIOD"),
     account: str = "ACCOUNT",
-    conditions: dict[str, Column] | None = None,
+    conditions: dict[str, Column | str] | None = None,
 ) -> DataFrame:
+    """``conditions`` may be Columns or SQL predicate strings."""
     conditions = conditions or {}
     aggs = []
     for name, accounts in columns.items():
-        hit = F.col(account).isin(list(accounts))
-        if name in conditions:
-            hit = hit & conditions[name]
-        aggs.append(F.sum(F.when(hit, F.col(value)).otherwise(F.lit(0))).alias(name))
+        cond = conditions.get(name)
+        if cond is None or isinstance(cond, str):
+            hit = f"`{account}` IN ({_sql_list(list(accounts))})" + (f" AND ({cond})" if cond else "")
+            aggs.append(F.expr(f"SUM(CASE WHEN {hit} THEN `{value}` ELSE 0 END) AS `{name}`"))
+        else:
+            hit = F.col(account).isin(list(accounts)) & cond
+            aggs.append(F.sum(F.when(hit, F.col(value)).otherwise(F.lit(0))).alias(name))
     return df.groupBy(*keys).agg(*aggs)

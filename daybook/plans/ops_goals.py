@@ -212,7 +212,7 @@ def goal_component(goals: DataFrame, clock: RunClock, acc: OpsAccounts) -> DataF
     raw = goals.where(period_between(goals, clock.expiration_id, clock.goal_end_id)
                       & ~is_rollup_member(F.col("CENTER")))
     latest = normalise_keys(newest_sums(raw, [*KEYS, "ACCOUNT"], {"GOAL_VALUE": None}))
-    cutoff = {"FTDD_GOAL_MTD": F.col("PERIOD") < F.lit(clock.end_id)}
+    cutoff = {"FTDD_GOAL_MTD": f"PERIOD < {int(clock.end_id)}"}
     return pivot_accounts(latest, acc.goals, value="GOAL_VALUE", conditions=cutoff)
 
 
