@@ -34,7 +34,8 @@ def window_feed(df: DataFrame, lo: int, hi: int, center_rule=None, columns: list
     return normalise_keys(out)
 
 
-def read_partitions(spark: SparkSession, table: str, ranges: list[tuple[int, int]], col: str = "PERIOD") -> DataFrame:
+def read_partitions(spark: SparkSession, table: str, ranges: list[tuple[int, int]], col: str = "PERIOD",
+                    schema=None) -> DataFrame:
     """Read only the ``col=<key>`` partitions of a Parquet table that fall in
     ``ranges`` (inclusive day keys).
 
@@ -42,10 +43,13 @@ def read_partitions(spark: SparkSession, table: str, ranges: list[tuple[int, int
     (years of days) before pruning; here one non-recursive listing of the
     table root picks the directories and only those are scanned.  With a
     catalog-managed table, ``spark.table(...).where(...)`` prunes the same way.
+    On a first run (no partitions yet) pass ``schema`` to get an empty frame.
     """
     from daybook.operators.reload import partition_dirs
     parts = partition_dirs(spark, table, col)
     if not parts:
+        if schema is not None:
+            return spark.createDataFrame([], schema)
         raise ValueError(f"{table}: no {col}= partitions")
     keep = [p for k, p in sorted(parts.items()) if any(lo <= k <= hi for lo, hi in ranges)]
     reader = spark.read.option("basePath", table)

@@ -74,3 +74,18 @@ def test_audit_rows_append_to_table(spark):
         log.append_to(spark, path)
     got = sorted((r.ETL_DATE, r.MESSAGE) for r in spark.read.parquet(path).collect())
     assert got == [(20000314, "start"), (20000315, "start")]
+
+
+def test_read_partitions_ranges_and_first_run(spark):
+    from daybook.sources.feeds import read_partitions
+    root = tempfile.mkdtemp(prefix="daybook-parts-")
+    target = os.path.join(root, "t")
+    spark.createDataFrame([(1, p, 1.0) for p in (19990201, 19990215, 19990301, 20000101)], SCHEMA) \
+        .write.partitionBy("PERIOD").parquet(target)
+    got = read_partitions(spark, target, [(19990201, 19990228), (20000101, 20000101)])
+    assert sorted(r.PERIOD for r in got.collect()) == [19990201, 19990215, 20000101]
+    assert read_partitions(spark, target, [(18000101, 18000102)]).count() == 0
+    empty = read_partitions(spark, os.path.join(root, "missing"), [(1, 2)], schema=SCHEMA)
+    assert empty.count() == 0 and empty.columns == ["CENTER", "PERIOD", "M"]
+    with pytest.raises(ValueError):
+        read_partitions(spark, os.path.join(root, "missing"), [(1, 2)])
