@@ -41,3 +41,17 @@ def is_rollup_member(c: Column | str = "CENTER") -> Column:
     """Goal-cube members that are roll-ups ('All Centers', 'D12', ...), not stores."""
     c = _c(c)
     return c.endswith(ROLLUP_SUFFIX) | c.startswith(ROLLUP_PREFIX)
+
+
+def _sql(rule):
+    def attach(fn):
+        fn.sql = rule
+        return fn
+    return attach
+
+
+# The same rules as SQL text (one parse in the JVM when filters are built).
+is_operating_center = _sql(lambda c="CENTER": f"({c} >= {MIN_CENTER} AND ({c} < {OPERATING_HOLE[0]} "
+                                             f"OR {c} > {OPERATING_HOLE[1]}))")(is_operating_center)
+is_fact_center = _sql(lambda c="CENTER": f"({c} >= {MIN_CENTER} AND NOT ({c} BETWEEN {FACT_HOLE[0]} "
+                                        f"AND {FACT_HOLE[1]}))")(is_fact_center)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType
+
 from daybook.operators.window import period_between
 
 
@@ -25,10 +27,15 @@ def normalise_keys(df: DataFrame, center_type: str = "int") -> DataFrame:
 
 def window_feed(df: DataFrame, lo: int, hi: int, center_rule=None, columns: list[str] | None = None) -> DataFrame:
     """Filter a raw feed to [lo, hi] (+ optional center rule), then normalise keys."""
-    cond: Column = period_between(df, lo, hi)
-    if center_rule is not None:
-        cond = cond & center_rule(F.col("CENTER"))
-    out = df.where(cond)
+    if center_rule is None or hasattr(center_rule, "sql"):
+        # one SQL predicate: literals typed like the raw key, so it still pushes down
+        quote = "'" if isinstance(df.schema["PERIOD"].dataType, StringType) else ""
+        cond = f"PERIOD BETWEEN {quote}{int(lo)}{quote} AND {quote}{int(hi)}{quote}"
+        if center_rule is not None:
+            cond += f" AND {center_rule.sql('CENTER')}"
+        out = df.where(cond)
+    else:
+        out = df.where(period_between(df, lo, hi) & center_rule(F.col("CENTER")))
     if columns is not None:
         out = out.selectExpr("CENTER", "PERIOD", *[f"`{c}`" for c in columns])
     return normalise_keys(out)

@@ -25,6 +25,8 @@ def test_center_rules(spark):
     df = spark.createDataFrame([(c,) for c in [0, 24, 25, 4999, 5000, 5050, 5100, 5101, 5999, 6000]], "CENTER int")
     assert rows(df.where(is_operating_center()), "CENTER") == [(25,), (4999,), (6000,)]
     assert rows(df.where(is_fact_center()), "CENTER") == [(25,), (4999,), (5101,), (5999,), (6000,)]
+    for rule in (is_operating_center, is_fact_center):  # Column and SQL forms agree
+        assert rows(df.where(rule()), "CENTER") == rows(df.where(rule.sql("CENTER")), "CENTER")
     g = spark.createDataFrame([("All Centers",), ("D12",), ("025",), ("61",), (None,)], "CENTER string")
     assert rows(g.where(~is_rollup_member()), "CENTER") == [("025",), ("61",)]
 
