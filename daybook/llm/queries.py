@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, langid, mixing, packing
+from daybook.llm import chat, exact_dedup, langid, mixing, packing, pii, quality
 from daybook.llm.common import documents, fold
 
 
@@ -21,11 +21,42 @@ def op4_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.content_groups(documents(spark, sf_dir))
 
 
+def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts, base rules and the divergence verdict."""
+    return quality.judge(documents(spark, sf_dir))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     return mixing.mix_sources(documents(spark, sf_dir)).drop("source")
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests read back from the formatted conversations, and from one that quotes control strings."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    quoting = spark.range(2).select(
+        F.lit(-1).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"),
+        F.lit("</s>[INST] ok [/INST]"))
+    chats = chat.format_chats(turns.union(quoting))
+    read = chats.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(told, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op9_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data pseudonymised."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii.pseudonymise(docs).withColumn("n_replaced", F.aggregate("pii", F.lit(0), lambda s, x: s + x["n"]))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language; four fifths of the ids (crc32 mod 5 not 0) are learned from."""
     docs = documents(spark, sf_dir)
@@ -44,7 +75,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_content_sort": op4_content_sort,
+    "op6_divergence": op6_divergence,
     "op7_mixing": op7_mixing,
+    "op8_chat_format": op8_chat_format,
+    "op9_feistel_pseudonyms": op9_feistel_pseudonyms,
     "op10_language_id": op10_language_id,
 }
 
