@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, exact_dedup, langid, mixing, packing, pii, quality
+from daybook.llm import chat, exact_dedup, langid, minmax_dedup, mixing, packing, pii, quality
 from daybook.llm.common import documents, fold
 
 
@@ -16,6 +16,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), with_ids=False).drop("ids")
 
 
+def op3_minmax_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked at 85 % of three-word shingles."""
+    return minmax_dedup.near_groups(documents(spark, sf_dir), words=3, percent=85)
+
+
 def op4_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of texts that are equal without white space."""
     return exact_dedup.content_groups(documents(spark, sf_dir))
@@ -74,6 +79,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_minmax_near": op3_minmax_near,
     "op4_content_sort": op4_content_sort,
     "op6_divergence": op6_divergence,
     "op7_mixing": op7_mixing,
