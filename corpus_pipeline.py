@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, langid, mixing, packing
+from daybook.llm import exact_dedup, langid, minmax_dedup, mixing, packing
 from daybook.llm.common import documents, fold
 from daybook.session import ensure_checkpoint_dir
 
@@ -28,6 +28,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked at 80 % of five-word shingles."""
+    return minmax_dedup.drop_near(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often and as far as the mix takes them."""
     return mixing.take(docs)
@@ -41,6 +46,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", language_id),
     ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
     ("mixing", mix),
     ("packing", pack),
 ]
