@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, exact_dedup, langid, minmax_dedup, mixing, packing, pii, quality
+from daybook.llm import chat, exact_dedup, langid, minmax_dedup, mixing, packing, phrase_dedup, pii, quality
 from daybook.llm.common import documents, fold
 
 
@@ -26,6 +26,11 @@ def op4_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.content_groups(documents(spark, sf_dir))
 
 
+def op5_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left after the removal of repeated 20-word windows."""
+    return phrase_dedup.remove_repeats(documents(spark, sf_dir), with_text=False).drop("kept_text")
+
+
 def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts, base rules and the divergence verdict."""
     return quality.judge(documents(spark, sf_dir))
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_minmax_near": op3_minmax_near,
     "op4_content_sort": op4_content_sort,
+    "op5_phrase_dedup": op5_phrase_dedup,
     "op6_divergence": op6_divergence,
     "op7_mixing": op7_mixing,
     "op8_chat_format": op8_chat_format,
