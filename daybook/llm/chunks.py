@@ -20,15 +20,20 @@ from daybook.llm.common import shuffle_partitions
 
 CHUNK_BYTES = 8_000_000
 MESSAGE = "chunk int, shard int, blob binary"
+#: A row with shard -1 - k is a chunk's own note, which passes through shard k and comes back.
+TO_SHARD = "CASE WHEN shard < 0 THEN -1 - shard ELSE shard END AS to_shard"
+#: Chunks per shard, so that messages stay large when there are many chunks.
+CHUNKS_PER_SHARD = 4
 
 
 def deal(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
-    """(chunk, doc_id, text as bytes), and the number of chunks, which follows the volume of text."""
+    """(chunk, doc_id, text as bytes), and the number of shards; both counts follow the volume of text."""
     text = F.col(f"`{text_col}`").cast("binary")
     volume = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     n = max(math.ceil(volume / chunk_bytes), shuffle_partitions(docs.sparkSession))
     doc_id = F.col(f"`{id_col}`").cast("long")
-    return docs.select(F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("int").alias("chunk"), doc_id.alias("doc_id"), text.alias("text")), n
+    dealt = docs.select(F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("int").alias("chunk"), doc_id.alias("doc_id"), text.alias("text"))
+    return dealt, max(math.ceil(n / CHUNKS_PER_SHARD), min(n, shuffle_partitions(docs.sparkSession)))
 
 
 def messages(rows: list[tuple[int, int, bytes]]) -> pa.Table:

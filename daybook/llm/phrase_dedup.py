@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from daybook.llm.chunks import CHUNK_BYTES, MESSAGE, answers, by_shard, deal, in_order, messages
+from daybook.llm.chunks import CHUNK_BYTES, MESSAGE, TO_SHARD, answers, by_shard, deal, in_order, messages
 from daybook.llm.minmax_dedup import WordHashes, mix
 
 WINDOW = 20
@@ -254,6 +254,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by_chunk = dealt.groupBy("chunk")
     recurring = by_chunk.applyInArrow(_send_anchors(n), MESSAGE).groupBy("shard").applyInArrow(_confirm, MESSAGE)
     asked = by_chunk.cogroup(recurring.groupBy("chunk")).applyInArrow(_send_windows(n), MESSAGE)
-    shard = "CASE WHEN shard < 0 THEN -1 - shard ELSE shard END AS to_shard"
-    told = asked.selectExpr("*", shard).groupBy("to_shard").applyInArrow(_first, MESSAGE)
+    told = asked.selectExpr("*", TO_SHARD).groupBy("to_shard").applyInArrow(_first, MESSAGE)
     return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_remove(n, with_text), RESULT)

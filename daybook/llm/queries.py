@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, exact_dedup, langid, minmax_dedup, mixing, packing, phrase_dedup, pii, quality
+from daybook.llm import chat, exact_dedup, langid, lm_scoring, minmax_dedup, mixing, packing, phrase_dedup, pii, quality
 from daybook.llm.common import documents, fold
 
 
@@ -16,6 +16,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), with_ids=False).drop("ids")
 
 
+def op2_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram scores of all documents, learned from those with crc32(doc_id) mod 7 not 2."""
+    return lm_scoring.score(documents(spark, sf_dir))
+
+
 def op3_minmax_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked at 85 % of three-word shingles."""
     return minmax_dedup.near_groups(documents(spark, sf_dir), words=3, percent=85)
@@ -84,6 +89,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_elias_fano_lm": op2_elias_fano_lm,
     "op3_minmax_near": op3_minmax_near,
     "op4_content_sort": op4_content_sort,
     "op5_phrase_dedup": op5_phrase_dedup,
