@@ -107,4 +107,48 @@ ORACLE: dict[str, str] = {
              g AS (SELECT norm, count(*) AS group_size, max({'c': chars, 'i': -doc_id}) AS b FROM n GROUP BY norm)
         SELECT n.doc_id, -g.b.i AS keep_id, g.group_size, n.doc_id = -g.b.i AS kept, sha256(n.norm) AS text_sha256
         FROM n JOIN g ON n.norm = g.norm""",
+    "op3_minmax_near": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS sh
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_in AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        link AS (
+            SELECT x, y FROM both_in JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)),
+        edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, edge.y FROM reach JOIN edge ON edge.x = reach.b),
+        root AS (SELECT a, min(b) AS r FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r AS component_id, r = d.doc_id AS kept
+        FROM d JOIN root ON root.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op5_phrase_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+        again AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS r FROM win),
+        word AS (SELECT doc_id, j, w[j] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS j FROM d)),
+        gone AS (SELECT word.doc_id, j, x, coalesce(max(CASE WHEN r THEN 1 ELSE 0 END) OVER (
+                     PARTITION BY word.doc_id ORDER BY j ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) = 1 AS g
+                 FROM word LEFT JOIN again ON again.doc_id = word.doc_id AND again.i = word.j),
+        left_over AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE g) AS n_removed,
+                             string_agg(x, ' ' ORDER BY j) FILTER (WHERE NOT g) AS t FROM gone GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN left_over ON left_over.doc_id = d.doc_id""",
+    "op8_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS x FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (SELECT *, lag(role) OVER o IS NOT DISTINCT FROM role AND row_number() OVER o > 1 AS joined,
+                     regexp_replace(x, '([<\[])(\\*(?:\||/?s>|/?INST\]|/?SYS>>))', '\1\\\2', 'g') AS escaped
+              FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, x))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || x || chr(10), '' ORDER BY turn, role, x)) AS turns_sha256,
+               coalesce(sum(length(x)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(x, '' ORDER BY turn, role, x) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(length(escaped) + CASE WHEN joined THEN length('<|sep|>')
+                   ELSE length('<|turn|><|text|><|end|>') + 1 + length(role) END)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
 }
