@@ -36,8 +36,10 @@ class AuditLog:
     job_id: int = 0
     sp_name: str = ""
     package_name: str = ""
+    sink: str | None = None
     events: list[AuditEvent] = field(default_factory=list)
     _pending: list[tuple[str, Observation]] = field(default_factory=list)
+    _stored: int = 0
 
     def log(self, message: str, rows: int = 0, severity: int = 0) -> None:
         self.events.append(AuditEvent(self.etl_date, self.job_id, severity, int(rows),
@@ -54,20 +56,37 @@ class AuditLog:
             self.log(name, obs.get.get("rows", 0))
         self._pending.clear()
 
-    def to_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([tuple(asdict(e).values()) for e in self.events], AUDIT_SCHEMA)
+    def to_df(self, spark: SparkSession, since: int = 0) -> DataFrame:
+        return spark.createDataFrame([tuple(asdict(e).values()) for e in self.events[since:]], AUDIT_SCHEMA)
 
     def append_to(self, spark: SparkSession, path: str) -> None:
         self.to_df(spark).write.mode("append").parquet(path)
 
+    def store(self, spark: SparkSession | None) -> None:
+        """Append the events not yet stored to the sink (nothing without one)."""
+        if self.sink and spark is not None and self._stored < len(self.events):
+            self.to_df(spark, self._stored).coalesce(1).write.mode("append").parquet(self.sink)
+            self._stored = len(self.events)
 
-def run_job(audit: AuditLog, name: str, body):
-    """Run ``body()`` between start/end audit rows; on error audit and re-raise."""
+
+def run_job(audit: AuditLog, name: str, body, spark: SparkSession | None = None):
+    """Run ``body()`` between start/end audit rows; on error audit and re-raise.
+
+    Rows are stored in the audit's sink at the start, at the end, and on an error
+    before it goes on; a sink that fails then doesn't hide the job's own error.
+    """
+    spark = spark or SparkSession.getActiveSession()
     audit.log(f"Start of {name}")
+    audit.store(spark)
     try:
         result = body()
     except Exception as exc:  # audit then propagate, as the warehouse job does
         audit.log(f"{name} failed: {exc}", severity=1)
+        try:
+            audit.store(spark)
+        except Exception as also:
+            exc.add_note(f"the audit sink {audit.sink} failed too: {also}")
         raise
     audit.log("Procedure Completed Successfully")
+    audit.store(spark)
     return result

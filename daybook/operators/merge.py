@@ -4,8 +4,10 @@
 ``unionByName`` + ``groupBy(keys).max``: each input is an aggregate already
 hash-partitioned on the keys, so the union needs no further shuffle and the
 whole merge costs one aggregation instead of n-1 sort-merge joins.  It is
-exact when every input is unique on the keys and no value column is shared;
-``merge_metrics_chain`` is the join form, kept as the reference semantics.
+exact when every input is unique on the keys and no value column is shared; an
+input with two rows for one key raises at run time (a marker per input is
+counted in the same aggregation).  ``merge_metrics_chain`` is the join form, kept
+as the reference semantics.
 """
 
 from __future__ import annotations
@@ -29,8 +31,14 @@ def merge_metrics(frames: list[DataFrame], keys=KEYS) -> DataFrame:
     values = [c for f in frames for c in f.columns if c not in keys]
     if len(values) != len(set(values)):
         raise ValueError("merge_metrics: value columns must be disjoint across inputs")
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return union.groupBy(*keys).agg(*[F.expr(f"max(`{c}`) AS `{c}`") for c in values])
+    marked = [f.withColumn(f"_from_{i}", F.lit(1)) for i, f in enumerate(frames)]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    most = F.greatest(*(F.count(f"_from_{i}") for i in range(len(frames))), F.lit(0))
+    merged = union.groupBy(*keys).agg(*[F.expr(f"max(`{c}`) AS `{c}`") for c in values], most.alias("_most"))
+    twice = F.lit("merge_metrics: an input has two rows for one key")
+    key, *rest = keys
+    checked = F.when(F.col("_most") > 1, F.raise_error(twice).cast(merged.schema[key].dataType)).otherwise(F.col(key))
+    return merged.select(checked.alias(key), *rest, *[F.col(f"`{c}`") for c in values])
 
 
 def merge_metrics_chain(frames: list[DataFrame], keys=KEYS) -> DataFrame:

@@ -9,11 +9,15 @@ Why the writer is shaped this way:
 * the fresh window reads the target itself (last-year columns), so it is
   first written to a staging directory: overwriting a path that the running
   plan still reads would lose data;
-* the staged rows (one file per day) then replace their partitions with a
-  dynamic partition overwrite (other partitions untouched, task retries are
-  idempotent);
+* the staged rows are counted against the rows the plan produced; with a
+  difference, or with none at all, the writer raises before it touches the
+  target (``allow_empty=True`` lets an empty window empty the target's);
+* the staged rows then replace their partitions with a dynamic partition
+  overwrite (other partitions untouched, task retries are idempotent);
 * partitions ``>= expiration_id`` that the new run did not produce are
   dropped afterwards, which dynamic overwrite alone would leave behind.
+Both writes are rebalanced by day: adaptive execution makes one file per small
+day and splits a large one.
 Reruns are safe: last-year keys lie >= 364 days back, outside the window.
 """
 
@@ -21,7 +25,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.session import scratch_dir
@@ -47,47 +51,45 @@ def _fs(spark: SparkSession, path: str):
 
 def list_children(spark: SparkSession, path: str) -> list[str]:
     """Child paths of a directory, fetched as one string (one round trip
-    however many partitions the table has)."""
+    however many partitions the table has); no path holds a NUL."""
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
         return []
     paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))
-    n = len(paths)
-    if n == 0:
-        return []
-    objs = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, n)
-    jvm.java.lang.System.arraycopy(paths, 0, objs, 0, n)
-    listing = jvm.java.util.Arrays.toString(objs)
-    return [x.strip() for x in listing[1:-1].split(", ") if x.strip()]
+    objects = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, len(paths))
+    jvm.java.lang.System.arraycopy(paths, 0, objects, 0, len(paths))
+    return [x for x in jvm.org.apache.commons.lang3.StringUtils.join(objects, "\0").split("\0") if x]
 
 
 def partition_dirs(spark: SparkSession, path: str, col: str = "PERIOD") -> dict[int, str]:
-    """``{key: path}`` for the ``col=<int>`` partition directories of a table."""
+    """``{key: path}`` for the ``col=<int>`` partition directories of a table
+    (others, such as the one of null keys, are left out)."""
     out = {}
     for child in list_children(spark, path):
-        name = child.rstrip("/").rsplit("/", 1)[-1]
-        if name.startswith(col + "="):
-            out[int(name.split("=", 1)[1])] = child
+        name, _, key = child.rstrip("/").rsplit("/", 1)[-1].partition("=")
+        if name == col and key.isascii() and key.isdigit():
+            out[int(key)] = child
     return out
 
 
-def _partition_keys(spark: SparkSession, path: str, col: str = "PERIOD") -> set[int]:
-    return set(partition_dirs(spark, path, col))
-
-
-def write_reload(spark: SparkSession, fresh: DataFrame, target: str, expiration_id: int) -> dict:
+def write_reload(spark: SparkSession, fresh: DataFrame, target: str, expiration_id: int,
+                 allow_empty: bool = False, staging_root: str | None = None) -> dict:
     """Replace the target's window with ``fresh``; returns partition stats."""
-    fresh = fresh.where(F.col("PERIOD") >= F.lit(expiration_id))
-    staging = f"{scratch_dir(spark)}/staging-{uuid.uuid4().hex}"
+    counted = Observation("reload_rows")
+    fresh = fresh.where(F.col("PERIOD") >= F.lit(expiration_id)).observe(counted, F.count(F.lit(1)).alias("rows"))
+    staging = f"{staging_root or scratch_dir(spark)}/staging-{uuid.uuid4().hex}"
     try:
-        # cluster by day first: one file per day partition instead of one per
-        # (task, day); the window is at most ~62 days of centers, so each file
-        # stays a few MB even for thousands of centers
-        fresh.repartition("PERIOD").write.mode("overwrite").partitionBy("PERIOD").parquet(staging)
-        new_keys = _partition_keys(spark, staging)
-        old_keys = _partition_keys(spark, target)
-        if new_keys:
-            (spark.read.parquet(staging).write.mode("overwrite")
+        fresh.hint("rebalance", "PERIOD").write.partitionBy("PERIOD").parquet(staging)
+        made, new_keys = counted.get["rows"], partition_dirs(spark, staging)
+        staged = spark.read.schema(fresh.schema).option("basePath", staging).parquet(*new_keys.values()) if new_keys else None
+        n = staged.count() if staged is not None else 0
+        if n != made:
+            raise RuntimeError(f"reload of {target}: {made} rows made, {n} staged in {staging}; target not touched")
+        if not n and not allow_empty:
+            raise RuntimeError(f"reload of {target}: the new window is empty; target not touched")
+        old_keys = partition_dirs(spark, target)
+        if n:
+            (staged.hint("rebalance", "PERIOD").write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("PERIOD").parquet(target))
         stale = sorted(k for k in old_keys if k >= expiration_id and k not in new_keys)
         fs, p, jvm = _fs(spark, target)

@@ -8,7 +8,7 @@ version are dropped, as an inner join to the group max would.
 Plan shape: ``groupBy(keys).max(version)`` is a partial+final aggregate (a hot
 key collapses map-side), and the semi join back lets AQE broadcast the
 newest-version table or split a skewed partition at run time.  Callers that
-only sum values afterwards use ``newest_sums``: two aggregations and no join.
+only sum values afterwards use ``newest_sums``: hash aggregations and no join.
 """
 
 from __future__ import annotations
@@ -29,18 +29,20 @@ def preaggregate(df: DataFrame, keys: list[str], value: str, version: str = "EXT
 
 
 def newest_sums(df: DataFrame, keys: list[str], columns: dict[str, Column | None],
-                version: str = "EXTRACT_DATE_ID") -> DataFrame:
+                version: str = "EXTRACT_DATE_ID", place: tuple[str, ...] = ("CENTER", "PERIOD")) -> DataFrame:
     """Per key, sums over the rows of the newest ``version`` only (no join).
 
     ``columns`` maps output name -> value Column (``None``: the column of the
     same name).  Step 1 sums per (keys, version), so rows tied on the newest
-    version are already added up; step 2 keeps, per key, the sums of the
-    greatest version with ``max_by`` (versions are unique per key after step
-    1).  Two aggregations, both partial + final: a hot key collapses map-side
-    and no raw row is joined back.
+    version are already added up and a hot center collapses map-side.  The sums
+    are then dealt by ``place``, a part of the keys: step 2 (per key, each
+    column's sum at the greatest version) and a later grouping by ``place`` need no
+    further shuffle.  ``max_by`` over single columns stays a hash aggregate.
     """
     clean = df.na.drop(subset=[*keys, version])
-    sums = clean.groupBy(*keys, version).agg(
+    extra = [c for c in place if c not in keys]
+    sums = clean.groupBy(*keys, *extra, version).agg(
         *[F.sum(v if v is not None else F.col(n)).alias(n) for n, v in columns.items()])
-    newest = sums.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.col(version)).alias("_newest"))
-    return newest.select(*keys, *[F.col(f"_newest.{n}").alias(n) for n in columns])
+    newest = sums.repartition(*place).groupBy(*keys, *extra).agg(
+        *[F.max_by(F.col(n), F.col(version)).alias(n) for n in columns])
+    return newest

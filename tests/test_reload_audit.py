@@ -31,6 +31,7 @@ def test_write_reload_replaces_window_and_drops_stale_partitions(spark):
     fresh = spark.createDataFrame([(1, 20000201, 9.0), (1, 20000202, 8.0)], SCHEMA)
     stats = write_reload(spark, fresh, target, 20000201)
     assert stats == {"written": 2, "dropped": 1}
+    assert len(os.listdir(os.path.join(target, "PERIOD=20000201"))) == 2  # one file and its checksum
     got = rows(spark.read.parquet(target))
     assert got == [(1, 20000131, 1.0), (1, 20000201, 9.0), (1, 20000202, 8.0)]
     write_reload(spark, fresh, target, 20000201)  # rerun-safe
@@ -89,3 +90,69 @@ def test_read_partitions_ranges_and_first_run(spark):
     assert empty.count() == 0 and empty.columns == ["CENTER", "PERIOD", "M"]
     with pytest.raises(ValueError):
         read_partitions(spark, os.path.join(root, "missing"), [(1, 2)])
+
+
+def files(path):
+    return {os.path.join(d, f): open(os.path.join(d, f), "rb").read() for d, _, fs in os.walk(path) for f in fs}
+
+
+def test_reload_leaves_the_target_alone_when_something_is_missing(spark, tmp_path, monkeypatch):
+    from daybook.operators import reload as r
+    target = str(tmp_path / "target")
+    spark.createDataFrame([(1, 20000131, 1.0), (1, 20000201, 2.0)], SCHEMA).write.partitionBy("PERIOD").parquet(target)
+    before = files(target)
+    fresh = spark.createDataFrame([(1, 20000201, 9.0)], SCHEMA)
+    with pytest.raises(RuntimeError, match="empty"):
+        write_reload(spark, fresh.where("false"), target, 20000201)
+    # staged files that cannot be listed, as with executors that write to folders of their own
+    real = r.partition_dirs
+    monkeypatch.setattr(r, "partition_dirs", lambda s, path, col="PERIOD": {} if "staging" in path else real(s, path, col))
+    with pytest.raises(RuntimeError, match="1 rows made, 0 staged"):
+        write_reload(spark, fresh, target, 20000201)
+    monkeypatch.undo()
+    bad = fresh.select("CENTER", "PERIOD", F.raise_error(F.lit("no")).cast("double").alias("M"))
+    with pytest.raises(Exception):
+        write_reload(spark, bad, target, 20000201)
+    assert files(target) == before
+    assert write_reload(spark, fresh.where("false"), target, 20000201, allow_empty=True) == {"written": 0, "dropped": 1}
+
+
+def test_staging_needs_a_shared_folder_off_local_masters():
+    from types import SimpleNamespace
+    from daybook import session
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    cluster = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(cluster)
+    context.master = "local-cluster[2,1,1024]"
+    assert not session.is_local(cluster)
+
+
+def test_odd_paths_and_partition_names(spark, tmp_path):
+    from daybook.operators.reload import partition_dirs
+    target = str(tmp_path / "Foo, Inc" / "t")
+    df = spark.createDataFrame([(1, 20000131, 1.0), (1, None, 2.0)], SCHEMA)
+    df.write.partitionBy("PERIOD").parquet(target)
+    parts = partition_dirs(spark, target)
+    assert set(parts) == {20000131} and spark.read.parquet(parts[20000131]).count() == 1
+
+
+def test_failure_row_is_stored_before_the_error_goes_on(spark, tmp_path):
+    sink = str(tmp_path / "audit")
+    audit = AuditLog(etl_date=20000314, job_id=3, sp_name="job", sink=sink)
+    with pytest.raises(ZeroDivisionError):
+        run_job(audit, "job", lambda: 1 / 0, spark)
+    got = sorted((r.SEVERITY, r.MESSAGE) for r in spark.read.parquet(sink).collect())
+    assert got == [(0, "Start of job"), (1, "job failed: division by zero")]
+    run_job(AuditLog(etl_date=20000315, sink=sink), "job", lambda: 0, spark)
+    assert spark.read.parquet(sink).count() == 4
+
+
+def test_job_settings_come_back(spark):
+    from daybook.session import JOB_CONF, job_settings
+    key = next(iter(JOB_CONF))
+    spark.conf.set(key, "123")
+    with job_settings(spark):
+        assert spark.conf.get(key) == JOB_CONF[key]
+    assert spark.conf.get(key) == "123"
+    spark.conf.set(key, JOB_CONF[key])
