@@ -1,44 +1,93 @@
-"""Source adapters: read a feed and normalise its keys.
+"""Source adapters: read a feed with its declared columns and normalise its keys.
 
-Feeds may carry CENTER as text or float and PERIOD as 'yyyymmdd' text.
-Window and center filters are applied to the *raw* columns first (so they
-reach the Parquet scan), then keys become ``CENTER int`` / ``PERIOD int``.
+Feeds may carry CENTER as text or float and PERIOD as 'yyyymmdd' text.  Window
+filters, and center filters on numeric centers, are applied to the *raw* columns
+first (so they reach the Parquet scan), then keys become ``CENTER int`` /
+``PERIOD int``.  A text center is read as a number ('61', '061' and '61.0' are
+center 61) and filtered after that; what is no whole number becomes NULL.
+``reject_counts`` counts what normalisation cannot use.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType
 
-from pyspark.sql.types import StringType
 
-from daybook.operators.window import period_between
+# Kinds of feed columns: types a declared column may have as stored.
+KEY_TYPES = ("int", "bigint", "smallint", "float", "double", "decimal", "string")
+NUMBER_TYPES = ("int", "bigint", "smallint", "float", "double", "decimal")
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def _check(df: DataFrame, declared: dict[str, tuple[str, ...]], what: str) -> DataFrame:
+    have = {f.name.upper(): f.dataType.simpleString().split("(")[0] for f in df.schema.fields}
+    missing = [c for c in declared if c.upper() not in have]
+    wrong = [f"{c} is {have[c.upper()]}" for c, kinds in declared.items() if c.upper() in have and have[c.upper()] not in kinds]
+    if missing or wrong:
+        raise ValueError(f"{what}: missing columns {missing}; unusable types {wrong}")
+    return df.select(*[F.col(f"`{c}`").alias(c) for c in declared])
 
 
-def normalise_keys(df: DataFrame, center_type: str = "int") -> DataFrame:
-    """CENTER -> int (try_cast: roll-up names become NULL), PERIOD -> int."""
+def read_daily(spark: SparkSession, path: str, columns: list[str], text: bool = False) -> DataFrame:
+    """A wide daily feed (CENTER, PERIOD, measures); ``text``: measures may be text."""
+    kinds = KEY_TYPES if text else NUMBER_TYPES
+    return _check(spark.read.parquet(path), {"CENTER": KEY_TYPES, "PERIOD": KEY_TYPES, **{c: kinds for c in columns}}, path)
+
+
+def read_account_feed(spark: SparkSession, path: str, value: str = "DATA_VALUE") -> DataFrame:
+    """An account feed: CENTER, PERIOD, ACCOUNT, value, EXTRACT_DATE_ID."""
+    return _check(spark.read.parquet(path), {"CENTER": KEY_TYPES, "PERIOD": KEY_TYPES, "ACCOUNT": ("string",), value: NUMBER_TYPES,
+                                             "EXTRACT_DATE_ID": ("int", "bigint")}, path)
+
+
+def read_hierarchy(spark: SparkSession, path: str) -> DataFrame:
+    return _check(spark.read.parquet(path), {"CENTER": KEY_TYPES, "REGNAME": ("string",)}, path)
+
+
+def read_calendar(spark: SparkSession, path: str) -> DataFrame:
+    return _check(spark.read.parquet(path), {"CALENDAR_DATE_ID": ("int", "bigint"), "CALENDAR_DATE": ("date",)}, path)
+
+
+def _is_text(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, StringType)
+
+
+def whole_number_sql(col: str) -> str:
+    """An int where the value (text included) is a whole number, else NULL."""
+    number = f"try_cast({col} AS DOUBLE)"
+    return f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS INT) END"
+
+
+def normalise_keys(df: DataFrame) -> DataFrame:
+    """CENTER -> int (roll-up names become NULL), PERIOD -> int."""
     others = [f"`{c}`" for c in df.columns if c.upper() not in ("CENTER", "PERIOD")]
-    return df.selectExpr(f"try_cast(CENTER AS {center_type}) AS CENTER", "try_cast(PERIOD AS int) AS PERIOD", *others)
+    center = "CENTER" if isinstance(df.schema["CENTER"].dataType, IntegerType) else f"{whole_number_sql('CENTER')} AS CENTER"
+    return df.selectExpr(center, "try_cast(PERIOD AS int) AS PERIOD", *others)
 
 
 def window_feed(df: DataFrame, lo: int, hi: int, center_rule=None, columns: list[str] | None = None) -> DataFrame:
     """Filter a raw feed to [lo, hi] (+ optional center rule), then normalise keys."""
-    if center_rule is None or hasattr(center_rule, "sql"):
-        # one SQL predicate: literals typed like the raw key, so it still pushes down
-        quote = "'" if isinstance(df.schema["PERIOD"].dataType, StringType) else ""
-        cond = f"PERIOD BETWEEN {quote}{int(lo)}{quote} AND {quote}{int(hi)}{quote}"
-        if center_rule is not None:
-            cond += f" AND {center_rule.sql('CENTER')}"
-        out = df.where(cond)
-    else:
-        out = df.where(period_between(df, lo, hi) & center_rule(F.col("CENTER")))
+    quote = "'" if _is_text(df, "PERIOD") else ""
+    # literals typed like the raw key, so the predicate pushes down
+    out = df.where(f"PERIOD BETWEEN {quote}{int(lo)}{quote} AND {quote}{int(hi)}{quote}")
+    raw_rule = center_rule is not None and not _is_text(df, "CENTER")
+    if raw_rule:
+        out = out.where(center_rule.sql("CENTER") if hasattr(center_rule, "sql") else center_rule(F.col("CENTER")))
     if columns is not None:
         out = out.selectExpr("CENTER", "PERIOD", *[f"`{c}`" for c in columns])
-    return normalise_keys(out)
+    out = normalise_keys(out)
+    return out if raw_rule or center_rule is None else out.where(center_rule(F.col("CENTER")))
+
+
+def reject_counts(df: DataFrame, numbers: list[str] = ()) -> DataFrame:
+    """Rows (FIELD, N_ROWS): values present that normalisation turns into NULL, for CENTER, PERIOD
+    and the text measures ``numbers``.  Fields without a reject are left out."""
+    bad = {"CENTER": whole_number_sql("CENTER"), "PERIOD": "try_cast(PERIOD AS int)",
+           **{c: f"try_cast(`{c}` AS DOUBLE)" for c in numbers}}
+    one = df.selectExpr(*[f"count_if(`{c}` IS NOT NULL AND ({e}) IS NULL) AS `{c}`" for c, e in bad.items()])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in bad)
+    return one.selectExpr(f"stack({len(bad)}, {pairs}) AS (FIELD, N_ROWS)").where("N_ROWS > 0")
 
 
 def read_partitions(spark: SparkSession, table: str, ranges: list[tuple[int, int]], col: str = "PERIOD",

@@ -122,12 +122,14 @@ def events_feed_sql(t: TableRef) -> str:
 
 
 def goals_sql(t: TableRef) -> str:
-    """Goal cube: text centers incl. roll-up members and zero-padded ids."""
+    """Goal cube: text centers incl. roll-up members (some that no pattern names), zero-padded ids
+    and ids written as decimals."""
     c = "CAST((o_custkey % 10) * 610 AS STRING)"
     return (
         f"SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'All Centers' "
         f"WHEN o_orderkey % 17 = 1 THEN 'D' || CAST(o_custkey % 10 AS STRING) "
-        f"WHEN o_orderkey % 17 = 2 THEN '0' || {c} ELSE {c} END AS CENTER, "
+        f"WHEN o_orderkey % 17 = 2 THEN '0' || {c} WHEN o_orderkey % 17 = 3 THEN {c} || '.0' "
+        f"WHEN o_orderkey % 17 = 4 THEN 'Region ' || CAST(o_custkey % 10 AS STRING) ELSE {c} END AS CENTER, "
         f"CAST({O_DAY} AS STRING) AS PERIOD, o_orderpriority AS ACCOUNT, "
         f"CAST({cents('o_totalprice')} AS DOUBLE) AS GOAL_VALUE, "
         f"CAST({O_DAY} + o_custkey % 3 AS INT) AS EXTRACT_DATE_ID FROM {t('orders')}"
@@ -151,6 +153,16 @@ def center_metrics_sql(t: TableRef) -> str:
             f"FROM {t('lineitem')}")
 
 
+def text_center_metrics_sql(t: TableRef) -> str:
+    """Center metrics keyed by text: ids, ids written as decimals, a name now and then, a bad day key."""
+    c = "CAST((l_suppkey % 100) * 61 AS STRING)"
+    cols = ", ".join(f"{_li_text(j + 5)} AS {x}" for j, x in enumerate(CENTER_TEXT_COLUMNS))
+    return (f"SELECT CASE WHEN l_orderkey % 11 = 0 THEN {c} || '.0' WHEN l_orderkey % 11 = 1 THEN 'West Zone' "
+            f"WHEN l_orderkey % 11 = 2 THEN {c} || '.5' ELSE {c} END AS CENTER, "
+            f"CASE WHEN l_orderkey % 19 = 0 THEN 'unknown' ELSE CAST({LI_DAY} AS STRING) END AS PERIOD, {cols}, "
+            f"CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_linenumber % 2 END AS NO_OF_DAYS FROM {t('lineitem')}")
+
+
 RECIPES = {
     "calendar": calendar_sql,
     "hierarchy": hierarchy_sql,
@@ -162,59 +174,22 @@ RECIPES = {
     "staff_metrics": staff_metrics_sql,
     "visit_metrics": visit_metrics_sql,
     "center_metrics": center_metrics_sql,
+    "text_center_metrics": text_center_metrics_sql,
 }
 
 
-_SPLITS: dict[str, int] = {}
-
-
-def _scan_splits(spark: SparkSession, path: str) -> int:
-    """Number of scan tasks Spark plans for ``path`` (file listing only, no job)."""
-    if path not in _SPLITS:
-        try:
-            _SPLITS[path] = spark.read.parquet(path).rdd.getNumPartitions()
-        except Exception:  # sessions without RDD access: never spread
-            _SPLITS[path] = 1 << 30
-    return _SPLITS[path]
-
-
-def spark_table_ref(sf_dir: str, spark: SparkSession | None = None) -> TableRef:
-    """Parquet table reference.  With ``spark`` given (``spread=True``), a
-    table that scans as fewer tasks than the cluster has cores (one
-    unsplittable row group, as in the test files) is spread round-robin first
-    so heavy per-row work over the whole table runs in parallel.  Inputs that
-    are already split keep a plain scan (no extra exchange).  Window-filtered
-    jobs do not spread: their filter shrinks the scan before any work."""
-    def ref(name: str) -> str:
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        if spark is not None:
-            par = spark.sparkContext.defaultParallelism
-            if _scan_splits(spark, path) < par:
-                return f"(SELECT /*+ REPARTITION({par}) */ * FROM parquet.`{path}`)"
-        return f"parquet.`{path}`"
-    return ref
+def spark_table_ref(sf_dir: str) -> TableRef:
+    """Parquet table reference (a plain scan, whatever the size of the table)."""
+    return lambda name: f"parquet.`{sf_dir.rstrip('/')}/{name}.parquet`"
 
 
 def duckdb_table_ref(name: str) -> str:
     return name
 
 
-_FIXTURES: dict[tuple, DataFrame] = {}
-
-
-def fixture(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Derive fixture ``name`` from the tables under ``sf_dir`` (lazy).
-
-    One DataFrame per (session, dir, recipe): the SQL is parsed and analysed
-    once, and queries that use a fixture twice share identical subplans."""
-    try:
-        sid = str(spark._jsparkSession.sessionUUID())
-    except Exception:  # pragma: no cover - non-classic sessions
-        sid = str(id(spark))
-    key = (sid, sf_dir.rstrip("/"), name, spread)
-    if key not in _FIXTURES:
-        _FIXTURES[key] = spark.sql(RECIPES[name](spark_table_ref(sf_dir, spark if spread else None)))
-    return _FIXTURES[key]
+def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Derive fixture ``name`` from the tables under ``sf_dir`` (lazy)."""
+    return spark.sql(RECIPES[name](spark_table_ref(sf_dir)))
 
 
 def fixture_sql(name: str) -> str:
@@ -228,6 +203,6 @@ def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names: list[str]
     paths = {}
     for name in names or list(RECIPES):
         path = f"{out_dir.rstrip('/')}/{name}"
-        fixture(spark, sf_dir, name, spread=True).write.mode("overwrite").parquet(path)
+        fixture(spark, sf_dir, name).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
