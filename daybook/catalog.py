@@ -7,7 +7,7 @@ Money measures are whole cents in DOUBLE (exact, order-independent sums);
 compare bit-for-bit with the DuckDB oracle.
 
 The scenario clock is 2000-03-15 (closed month = leap February 2000); the
-event-stream snapshots use 2024-01-20, the only month the events cover.
+event-stream snapshots cover all days.
 Fixture parameters replace warehouse constants that the derived data cannot
 hit (override center 1525 instead of 1544, accrual after 2000-02-15 instead
 of 2019-12-31, account names drawn from the derived account values).
@@ -17,31 +17,30 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, FloatType, LongType
 
 from daybook.functions.clock import RunClock, clock_columns, expiration_of, goal_end_id
-from daybook.functions.measures import ly_name
+from daybook.functions.measures import REVENUE_MEASURES, SHOP_DEN, SHOP_NUM, derive_card_sales, derive_shop_totals, ly_name
 from daybook.functions.predicates import is_fact_center, is_rollup_member
 from daybook.operators.audit import AuditLog, run_job
 from daybook.operators.merge import merge_metrics
 from daybook.operators.pivot import pivot_accounts
 from daybook.operators.reload import reload_window
-from daybook.operators.snapshot import latest_snapshot
+from daybook.operators.snapshot import latest_snapshot, newest_sums
 from daybook.operators.spine import build_spine
 from daybook.operators.yoy import (calendar_key, last_year_key, weekday_key, with_last_year,
                                    with_last_year_two_regime)
 from daybook.plans import ops_goals as og
 from daybook.plans.revenue import (RevenueParams, RevenueSources, daily_revenue, revenue_actuals,
-                                   revenue_merged, revenue_output, run_revenue)
-from daybook.session import tune
-from daybook.sources.feeds import normalise_keys
-from daybook.sources.fixtures import fixture
+                                   revenue_merged, revenue_output, revenue_target_schema, run_revenue)
+from daybook.sources.feeds import normalise_keys, reject_counts
+from daybook.sources.fixtures import CENTER_TEXT_COLUMNS, fixture
 
 AS_OF = dt.date(2000, 3, 15)
-EVENTS_AS_OF = dt.date(2024, 1, 20)
 ALL_DAYS = (0, 99991231)
 KEY_COLUMNS = {"CENTER", "PERIOD", "EXTRACT_DATE_ID", "CALENDAR_DATE_ID", "EXPIRATION_DATE_ID",
                "GOAL_END_ID", "N_ROWS", "MONTH", "ROW_COUNT", "SEVERITY"}
@@ -63,12 +62,23 @@ FIXTURE_ACCOUNTS = og.OpsAccounts(
 EVENT_PIVOT = {"DBACHECKS": ["click"], "PROMOTERS_NPS": ["purchase"], "DETRACTORS_NPS": ["error"],
                "PASSIVE_NPS": ["view"]}
 EVENT_ACCOUNTS = ["click", "purchase", "view"]
-YOY_MEASURES = ["NET_CHECK_FEES", "CHECKLOSS", "ATM_FEE", "PPLOADFEESANDCARDSALES"]
 TEXT_CAST = "double"
 
 
-def clock() -> RunClock:
-    return RunClock.from_dates(AS_OF)
+# Further run dates of the jobs: first and second of a month, November (a closed month
+# of 31 days, an open one of 30), a window over the turn of the year; and an extract of the
+# run day itself.
+RUN_DATES = {
+    "day1": (dt.date(2001, 3, 1), None),
+    "day2": (dt.date(2001, 3, 2), None),
+    "november": (dt.date(2000, 11, 20), None),
+    "new_year": (dt.date(2001, 1, 10), None),
+    "same_day": (dt.date(2000, 3, 15), dt.date(2000, 3, 15)),
+}
+
+
+def clock(run: str | None = None) -> RunClock:
+    return RunClock.from_dates(*(RUN_DATES[run] if run else (AS_OF,)))
 
 
 def finalize(df: DataFrame) -> DataFrame:
@@ -85,9 +95,9 @@ def finalize(df: DataFrame) -> DataFrame:
 
 # ---- shared inputs ------------------------------------------------------------
 
-def revenue_history(spark, d, spread: bool = False) -> DataFrame:
+def revenue_history(spark, d) -> DataFrame:
     """Stand-in for the revenue target: the actual daily stage over all days."""
-    return daily_revenue(fixture(spark, d, "daily_actual", spread), *ALL_DAYS, actual=True)
+    return daily_revenue(fixture(spark, d, "daily_actual"), *ALL_DAYS, actual=True)
 
 
 def revenue_sources(spark, d) -> RevenueSources:
@@ -95,7 +105,7 @@ def revenue_sources(spark, d) -> RevenueSources:
                           plan=fixture(spark, d, "daily_plan"), history=revenue_history(spark, d))
 
 
-def ops_sources(spark, d, history: DataFrame | None = None) -> og.OpsSources:
+def ops_sources(spark, d, history: DataFrame | None = None, c: RunClock | None = None) -> og.OpsSources:
     acct = fixture(spark, d, "account_feed")
     src = og.OpsSources(hierarchy=fixture(spark, d, "hierarchy"), nps=acct, staff=fixture(spark, d, "staff_metrics"),
                         dds=acct, goals=fixture(spark, d, "goals"), dda=acct, prepaid=acct,
@@ -103,7 +113,7 @@ def ops_sources(spark, d, history: DataFrame | None = None) -> og.OpsSources:
                         center=fixture(spark, d, "center_metrics"), employees=acct, shops=acct,
                         history=history)
     if history is None:
-        src.history = _cached(spark, d, "ops_history", lambda: ops_history(src, clock()))
+        src.history = ops_history(src, c or clock())
     return src
 
 
@@ -114,22 +124,6 @@ def ops_history(src: og.OpsSources, c: RunClock) -> DataFrame:
     return og.ops_metrics(src, lo, hi, FIXTURE_ACCOUNTS, TEXT_CAST)
 
 
-_HISTORY: dict[tuple, DataFrame] = {}
-
-
-def _cached(spark, d, name, build):
-    """One lazily built stand-in frame per (session, dir): plans are analysed
-    once and queries sharing a stand-in share identical subplans."""
-    try:
-        sid = str(spark._jsparkSession.sessionUUID())
-    except Exception:  # pragma: no cover
-        sid = str(id(spark))
-    key = (sid, d.rstrip("/"), name)
-    if key not in _HISTORY:
-        _HISTORY[key] = build()
-    return _HISTORY[key]
-
-
 def spine(spark, d) -> DataFrame:
     c = clock()
     return build_spine(fixture(spark, d, "hierarchy"), c.start, c.end)
@@ -155,25 +149,25 @@ def q_center_day_spine(spark, d):
 
 
 def q_fact_center_filter(spark, d):
-    feed = fixture(spark, d, "daily_actual", spread=True)
+    feed = fixture(spark, d, "daily_actual")
     return (feed.where(is_fact_center("CENTER")).groupBy("CENTER")
             .agg(F.count(F.lit(1)).alias("N_ROWS"), F.sum("ATM_FEE").alias("ATM_FEE")))
 
 
 def q_rollup_member_filter(spark, d):
     goals = fixture(spark, d, "goals")
-    kept = normalise_keys(goals.where(~is_rollup_member("CENTER")))
+    kept = normalise_keys(goals.where(~is_rollup_member("CENTER"))).where("CENTER IS NOT NULL")
     return kept.groupBy("CENTER").agg(F.count(F.lit(1)).alias("N_ROWS"), F.sum("GOAL_VALUE").alias("GOAL_VALUE"))
 
 
 def q_daily_actual_measures(spark, d):
-    daily = revenue_history(spark, d, spread=True)
+    daily = revenue_history(spark, d)
     return daily.drop("NET_CHECK_COLLECTIONS", "CHECKLOSS", "NET_CHECK_REVENUE", "NET_LOAN_REVENUE",
                       "LOAN_LOSS", "PPLOADFEESANDCARDSALES", "DDLOADFEESANDCARDSALES")
 
 
 def q_check_loan_card_derivations(spark, d):
-    return revenue_history(spark, d, spread=True).select(
+    return revenue_history(spark, d).select(
         "CENTER", "PERIOD", "NET_CHECK_COLLECTIONS", "CHECKLOSS", "NET_CHECK_REVENUE", "NET_LOAN_REVENUE",
         "LOAN_LOSS", "PPLOADFEESANDCARDSALES", "DDLOADFEESANDCARDSALES")
 
@@ -187,7 +181,7 @@ def _yoy(spark, d, regime: str):
     c = clock()
     sp = spine(spark, d)
     hist = revenue_history(spark, d)
-    cols = {ly_name(m): m for m in YOY_MEASURES}
+    cols = {ly_name(m): m for m in REVENUE_MEASURES}
     if regime == "calendar":
         sp = sp.where(F.col("DAY") < F.lit(c.anchor))
         out = with_last_year(sp, hist, cols, calendar_key(F.col("DAY")), ranges=c.last_year_ranges())
@@ -236,36 +230,67 @@ def q_goal_pivot_cutoff(spark, d):
 
 
 def q_text_metric_sums(spark, d):
-    return og.checks_component(fixture(spark, d, "center_metrics", spread=True), *ALL_DAYS, cast_to=TEXT_CAST)
+    return og.checks_component(fixture(spark, d, "center_metrics"), *ALL_DAYS, cast_to=TEXT_CAST)
 
 
 def q_staffing_hours(spark, d):
-    return og.hours_component(fixture(spark, d, "staff_metrics", spread=True), *ALL_DAYS, cast_to=TEXT_CAST)
+    return og.hours_component(fixture(spark, d, "staff_metrics"), *ALL_DAYS, cast_to=TEXT_CAST)
 
 
 def q_buyback_rollup(spark, d):
-    return og.bbk_component(fixture(spark, d, "visit_metrics", spread=True), *ALL_DAYS)
+    return og.bbk_component(fixture(spark, d, "visit_metrics"), *ALL_DAYS)
+
+
+def _component_history(spark, d, build) -> DataFrame:
+    """The last-year stand-in of one component only."""
+    spans = clock().last_year_ranges()
+    return build(min(s[0] for s in spans), max(s[1] for s in spans))
 
 
 def q_lagged_open_month(spark, d):
     c = clock()
-    src = ops_sources(spark, d)
-    dds = og.dds_component(src.dds, c.start_id, c.end_id, FIXTURE_ACCOUNTS)
-    cur = spine(spark, d).join(dds, ["CENTER", "PERIOD"], "left")
-    cur = with_last_year_two_regime(cur, src.history, {"FIRSTTIME_DDS_LY": "FIRSTTIME_DDS_CY"}, c)
-    keep = (F.col("DAY") < F.lit(c.anchor)) | (F.col("DAY") < F.lit(c.lag_cutoff))
-    return cur.where(keep).select("CENTER", "PERIOD", "FIRSTTIME_DDS_CY", "FIRSTTIME_DDS_LY")
+    feed = fixture(spark, d, "account_feed")
+    dds = lambda lo, hi: og.dds_component(feed, lo, hi, FIXTURE_ACCOUNTS)
+    cur = spine(spark, d).join(dds(c.start_id, c.end_id), ["CENTER", "PERIOD"], "left")
+    cur = with_last_year_two_regime(cur, _component_history(spark, d, dds), {"FIRSTTIME_DDS_LY": "FIRSTTIME_DDS_CY"}, c)
+    cols = ["FIRSTTIME_DDS_CY", "FIRSTTIME_DDS_LY"]
+    return og.lag_open_month(cur, cols, c, drop_rows=True).select("CENTER", "PERIOD", *cols)
 
 
 def q_distinct_zero_fill_union(spark, d):
+    """Rows are unique by center and day, so the two branches' DISTINCT needs no work."""
     c = clock()
-    src = ops_sources(spark, d)
-    dda = og.dda_component(src.dda, c.start_id, c.end_id, FIXTURE_ACCOUNTS)
-    cur = spine(spark, d).join(dda, ["CENTER", "PERIOD"], "left")
-    cur = with_last_year_two_regime(cur, src.history, {"DDAUPGRADES_LY": "DDAUPGRADES",
-                                                      "DDANEWCARD_LY": "DDANEWCARD"}, c)
+    feed = fixture(spark, d, "account_feed")
+    dda = lambda lo, hi: og.dda_feed_component(feed, lo, hi, FIXTURE_ACCOUNTS).select(
+        "CENTER", "PERIOD", "DDAUPGRADES", "DDANEWCARD")
+    cur = spine(spark, d).join(dda(c.start_id, c.end_id), ["CENTER", "PERIOD"], "left")
+    cur = with_last_year_two_regime(cur, _component_history(spark, d, dda), {"DDAUPGRADES_LY": "DDAUPGRADES",
+                                                                            "DDANEWCARD_LY": "DDANEWCARD"}, c)
     cols = ["DDAUPGRADES", "DDAUPGRADES_LY", "DDANEWCARD", "DDANEWCARD_LY"]
-    return cur.select("CENTER", "PERIOD", *[F.coalesce(F.col(x), F.lit(0)).alias(x) for x in cols]).distinct()
+    return og.zero_fill(cur, cols).select("CENTER", "PERIOD", *cols)
+
+
+def q_newest_sums_day_account(spark, d):
+    feed = normalise_keys(fixture(spark, d, "account_feed"))
+    return newest_sums(feed, ["CENTER", "PERIOD", "ACCOUNT"], {"DATA_VALUE": None})
+
+
+def q_newest_sums_day(spark, d):
+    feed = normalise_keys(fixture(spark, d, "account_feed"))
+    accounts = [a for v in FIXTURE_ACCOUNTS.dda.values() for a in v]
+    return newest_sums(feed.where(F.col("ACCOUNT").isin(accounts)), ["CENTER", "PERIOD"], og.account_sums(FIXTURE_ACCOUNTS.dda))
+
+
+def q_text_center_feed(spark, d):
+    return og.checks_component(fixture(spark, d, "text_center_metrics"), *ALL_DAYS, cast_to=TEXT_CAST)
+
+
+def q_reject_counts(spark, d):
+    """What key and number normalisation cannot use, by feed and field."""
+    feeds = {"goals": (fixture(spark, d, "goals").where(~is_rollup_member("CENTER")), []),
+             "text_center_metrics": (fixture(spark, d, "text_center_metrics"), CENTER_TEXT_COLUMNS)}
+    parts = [reject_counts(f, n).select(F.lit(k).alias("FEED"), "FIELD", "N_ROWS") for k, (f, n) in feeds.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _revenue_merged(spark, d):
@@ -299,26 +324,36 @@ def q_card_rollups(spark, d):
 def q_metric_merge_12way(spark, d):
     c = clock()
     src = ops_sources(spark, d)
-    merged = og.ops_metrics(src, c.start_id, c.end_id, FIXTURE_ACCOUNTS, TEXT_CAST)
-    goals = og.goal_component(src.goals, c, FIXTURE_ACCOUNTS)
-    out = merge_metrics([merged, goals])
-    out = out.withColumns({
-        "TOTALSHOPSDEN": sum((F.coalesce(F.col(x), F.lit(0)) for x in
-                              ["EXPERIENCESHOPDENOMINATOR", "LOANSHOPDENOMINATOR", "PHONESHOPDENOMINATOR"]), F.lit(0)),
-        "CARDSALES_CY": F.col("DDANEWCARD") + F.col("PREPAIDCARDSALEITEMS"),
-    })
-    return out
+    parts = og.spine_components(src, c.start_id, c.end_id, FIXTURE_ACCOUNTS, TEXT_CAST)
+    out = merge_metrics([*parts, og.goal_component(src.goals, c, FIXTURE_ACCOUNTS)])
+    return derive_card_sales(derive_shop_totals(out, ("",)), ("",))
+
+
+def q_shop_card_totals(spark, d):
+    """The four shop totals and both card sales on the spine, last year by the two regimes."""
+    c = clock()
+    feed = fixture(spark, d, "account_feed")
+
+    def parts(lo, hi):
+        return merge_metrics([og.shops_component(feed, lo, hi, FIXTURE_ACCOUNTS), og.dda_feed_component(feed, lo, hi, FIXTURE_ACCOUNTS),
+                              og.prepaid_component(feed, lo, hi, FIXTURE_ACCOUNTS)])
+    ly = {f"{x}_LY": x for x in [*SHOP_DEN, *SHOP_NUM, "DDANEWCARD", "PREPAIDCARDSALEITEMS"]}
+    cur = spine(spark, d).join(parts(c.start_id, c.end_id), ["CENTER", "PERIOD"], "left")
+    cur = with_last_year_two_regime(cur, _component_history(spark, d, parts), ly, c)
+    out = derive_card_sales(derive_shop_totals(cur))
+    return out.select("CENTER", "PERIOD", *[f"TOTALSHOPS{k}{y}" for k in ("DEN", "NUM") for y in ("", "_LY")], "CARDSALES_CY", "CARDSALES_LY")
 
 
 def q_window_reload(spark, d):
+    """The revenue job's own window into a stand-in target of its actual measures."""
     c = clock()
-    cols = ["CENTER", "PERIOD", "NET_CHECK_FEES", "ATM_FEE"]
+    cols = ["CENTER", "PERIOD", *REVENUE_MEASURES]
     history = revenue_history(spark, d).select(*cols)
-    fresh = daily_revenue(fixture(spark, d, "daily_plan"), c.start_id, c.end_id, actual=False).select(*cols)
-    return reload_window(history, fresh, c.expiration_id)
+    return reload_window(history, run_revenue(revenue_sources(spark, d), c, FIXTURE_PARAMS), c.expiration_id)
 
 
 def q_stage_audit_counts(spark, d):
+    """Runs the revenue job's plan once (an action) and returns its seven audit rows."""
     audit = AuditLog(etl_date=clock().extract_id, job_id=1, sp_name="revenue", package_name="daybook")
     out = run_revenue(revenue_sources(spark, d), clock(), FIXTURE_PARAMS, audit=audit)
 
@@ -329,12 +364,26 @@ def q_stage_audit_counts(spark, d):
     return audit.to_df(spark).select("MESSAGE", "ROW_COUNT", "SEVERITY")
 
 
-def q_revenue_tracker(spark, d):
-    return run_revenue(revenue_sources(spark, d), clock(), FIXTURE_PARAMS)
+def q_revenue_tracker(spark, d, run: str | None = None):
+    return run_revenue(revenue_sources(spark, d), clock(run), FIXTURE_PARAMS)
+
+
+def q_ops_goals(spark, d, run: str | None = None):
+    c = clock(run)
+    return og.run_ops_goals(ops_sources(spark, d, c=c), c, FIXTURE_ACCOUNTS, cast_to=TEXT_CAST)
+
+
+def q_revenue_first_run(spark, d):
+    """The target doesn't exist yet: last year is 0."""
+    src = revenue_sources(spark, d)
+    src.history = spark.createDataFrame([], revenue_target_schema())
+    return run_revenue(src, clock(), FIXTURE_PARAMS)
 
 
-def q_ops_goals(spark, d):
-    return og.run_ops_goals(ops_sources(spark, d), clock(), FIXTURE_ACCOUNTS, cast_to=TEXT_CAST)
+def q_ops_first_run(spark, d):
+    """The target doesn't exist yet: last year is NULL, or 0 where it is zero-filled."""
+    src = ops_sources(spark, d, history=spark.createDataFrame([], og.ops_target_schema()))
+    return og.run_ops_goals(src, clock(), FIXTURE_ACCOUNTS, cast_to=TEXT_CAST)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -367,11 +416,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_audit_counts": q_stage_audit_counts,
     "revenue_tracker": q_revenue_tracker,
     "ops_goals": q_ops_goals,
+    "newest_sums_day_account": q_newest_sums_day_account,
+    "newest_sums_day": q_newest_sums_day,
+    "shop_card_totals": q_shop_card_totals,
+    "text_center_feed": q_text_center_feed,
+    "reject_counts": q_reject_counts,
+    "revenue_first_run": q_revenue_first_run,
+    "ops_first_run": q_ops_first_run,
+    **{f"revenue_{r}": partial(q_revenue_tracker, run=r) for r in RUN_DATES},
+    **{f"ops_{r}": partial(q_ops_goals, run=r) for r in RUN_DATES},
 }
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: (lambda f: (lambda spark, d: finalize(f(tune(spark), d))))(f) for k, f in QUERIES.items()}
+    return {k: (lambda f: (lambda spark, d: finalize(f(spark, d))))(f) for k, f in QUERIES.items()}
 
 
 __all__ = ["QUERIES", "registered", "finalize", "clock"]

@@ -154,6 +154,7 @@ REVENUE_MEASURES = [
     "STOREFRONT_PAYDAY_COLLECTIONS", "STOREFRONT_INSTALLMENT_NET_COLLECTIONS",
     "STOREFRONT_TITLE_NET_COLLECTIONS", "PREPAID_INTERCHANGE_COMMISSION",
 ]
+# Card roll-ups, and the measure that they follow in the output order.
 CARD_ROLLUPS_AFTER = "DDLOADFEESANDCARDSALES"
 CARD_ROLLUPS = ["OTHERREVENUE", "ELITE", "DDA", "TOTALCOMM"]
 # The two measures whose last-year column is named irregularly.
@@ -234,21 +235,13 @@ SHOP_DEN = ["EXPERIENCESHOPDENOMINATOR", "LOANSHOPDENOMINATOR", "PHONESHOPDENOMI
 SHOP_NUM = ["EXPERIENCESHOPNUMERATOR", "LOANSHOPNUMERATOR", "PHONESHOPNUMERATOR"]
 
 
-def derive_shop_totals(df: DataFrame) -> DataFrame:
-    """coalesced totals of the three shop scores (never NULL)."""
-    def tot(names):
-        return c0(names[0]) + c0(names[1]) + c0(names[2])
-    return df.withColumns({
-        "TOTALSHOPSDEN": tot(SHOP_DEN),
-        "TOTALSHOPSNUM": tot(SHOP_NUM),
-        "TOTALSHOPSDEN_LY": tot([n + "_LY" for n in SHOP_DEN]),
-        "TOTALSHOPSNUM_LY": tot([n + "_LY" for n in SHOP_NUM]),
-    })
-
-
-def derive_card_sales(df: DataFrame) -> DataFrame:
-    """card sales = new DDA cards + prepaid card sales (NULL-propagating)."""
-    return df.withColumns({
-        "CARDSALES_CY": F.col("DDANEWCARD") + F.col("PREPAIDCARDSALEITEMS"),
-        "CARDSALES_LY": F.col("DDANEWCARD_LY") + F.col("PREPAIDCARDSALEITEMS_LY"),
-    })
+def derive_shop_totals(df: DataFrame, years: tuple[str, ...] = ("", "_LY")) -> DataFrame:
+    """coalesced totals of the three shop scores (never NULL), this year and last."""
+    def tot(names, y):
+        return c0(names[0] + y) + c0(names[1] + y) + c0(names[2] + y)
+    return df.withColumns({f"TOTALSHOPS{k}{y}": tot(names, y) for y in years for k, names in (("DEN", SHOP_DEN), ("NUM", SHOP_NUM))})
+
+
+def derive_card_sales(df: DataFrame, years: tuple[str, ...] = ("", "_LY")) -> DataFrame:
+    """card sales = new DDA cards + prepaid card sales (NULL-propagating), this year and last."""
+    return df.withColumns({f"CARDSALES{y or '_CY'}": F.col("DDANEWCARD" + y) + F.col("PREPAIDCARDSALEITEMS" + y) for y in years})

@@ -11,16 +11,63 @@ recipes (``daybook.sources.fixtures``) over the pre-registered views.
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-from daybook.catalog import (ALL_DAYS, EVENT_ACCOUNTS, EVENT_PIVOT, FIXTURE_ACCOUNTS, FIXTURE_PARAMS, KEY_COLUMNS,
-                             YOY_MEASURES, clock)
-from daybook.functions import measures as M
-from daybook.sources.fixtures import fixture_sql
+from daybook import oracle_lists as M
+from daybook.catalog import ALL_DAYS, EVENT_ACCOUNTS, EVENT_PIVOT, FIXTURE_ACCOUNTS, FIXTURE_PARAMS, KEY_COLUMNS
+from daybook.sources.fixtures import CENTER_TEXT_COLUMNS, fixture_sql
 
-C = clock()
 ONE = dt.timedelta(days=1)
 
 
+@dataclass
+class Bounds:
+    """Dates of one run, each written out (yyyymmdd)."""
+    as_of_id: int
+    extract_id: int
+    expiration_id: int
+    start_id: int
+    anchor_id: int
+    end_id: int
+    plan_end_id: int
+    month_end_id: int
+    goal_end_id: int
+    last_year: tuple
+
+    def __getattr__(self, name: str) -> dt.date:
+        return dt.datetime.strptime(str(self.__dict__[f"{name}_id"]), "%Y%m%d").date()
+
+
+# The run dates by hand, not by the clock under test.
+RUNS = {
+    None: Bounds(20000315, 20000314, 20000201, 20000201, 20000301, 20000314, 20000331, 20000331, 20000314,
+                 ((19990201, 19990228), (19990303, 19990316))),
+    "day1": Bounds(20010301, 20010228, 20010101, 20010101, 20010201, 20010227, 20010227, 20010228, 20010227,
+                   ((20000101, 20000131), (20000203, 20000229))),
+    "day2": Bounds(20010302, 20010301, 20010101, 20010101, 20010201, 20010228, 20010228, 20010228, 20010300,
+                   ((20000101, 20000131), (20000203, 20000301))),
+    "november": Bounds(20001120, 20001119, 20001001, 20001001, 20001101, 20001119, 20001130, 20001130, 20001119,
+                       ((19991001, 19991031), (19991103, 19991121))),
+    "new_year": Bounds(20010110, 20010109, 20001201, 20001201, 20010101, 20010109, 20010131, 20010131, 20010109,
+                       ((19991201, 19991231), (20000103, 20000111))),
+    "same_day": Bounds(20000315, 20000315, 20000201, 20000201, 20000301, 20000314, 20000331, 20000331, 20000315,
+                       ((19990201, 19990228), (19990303, 19990316))),
+}
+C = RUNS[None]
+
+
+@contextmanager
+def at(run: str | None):
+    """Build SQL for another run date."""
+    global C
+    before, C = C, RUNS[run]
+    try:
+        yield
+    finally:
+        C = before
+
+
 def d(x: dt.date) -> str:
     return f"DATE '{x.isoformat()}'"
 
@@ -260,6 +307,12 @@ def ops_components(lo: int, hi: int) -> dict[str, tuple[str, list[str]]]:
     }
 
 
+def whole(col: str) -> str:
+    """Text center as an int, NULL where it is no whole number."""
+    n = f"TRY_CAST({col} AS DOUBLE)"
+    return f"CASE WHEN {n} = floor({n}) THEN CAST({n} AS INTEGER) END"
+
+
 def goal_sql() -> str:
     cols = []
     for k, v in A.goals.items():
@@ -267,13 +320,13 @@ def goal_sql() -> str:
         if k == "FTDD_GOAL_MTD":
             cond = f"{hday('a.PERIOD')} < {d(C.end)} AND " + cond
         cols.append(f"SUM(CASE WHEN {cond} THEN a.GOAL_VALUE ELSE 0 END) AS {k}")
-    return (f"SELECT TRY_CAST(a.CENTER AS INTEGER) AS CENTER, CAST(a.PERIOD AS INTEGER) AS PERIOD, {', '.join(cols)} "
+    return (f"SELECT {whole('a.CENTER')} AS CENTER, CAST(a.PERIOD AS INTEGER) AS PERIOD, {', '.join(cols)} "
             f"FROM goals a JOIN (SELECT PERIOD, CENTER, ACCOUNT, MAX(EXTRACT_DATE_ID) AS MAXID FROM goals "
             f"GROUP BY PERIOD, CENTER, ACCOUNT) b ON a.CENTER = b.CENTER AND a.PERIOD = b.PERIOD "
             f"AND a.ACCOUNT = b.ACCOUNT AND a.EXTRACT_DATE_ID = b.MAXID "
             f"WHERE CAST(a.PERIOD AS INTEGER) >= {C.expiration_id} AND CAST(a.PERIOD AS INTEGER) <= {C.goal_end_id} "
-            f"AND a.CENTER NOT LIKE '%Centers' AND a.CENTER NOT LIKE 'D%' "
-            f"GROUP BY TRY_CAST(a.CENTER AS INTEGER), CAST(a.PERIOD AS INTEGER)")
+            f"AND a.CENTER NOT LIKE '%Centers' AND a.CENTER NOT LIKE 'D%' AND {whole('a.CENTER')} IS NOT NULL "
+            f"GROUP BY {whole('a.CENTER')}, CAST(a.PERIOD AS INTEGER)")
 
 
 def foj_chain(names: list[str], cols: dict[str, list[str]]) -> str:
@@ -315,7 +368,7 @@ def ops_base_ctes() -> dict[str, str]:
 
 
 def ops_history_ctes() -> dict[str, str]:
-    spans = C.last_year_ranges()
+    spans = C.last_year
     lo, hi = min(s[0] for s in spans), max(s[1] for s in spans)
     comps = ops_components(lo, hi)
     ctes = {f"h_{n}": sql for n, (sql, _) in comps.items()}
@@ -335,10 +388,11 @@ def ops_stage(n: str, cols: list[str]) -> str:
     return f"SELECT CENTER, PERIOD, {', '.join(cols + list(OPS_LY[n]))} FROM ({body}) z"
 
 
-def ops_goals_sql() -> str:
-    from daybook.plans.ops_goals import OPS_OUTPUT_COLUMNS
+def ops_goals_sql(first_run: bool = False) -> str:
     comps = ops_components(C.start_id, C.end_id)
     ctes = {**ops_base_ctes(), **ops_history_ctes(), "spine": spine_sql()}
+    if first_run:
+        ctes["hist"] += " WHERE 1 = 0"
     ctes.update({f"c_{n}": comps[n][0] for n in ORDER})
     ctes.update({f"s_{n}": ops_stage(n, comps[n][1]) for n in ORDER})
     ctes["s_goal"] = goal_sql()
@@ -355,7 +409,7 @@ def ops_goals_sql() -> str:
                    f"DDANEWCARD + PREPAIDCARDSALEITEMS AS CARDSALES_CY, DDANEWCARD_LY + PREPAIDCARDSALEITEMS_LY AS CARDSALES_LY, "
                    f"{C.extract_id} AS EXTRACT_DATE_ID FROM findata f "
                    f"WHERE PERIOD >= {C.expiration_id} AND PERIOD <= {C.goal_end_id}")
-    return with_(**ctes) + final(OPS_OUTPUT_COLUMNS, "ins")
+    return with_(**ctes) + final(M.OPS_OUTPUT_COLUMNS, "ins")
 
 
 # ---- per-query SQL --------------------------------------------------------------------
@@ -388,8 +442,8 @@ def sql_fact_center_filter() -> str:
 
 def sql_rollup_member_filter() -> str:
     return with_(g=fixture_sql("goals")) + (
-        "SELECT TRY_CAST(CENTER AS INTEGER) AS CENTER, COUNT(*) AS N_ROWS, CAST(SUM(GOAL_VALUE) AS DOUBLE) AS GOAL_VALUE "
-        "FROM g WHERE CENTER NOT LIKE '%Centers' AND CENTER NOT LIKE 'D%' GROUP BY TRY_CAST(CENTER AS INTEGER)")
+        f"SELECT {whole('CENTER')} AS CENTER, COUNT(*) AS N_ROWS, CAST(SUM(GOAL_VALUE) AS DOUBLE) AS GOAL_VALUE FROM g "
+        f"WHERE CENTER NOT LIKE '%Centers' AND CENTER NOT LIKE 'D%' AND {whole('CENTER')} IS NOT NULL GROUP BY {whole('CENTER')}")
 
 
 def sql_daily_actual_measures() -> str:
@@ -408,7 +462,7 @@ def sql_daily_plan_to_month_end() -> str:
 
 
 def _sql_yoy(which: str) -> str:
-    ly = {M.ly_name(m): m for m in YOY_MEASURES}
+    ly = {M.ly_name(m): m for m in M.REVENUE_MEASURES}
     ctes = {"feed_a": fixture_sql("daily_actual"), "hier": fixture_sql("hierarchy"), "spine": spine_sql(),
             "hist": rev_daily("feed_a", *ALL_DAYS, True), "nocomp": "SELECT 0 AS CENTER, 0 AS PERIOD WHERE 1 = 0"}
     body = two_regime([], ly, "nocomp", "hist")
@@ -476,8 +530,10 @@ def sql_distinct_zero_fill_union() -> str:
                                   "DDANEWCARD_LY"], "s_dda")
 
 
-def _sql_revenue(select_cols: list[str], with_rollups: bool) -> str:
+def _sql_revenue(select_cols: list[str], with_rollups: bool, first_run: bool = False) -> str:
     ctes = {**revenue_ctes(), "data": revenue_data_sql()}
+    if first_run:
+        ctes["hist"] = f"SELECT * FROM ({ctes['hist']}) h WHERE 1 = 0"
     if with_rollups:
         ctes["ins"] = card_rollup_sql()
         return with_(**ctes) + final(select_cols, "ins")
@@ -492,21 +548,67 @@ def sql_metric_merge_12way() -> str:
     cols["c_goal"] = list(A.goals)
     ctes["m"] = foj_chain(names, cols)
     allc = [c for n in names for c in cols[n]]
-    ctes["t"] = ("SELECT m.*, COALESCE(EXPERIENCESHOPDENOMINATOR,0) + COALESCE(LOANSHOPDENOMINATOR,0) + "
-                 "COALESCE(PHONESHOPDENOMINATOR,0) AS TOTALSHOPSDEN, DDANEWCARD + PREPAIDCARDSALEITEMS AS CARDSALES_CY "
-                 "FROM m")
-    return with_(**ctes) + final(["CENTER", "PERIOD", *allc, "TOTALSHOPSDEN", "CARDSALES_CY"], "t")
+    ctes["t"] = f"SELECT m.*, {shop_totals([''])}, DDANEWCARD + PREPAIDCARDSALEITEMS AS CARDSALES_CY FROM m"
+    return with_(**ctes) + final(["CENTER", "PERIOD", *allc, "TOTALSHOPSDEN", "TOTALSHOPSNUM", "CARDSALES_CY"], "t")
+
+
+def shop_totals(years) -> str:
+    return ", ".join(" + ".join(f"COALESCE({x}SHOP{kind}{y},0)" for x in ("EXPERIENCE", "LOAN", "PHONE")) + f" AS TOTALSHOPS{short}{y}"
+                     for y in years for kind, short in (("DENOMINATOR", "DEN"), ("NUMERATOR", "NUM")))
+
+
+def sql_shop_card_totals() -> str:
+    comps = ops_components(C.start_id, C.end_id)
+    names = ["shops", "dda", "prepaid"]
+    ctes = {**ops_base_ctes(), **ops_history_ctes(), "spine": spine_sql(), **{f"c_{n}": comps[n][0] for n in names}}
+    ctes["now"] = foj_chain([f"c_{n}" for n in names], {f"c_{n}": comps[n][1] for n in names})
+    cols = [c for n in names for c in comps[n][1]]
+    ctes["cur"] = two_regime(cols, {k: v for n in names for k, v in OPS_LY[n].items()}, "now", "hist")
+    ctes["t"] = (f"SELECT *, {shop_totals(['', '_LY'])}, DDANEWCARD + PREPAIDCARDSALEITEMS AS CARDSALES_CY, "
+                 "DDANEWCARD_LY + PREPAIDCARDSALEITEMS_LY AS CARDSALES_LY FROM cur")
+    return with_(**ctes) + final(["CENTER", "PERIOD", *[f"TOTALSHOPS{k}{y}" for k in ("DEN", "NUM") for y in ("", "_LY")],
+                                  "CARDSALES_CY", "CARDSALES_LY"], "t")
 
 
 def sql_window_reload() -> str:
-    cols = ["CENTER", "PERIOD", "NET_CHECK_FEES", "ATM_FEE"]
-    ctes = {"feed_a": fixture_sql("daily_actual"), "feed_p": fixture_sql("daily_plan"),
-            "hist": rev_daily("feed_a", *ALL_DAYS, True), "fresh": rev_daily("feed_p", C.start_id, C.end_id, False),
+    cols = ["CENTER", "PERIOD", *M.REVENUE_MEASURES]
+    ctes = {**revenue_ctes(), "data": revenue_data_sql(), "ins": card_rollup_sql(),
             "r": (f"SELECT {', '.join(cols)} FROM hist WHERE PERIOD < {C.expiration_id} "
-                  f"UNION ALL SELECT {', '.join(cols)} FROM fresh")}
+                  f"UNION ALL SELECT {', '.join(cols)} FROM ins")}
     return with_(**ctes) + final(cols, "r")
 
 
+def sql_newest_sums_day_account() -> str:
+    f = ("SELECT CENTER, CAST(PERIOD AS INTEGER) AS PERIOD, ACCOUNT, DATA_VALUE, EXTRACT_DATE_ID FROM acct")
+    t = ("SELECT a.CENTER, a.PERIOD, a.ACCOUNT, SUM(a.DATA_VALUE) AS DATA_VALUE FROM f a JOIN (SELECT CENTER, PERIOD, ACCOUNT, "
+         "MAX(EXTRACT_DATE_ID) AS MAXID FROM f GROUP BY CENTER, PERIOD, ACCOUNT) b ON a.CENTER = b.CENTER AND a.PERIOD = b.PERIOD "
+         "AND a.ACCOUNT = b.ACCOUNT AND a.EXTRACT_DATE_ID = b.MAXID GROUP BY a.CENTER, a.PERIOD, a.ACCOUNT")
+    return with_(acct=fixture_sql("account_feed"), f=f, t=t) + final(["CENTER", "PERIOD", "ACCOUNT", "DATA_VALUE"], "t")
+
+
+def sql_newest_sums_day() -> str:
+    sql, cols = ops_components(*ALL_DAYS)["dda"]
+    return with_(acct=fixture_sql("account_feed"), t=sql) + final(["CENTER", "PERIOD", *cols], "t")
+
+
+def sql_text_center_feed() -> str:
+    keyed = (f"SELECT {whole('CENTER')} AS CENTER, TRY_CAST(PERIOD AS INTEGER) AS PERIOD, "
+             + ", ".join([*CENTER_TEXT_COLUMNS, "NO_OF_DAYS"]) + " FROM tc")
+    sql, cols = ops_components(*ALL_DAYS)["checks"]
+    return with_(tc=fixture_sql("text_center_metrics"), centerm=keyed, c=sql) + final(["CENTER", "PERIOD", *cols], "c")
+
+
+def sql_reject_counts() -> str:
+    g = "goals WHERE CENTER NOT LIKE '%Centers' AND CENTER NOT LIKE 'D%'"
+    fields = [("goals", "CENTER", whole("CENTER"), g), ("goals", "PERIOD", "TRY_CAST(PERIOD AS INTEGER)", g)]
+    fields += [("text_center_metrics", "CENTER", whole("CENTER"), "tc"),
+               ("text_center_metrics", "PERIOD", "TRY_CAST(PERIOD AS INTEGER)", "tc")]
+    fields += [("text_center_metrics", c, f"TRY_CAST({c} AS DOUBLE)", "tc") for c in CENTER_TEXT_COLUMNS]
+    body = " UNION ALL ".join(f"SELECT '{feed}' AS FEED, '{c}' AS FIELD, COUNT(*) FILTER (WHERE {c} IS NOT NULL AND ({e}) IS NULL) AS N_ROWS "
+                              f"FROM {frm}" for feed, c, e, frm in fields)
+    return with_(goals=fixture_sql("goals"), tc=fixture_sql("text_center_metrics"), r=body) + "SELECT * FROM r WHERE N_ROWS > 0"
+
+
 def sql_stage_audit_counts() -> str:
     """Audit rows of one revenue run: start, each stage's row count, end."""
     ctes = {**revenue_ctes(), "data": revenue_data_sql(), "ins": card_rollup_sql()}
@@ -520,10 +622,14 @@ def sql_stage_audit_counts() -> str:
 
 
 def build() -> dict[str, str]:
-    from daybook.functions.measures import revenue_output_columns
     ov = FIXTURE_PARAMS.override_measures
     acc = FIXTURE_PARAMS.accrual_measure
     roll = [r + s for r in ("OTHERREVENUE", "ELITE", "DDA", "TOTALCOMM", "TOTALCARDREV") for s in ("", "_LY", "_PLAN")]
+    revenue = lambda **o: _sql_revenue(M.revenue_output_columns(), True, **o)
+    runs = {}
+    for run in [r for r in RUNS if r]:
+        with at(run):
+            runs[f"revenue_{run}"], runs[f"ops_{run}"] = revenue(), ops_goals_sql()
     base_staff = {"staff": fixture_sql("staff_metrics")}
     return {
         "run_clock": sql_run_clock(),
@@ -553,8 +659,16 @@ def build() -> dict[str, str]:
         "metric_merge_12way": sql_metric_merge_12way(),
         "window_reload": sql_window_reload(),
         "stage_audit_counts": sql_stage_audit_counts(),
-        "revenue_tracker": _sql_revenue(revenue_output_columns(), True),
+        "revenue_tracker": revenue(),
         "ops_goals": ops_goals_sql(),
+        "newest_sums_day_account": sql_newest_sums_day_account(),
+        "newest_sums_day": sql_newest_sums_day(),
+        "shop_card_totals": sql_shop_card_totals(),
+        "text_center_feed": sql_text_center_feed(),
+        "reject_counts": sql_reject_counts(),
+        "revenue_first_run": revenue(first_run=True),
+        "ops_first_run": ops_goals_sql(first_run=True),
+        **runs,
     }
 
 

@@ -16,9 +16,11 @@ newest extract, so a hot center never funnels raw rows into one task.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StructField, StructType
 
 from daybook.functions.clock import RunClock
 from daybook.functions.dates import day_key, key_day, last_day, month_start
@@ -26,14 +28,14 @@ from daybook.functions.measures import c0, derive_card_sales, derive_shop_totals
 from daybook.functions.predicates import is_fact_center, is_operating_center, is_rollup_member
 from daybook.operators.audit import AuditLog, run_job
 from daybook.operators.reload import stamp_run, write_reload
-from daybook.session import tune
+from daybook.session import job_settings
 from daybook.operators.merge import merge_metrics
 from daybook.operators.pivot import pivot_accounts
 from daybook.operators.snapshot import newest_sums, preaggregate
 from daybook.operators.spine import build_spine
 from daybook.operators.window import clip_to_run_window, period_between
 from daybook.operators.yoy import with_last_year_two_regime
-from daybook.sources.feeds import normalise_keys, window_feed
+from daybook.sources.feeds import whole_number_sql, window_feed
 
 KEYS = ["CENTER", "PERIOD"]
 V = "DATA_VALUE"
@@ -129,24 +131,43 @@ def dds_component(feed, lo, hi, acc: OpsAccounts):
     return snapshot_sum(feed, lo, hi, acc.dds, "FIRSTTIME_DDS_CY")
 
 
-def dda_component(feed, lo, hi, acc: OpsAccounts):
-    accts = [a for v in acc.dda.values() for a in v]
-    df = window_feed(feed.where(F.col("ACCOUNT").isin(accts)), lo, hi)
-    return newest_sums(df, KEYS, account_sums(acc.dda))
+def dda_feed_component(feed, lo, hi, acc: OpsAccounts) -> DataFrame:
+    """DDA cards (newest extract over an account set, D6b) and NC4S (newest extract of each
+    account, D6a) from one read of the DDA feed, one row per (center, day).
 
-
-def dda_feed_components(feed, lo, hi, acc: OpsAccounts) -> tuple[DataFrame, DataFrame]:
-    """DDA cards (D6b) and NC4S (D6a) from one read of the DDA feed: both
-    start from the same per-(center, day, account, extract) sums, so the
-    scan and its first exchange are shared (the exchange is reused)."""
+    Account sums per extract are dealt by (center, day) once; there the sums of an extract, and per
+    key those of the newest extract that has the account or set, are plain aggregations.  An NC4S column
+    is NULL, as a sum would be, only where nothing but NULLs of its own accounts add up.
+    """
     version = "EXTRACT_DATE_ID"
+    own = sorted({a for v in acc.nc4s.values() for a in v})
+    cards = [a for v in acc.dda.values() for a in v]
     df = window_feed(feed, lo, hi).na.drop(subset=[*KEYS, "ACCOUNT", version])
-    pre = preaggregate(df, [*KEYS, "ACCOUNT"], V, version)
-    dda_accts = [a for v in acc.dda.values() for a in v]
-    dda = newest_sums(pre.where(F.col("ACCOUNT").isin(dda_accts)), KEYS, account_sums(acc.dda))
-    nc4s = pivot_accounts(newest_sums(pre.where(is_fact_center("CENTER")), [*KEYS, "ACCOUNT"], {V: None}),
-                          acc.nc4s, value=V)
-    return dda, nc4s
+    pre = preaggregate(df, [*KEYS, "ACCOUNT"], V, version).repartition(*KEYS)
+    is_card = F.col("ACCOUNT").isin(cards)
+    extracts = pre.groupBy(*KEYS, version).agg(
+        *[F.sum(F.when(is_card, v)).alias(n) for n, v in account_sums(acc.dda).items()],
+        F.max(F.when(is_card, F.col(version))).alias("_cards"),
+        F.max(~F.col("ACCOUNT").isin(own)).alias("_others"),
+        *[F.sum(F.when(F.col("ACCOUNT") == a, F.col(V))).alias(f"_v{i}") for i, a in enumerate(own)],
+        *[F.max(F.when(F.col("ACCOUNT") == a, F.col(version))).alias(f"_x{i}") for i, a in enumerate(own)],
+    )
+    # which own accounts the key has at all: one that a column doesn't list adds 0 to it
+    newest = extracts.groupBy(*KEYS).agg(
+        *[F.max_by(n, "_cards").alias(n) for n in acc.dda],
+        F.max("_cards").alias("_cards"), F.max("_others").alias("_others"),
+        *[F.max_by(f"_v{i}", f"_x{i}").alias(f"_v{i}") for i in range(len(own))],
+        *[F.max(f"_x{i}").alias(f"_x{i}") for i in range(len(own))],
+    )
+
+    def column(accounts: list) -> Column:
+        mine = [i for i, a in enumerate(own) if a in accounts]
+        other = reduce(lambda x, y: x | y, [F.col(f"_x{i}").isNotNull() for i in range(len(own)) if i not in mine], F.col("_others"))
+        some = reduce(lambda x, y: x | y, [F.col(f"_v{i}").isNotNull() for i in mine], other)
+        return F.when(some & is_fact_center("CENTER"), reduce(lambda x, y: x + y, [c0(f"_v{i}") for i in mine], F.lit(0.0)))
+
+    return newest.where(F.col("_cards").isNotNull() | is_fact_center("CENTER")).select(
+        *KEYS, *acc.dda, *[column(v).alias(n) for n, v in acc.nc4s.items()])
 
 
 def prepaid_component(feed, lo, hi, acc: OpsAccounts):
@@ -193,10 +214,6 @@ def checks_component(feed, lo, hi, cast_to="double"):
         F.sum("NO_OF_DAYS").alias("NO_DAYS_CY"))
 
 
-def nc4s_component(feed, lo, hi, acc: OpsAccounts):
-    return snapshot_pivot(feed, lo, hi, acc.nc4s, center_rule=is_fact_center)
-
-
 def employees_component(feed, lo, hi, acc: OpsAccounts):
     return snapshot_pivot(feed, lo, hi, acc.employees, center_rule=is_fact_center)
 
@@ -205,19 +222,40 @@ def shops_component(feed, lo, hi, acc: OpsAccounts):
     return snapshot_pivot(feed, lo, hi, acc.shops, center_rule=is_fact_center)
 
 
+def goal_rows(goals: DataFrame, clock: RunClock) -> DataFrame:
+    """Goal cube rows of the run window, without the named roll-up members."""
+    return goals.where(period_between(goals, clock.expiration_id, clock.goal_end_id) & ~is_rollup_member(F.col("CENTER")))
+
+
 def goal_component(goals: DataFrame, clock: RunClock, acc: OpsAccounts) -> DataFrame:
     """Goal cube (D6a over all accounts, E4 cut-off, C3 roll-up exclusion).
     Snapshot on the raw text center; grouped on the *cast* center so '25' and
-    '025' land in one row."""
-    raw = goals.where(period_between(goals, clock.expiration_id, clock.goal_end_id)
-                      & ~is_rollup_member(F.col("CENTER")))
-    latest = normalise_keys(newest_sums(raw, [*KEYS, "ACCOUNT"], {"GOAL_VALUE": None}))
+    '025' land in one row.  Members that name no center are left out
+    (``reject_counts`` of the filtered feed counts them)."""
+    raw = goal_rows(goals, clock).selectExpr(f"{whole_number_sql('CENTER')} AS _CENTER", "CENTER", "try_cast(PERIOD AS INT) AS PERIOD",
+                                             "ACCOUNT", "GOAL_VALUE", "EXTRACT_DATE_ID").where("_CENTER IS NOT NULL")
+    latest = newest_sums(raw, [*KEYS, "ACCOUNT"], {"GOAL_VALUE": None}, place=("_CENTER", "PERIOD"))
+    latest = latest.selectExpr("_CENTER AS CENTER", "PERIOD", "ACCOUNT", "GOAL_VALUE")
     cutoff = {"FTDD_GOAL_MTD": f"PERIOD < {int(clock.end_id)}"}
     return pivot_accounts(latest, acc.goals, value="GOAL_VALUE", conditions=cutoff)
 
 
+def lag_open_month(df: DataFrame, columns: list[str], clock: RunClock, drop_rows: bool = False) -> DataFrame:
+    """One-day lag of the open month (the closed month is complete): late values become NULL, or
+    their rows go."""
+    late = (F.col("DAY") >= F.lit(clock.anchor)) & (F.col("DAY") >= F.lit(clock.lag_cutoff))
+    if drop_rows:
+        return df.where(~late)
+    return df.withColumns({c: F.when(late, F.lit(None)).otherwise(F.col(c)) for c in columns})
+
+
+def zero_fill(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.withColumns({c: c0(c) for c in columns})
+
+
 # ---- last-year names ----------------------------------------------------------
 
+# Last-year column -> the target column it reads.
 LY_MAP = {
     **{f"{c}_LY": c for c in ["DBACHECKS", "PROMOTERS_NPS", "DETRACTORS_NPS", "PASSIVE_NPS"]},
     **{f"{c}_LY": c for c in STAFF_MAP},
@@ -234,10 +272,11 @@ LY_MAP = {
     **{f"{c}_LY": c for c in ["EXPERIENCESHOPDENOMINATOR", "EXPERIENCESHOPNUMERATOR", "LOANSHOPDENOMINATOR",
                               "LOANSHOPNUMERATOR", "PHONESHOPDENOMINATOR", "PHONESHOPNUMERATOR"]},
 }
+# Columns whose missing values are 0.
 ZERO_FILLED = ["DDAUPGRADES", "DDAUPGRADES_LY", "DDANEWCARD", "DDANEWCARD_LY",
                "PREPAIDCARDSALEITEMS", "PREPAIDCARDSALEITEMS_LY"]
 
-# Target column order (without the load stamp).
+# Target column order (without the load stamp).
 OPS_OUTPUT_COLUMNS = [
     "CENTER", "PERIOD", "DATES",
     "DBACHECKS", "PROMOTERS_NPS", "DETRACTORS_NPS", "PASSIVE_NPS",
@@ -281,22 +320,26 @@ class OpsSources:
 
 
 def spine_components(src: OpsSources, lo: int, hi: int, acc: OpsAccounts, cast_to: str = "double") -> list[DataFrame]:
-    dda, nc4s = dda_feed_components(src.dda, lo, hi, acc)
     return [
         nps_component(src.nps, lo, hi, acc),
         hours_component(src.staff, lo, hi, cast_to),
         dds_component(src.dds, lo, hi, acc),
-        dda,
+        dda_feed_component(src.dda, lo, hi, acc),
         prepaid_component(src.prepaid, lo, hi, acc),
         bbk_component(src.visit, lo, hi),
         cash_component(src.cash, lo, hi),
         checks_component(src.center, lo, hi, cast_to),
-        nc4s,
         employees_component(src.employees, lo, hi, acc),
         shops_component(src.shops, lo, hi, acc),
     ]
 
 
+def ops_target_schema() -> StructType:
+    """Columns of the ops target (without the load stamp): for an empty target on a first run."""
+    kinds = {"CENTER": IntegerType(), "PERIOD": IntegerType(), "DATES": DateType(), "EXTRACT_DATE_ID": IntegerType()}
+    return StructType([StructField(c, kinds.get(c, DoubleType())) for c in OPS_OUTPUT_COLUMNS])
+
+
 def ops_metrics(src: OpsSources, lo: int, hi: int, acc: OpsAccounts = OpsAccounts(),
                 cast_to: str = "double") -> DataFrame:
     """All spine components over [lo, hi], merged on (CENTER, PERIOD)."""
@@ -305,17 +348,13 @@ def ops_metrics(src: OpsSources, lo: int, hi: int, acc: OpsAccounts = OpsAccount
 
 def run_ops_goals(src: OpsSources, clock: RunClock, acc: OpsAccounts = OpsAccounts(),
                   cast_to: str = "double", audit: AuditLog | None = None) -> DataFrame:
-    tune(src.hierarchy.sparkSession)
     stage = audit.stage if audit else (lambda name, df: df)
     spine = stage("spine", build_spine(src.hierarchy, clock.start, clock.end))
     metrics = ops_metrics(src, clock.start_id, clock.end_id, acc, cast_to)
     cur = spine.join(metrics, KEYS, "left")
     cur = with_last_year_two_regime(cur, src.history, LY_MAP, clock)
-    # one-day lag of deposits, open month only (the closed month is complete)
-    lagged = (F.col("DAY") >= F.lit(clock.anchor)) & (F.col("DAY") >= F.lit(clock.lag_cutoff))
-    cur = cur.withColumns({c: F.when(lagged, F.lit(None)).otherwise(F.col(c))
-                           for c in ("FIRSTTIME_DDS_CY", "FIRSTTIME_DDS_LY")})
-    cur = cur.withColumns({c: c0(c) for c in ZERO_FILLED}).drop("DAY")
+    cur = lag_open_month(cur, ["FIRSTTIME_DDS_CY", "FIRSTTIME_DDS_LY"], clock)
+    cur = zero_fill(cur, ZERO_FILLED).drop("DAY")
     cur = stage("components", cur)
     goals = stage("goal", goal_component(src.goals, clock, acc))
     merged = cur.join(goals, KEYS, "full")
@@ -340,7 +379,8 @@ def load_ops_goals(src, clock: RunClock, target: str, audit: AuditLog, acc: OpsA
         audit.collect_stages()
         audit.log(f"Reloaded partitions: {stats['written']} written, {stats['dropped']} dropped")
         return 0
-    return run_job(audit, "ops_goals", body)
+    with job_settings(spark):
+        return run_job(audit, "ops_goals", body, spark)
 
 
 __all__ = ["load_ops_goals", "OpsAccounts", "OpsSources", "run_ops_goals", "ops_metrics", "spine_components",

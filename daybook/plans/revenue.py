@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StructField, StructType
 
 from daybook.functions.clock import RunClock
 from daybook.functions.measures import (
@@ -24,7 +25,7 @@ from daybook.functions.measures import (
 from daybook.functions.predicates import is_fact_center
 from daybook.operators.audit import AuditLog, run_job
 from daybook.operators.reload import stamp_run, write_reload
-from daybook.session import tune
+from daybook.session import job_settings
 from daybook.operators.merge import merge_actual_plan
 from daybook.operators.spine import build_spine
 from daybook.operators.window import clip_to_run_window
@@ -101,9 +102,14 @@ def revenue_output(merged: DataFrame, clock: RunClock) -> DataFrame:
     return out.selectExpr(*[q(c) for c in revenue_output_columns()])
 
 
+def revenue_target_schema() -> StructType:
+    """Columns of the revenue target (without the load stamp): for an empty target on a first run."""
+    kinds = {"CENTER": IntegerType(), "PERIOD": IntegerType(), "DATES": DateType(), "EXTRACT_DATE_ID": IntegerType()}
+    return StructType([StructField(c, kinds.get(c, DoubleType())) for c in revenue_output_columns()])
+
+
 def run_revenue(src: RevenueSources, clock: RunClock, params: RevenueParams = RevenueParams(),
                 audit: AuditLog | None = None) -> DataFrame:
-    tune(src.actual.sparkSession)
     stage = audit.stage if audit else (lambda name, df: df)
     spine = stage("spine", build_spine(src.hierarchy, clock.start, clock.end))
     actual_daily = daily_revenue(src.actual, clock.start_id, clock.end_id, actual=True)
@@ -127,7 +133,8 @@ def load_revenue(src, clock: RunClock, target: str, audit: AuditLog, params: Rev
         audit.collect_stages()
         audit.log(f"Reloaded partitions: {stats['written']} written, {stats['dropped']} dropped")
         return 0
-    return run_job(audit, "revenue", body)
+    with job_settings(spark):
+        return run_job(audit, "revenue", body, spark)
 
 
 __all__ = ["load_revenue", "RevenueParams", "RevenueSources", "daily_revenue", "revenue_actuals", "revenue_merged",

@@ -42,3 +42,35 @@ def test_load_ops_goals_writes_90_columns(spark, sf_dir):
     out = spark.read.parquet(target)
     assert len(out.columns) == 90
     assert out.count() == cat.QUERIES["ops_goals"](spark, sf_dir).count()
+
+
+def test_first_run_reads_an_empty_target(spark, sf_dir, tmp_path):
+    from daybook.plans.revenue import revenue_target_schema
+    from daybook.sources.feeds import read_partitions
+    c = cat.clock()
+    src = cat.revenue_sources(spark, sf_dir)
+    src.history = read_partitions(spark, str(tmp_path / "none"), c.last_year_ranges(), schema=revenue_target_schema())
+    assert load_revenue(src, c, str(tmp_path / "t"), AuditLog(etl_date=c.extract_id, sink=str(tmp_path / "a")), cat.FIXTURE_PARAMS) == 0
+    assert spark.read.parquet(str(tmp_path / "t")).agg(F.sum("ATM_FEE_LY")).first()[0] == 0
+    assert "Procedure Completed Successfully" in {r.MESSAGE for r in spark.read.parquet(str(tmp_path / "a")).collect()}
+
+
+def test_target_schemas_are_the_jobs_columns(spark, sf_dir):
+    from daybook.plans.revenue import revenue_target_schema, run_revenue
+    c = cat.clock()
+    rev = run_revenue(cat.revenue_sources(spark, sf_dir), c, cat.FIXTURE_PARAMS)
+    assert [(f.name, f.dataType) for f in rev.schema] == [(f.name, f.dataType) for f in revenue_target_schema()]
+    ops = og.run_ops_goals(cat.ops_sources(spark, sf_dir), c, cat.FIXTURE_ACCOUNTS, cat.TEXT_CAST)
+    assert ops.columns == og.ops_target_schema().fieldNames()
+
+
+def test_decimal_feeds_give_the_same_revenue(spark, sf_dir):
+    """DECIMAL(18,2) measures against the oracle-checked DOUBLE form (whole cents, so exact in both)."""
+    from daybook.plans.revenue import run_revenue
+    c = cat.clock()
+    src, dec = cat.revenue_sources(spark, sf_dir), cat.revenue_sources(spark, sf_dir)
+    as_decimal = lambda df: df.select("CENTER", "PERIOD", *[F.col(x).cast("decimal(18,2)").alias(x) for x in df.columns[2:]])
+    dec.actual, dec.plan = as_decimal(dec.actual), as_decimal(dec.plan)
+    a = cat.finalize(run_revenue(src, c, cat.FIXTURE_PARAMS))
+    b = cat.finalize(run_revenue(dec, c, cat.FIXTURE_PARAMS))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -124,3 +124,65 @@ def test_in_window_string_and_int_keys(spark):
     assert in_window(s, 20000201, 20000314).count() == 2
     i = spark.createDataFrame([(20000131,), (20000201,), (20000314,), (20000315,)], "PERIOD int")
     assert in_window(i, 20000201, 20000314).count() == 2
+
+
+def test_merge_metrics_refuses_two_rows_for_a_key(spark):
+    import pytest
+    one = spark.createDataFrame([(1, 1, 5.0), (1, 1, 7.0)], "CENTER int, PERIOD int, A double")
+    two = spark.createDataFrame([(1, 1, 5.0), (1, 2, 7.0)], "CENTER int, PERIOD int, B double")
+    with pytest.raises(Exception, match="two rows for one key"):
+        merge_metrics([one, two]).collect()
+    assert merge_metrics([two]).count() == 2
+
+
+def test_text_centers_and_rejects(spark):
+    from daybook.sources.feeds import normalise_keys, reject_counts, window_feed
+    df = spark.createDataFrame([("61", "20000201", "1"), ("61.0", "20000201", "x"), ("061", "20000202", None), ("61.5", "20000202", "2"),
+                                ("West Zone", "20000202", "3"), ("5050", "20000202", "3"), (None, "bad", "4")], "CENTER string, PERIOD string, M string")
+    assert [r.CENTER for r in normalise_keys(df).collect()] == [61, 61, 61, None, None, 5050, None]
+    got = window_feed(df, 20000201, 20000202, center_rule=is_fact_center)
+    assert rows(got, "CENTER", "PERIOD") == [(61, 20000201), (61, 20000201), (61, 20000202)]
+    assert rows(reject_counts(df, ["M"]), "FIELD", "N_ROWS") == [("CENTER", 2), ("M", 1), ("PERIOD", 1)]
+
+
+def test_dda_component_equals_its_two_halves(spark):
+    """Against the plain snapshot operators, with NULLs, ties and accounts missing from the newest extract."""
+    from daybook.plans import ops_goals as og
+    acc = og.OpsAccounts(dda={"DDAUPGRADES": ["a"], "DDANEWCARD": ["b", "c"]}, nc4s={"NC4S_SALES_CY": ["d"], "NC4S_OPPS_CY": ["e", "a"]})
+    rnd = random.Random(11)
+    data = [(rnd.choice([1, 61, 62, 5050]), 20000200 + rnd.randint(1, 6), rnd.choice("abcdef"),
+             None if rnd.random() < .3 else float(rnd.randint(0, 9)), rnd.choice([None, 1, 2, 3])) for _ in range(150)]
+    feed = spark.createDataFrame(data, FEED)
+    got = og.dda_feed_component(feed, 20000201, 20000206, acc)
+    latest = latest_snapshot(feed.where(F.col("ACCOUNT").isin("a", "b", "c")), ["CENTER", "PERIOD"])
+    dda = pivot_accounts(latest, acc.dda)
+    nc4s = pivot_accounts(latest_snapshot(feed.where(is_fact_center()), ["CENTER", "PERIOD", "ACCOUNT"]), acc.nc4s)
+    cols = ["CENTER", "PERIOD", "DDAUPGRADES", "DDANEWCARD", "NC4S_SALES_CY", "NC4S_OPPS_CY"]
+    key = lambda df: sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+    assert key(got) == key(dda.join(nc4s, ["CENTER", "PERIOD"], "full"))
+
+
+def test_source_readers_check_their_columns(spark, tmp_path):
+    import pytest
+    from daybook.sources import feeds
+    path = str(tmp_path / "f")
+    spark.createDataFrame([(1, "20000201", "a", 1.0, 5, "x")], "CENTER int, PERIOD string, ACCOUNT string, DATA_VALUE double, EXTRACT_DATE_ID int, EXTRA string").write.parquet(path)
+    assert feeds.read_account_feed(spark, path).columns == ["CENTER", "PERIOD", "ACCOUNT", "DATA_VALUE", "EXTRACT_DATE_ID"]
+    with pytest.raises(ValueError, match="GOAL_VALUE"):
+        feeds.read_account_feed(spark, path, value="GOAL_VALUE")
+    with pytest.raises(ValueError, match="ACCOUNT is string"):
+        feeds.read_daily(spark, path, ["ACCOUNT"])
+    assert feeds.read_daily(spark, path, ["ACCOUNT"], text=True).count() == 1
+    for read in (feeds.read_hierarchy, feeds.read_calendar):
+        with pytest.raises(ValueError):
+            read(spark, path)
+
+
+def test_default_parameters_are_the_warehouse_names():
+    from daybook.plans.ops_goals import OpsAccounts
+    from daybook.plans.revenue import RevenueParams
+    acc, par = OpsAccounts(), RevenueParams()
+    assert (par.override_centers, par.accrual_since) == ((1544,), 20191231)
+    names = [a for v in (acc.nps, acc.goals, acc.dda, acc.nc4s, acc.employees, acc.shops) for x in v.values() for a in x] + acc.dds + acc.prepaid
+    assert len(names) == 30 + 0 or len(names) == 31
+    assert "Netspend First Time Direct Deposit Items - BNF" in acc.dds and acc.goals["DAYS_MTD"] == ["#Days"]

@@ -5,7 +5,7 @@ import tempfile
 
 import pytest
 
-import __spark_entry__ as entry
+from daybook.catalog import registered
 from daybook import catalog as cat
 from daybook.functions.measures import REVENUE_MEASURES
 from daybook.plans.revenue import RevenueSources, run_revenue
@@ -20,11 +20,11 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_no_cross_join_nested_loop_or_python(spark, sf_dir, name):
     if name == "stage_audit_counts":
         pytest.skip("returns the audit rows of an executed run")
-    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    plan = plan_of(registered()[name](spark, sf_dir))
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
 
@@ -70,3 +70,26 @@ def test_ops_merge_is_one_aggregation_not_a_join_chain(spark, sf_dir):
     joins = plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") + plan.count("ShuffledHashJoin")
     assert joins <= 4, joins
     assert "FullOuter" in plan
+
+
+def counts(plan: str) -> tuple[int, int, int]:
+    return plan.count("Exchange hashpartitioning"), plan.count("SortAggregate"), plan.count("FileScan parquet")
+
+
+def test_snapshot_merge_stays_hash_aggregated(spark, sf_dir):
+    exchanges, sort_aggregates, _ = counts(plan_of(registered()["metric_merge_12way"](spark, sf_dir)))
+    assert exchanges <= 20 and sort_aggregates == 0
+    for name in ("newest_sums_day_account", "goal_pivot_cutoff"):
+        assert counts(plan_of(registered()[name](spark, sf_dir)))[:2] == (2, 0)
+
+
+def test_dda_feed_is_read_once(spark, sf_dir, tmp_path):
+    from daybook.plans import ops_goals as og
+    fixture(spark, sf_dir, "account_feed").write.parquet(str(tmp_path / "acct"))
+    df = og.dda_feed_component(spark.read.parquet(str(tmp_path / "acct")), 20000201, 20000314, cat.FIXTURE_ACCOUNTS)
+    assert counts(plan_of(df)) == (2, 0, 1)
+
+
+def test_no_round_robin_under_the_queries(spark, sf_dir):
+    for name in ("fact_center_filter", "daily_actual_measures", "text_metric_sums", "staffing_hours", "buyback_rollup"):
+        assert "RoundRobin" not in plan_of(registered()[name](spark, sf_dir))
