@@ -1,10 +1,11 @@
 """Exact dedup by content sort, in DataFrame operations only.
 
 Texts are normalised by deleting ASCII white space.  ``repartitionByRange``
-samples splitters over (normalised text, salt) and deals the rows into ranges;
-each range is sorted with Spark's spilling external sort, so that equal texts are
-adjacent, and the grouping over the sorted run compares neighbouring texts in
-full.  The salt cuts a large group of equal texts into as many runs as there are
+samples splitters over (first characters, hash of the whole, salt), which keeps the
+samples that the driver sees small, and deals the rows into ranges; each range is
+sorted by these and the whole text with Spark's spilling external sort, so that
+equal texts are adjacent, and the grouping over the sorted run compares
+neighbouring texts in full.  The salt cuts a large group of equal texts into as many runs as there are
 shuffle partitions, so no task needs a whole group; the runs of one text, one
 small row each, are then merged by content digest.
 
@@ -22,6 +23,9 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import SPACE, cut, shuffle_partitions, text_of
 
+#: Characters of a text in a splitter; texts that agree in them are told apart by hash.
+SPLITTER_CHARS = 32
+
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(text_of(text), SPACE + "+", "")
@@ -40,9 +44,10 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     # max over (chars, -id) is the row that stays; a null id ranks last
     rank = F.struct(F.col("chars"), F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("neg"))
-    run = Window.partitionBy("norm", "salt")
+    rows = rows.withColumn("head", F.substring("norm", 1, SPLITTER_CHARS)).withColumn("hash", F.xxhash64("norm"))
+    run = Window.partitionBy("head", "hash", "salt", "norm")
     in_run = (
-        rows.repartitionByRange(n, "norm", "salt")
+        rows.repartitionByRange(n, "head", "hash", "salt")
         .select(
             "doc_id",
             "salt",
