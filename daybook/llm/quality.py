@@ -28,8 +28,8 @@ MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 MIN_CHARS = 200
 MIN_COMMON = 20
-MAX_CLASS_DISTANCE = 0.45
-MAX_WORD_DISTANCE = 0.80
+MAX_CLASS_DISTANCE = 0.33
+MAX_WORD_DISTANCE = 0.75
 
 # Frequent function words, by language.
 COMMON_WORDS = {
