@@ -12,6 +12,8 @@ from daybook.session import ensure_checkpoint_dir
 #: ASCII white space, as used by every word definition here.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SPACE = r"[\x20\x09-\x0D]"
+#: Ids (8 bytes each) that may be broadcast.
+GONE_ROWS = 500_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -54,9 +56,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def broadcast_if_small(df: DataFrame, rows: int = 20_000) -> DataFrame:
     """``df`` (materialised, narrow rows) with a broadcast hint when it has at most ``rows`` rows;
     beyond that it is joined by shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
-def private(df: DataFrame, columns: list[str], prefix: str = "__llm_") -> DataFrame:
-    """Only ``columns``, renamed so that they clash with no column of the caller."""
-    return df.select(*(F.col(f"`{c}`").alias(prefix + c) for c in columns))
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the rows of the ids ``gone`` (one column, distinct).  At most ``GONE_ROWS`` ids are
+    broadcast, which spares a shuffle of the texts; more are joined by shuffle."""
+    ids = cut(gone.select(F.col(gone.columns[0]).alias("__llm_gone")))
+    return docs.join(broadcast_if_small(ids, GONE_ROWS), F.col(f"`{id_col}`").eqNullSafe(F.col("__llm_gone")), "left_anti")

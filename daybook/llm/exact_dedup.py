@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import SPACE, cut, shuffle_partitions, text_of
+from daybook.llm.common import SPACE, cut, shuffle_partitions, text_of, without_ids
 
 #: Characters of a text in a splitter; texts that agree in them are told apart by hash.
 SPLITTER_CHARS = 32
@@ -77,6 +77,6 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose id stays, with all columns as given."""
-    kept = content_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__llm_keep")).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("__llm_keep")), "left_semi")
+    """The documents whose id stays in one of its groups, with all columns as given."""
+    stays = content_groups(docs, id_col, text_col).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return without_ids(docs, stays.where("NOT kept").select("doc_id"), id_col)

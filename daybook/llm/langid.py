@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -143,25 +144,17 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def identify(docs: DataFrame, model: CentroidModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, lang_score and lang_rejected."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    n = len(docs.columns)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for b in batches:
-            lang, score, out = m.score(b.column(n).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:n], pa.array(lang, pa.string()), pa.array(score), pa.array(out)],
-                names=[*(f"c{i}" for i in range(n)), "lang_pred", "lang_score", "lang_rejected"],
-            )
-
-    # by position, so that a caller's columns may have any name, these three included
-    plain = docs.toDF(*(f"c{i}" for i in range(n)))
-    at = docs.columns.index(text_col)
-    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
-    out = plain.withColumn("t", F.col(f"c{at}").cast("binary")).mapInArrow(
-        run, f"{schema}, lang_pred string, lang_score double, lang_rejected boolean"
-    )
-    return out.toDF(*docs.columns, "lang_pred", "lang_score", "lang_rejected")
+    """``docs`` with lang_pred, lang_score and lang_rejected.  Only the texts go to Python, and no
+    text comes back."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang string, score double, rejected boolean")
+    def judged(text: pd.Series) -> pd.DataFrame:
+        lang, score, out = shared.value.score(text.tolist())
+        return pd.DataFrame({"lang": lang, "score": score, "rejected": out})
+
+    # evaluated once, however often its fields are used
+    verdict = judged.asNondeterministic()(F.col(f"`{text_col}`").cast("binary"))
+    return docs.select("*", verdict.alias("__lang")).select(
+        *(F.col(f"`{c}`") for c in docs.columns), F.col("__lang.lang").alias("lang_pred"),
+        F.col("__lang.score").alias("lang_score"), F.col("__lang.rejected").alias("lang_rejected"))

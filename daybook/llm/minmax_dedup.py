@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import broadcast_if_small, cut, shuffle_partitions
+from daybook.llm.common import broadcast_if_small, cut, shuffle_partitions, without_ids
 from daybook.llm.graph import components
 
 PERMUTATIONS = 126
@@ -220,5 +220,5 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each near-duplicate group, with all columns as given."""
-    gone = near_groups(docs, id_col, text_col, **options).where("NOT kept").select(F.col("doc_id").alias("__llm_gone"))
-    return docs.join(gone.distinct(), F.col(f"`{id_col}`") == F.col("__llm_gone"), "left_anti")
+    gone = near_groups(docs, id_col, text_col, **options).where("NOT kept").select("doc_id").distinct()
+    return without_ids(docs, gone, id_col)

@@ -35,6 +35,8 @@ MAX_PASSES = 2
 BLOCK_WORDS = 64
 SHARD_WORDS = 200_000
 SEED = 20240229
+#: Decisions (id, size, passes, spans; about 100 bytes each) that may be broadcast to the texts.
+BROADCAST_ROWS = 200_000
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = MAX_PASSES) -> DataFrame:
@@ -169,6 +171,7 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     how = mix_sources(docs, id_col, text_col, source_col, **options)
     how = how.where("taken > 0").groupBy(F.col("doc_id").alias("__m_id"), F.col("size").alias("__m_size")).agg(
         F.max_by(F.struct("passes", "spans"), "taken").alias("__m_how"))
+    how = broadcast_if_small(cut(how), BROADCAST_ROWS)
     text = F.col(f"`{text_col}`")
     words = words_of(text_of(text))
     rows = docs.join(how, F.col(f"`{id_col}`").eqNullSafe(F.col("__m_id")) & (F.size(words) == F.col("__m_size")))
