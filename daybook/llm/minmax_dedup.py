@@ -94,7 +94,7 @@ def _signatures(n: int):
         words = WordHashes()
         for b in batches:
             sizes, digests, keys = [], [], []
-            for text in b.column(1).to_pylist():
+            for text in (x.as_py() for x in b.column(1)):  # one at a time: no second copy of the batch
                 s = shingle_set(text, n, words)
                 sizes.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
@@ -111,7 +111,7 @@ def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for b in batches:
-            sets = [shingle_set(t, n, words).tobytes() for t in b.column(1).to_pylist()]
+            sets = [shingle_set(t, n, words).tobytes() for t in (x.as_py() for x in b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), b.column(4), pa.array(sets, pa.binary())],
                                              names=["node", "grp", "blk", "blocks", "shingles"])
 

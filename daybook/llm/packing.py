@@ -202,7 +202,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tok
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc_id, text in zip(b.column(0).to_pylist(), (x.as_py() for x in b.column(1))):
                 x = np.frombuffer(tok.ids(text or "") + end, "<u4")
                 doc_ids.append(doc_id)
                 ids.append(x)
