@@ -17,8 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import shuffle_partitions
+from daybook.llm.minmax_dedup import WordHashes
 
 CHUNK_BYTES = 8_000_000
+#: One per worker process, shared by its tasks.
+KNOWN = WordHashes()
 MESSAGE = "chunk int, shard int, blob binary"
 #: A row with shard -1 - k is a chunk's own note, which passes through shard k and comes back.
 TO_SHARD = "CASE WHEN shard < 0 THEN -1 - shard ELSE shard END AS to_shard"
