@@ -21,18 +21,22 @@ the other; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from daybook.llm.chunks import CHUNK_BYTES, MESSAGE, TO_SHARD, answers, by_shard, deal, in_order, messages
-from daybook.llm.minmax_dedup import WordHashes, mix
+from daybook.llm.chunks import CHUNK_BYTES, KNOWN, MESSAGE, TO_SHARD, answers, by_shard, deal, in_order, messages
+from daybook.llm.minmax_dedup import mix
 
 WINDOW = 20
 ANCHOR = 10
 AUTOMATON_PHRASES = 40_000
+RADIX = 64
+FIRST_LETTER = 0x100
+SEPARATOR = " "
 NULL_ID = 2**63 - 1
 _C = np.uint64(0x9E3779B97F4A7C15)
 _C2 = np.uint64(0xD6E8FEB86659FD93)
@@ -64,6 +68,21 @@ def sliding_min(v: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(run[: len(v) - n + 1], run[n - size : len(v) - size + 1])
 
 
+def spell(documents: list[list[bytes]]) -> tuple[list[str], int]:
+    """Every word, end to end, as a string of so many letters, one string per distinct word.
+
+    Each place in a string has an alphabet of its own: nodes of an automaton over such strings have few
+    children, and a match begins with a word.
+    """
+    words = dict.fromkeys(w for ws in documents for w in ws)
+    letters = 1
+    while RADIX**letters < len(words):
+        letters += 1
+    alphabets = [[chr(FIRST_LETTER + i * RADIX + d) for d in range(RADIX)] for i in range(letters)]
+    codes = dict(zip(words, map("".join, itertools.product(*alphabets))))
+    return [codes[w] for ws in documents for w in ws], letters
+
+
 class Chunk:
     """The words of a chunk in order of (id, start), laid end to end."""
 
@@ -72,9 +91,8 @@ class Chunk:
         self.words = [t.split() for t in texts]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
-        known = WordHashes()
         flat = [w for ws in self.words for w in ws]
-        self.hashes = known.of(flat)
+        self.hashes = KNOWN.of(flat)
         self.n = len(flat)
 
     def starts_within(self, n: int) -> np.ndarray:
@@ -99,22 +117,20 @@ class Chunk:
 
     def located(self, places: np.ndarray) -> np.ndarray:
         """Flags of the windows that hold one of the phrases at ``places``, by automata over words."""
-        number: dict[bytes, int] = {}
-        sequence: list[int] = []
-        for ws in self.words:
-            sequence.extend([number.setdefault(w, len(number) + 1) for w in ws])
-            sequence.append(0)
-        shift = np.arange(len(self.words))  # one separator after each document
-        doc = np.searchsorted(self.begins + self.sizes, places, side="right")
+        spelled, letters = spell(self.words)
+        text = SEPARATOR.join("".join(spelled[b : b + k]) for b, k in zip(self.begins.tolist(), self.sizes.tolist()))
         found: list[int] = []
         for at in range(0, len(places), AUTOMATON_PHRASES):
-            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-            for p in (places + shift[doc])[at : at + AUTOMATON_PHRASES].tolist():
-                automaton.add_word(tuple(sequence[p : p + ANCHOR]), 1)
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+            for p in places[at : at + AUTOMATON_PHRASES].tolist():
+                automaton.add_word("".join(spelled[p : p + ANCHOR]))
             automaton.make_automaton()
-            found.extend([end for end, _ in automaton.iter(tuple(sequence))])
-        begin = np.array(found, np.int64) - ANCHOR + 1
-        begin -= np.searchsorted(self.begins + self.sizes + shift, begin, side="right")
+            found.extend([end for end, _ in automaton.iter(text)])
+        # back to words: one separator follows each document
+        ends = np.cumsum(self.sizes * letters + 1)
+        end = np.array(found, np.int64)
+        end -= np.searchsorted(ends, end, side="right")
+        begin = (end + 1) // letters - ANCHOR
         edge = np.zeros(self.n + 2, np.int64)
         np.add.at(edge, np.maximum(0, begin - (WINDOW - ANCHOR)), 1)
         np.add.at(edge, begin + 1, -1)
@@ -126,9 +142,12 @@ class Chunk:
         (numbered by first place); ids and starts."""
         at = np.flatnonzero(flags)
         one, two = rolling(self.hashes, WINDOW, _C)[at], (rolling(mix(self.hashes), WINDOW, _C2)[at] >> np.uint64(32)).astype(np.uint32)
-        order = np.lexsort((at, two, one))
+        order = np.argsort(one, kind="stable")
         new = np.ones(len(at), bool)
-        new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order].astype(np.int64)) != 0)
+        new[1:] = np.diff(one[order]) != 0
+        if (np.diff(two[order].astype(np.int64))[~new[1:]] != 0).any():  # 64 bits don't tell all apart
+            order = np.lexsort((at, two, one))
+            new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order].astype(np.int64)) != 0)
         first = order[new]
         group = np.empty(len(at), np.int64)
         group[order] = np.cumsum(new) - 1
