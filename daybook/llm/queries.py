@@ -38,7 +38,7 @@ def op5_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts, base rules and the divergence verdict."""
-    return quality.judge(documents(spark, sf_dir))
+    return quality.judge(documents(spark, sf_dir), corpus_words=True)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 from daybook.llm import quality
 from daybook.llm.common import documents
+from daybook.llm.queries import op6_divergence
 
 
 def base(text):
@@ -85,3 +86,32 @@ def test_clean_documents_stay_and_noise_goes(spark):
     rows = quality.judge(docs).join(labels, "doc_id").collect()
     clean = [r for r in rows if r.quality == 1]
     assert sum(r.kept or r.base_failed for r in clean) >= 0.99 * len(clean)
+
+
+def test_labelled_noise_goes_and_clean_documents_stay(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = op6_divergence(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    judged = [r for r in rows if not r.base_failed and r.n_words >= quality.MIN_JUDGED]
+    noise, clean = [r for r in judged if r.quality == 0], [r for r in judged if r.quality == 1]
+    assert len(noise) > 250 and len(clean) > 2500
+    assert sum(r.kept for r in noise) <= 0.02 * len(noise)
+    assert sum(r.kept for r in clean) >= 0.99 * len(clean)
+    assert all(r.word_distance is not None for r in judged)
+
+
+def test_words_come_from_the_corpus_and_others_count(spark):
+    ours = "ja on ei se että hän oli mutta kun niin".split()
+    text = lambda i: " ".join(w for k in range(30) for w in (ours[(i + k) % 10], f"sana{i}x{k}"))
+    rows = [(i, text(i), lang) for i in range(60) for lang in ("fi", None)]
+    rows += [(100, " ".join(f"zq{k}" for k in range(300)), "fi"), (101, " ".join(f"zq{k}" for k in range(300)), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    top = {r.top_lang: r.top for r in quality.top_words(docs).collect()}
+    assert set(top) == {"fi", None} and set(top["fi"][:10]) == set(top[None][:10]) == set(ours)
+    got = quality.judge(docs, corpus_words=True).collect()
+    assert len(got) == 122 and {r.doc_id for r in got if not r.kept} == {100, 101}
+
+
+def test_edges_with_corpus_words(edge_docs, no_docs):
+    got = quality.judge(edge_docs, corpus_words=True)
+    assert got.columns == quality.judge(edge_docs).columns
+    assert got.count() == edge_docs.count() and quality.judge(no_docs, corpus_words=True).count() == 0
