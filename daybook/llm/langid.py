@@ -1,10 +1,12 @@
 """Language identification by nearest centroid.
 
-A text is a vector of hashed UTF-8 byte n-grams (1 to 3 bytes, ASCII lower-cased, letters and
+A text is a vector of hashed UTF-8 byte n-grams (2 and 3 bytes, ASCII lower-cased, letters and
 other non-ASCII bytes only, runs of anything else being one blank): sqrt(count) * idf, scaled to
 length 1.  Each language has ``CENTROIDS`` unit centroids from spherical k-means; a text gets the
 language of the centroid with the largest cosine, and is rejected when the cosine is below that
-centroid's own limit, a set share of the smallest cosine of its training members.
+centroid's own limit, ``LIMIT_SHARE`` of a low quantile of its training members' cosines (of all of
+its language's where the centroid has few members).  A text of fewer than ``FULL_GRAMS`` n-grams
+cannot come as near, so its limit shrinks with the square root of their number.
 
 The classifier is fitted on a bounded sample of labelled rows, ``SAMPLE_PER_LANG`` rows of each
 language (smallest seeded hash of the id); only their vectors reach the driver.  Prediction reads
@@ -31,9 +33,11 @@ CENTROIDS = 3
 SAMPLE_PER_LANG = 400
 MAX_CENTROIDS = 6000
 ROUNDS = 8
-REJECT_SHARE = 0.35
-#: No text is rejected at or above this cosine, and none accepted without any overlap.
-REJECT_AT_MOST = 0.12
+LIMIT_QUANTILE = 0.02
+LIMIT_SHARE = 0.6
+#: Centroids with fewer training members take their language's quantile.
+LIMIT_MEMBERS = 20
+FULL_GRAMS = 200
 SEED = 7
 UND = "und"
 
@@ -51,7 +55,7 @@ def features(text: bytes) -> np.ndarray:
     c = np.concatenate(([0], c, [0]))
     two = c[:-1] * 155 + c[1:]
     three = two[:-1] * 155 + c[2:]
-    h = np.concatenate([c, two + 1000, three + 100_000]).astype(np.uint32)
+    h = np.concatenate([two + 1000, three + 100_000]).astype(np.uint32)
     h *= np.uint32(2654435761)
     h >>= np.uint32(20)
     return np.sqrt(np.bincount(h, minlength=DIM)).astype(np.float32)
@@ -96,11 +100,13 @@ class CentroidModel:
         todo = [i for i, t in enumerate(texts) if t is not None and has_letter(t)] if len(self.langs) else []
         for at in range(0, len(todo), 256):
             some = todo[at : at + 256]
-            cos = unit(np.stack([features(texts[i]) for i in some]) * self.idf) @ self.centroids.T
+            v = np.stack([features(texts[i]) for i in some])
+            full = np.sqrt(np.minimum(1.0, (v * v).sum(axis=1) / FULL_GRAMS))
+            cos = unit(v * self.idf) @ self.centroids.T
             top = cos.argmax(axis=1)
-            for i, t, row in zip(some, top, cos):
+            for i, t, f, row in zip(some, top, full, cos):
                 lang[i], best[i] = self.langs[self.lang_of[t]], min(1.0, max(0.0, float(row[t])))
-                out[i] = row[t] < self.limit[t]
+                out[i] = row[t] < self.limit[t] * f
         return lang, best, out
 
 
@@ -137,7 +143,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         near = cos.argmax(axis=1)
         for j in range(len(c)):
             mine = cos[near == j, j]
-            limits.append(min(REJECT_AT_MOST, REJECT_SHARE * float(mine.min())) if len(mine) else 0.0)
+            mine = mine if len(mine) >= LIMIT_MEMBERS else cos.max(axis=1)
+            limits.append(LIMIT_SHARE * float(np.quantile(mine, LIMIT_QUANTILE)))
             cents.append(c[j])
             owner.append(i)
     return CentroidModel(langs, np.array(owner), np.stack(cents).astype(np.float32), idf, np.array(limits))

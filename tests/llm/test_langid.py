@@ -1,3 +1,7 @@
+import base64
+import random
+import string
+
 from pyspark.sql import functions as F
 
 from daybook.llm import langid
@@ -42,3 +46,24 @@ def test_training_never_sees_held_out_rows(spark, sf_dir):
     changed = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, "zz").otherwise(F.col("lang")))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     assert "zz" not in langid.fit(changed, train=~held).langs
+
+
+# Latin-script texts that no centroid is learned from
+FINNISH = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä"
+POLISH = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa"
+CODE = "for (int i = 0; i < size; i++) { if (buffer[i] == NULL) return malloc(sizeof(struct node)); fprintf(stderr, ptr->next); } static void init(const char *argv) { while (queue.empty()) pop(); }"
+
+
+def test_unlearned_latin_texts_are_rejected_and_held_out_clean_ones_stay(spark):
+    sf = "/root/testdata/sf0.1"
+    rng = random.Random(5)
+    letters = ["".join(rng.choice(string.ascii_lowercase + "   ") for _ in range(n)) for n in (40, 100, 400, 4000)]
+    junk = [FINNISH, POLISH, CODE, FINNISH[:50], POLISH[:50], base64.b64encode(rng.randbytes(600)).decode(), *letters]
+    docs = documents(spark, sf)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = langid.fit(docs, train=~held)
+    bad = langid.identify(spark.createDataFrame(list(enumerate(junk)), "doc_id long, text string"), model).collect()
+    assert [r.text for r in bad if not r.lang_rejected] == []
+    clean = docs.where(held).join(spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1"), "doc_id").select(*docs.columns)
+    rows = langid.identify(clean, model).collect()
+    assert len(rows) > 500 and sum(r.lang_rejected for r in rows) <= 0.01 * len(rows)
