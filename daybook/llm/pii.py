@@ -1,7 +1,10 @@
 r"""Format-preserving pseudonyms for personal data, in DataFrame operations only.
 
-Found and validated: payment card numbers (13 to 19 digits, Luhn), international and
-parenthesised phone numbers (7 to 15 digits), IPv4 addresses (octets up to 255), dates
+Found and validated: payment card numbers (13 to 19 digits, Luhn; where the longest run of digit
+groups fails, its prefixes up to a separator, longest first, and then card-shaped groups further in,
+so that an expiry date or a security code beside a card doesn't hide it), international and
+parenthesised phone numbers (7 to 15 digits), national ones (3-3-4 groups, with or without a leading
+1, and groups with a leading 0, 9 to 12 digits; the 0 or 1 stays), IPv4 addresses (octets up to 255), dates
 (``yyyy-mm-dd``, ``dd.mm.yyyy``, ``mm/dd/yyyy``; real days of 1800 to 2199), social security
 numbers in groups (3-2-4, no zero group), e-mail addresses, and hexadecimal secrets of 16 digits
 or more behind a word such as token or password.  Anything else is left as it is, e.g. 16 digits
@@ -12,7 +15,8 @@ with a and b changing places, permute that set: digits halve into 10^i and 10^j,
 400-year calendar cycle are 189 x 773, addresses 65536 x 65536, hex digits halve as well.  F is a keyed
 SHA-256.  So equal values get equal pseudonyms in every document, different ones different
 pseudonyms, the format (separators, length, check digit, valid day) stays, and the key takes a
-permutation back.  E-mail addresses keep their domain, and their local part becomes a keyed digest.
+permutation back.  A card within a longer run is permuted again until no candidate before it passes
+Luhn, so that the way back finds the same digits.  E-mail addresses keep their domain, and their local part becomes a keyed digest.
 
 The key is passed as a literal into the plan; give it from a secret store.
 
@@ -36,8 +40,12 @@ SECRET = r"(?i:(?:token|secret|password|passwd|api[_-]?key)[\"']?\s{0,3}[=:]\s{0
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
 DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,2}(?![\w])|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?![\w])"
+PHONE_ABROAD = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,2}(?![\w])|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?![\w])"
+PHONE_GROUPS = r"(?<![\w+])(?<!\d[ .-])(?:(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}|(?=0(?:[ .-]?\d){8,11}(?![ .-]?\d))0\d{1,4}(?:[ .-]\d{2,8}){1,4})(?![\w]|[ .-]\d)"
+PHONE = f"{PHONE_ABROAD}|{PHONE_GROUPS}"
 CARD = r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"
+CARD_SHAPE = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5})$"
+CARD_WALK = 64
 ANY = "|".join((EMAIL, SECRET, IPV4, DATE, SSN, PHONE, CARD))
 KINDS = ("email", "secret", "ipv4", "date", "ssn", "phone", "card")
 
@@ -116,12 +124,44 @@ def _luhn_sum(digits: Column) -> Column:
         F.lit(0), lambda s, v: s + v))
 
 
-def _card(m: Column, key: str, back: bool) -> Column:
-    def body(d: Column) -> Column:
-        payload = permute_digits(F.substr(d, F.lit(1), F.length(d) - 1), "card", key, back)
-        return let(payload, lambda p: F.concat(p, ((10 - _luhn_sum(F.concat(p, F.lit("0"))) % 10) % 10).cast("string")))
+def _luhn(digits: Column) -> Column:
+    return _luhn_sum(digits) % 10 == 0
+
+
+def _card_payload(d: Column, key: str, back: bool) -> Column:
+    payload = permute_digits(F.substr(d, F.lit(1), F.length(d) - 1), "card", key, back)
+    return let(payload, lambda p: F.concat(p, ((10 - _luhn_sum(F.concat(p, F.lit("0"))) % 10) % 10).cast("string")))
+
+
+def _card_within(m: Column, key: str, back: bool) -> Column:
+    """``m``, whose digits as a whole fail Luhn, with the first candidate that passes replaced."""
+    part = lambda t, c: _digits_of(F.substr(t, c["at"], c["n"]))
+    cuts = F.filter(F.sequence(F.lit(1), F.length(m)), lambda i: F.substr(m, i, F.lit(1)).rlike("[ -]"))
 
-    return let(_digits_of(m), lambda d: F.when(_luhn_sum(d) % 10 == 0, _refill(m, body(d))).otherwise(m))
+    def candidates(cut: Column) -> Column:
+        starts = F.concat(F.array(F.lit(1)), F.transform(cut, lambda i: i + 1))
+        ends = F.concat(F.array(F.length(m)), F.reverse(F.transform(cut, lambda i: i - 1)))
+        spans = F.flatten(F.transform(starts, lambda a: F.transform(
+            F.filter(ends, lambda e: e >= a + 12), lambda e: F.struct(a.alias("at"), (e - a + 1).alias("n")))))
+        return F.filter(spans, lambda c: (F.length(part(m, c)) >= 13) & (
+            (c["at"] == 1) | F.substr(m, c["at"], c["n"]).rlike(CARD_SHAPE)))
+
+    def body(s: Column) -> Column:
+        c, before = F.get(s["all"], s["k"] - 1), F.slice(s["all"], F.lit(1), s["k"] - 1)
+        put = lambda d: F.concat(
+            F.substr(m, F.lit(1), c["at"] - 1), _refill(F.substr(m, c["at"], c["n"]), d), F.substr(m, c["at"] + c["n"]))
+        step = lambda d: let(_card_payload(d, key, back), lambda p: let(put(p), lambda t: F.struct(
+            p.alias("d"), t.alias("t"), (~F.exists(before, lambda x: _luhn(part(t, x)))).alias("done"))))
+        first = F.struct(part(m, c).alias("d"), m.alias("t"), F.lit(False).alias("done"))
+        walk = F.aggregate(F.sequence(F.lit(1), F.lit(CARD_WALK)), first, lambda a, _: F.when(a["done"], a).otherwise(step(a["d"])))
+        return F.when(s["k"] > 0, walk["t"]).otherwise(m)
+
+    return let(let(cuts, candidates), lambda cs: let(F.struct(
+        cs.alias("all"), F.array_position(F.transform(cs, lambda c: _luhn(part(m, c))), F.lit(True)).cast("int").alias("k")), body))
+
+
+def _card(m: Column, key: str, back: bool) -> Column:
+    return let(_digits_of(m), lambda d: F.when(_luhn(d), _refill(m, _card_payload(d, key, back))).otherwise(_card_within(m, key, back)))
 
 
 def _ipv4(m: Column, key: str, back: bool) -> Column:
@@ -155,8 +195,9 @@ def _date(m: Column, key: str, back: bool) -> Column:
 
 
 def _phone(m: Column, key: str, back: bool) -> Column:
-    """The country code (digits straight behind +, where a separator follows) stays."""
-    code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0)
+    """The country code (digits straight behind +, where a separator follows) stays, as do the 1 before
+    3-3-4 groups and the 0 before other groups."""
+    code = F.regexp_extract(m, r"^(?:\+\d{1,3}(?=[ .(-])|1(?=[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}$)|0(?!\d{2}[ .-]\d{3}[ .-]\d{4}$))", 0)
 
     def body(rest: Column) -> Column:
         return F.concat(code, _refill(rest, permute_digits(_digits_of(rest), "phone", key, back)))
@@ -187,7 +228,7 @@ def _kind(m: Column) -> Column:
             .when(m.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), "ipv4")
             .when(m.rlike(r"^(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})$"), "date")
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(m.rlike(r"^[+(]"), "phone")
+            .when(m.rlike(r"^[+(]") | (F.length(_digits_of(m)) < 13), "phone")
             .otherwise("card"))
 
 
