@@ -18,7 +18,9 @@ a counter, and a lost task gives the same pieces when it runs again.
 
 Tokens come from the byte-level BPE ranks; a dictionary from white-space separated
 pieces to ids saves encoding a frequent piece again.  A lone blank between two
-non-blank characters always opens a token, so texts are split exactly there.
+non-blank characters always opens a token, so texts are split exactly there.  The added tokens of the
+tokenizer file (``<|endoftext|>``) are one id each wherever a text holds their string, and the parts
+between them are encoded by themselves.
 
 Defined cases: null and empty texts are one token (the end id); texts of any length
 are cut; repeated rows are packed as rows; a null id stays null; columns other than
@@ -28,6 +30,7 @@ id and text are never read.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -62,6 +65,9 @@ class PieceTokenizer(dict):
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        with open(ranks_path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as f:
+            self.added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+        self.at_added = re.compile("(%s)" % "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
         self.most = most
 
     def encode(self, text: str) -> bytes:
@@ -86,6 +92,13 @@ class PieceTokenizer(dict):
             pieces = text.split(" ")
         return self.encode(pieces[0]) + b"".join(map(self.__getitem__, pieces[1:]))
 
+    def ids_with_added(self, text: str) -> bytes:
+        """``ids``, with the strings of added tokens as their own ids."""
+        if not any(a in text for a in self.added):
+            return self.ids(text)
+        return b"".join(np.array([self.added[p]], "<u4").tobytes() if i % 2 else self.ids(p)
+                        for i, p in enumerate(self.at_added.split(text)))
+
 
 _TOKENIZERS: dict[str, PieceTokenizer] = {}
 
@@ -100,9 +113,12 @@ def tokenizer(name: str) -> PieceTokenizer:
 
 
 def sentence_end_ids(tok: PieceTokenizer) -> np.ndarray:
-    """Flags by id: the token ends a sentence or a line."""
+    """Flags by id: the token ends a sentence or a line (an added token ends a text)."""
     e = tok.encoding
-    return np.array([e.decode_single_token_bytes(i)[-1:] in (b".", b"!", b"?", b"\n") for i in range(e.n_vocab)], bool)
+    flags = np.zeros(max([e.n_vocab, *(i + 1 for i in tok.added.values())]), bool)
+    flags[: e.n_vocab] = [e.decode_single_token_bytes(i)[-1:] in (b".", b"!", b"?", b"\n") for i in range(e.n_vocab)]
+    flags[list(tok.added.values())] = True
+    return flags
 
 
 def cut_places(ends: np.ndarray, sentence: np.ndarray, grid: int = GRID) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +219,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tok
 
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), (x.as_py() for x in b.column(1))):
-                x = np.frombuffer(tok.ids(text or "") + end, "<u4")
+                x = np.frombuffer(tok.ids_with_added(text or "") + end, "<u4")
                 doc_ids.append(doc_id)
                 ids.append(x)
                 held += len(x)

@@ -104,3 +104,18 @@ def test_order_is_kept(spark):
     docs = spark.createDataFrame([(i, "some words. " * (i % 50)) for i in range(300)], "doc_id long, text string").coalesce(1)
     rows = sorted(packing.pack(docs).collect(), key=lambda r: (r.sequence_id, r.offset))
     assert [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
+
+
+def test_added_tokens_are_one_id_as_in_the_tokenizer_file(spark):
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "one.\n\n<|endoftext|>\ntwo  <|endoftext|>", "a <|endoftext| > b",
+             "long text. " * 900 + "<|endoftext|> more words here " * 50]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for i, text in enumerate(texts):
+        own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        got = np.frombuffer(b"".join(r.ids for r in own), "<u4").tolist()
+        assert got == [*t.encode(text, add_special_tokens=False).ids, packing.END_ID] and own[0].doc_tokens == len(got)
+    assert t.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
