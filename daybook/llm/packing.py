@@ -65,9 +65,6 @@ class PieceTokenizer(dict):
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        with open(ranks_path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as f:
-            self.added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
-        self.at_added = re.compile("(%s)" % "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
         self.most = most
 
     def encode(self, text: str) -> bytes:
@@ -92,12 +89,13 @@ class PieceTokenizer(dict):
             pieces = text.split(" ")
         return self.encode(pieces[0]) + b"".join(map(self.__getitem__, pieces[1:]))
 
-    def ids_with_added(self, text: str) -> bytes:
+    def ids_with_added(self, text: str, added: dict[str, int]) -> bytes:
         """``ids``, with the strings of added tokens as their own ids."""
-        if not any(a in text for a in self.added):
+        if not any(a in text for a in added):
             return self.ids(text)
-        return b"".join(np.array([self.added[p]], "<u4").tobytes() if i % 2 else self.ids(p)
-                        for i, p in enumerate(self.at_added.split(text)))
+        strings = "|".join(map(re.escape, sorted(added, key=len, reverse=True)))
+        return b"".join(np.array([added[p]], "<u4").tobytes() if i % 2 else self.ids(p)
+                        for i, p in enumerate(re.split(f"({strings})", text)))
 
 
 _TOKENIZERS: dict[str, PieceTokenizer] = {}
@@ -112,12 +110,20 @@ def tokenizer(name: str) -> PieceTokenizer:
     return _TOKENIZERS[name]
 
 
-def sentence_end_ids(tok: PieceTokenizer) -> np.ndarray:
+def added_tokens(name: str) -> dict[str, int]:
+    """Ids by string, from the tokenizer file beside the ranks; read once, on the driver."""
+    import public_tokenizers as public
+
+    with open(public.path(name).removesuffix(".tiktoken") + ".json", encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+def sentence_end_ids(tok: PieceTokenizer, added: dict[str, int]) -> np.ndarray:
     """Flags by id: the token ends a sentence or a line (an added token ends a text)."""
     e = tok.encoding
-    flags = np.zeros(max([e.n_vocab, *(i + 1 for i in tok.added.values())]), bool)
+    flags = np.zeros(max([e.n_vocab, *(i + 1 for i in added.values())]), bool)
     flags[: e.n_vocab] = [e.decode_single_token_bytes(i)[-1:] in (b".", b"!", b"?", b"\n") for i in range(e.n_vocab)]
-    flags[list(tok.added.values())] = True
+    flags[list(added.values())] = True
     return flags
 
 
@@ -201,10 +207,11 @@ def pack_run(doc_ids: list, ids: list[np.ndarray], is_end: np.ndarray, first_seq
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tokenizer_file: str = "byte_bpe_50k.tiktoken",
          with_ids: bool = True) -> DataFrame:
     """One row per piece: its document, place, sequence and (``with_ids``) its token ids."""
+    added = added_tokens(tokenizer_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(tokenizer_file)
-        is_end = sentence_end_ids(tok)
+        is_end = sentence_end_ids(tok, added)
         base, done = TaskContext.get().partitionId() << 40, 0
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
         types = [pa.int64()] * 7 + [pa.binary()]
@@ -219,7 +226,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tok
 
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), (x.as_py() for x in b.column(1))):
-                x = np.frombuffer(tok.ids_with_added(text or "") + end, "<u4")
+                x = np.frombuffer(tok.ids_with_added(text or "", added) + end, "<u4")
                 doc_ids.append(doc_id)
                 ids.append(x)
                 held += len(x)
