@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, exact_dedup, langid, lm_scoring, minmax_dedup, mixing, packing, phrase_dedup, pii, quality
+from daybook.llm import (
+    chat, exact_dedup, filter_audit, langid, lm_scoring, minmax_dedup, mixing, packing, phrase_dedup, pii, quality, resampling,
+    signature_join,
+)
 from daybook.llm.common import documents, fold
 
 
@@ -87,6 +90,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked at 85 % of four-word shingles."""
+    return signature_join.join_components(documents(spark, sf_dir), words=4, percent=85)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order of applying them, by language."""
+    return filter_audit.interaction_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by importance towards the benchmark texts."""
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resample(documents(spark, sf_dir), target).drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_elias_fano_lm": op2_elias_fano_lm,
@@ -98,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_feistel_pseudonyms": op9_feistel_pseudonyms,
     "op10_language_id": op10_language_id,
+    "op11_signature_join": op11_signature_join,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_resampling": op13_resampling,
 }
 
 ORACLE: dict[str, str] = {
@@ -151,4 +173,75 @@ ORACLE: dict[str, str] = {
                sum(length(escaped) + CASE WHEN joined THEN length('<|sep|>')
                    ELSE length('<|turn|><|text|><|end|>') + 1 + length(role) END)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op11_signature_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS sh
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        both_in AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        link AS (
+            SELECT x, y FROM both_in JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)),
+        edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, edge.y FROM reach JOIN edge ON edge.x = reach.b),
+        root AS (SELECT a, min(b) AS r FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r AS component_id
+        FROM d JOIN root ON root.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op12_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+        m AS (SELECT doc_id, part, (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+                     + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
+                     + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * (doc_id > first_id)::INT AS mask FROM w),
+        c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS bad
+              FROM m LEFT JOIN labels ON labels.doc_id = m.doc_id GROUP BY part, mask),
+        f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) f(x, bit)),
+        o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+              WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+        s AS (SELECT filter_order, step, f.x AS filter, f.bit AS own,
+                     (SELECT coalesce(sum(g.bit), 0)::INT FROM f g WHERE instr(filter_order, g.x) < step) AS before
+              FROM o, range(1, 6) r(step) JOIN f ON f.x = substr(filter_order, step, 1)),
+        p AS (SELECT DISTINCT part FROM c),
+        t AS (SELECT p.part, filter_order, step, filter, own, before, mask, coalesce(n, 0) AS n, good, bad
+              FROM p CROSS JOIN s JOIN c ON c.part = p.part),
+        r AS (SELECT part, filter_order, step::INT AS step, filter,
+                     coalesce(sum(n) FILTER (mask & (before | own) = 0), 0)::BIGINT AS kept,
+                     coalesce(sum(n) FILTER (mask & before = 0 AND mask & own != 0), 0)::BIGINT AS removed,
+                     coalesce(sum(n) FILTER (mask & before != 0 AND mask & own != 0), 0)::BIGINT AS redundant,
+                     coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+                     coalesce(sum(good) FILTER (mask & before = 0 AND mask & own != 0), 0)::BIGINT AS good_lost,
+                     coalesce(sum(bad) FILTER (mask & before = 0 AND mask & own != 0), 0)::BIGINT AS toxic_lost
+              FROM t GROUP BY part, filter_order, step, filter)
+        SELECT *, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM r""",
+    "op13_resampling": r"""
+        WITH crc_table AS (
+            SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i)),
+        d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        q AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+        dw AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS w FROM d) GROUP BY doc_id, w),
+        v AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM q)),
+        b AS (SELECT w, xor(list_reduce(list_prepend(4294967295,
+                  [('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT FOR i IN range(octet_length(encode(w)))]),
+                  lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM v, crc_table),
+        s AS (SELECT bucket, sum(n) AS s FROM dw JOIN b USING (w) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS t FROM q JOIN b USING (w) GROUP BY bucket),
+        g AS (SELECT s.bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE
+                     / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+              FROM s LEFT JOIN t ON t.bucket = s.bucket),
+        x AS (SELECT doc_id, sum(n * gain) AS total, sum(n) AS n FROM dw JOIN b USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+        k AS (SELECT d.doc_id, coalesce(x.n, 0)::BIGINT AS n_features,
+                     CASE WHEN x.n IS NULL THEN 0 ELSE (total - ((total % x.n) + x.n) % x.n) // x.n END::BIGINT AS weight,
+                     ('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT AS h
+              FROM d LEFT JOIN x ON x.doc_id = d.doc_id),
+        z AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5)::DOUBLE / 4294967296.0::DOUBLE)))::BIGINT AS score FROM k),
+        a AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM z WHERE n_features >= 20)
+        SELECT z.doc_id, n_features, weight, score,
+               CASE WHEN r <= (SELECT 10 * count(*) // 100 FROM a) THEN r END::BIGINT AS rank
+        FROM z LEFT JOIN a ON a.doc_id = z.doc_id""",
 }
