@@ -10,13 +10,14 @@ below are linked already, the pair of nodes goes with all below it.
 
 Groups: of a linked pair, the first ``n - ceil(percent n / 100) + 1`` shingles of each, in one order of all shingles, have one in
 common.  So the join is exact within the groups of documents that share a shingle there.  The order puts
-shingles that more than ``FREQUENT`` documents have there behind all others, and the prefixes of those documents are
-taken anew, so that common passages make no large groups; any order gives the same links.
+frequent shingles behind all others, so that common passages make no large groups; any order gives the same links.
+Frequent are those that come again within a task's rows, and more than ``FREQUENT`` times in all such.
 
 1. Documents of one and the same set are one node, however many copies there are.
 2. Groups of the same members are one group.
 3. Rounds: each node goes to the largest of its groups that is not linked through yet, once; the links found
-   are reduced to components.  What is not linked through after ``ROUNDS`` rounds is compared in all its groups.
+   are reduced to components.  What is not linked through after ``ROUNDS`` rounds is compared in all its groups, a pair
+   in the first that it has in common.
 4. A comparison walks trees of signatures first; only the documents that may have a partner in their group then
    send their full sets there, where the walk is repeated and its pairs are decided on the sets.  A task
    gives back a spanning forest of the links.  Groups over ``BLOCK`` documents are cut into blocks, and pairs of
@@ -44,16 +45,22 @@ from daybook.llm.graph import components
 from daybook.llm.minmax_dedup import WordHashes, shingle_set
 
 FAN = 8
-FREQUENT = 32
-#: Times that frequent shingles are looked for; those left only make larger groups.
-REORDERS = 2
+FREQUENT = 64
+#: Times at most that frequent shingles are looked for, as prefixes change; those left only make larger groups.
+REORDERS = 3
+#: First shingles kept of each set, as a multiple of its prefix: what takes the place of frequent ones.
+RESERVE = 1.6
 #: Frequent shingles (8 bytes each) that go with the tasks at most; beyond that ``FREQUENT`` is doubled.
 FREQUENT_ROWS = 1_000_000
-ROUNDS = 3
+ROUNDS = 2
 BLOCK = 1024
 BROADCAST_ROWS = 100_000
+#: Of rows of two numbers.
+NARROW_ROWS = 500_000
 LEAST_BITS, MOST_BITS = 64, 2**17
 CHUNK = 1 << 15
+#: Shingles of a task's window in which repeated ones are counted.
+WINDOW = 20_000_000
 
 
 def bits_of(n: int) -> int:
@@ -80,14 +87,21 @@ def least_overlap(sizes: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * sizes // (100 + percent))
 
 
-def prefix(shingles: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
-    """The first shingles (sorted in), those of ``frequent`` (sorted) last."""
-    n = len(shingles) - -(-percent * len(shingles) // 100) + 1
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        late = frequent[at] == shingles
-        shingles = np.concatenate((shingles[~late], shingles[late]))
-    return shingles[:n]
+def prefix_length(n: int, percent: int) -> int:
+    return n - -(-percent * n // 100) + 1
+
+
+def prefix(first: np.ndarray, n: int, percent: int, frequent: np.ndarray) -> np.ndarray | None:
+    """The prefix of a set of ``n`` shingles, from its ``first`` ones in order; those of ``frequent`` (sorted) come last.
+    None if it takes more than these."""
+    want = prefix_length(n, percent)
+    if not len(frequent):
+        return first[:want]
+    late = frequent[np.minimum(np.searchsorted(frequent, first), len(frequent) - 1)] == first
+    early = first[~late]
+    if len(early) >= want:
+        return early[:want]
+    return np.concatenate((early, first[late]))[:want] if len(first) == n else None
 
 
 class Tree:
@@ -169,13 +183,21 @@ def trees(sizes: np.ndarray, sigs: list[np.ndarray], label: np.ndarray, side: np
                 yield both, Tree([sigs[x] for x in both], sizes[both], label[both], np.repeat([0, 1], [len(small), len(large)]), percent)
 
 
-def may_link(sizes: np.ndarray, sigs: list[np.ndarray], label: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
-    """Which documents have a partner that their signatures allow (``side`` -1: with all; else with the other side)."""
+def may_link(sizes: np.ndarray, sigs: list[np.ndarray], label: np.ndarray, side: np.ndarray, percent: int,
+             earlier: list[frozenset] | None = None) -> np.ndarray:
+    """Which documents have a partner that their signatures allow (``side`` -1: any; else one of the other side).
+    ``earlier``: by document the groups before this one; pairs that share one of them are left to it."""
     found = np.zeros(len(sizes), np.bool_)
     for at, tree in trees(sizes, sigs, label, side, percent):
         for i, j in tree.pairs():
             ok = (side[at[i]] < 0) | (side[at[i]] != side[at[j]])
-            tree.closed[i[ok]] = tree.closed[j[ok]] = True
+            i, j = i[ok], j[ok]
+            if earlier is None:
+                tree.closed[i] = tree.closed[j] = True
+                continue
+            for x, y in zip(i.tolist(), j.tolist()):
+                if not (tree.closed[x] and tree.closed[y]) and earlier[at[x]].isdisjoint(earlier[at[y]]):
+                    tree.closed[x] = tree.closed[y] = True
         found[at[tree.closed]] = True
     return found
 
@@ -211,27 +233,57 @@ def forest(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, percent:
     return out
 
 
-def _describe(n: int, percent: int, frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_DESCRIBED = "doc_id long, n_shingles long, digest binary, first array<long>, sig binary"
+
+
+def _describe(n: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordHashes()
     for b in batches:
         cols = [[], [], [], []]
         for s in (shingle_set(x.as_py(), n, words) for x in b.column(1)):
-            row = (len(s), xxhash.xxh3_128_digest(s.tobytes()), prefix(s, percent, frequent).view(np.int64), signature(s).tobytes())
-            for c, v in zip(cols, row if len(s) else (0, None, None, None)):
+            keep = int(RESERVE * prefix_length(len(s), percent)) + 1
+            row = (len(s), xxhash.xxh3_128_digest(s.tobytes()), s[:keep].view(np.int64), signature(s).tobytes()) if len(s) else (0, None, None, None)
+            for c, v in zip(cols, row):
                 c.append(v)
         kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
         yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))],
-                                         names=["doc_id", "n_shingles", "digest", "prefix", "sig"])
+                                         names=["doc_id", "n_shingles", "digest", "first", "sig"])
+
+
+def _prefixes(percent: int, frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, n_shingles, first): (node, prefix), null where the first shingles do not reach."""
+    for b in batches:
+        lists = b.column(2)
+        flat, at = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        out = [prefix(flat[x:y], n, percent, frequent) for x, y, n in zip(at[:-1], at[1:], b.column(1).to_pylist())]
+        out = pa.array([None if p is None else p.view(np.int64) for p in out], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([b.column(0), out], names=["node", "prefix"])
+
+
+def _repeated(percent: int, frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles that come again in the prefixes of a window of rows: token, n."""
+    held, size = [], 0
+
+    def told():
+        token, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        again = n > 1
+        return pa.RecordBatch.from_arrays([pa.array(token[again], pa.int64()), pa.array(n[again], pa.int64())], names=["token", "n"])
 
+    for b in _prefixes(percent, frequent, batches):
+        held.append(b.column(1).flatten().to_numpy())
+        size += len(held[-1])
+        if size > WINDOW:
+            yield told()
+            held, size = [], 0
+    yield told()
 
-def _holding(frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The nodes with one of ``frequent`` (sorted) in their prefix."""
+
+def _whole_prefixes(n: int, percent: int, frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = WordHashes()
     for b in batches:
-        lists = b.column(1)
-        flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        hit = frequent[np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)] == flat
-        has = np.logical_or.reduceat(hit, lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()) if len(lists) else np.zeros(0, bool)
-        yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(has))], names=["touched"])
+        sets = (shingle_set(x.as_py(), n, words) for x in b.column(1))
+        out = [prefix(s, len(s), percent, frequent).view(np.int64) for s in sets]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], names=["node", "prefix"])
 
 
 def _sets(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,10 +312,11 @@ def _arrays(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique([r[2] for r in rows], return_inverse=True)[1], np.array([r[0] for r in rows])
 
 
-def _coarse(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coarse(percent: int, once: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (token, _, _), rows in _by_group(batches, np.uint64):
         label, side = _arrays(rows)
-        found = may_link(np.array([r[4] for r in rows]), [r[3] for r in rows], label, side, percent)
+        earlier = [frozenset(t for t in r[5] if t < token) for r in rows] if once else None
+        found = may_link(np.array([r[4] for r in rows]), [r[3] for r in rows], label, side, percent, earlier)
         if found.any():
             at = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array([token] * len(at), pa.int64()), pa.array([rows[k][1] for k in at], pa.int64()),
@@ -289,10 +342,11 @@ def _in_blocks(members: DataFrame, *more: str) -> DataFrame:
     return rows.repartition(n, "token", "ti", "tj").sortWithinPartitions("token", "ti", "tj", "side", "node")
 
 
-def _compare(source: DataFrame, nodes: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) found in the groups ``members`` (token, node, label, n)."""
-    signed = members.join(nodes.select("node", "sig", "n_shingles"), "node")
-    found = cut(_in_blocks(signed, "sig", "n_shingles").mapInArrow(partial(_coarse, percent), "token long, node long, label long").distinct())
+def _compare(source: DataFrame, signed: DataFrame, members: DataFrame, words: int, percent: int, once: bool) -> DataFrame:
+    """Links (a, b) found in the groups ``members`` (token, node, label, n); ``once``: a pair in the first group that it shares."""
+    more = ["sig", "n_shingles", *(["tokens"] if once else [])]
+    rows = _in_blocks(members.join(signed.select("node", *more), "node"), *more)
+    found = cut(rows.mapInArrow(partial(_coarse, percent, once), "token long, node long, label long").distinct())
     left = found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     places = found.join(left, "token").groupBy("node").agg(F.collect_list(F.struct("token", "label", "n")).alias("places"))
     texts = source.join(broadcast_if_small(cut(places), BROADCAST_ROWS), F.col("doc_id") == F.col("node"))
@@ -302,29 +356,44 @@ def _compare(source: DataFrame, nodes: DataFrame, members: DataFrame, words: int
     return cut(_in_blocks(dealt, "blob").mapInArrow(partial(_exact, percent), "a long, b long"))
 
 
-def _reordered(source: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """``nodes`` with prefixes in which frequent shingles come last."""
+def _frequent(firsts: DataFrame, percent: int) -> np.ndarray:
+    """Frequent shingles, sorted; bounded in number by a larger limit where need be."""
     known, limit = np.zeros(0, np.uint64), FREQUENT
     for _ in range(REORDERS):
-        counts = nodes.select(F.explode("prefix").alias("token")).groupBy("token").count()
-        often = cut(counts.where(F.col("count") > limit))
-        while often.where(F.col("count") > limit).count() > FREQUENT_ROWS:
+        often = firsts.mapInArrow(partial(_repeated, percent, known), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+        often = cut(often.where(F.col("n") > limit))
+        while often.where(F.col("n") > limit).count() > FREQUENT_ROWS:
             limit *= 2
-        now = np.array([r.token for r in often.where(F.col("count") > limit).select("token").collect()], np.int64).view(np.uint64)
+        now = np.array([r.token for r in often.where(F.col("n") > limit).select("token").collect()], np.int64).view(np.uint64)
         new = np.setdiff1d(now, known)
         if not len(new):
             break
         known = np.union1d(known, new)
-        touched = cut(nodes.select("node", "prefix").mapInArrow(partial(_holding, new), "touched long").distinct())
-        texts = source.join(broadcast_if_small(touched, BROADCAST_ROWS), F.col("doc_id") == F.col("touched"), "left_semi")
-        anew = texts.mapInArrow(partial(_describe, words, percent, known), _DESCRIBED).select(
-            F.col("doc_id").alias("node"), "digest", F.col("prefix").alias("again"))
-        anew = anew.groupBy("node", "digest").agg(F.first("again").alias("again"))
-        nodes = cut(nodes.join(anew, ["node", "digest"], "left").withColumn("prefix", F.coalesce("again", "prefix")).drop("again"))
-    return nodes
+    return known
+
+
+def _keyed(source: DataFrame, firsts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, token) by prefix."""
+    frequent = _frequent(firsts, percent)
+    prefixes = firsts.mapInArrow(partial(_prefixes, percent, frequent), "node long, prefix array<long>")
+    short = cut(prefixes.where("prefix IS NULL").select("node").distinct())
+    texts = source.join(broadcast_if_small(short, BROADCAST_ROWS), F.col("doc_id") == F.col("node"), "left_semi")
+    anew = cut(texts.mapInArrow(partial(_whole_prefixes, words, percent, frequent), "node long, prefix array<long>"))
+    return prefixes.where("prefix IS NOT NULL").union(anew).select("node", F.explode("prefix").alias("token"))
 
 
-_DESCRIBED = "doc_id long, n_shingles long, digest binary, prefix array<long>, sig binary"
+def _groups(keyed: DataFrame) -> DataFrame:
+    """Groups of different members: (token, node, n)."""
+    tokens = keyed.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor("node").alias("all"))
+    tokens = cut(tokens.where("low < high"))
+    # up to three members are told by these numbers, more by digests over the members
+    few = tokens.where("n <= 3").groupBy("n", "low", "high", "all").agg(F.min("token").alias("token")).select("token", "n")
+    members = cut(keyed.join(broadcast_if_small(cut(few.union(tokens.where("n > 3").select("token", "n"))), NARROW_ROWS), "token"))
+    h = F.xxhash64("node")
+    many = members.where("n > 3").groupBy("token", "n").agg(F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h, F.lit(1))).alias("y"), F.min("node").alias("low"))
+    one = many.groupBy("n", "x", "y", "low").agg(F.min("token").alias("token")).select("token")
+    kept = members.where("n > 3").join(broadcast_if_small(cut(one), NARROW_ROWS), "token", "left_semi")
+    return cut(members.where("n <= 3").union(kept.select(*members.columns)).distinct())
 
 
 def _open_groups(members: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -348,34 +417,30 @@ def _largest(members: DataFrame) -> DataFrame:
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
-    base = cut(source.mapInArrow(partial(_describe, words, percent, np.zeros(0, np.uint64)), _DESCRIBED))
-    first = base.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min_by(F.struct("n_shingles", "prefix", "sig"), "doc_id").alias("x"), F.min("doc_id").alias("node"))
-    nodes = cut(first.select("node", "digest", "x.*"))
-    ids, base = nodes.select("node", "digest"), base.select("doc_id", "n_shingles", "digest")
-    nodes = _reordered(source, nodes, words, percent)
-
-    keyed = nodes.select("node", F.explode("prefix").alias("token"))
-    member = F.xxhash64("node")
-    groups = keyed.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"),
-        F.bit_xor(member).alias("x"), F.bit_xor(F.xxhash64(member, F.lit(1))).alias("y")).where("low < high")
-    groups = cut(groups.groupBy("n", "low", "high", "x", "y").agg(F.min("token").alias("token")).select("token", "n"))
-    members = cut(keyed.join(groups, "token"))
+    base = source.mapInArrow(partial(_describe, words, percent), _DESCRIBED)
+    base = cut(base.withColumn("place", F.monotonically_increasing_id()))
+    # the row of the smallest id stands for all documents of a set
+    chosen = cut(base.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("x")))
+    places, few = chosen.select(F.col("x.place").alias("place")), chosen.count() <= NARROW_ROWS
+    nodes = base.join(F.broadcast(places) if few else places, "place", "left_semi").withColumnRenamed("doc_id", "node")
+    nodes = nodes if few else cut(nodes)
+
+    members = _groups(_keyed(source, nodes.select("node", "n_shingles", "first"), words, percent))
+    lists = members.groupBy("node").agg(F.collect_list("token").alias("tokens"))
+    signed = cut(lists.join(nodes.select("node", "n_shingles", "sig"), "node"))
 
     links, found = [], None
     for turn in range(ROUNDS + 1):
         still = _open_groups(members, found)
-        new = _compare(source, nodes, _largest(still) if turn < ROUNDS else still, words, percent)
-        if new.isEmpty():
-            if turn < ROUNDS:  # further rounds would compare the same groups
-                new = _compare(source, nodes, still, words, percent)
-            turn = ROUNDS
+        new = _compare(source, signed, _largest(still), words, percent, False) if turn < ROUNDS else None
+        if new is None or new.isEmpty():
+            new, turn = _compare(source, signed, still, words, percent, True), ROUNDS
         links.append(new)
         found = cut(components(reduce(DataFrame.union, links)))
         if turn == ROUNDS:
             break
-    roots = ids.join(found, "node", "left").select(F.col("digest").alias("d"), F.coalesce("root", "node").alias("component_id"))
+    roots = chosen.select(F.col("digest").alias("d"), F.col("x.doc_id").alias("node")).join(found, "node", "left")
+    roots = roots.select("d", F.coalesce("root", "node").alias("component_id"))
     same_set = F.when(F.col("doc_id").isNotNull(), F.col("digest")) == F.col("d")
-    out = base.join(roots, same_set, "left")
+    out = base.select("doc_id", "n_shingles", "digest").join(roots, same_set, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

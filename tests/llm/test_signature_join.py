@@ -44,6 +44,7 @@ def test_chains_and_common_passages_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(sj, "FREQUENT", 8)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert got(docs, 4, 85) == want(rows, 4, 85)
+    monkeypatch.setattr(sj, "RESERVE", 1.0)
     monkeypatch.setattr(sj, "FREQUENT_ROWS", 20)  # the limit is doubled until so many are left
     monkeypatch.setattr(sj, "ROUNDS", 0)
     assert got(docs, 4, 60) == want(rows, 4, 60)
