@@ -37,7 +37,7 @@ from functools import partial, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import broadcast_if_small, cut, shuffle_partitions
@@ -251,13 +251,13 @@ def _describe(n: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterat
 
 
 def _prefixes(percent: int, frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, n_shingles, first): (node, prefix), null where the first shingles do not reach."""
+    """Rows (node, n_shingles, first): (node, size, prefix), the prefix null where the first shingles do not reach."""
     for b in batches:
         lists = b.column(2)
         flat, at = lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy() - lists.offsets[0].as_py()
         out = [prefix(flat[x:y], n, percent, frequent) for x, y, n in zip(at[:-1], at[1:], b.column(1).to_pylist())]
         out = pa.array([None if p is None else p.view(np.int64) for p in out], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([b.column(0), out], names=["node", "prefix"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), out], names=["node", "size", "prefix"])
 
 
 def _repeated(percent: int, frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +270,7 @@ def _repeated(percent: int, frequent: np.ndarray, batches: Iterator[pa.RecordBat
         return pa.RecordBatch.from_arrays([pa.array(token[again], pa.int64()), pa.array(n[again], pa.int64())], names=["token", "n"])
 
     for b in _prefixes(percent, frequent, batches):
-        held.append(b.column(1).flatten().to_numpy())
+        held.append(b.column(2).flatten().to_numpy())
         size += len(held[-1])
         if size > WINDOW:
             yield told()
@@ -281,9 +281,11 @@ def _repeated(percent: int, frequent: np.ndarray, batches: Iterator[pa.RecordBat
 def _whole_prefixes(n: int, percent: int, frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordHashes()
     for b in batches:
-        sets = (shingle_set(x.as_py(), n, words) for x in b.column(1))
-        out = [prefix(s, len(s), percent, frequent).view(np.int64) for s in sets]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], names=["node", "prefix"])
+        sizes, out = [], []
+        for s in (shingle_set(x.as_py(), n, words) for x in b.column(1)):
+            sizes.append(len(s))
+            out.append(prefix(s, len(s), percent, frequent).view(np.int64))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["node", "size", "prefix"])
 
 
 def _sets(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,8 +346,11 @@ def _in_blocks(members: DataFrame, *more: str) -> DataFrame:
 
 def _compare(source: DataFrame, signed: DataFrame, members: DataFrame, words: int, percent: int, once: bool) -> DataFrame:
     """Links (a, b) found in the groups ``members`` (token, node, label, n); ``once``: a pair in the first group that it shares."""
-    more = ["sig", "n_shingles", *(["tokens"] if once else [])]
-    rows = _in_blocks(members.join(signed.select("node", *more), "node"), *more)
+    more = ["sig", "n_shingles"]
+    if once:
+        signed = signed.join(members.groupBy("node").agg(F.collect_list("token").alias("tokens")), "node")
+        more.append("tokens")
+    rows = _in_blocks(members.join(signed, "node"), *more)
     found = cut(rows.mapInArrow(partial(_coarse, percent, once), "token long, node long, label long").distinct())
     left = found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     places = found.join(left, "token").groupBy("node").agg(F.collect_list(F.struct("token", "label", "n")).alias("places"))
@@ -373,27 +378,33 @@ def _frequent(firsts: DataFrame, percent: int) -> np.ndarray:
 
 
 def _keyed(source: DataFrame, firsts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, token) by prefix."""
+    """(node, size, token) by prefix."""
     frequent = _frequent(firsts, percent)
-    prefixes = firsts.mapInArrow(partial(_prefixes, percent, frequent), "node long, prefix array<long>")
+    prefixes = firsts.mapInArrow(partial(_prefixes, percent, frequent), "node long, size long, prefix array<long>")
     short = cut(prefixes.where("prefix IS NULL").select("node").distinct())
     texts = source.join(broadcast_if_small(short, BROADCAST_ROWS), F.col("doc_id") == F.col("node"), "left_semi")
-    anew = cut(texts.mapInArrow(partial(_whole_prefixes, words, percent, frequent), "node long, prefix array<long>"))
-    return prefixes.where("prefix IS NOT NULL").union(anew).select("node", F.explode("prefix").alias("token"))
+    anew = cut(texts.mapInArrow(partial(_whole_prefixes, words, percent, frequent), "node long, size long, prefix array<long>"))
+    return prefixes.where("prefix IS NOT NULL").union(anew).select("node", "size", F.explode("prefix").alias("token"))
 
 
-def _groups(keyed: DataFrame) -> DataFrame:
-    """Groups of different members: (token, node, n)."""
-    tokens = keyed.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor("node").alias("all"))
-    tokens = cut(tokens.where("low < high"))
+def _groups(keyed: DataFrame, percent: int) -> DataFrame:
+    """Groups of different members: (token, node, n).  Members of groups of at most ``FREQUENT`` stay with a partner near in size only."""
+    tokens = keyed.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor("node").alias("all"),
+        F.min("size").alias("small"), F.max("size").alias("large"))
+    tokens = cut(tokens.where(f"low < high AND (n > 2 OR {int(percent)} * large <= 100 * small)"))
     # up to three members are told by these numbers, more by digests over the members
     few = tokens.where("n <= 3").groupBy("n", "low", "high", "all").agg(F.min("token").alias("token")).select("token", "n")
     members = cut(keyed.join(broadcast_if_small(cut(few.union(tokens.where("n > 3").select("token", "n"))), NARROW_ROWS), "token"))
     h = F.xxhash64("node")
     many = members.where("n > 3").groupBy("token", "n").agg(F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h, F.lit(1))).alias("y"), F.min("node").alias("low"))
     one = many.groupBy("n", "x", "y", "low").agg(F.min("token").alias("token")).select("token")
-    kept = members.where("n > 3").join(broadcast_if_small(cut(one), NARROW_ROWS), "token", "left_semi")
-    return cut(members.where("n <= 3").union(kept.select(*members.columns)).distinct())
+    kept = members.where("n > 3").join(broadcast_if_small(cut(one), NARROW_ROWS), "token", "left_semi").select(*members.columns)
+    by_size = Window.partitionBy("token").orderBy("size", "node")
+    near = (percent * F.col("size") <= 100 * F.lag("size").over(by_size)) | (percent * F.lead("size").over(by_size) <= 100 * F.col("size"))
+    small = members.where("n = 3").union(kept.where(F.col("n") <= FREQUENT)).withColumn("near", near).where("near").drop("near")
+    pairs = members.where("n = 2").union(kept.where(F.col("n") > FREQUENT))
+    return cut(pairs.union(small.select(*pairs.columns)).select("token", "node", "n").distinct())
 
 
 def _open_groups(members: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -425,9 +436,8 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = base.join(F.broadcast(places) if few else places, "place", "left_semi").withColumnRenamed("doc_id", "node")
     nodes = nodes if few else cut(nodes)
 
-    members = _groups(_keyed(source, nodes.select("node", "n_shingles", "first"), words, percent))
-    lists = members.groupBy("node").agg(F.collect_list("token").alias("tokens"))
-    signed = cut(lists.join(nodes.select("node", "n_shingles", "sig"), "node"))
+    members = _groups(_keyed(source, nodes.select("node", "n_shingles", "first"), words, percent), percent)
+    signed = cut(nodes.select("node", "n_shingles", "sig").join(members.select("node").distinct(), "node", "left_semi"))
 
     links, found = [], None
     for turn in range(ROUNDS + 1):
