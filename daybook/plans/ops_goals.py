@@ -26,16 +26,16 @@ from daybook.functions.clock import RunClock
 from daybook.functions.dates import day_key, key_day, last_day, month_start
 from daybook.functions.measures import c0, derive_card_sales, derive_shop_totals
 from daybook.functions.predicates import is_fact_center, is_operating_center, is_rollup_member
-from daybook.operators.audit import AuditLog, run_job
-from daybook.operators.reload import stamp_run, write_reload
-from daybook.session import job_settings
+from daybook.operators.audit import AuditLog
+from daybook.operators.load import load_window
 from daybook.operators.merge import merge_metrics
 from daybook.operators.pivot import pivot_accounts
+from daybook.operators.quarantine import Quarantine, watcher
 from daybook.operators.snapshot import newest_sums, preaggregate
 from daybook.operators.spine import build_spine
 from daybook.operators.window import clip_to_run_window, period_between
 from daybook.operators.yoy import with_last_year_two_regime
-from daybook.sources.feeds import whole_number_sql, window_feed
+from daybook.sources.feeds import is_day_sql, whole_number_sql, window_feed
 
 KEYS = ["CENTER", "PERIOD"]
 V = "DATA_VALUE"
@@ -89,6 +89,10 @@ BUY_BACK_OPPS = ["STOREFRONT_PAYDAY_BUY_BACK_OPPORTUNITIES", "STOREFRONT_INSTALL
                  "STOREFRONT_TITLE_BUY_BACK_OPPORTUNITIES"]
 
 
+# Text measures of the center feed.
+CHECK_TEXTS = ["FORGERYRETURNEDVOLUME", "FORGERYCOLLECTVOLUME", "CHECKCASHINGVOLUME", "OPENLATE", "CLOSEEARLY"]
+
+
 def _try_cast(c: str, to: str) -> Column:
     return F.expr(f"try_cast({c} AS {to})")
 
@@ -122,8 +126,8 @@ def nps_component(feed, lo, hi, acc: OpsAccounts):
     return snapshot_pivot(feed, lo, hi, acc.nps, center_rule=is_operating_center, account_filter=True)
 
 
-def hours_component(feed, lo, hi, cast_to="double"):
-    df = window_feed(feed, lo, hi, center_rule=is_fact_center)
+def hours_component(feed, lo, hi, cast_to="double", watch=None):
+    df = window_feed(feed, lo, hi, center_rule=is_fact_center, watch=watch)
     return df.groupBy(*KEYS).agg(*[F.sum(_try_cast(src, cast_to)).alias(dst) for dst, src in STAFF_MAP.items()])
 
 
@@ -174,8 +178,8 @@ def prepaid_component(feed, lo, hi, acc: OpsAccounts):
     return snapshot_sum(feed, lo, hi, acc.prepaid, "PREPAIDCARDSALEITEMS")
 
 
-def bbk_component(feed, lo, hi):
-    df = window_feed(feed, lo, hi, center_rule=is_fact_center)
+def bbk_component(feed, lo, hi, watch=None):
+    df = window_feed(feed, lo, hi, center_rule=is_fact_center, watch=watch)
     sums = df.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in BUY_BACKS + BUY_BACK_OPPS],
                                  F.sum("CASH_SHORTS_PSD").alias("CASH_SHORTS_PSD"),
                                  F.sum("INTERNAL_AUDIT").alias("INTERNAL_AUDIT"))
@@ -203,8 +207,8 @@ def cash_component(feed, lo, hi):
             .groupBy(*KEYS).agg(F.sum(V).alias("AUDCASHSHORTS")))
 
 
-def checks_component(feed, lo, hi, cast_to="double"):
-    df = window_feed(feed, lo, hi, center_rule=is_fact_center)
+def checks_component(feed, lo, hi, cast_to="double", watch=None):
+    df = window_feed(feed, lo, hi, center_rule=is_fact_center, watch=watch)
     s = lambda c: F.sum(_try_cast(c, cast_to))
     return df.groupBy(*KEYS).agg(
         (s("FORGERYRETURNEDVOLUME") - s("FORGERYCOLLECTVOLUME")).alias("FORGERIES_VOL"),
@@ -227,12 +231,15 @@ def goal_rows(goals: DataFrame, clock: RunClock) -> DataFrame:
     return goals.where(period_between(goals, clock.expiration_id, clock.goal_end_id) & ~is_rollup_member(F.col("CENTER")))
 
 
-def goal_component(goals: DataFrame, clock: RunClock, acc: OpsAccounts) -> DataFrame:
+def goal_component(goals: DataFrame, clock: RunClock, acc: OpsAccounts, quarantine: Quarantine | None = None) -> DataFrame:
     """Goal cube (D6a over all accounts, E4 cut-off, C3 roll-up exclusion).
     Snapshot on the raw text center; grouped on the *cast* center so '25' and
     '025' land in one row.  Members that name no center are left out
     (``reject_counts`` of the filtered feed counts them)."""
-    raw = goal_rows(goals, clock).selectExpr(f"{whole_number_sql('CENTER')} AS _CENTER", "CENTER", "try_cast(PERIOD AS INT) AS PERIOD",
+    rows = goal_rows(goals, clock)
+    if quarantine is not None:
+        rows = quarantine.watch("goals", rows, raw=goals.where(~is_rollup_member(F.col("CENTER"))))
+    raw = rows.where(is_day_sql("try_cast(PERIOD AS INT)")).selectExpr(f"{whole_number_sql('CENTER')} AS _CENTER", "CENTER", "try_cast(PERIOD AS INT) AS PERIOD",
                                              "ACCOUNT", "GOAL_VALUE", "EXTRACT_DATE_ID").where("_CENTER IS NOT NULL")
     latest = newest_sums(raw, [*KEYS, "ACCOUNT"], {"GOAL_VALUE": None}, place=("_CENTER", "PERIOD"))
     latest = latest.selectExpr("_CENTER AS CENTER", "PERIOD", "ACCOUNT", "GOAL_VALUE")
@@ -319,16 +326,19 @@ class OpsSources:
     history: DataFrame      # the target itself
 
 
-def spine_components(src: OpsSources, lo: int, hi: int, acc: OpsAccounts, cast_to: str = "double") -> list[DataFrame]:
+def spine_components(src: OpsSources, lo: int, hi: int, acc: OpsAccounts, cast_to: str = "double",
+                     quarantine: Quarantine | None = None) -> list[DataFrame]:
+    """The ten components on the spine; ``quarantine`` watches the three wide feeds."""
+    watch = lambda name, feed, numbers=(): watcher(quarantine, name, feed, numbers)
     return [
         nps_component(src.nps, lo, hi, acc),
-        hours_component(src.staff, lo, hi, cast_to),
+        hours_component(src.staff, lo, hi, cast_to, watch("staff", src.staff, list(STAFF_MAP.values()))),
         dds_component(src.dds, lo, hi, acc),
         dda_feed_component(src.dda, lo, hi, acc),
         prepaid_component(src.prepaid, lo, hi, acc),
-        bbk_component(src.visit, lo, hi),
+        bbk_component(src.visit, lo, hi, watch("visit", src.visit)),
         cash_component(src.cash, lo, hi),
-        checks_component(src.center, lo, hi, cast_to),
+        checks_component(src.center, lo, hi, cast_to, watch("center", src.center, CHECK_TEXTS)),
         employees_component(src.employees, lo, hi, acc),
         shops_component(src.shops, lo, hi, acc),
     ]
@@ -341,22 +351,22 @@ def ops_target_schema() -> StructType:
 
 
 def ops_metrics(src: OpsSources, lo: int, hi: int, acc: OpsAccounts = OpsAccounts(),
-                cast_to: str = "double") -> DataFrame:
+                cast_to: str = "double", quarantine: Quarantine | None = None) -> DataFrame:
     """All spine components over [lo, hi], merged on (CENTER, PERIOD)."""
-    return merge_metrics(spine_components(src, lo, hi, acc, cast_to))
+    return merge_metrics(spine_components(src, lo, hi, acc, cast_to, quarantine))
 
 
 def run_ops_goals(src: OpsSources, clock: RunClock, acc: OpsAccounts = OpsAccounts(),
-                  cast_to: str = "double", audit: AuditLog | None = None) -> DataFrame:
+                  cast_to: str = "double", audit: AuditLog | None = None, quarantine: Quarantine | None = None) -> DataFrame:
     stage = audit.stage if audit else (lambda name, df: df)
     spine = stage("spine", build_spine(src.hierarchy, clock.start, clock.end))
-    metrics = ops_metrics(src, clock.start_id, clock.end_id, acc, cast_to)
+    metrics = ops_metrics(src, clock.start_id, clock.end_id, acc, cast_to, quarantine)
     cur = spine.join(metrics, KEYS, "left")
     cur = with_last_year_two_regime(cur, src.history, LY_MAP, clock)
     cur = lag_open_month(cur, ["FIRSTTIME_DDS_CY", "FIRSTTIME_DDS_LY"], clock)
     cur = zero_fill(cur, ZERO_FILLED).drop("DAY")
     cur = stage("components", cur)
-    goals = stage("goal", goal_component(src.goals, clock, acc))
+    goals = stage("goal", goal_component(src.goals, clock, acc, quarantine))
     merged = cur.join(goals, KEYS, "full")
     merged = derive_card_sales(derive_shop_totals(merged))
     out = clip_to_run_window(merged, clock.expiration_id, clock.goal_end_id)
@@ -366,21 +376,15 @@ def run_ops_goals(src: OpsSources, clock: RunClock, acc: OpsAccounts = OpsAccoun
 
 
 
-def load_ops_goals(src, clock: RunClock, target: str, audit: AuditLog, acc: OpsAccounts = OpsAccounts(), cast_to: str = "double") -> int:
+def load_ops_goals(src, clock: RunClock, target: str, audit: AuditLog, acc: OpsAccounts = OpsAccounts(), cast_to: str = "double", *,
+                   quarantine: Quarantine | None = None, restatement: bool = False) -> int:
     """Job entry (I5): audit start, stage counts, stamped reload of the run
     window into ``target`` (partitioned by PERIOD), audit end; returns 0.
-    Any failure is audited with its message and re-raised."""
-    spark = src.hierarchy.sparkSession
-
-    def body():
-        fresh = stamp_run(run_ops_goals(src, clock, acc, cast_to, audit=audit))
-        audit.log(f"Delete from target where PERIOD >= {clock.expiration_id}")
-        stats = write_reload(spark, fresh, target, clock.expiration_id)
-        audit.collect_stages()
-        audit.log(f"Reloaded partitions: {stats['written']} written, {stats['dropped']} dropped")
-        return 0
-    with job_settings(spark):
-        return run_job(audit, "ops_goals", body, spark)
+    Any failure is audited with its message and re-raised.  Unusable feed values are counted (``quarantine`` with a sink keeps
+    them); ``restatement`` adds how the window differs from the old one."""
+    quarantine = quarantine or Quarantine(clock.extract_id)
+    return load_window(src.hierarchy.sparkSession, "ops_goals", audit, target, clock, restatement, quarantine,
+                       lambda: run_ops_goals(src, clock, acc, cast_to, audit=audit, quarantine=quarantine))
 
 
 __all__ = ["load_ops_goals", "OpsAccounts", "OpsSources", "run_ops_goals", "ops_metrics", "spine_components",

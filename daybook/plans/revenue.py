@@ -23,10 +23,10 @@ from daybook.functions.measures import (
     revenue_daily_aggregates, revenue_output_columns, sql_c0, total_card_revenue_sql,
 )
 from daybook.functions.predicates import is_fact_center
-from daybook.operators.audit import AuditLog, run_job
-from daybook.operators.reload import stamp_run, write_reload
-from daybook.session import job_settings
+from daybook.operators.audit import AuditLog
+from daybook.operators.load import load_window
 from daybook.operators.merge import merge_actual_plan
+from daybook.operators.quarantine import Quarantine, watcher
 from daybook.operators.spine import build_spine
 from daybook.operators.window import clip_to_run_window
 from daybook.operators.yoy import with_last_year_two_regime
@@ -57,9 +57,9 @@ class RevenueSources:
     extra: dict = field(default_factory=dict)
 
 
-def daily_revenue(feed: DataFrame, lo: int, hi: int, actual: bool = True) -> DataFrame:
+def daily_revenue(feed: DataFrame, lo: int, hi: int, actual: bool = True, watch=None) -> DataFrame:
     """E1 + F1-F3 over [lo, hi] for fact centers."""
-    df = window_feed(feed, lo, hi, center_rule=is_fact_center)
+    df = window_feed(feed, lo, hi, center_rule=is_fact_center, watch=watch)
     return derive_check_loan_card(df.groupBy(*KEYS).agg(*revenue_daily_aggregates(actual)))
 
 
@@ -109,32 +109,26 @@ def revenue_target_schema() -> StructType:
 
 
 def run_revenue(src: RevenueSources, clock: RunClock, params: RevenueParams = RevenueParams(),
-                audit: AuditLog | None = None) -> DataFrame:
+                audit: AuditLog | None = None, quarantine: Quarantine | None = None) -> DataFrame:
     stage = audit.stage if audit else (lambda name, df: df)
     spine = stage("spine", build_spine(src.hierarchy, clock.start, clock.end))
-    actual_daily = daily_revenue(src.actual, clock.start_id, clock.end_id, actual=True)
+    actual_daily = daily_revenue(src.actual, clock.start_id, clock.end_id, actual=True, watch=watcher(quarantine, "actual", src.actual))
     actuals = stage("actuals", revenue_actuals(spine, actual_daily, src.history, clock))
-    plan_daily = stage("plan", daily_revenue(src.plan, clock.start_id, clock.plan_end_id, actual=False))
+    plan_daily = stage("plan", daily_revenue(src.plan, clock.start_id, clock.plan_end_id, actual=False, watch=watcher(quarantine, "plan", src.plan)))
     merged = stage("data", revenue_merged(actuals, plan_daily, clock, params))
     return stage("insert", revenue_output(merged, clock))
 
 
 
-def load_revenue(src, clock: RunClock, target: str, audit: AuditLog, params: RevenueParams = RevenueParams()) -> int:
+def load_revenue(src, clock: RunClock, target: str, audit: AuditLog, params: RevenueParams = RevenueParams(), *,
+                 quarantine: Quarantine | None = None, restatement: bool = False) -> int:
     """Job entry (I5): audit start, stage counts, stamped reload of the run
     window into ``target`` (partitioned by PERIOD), audit end; returns 0.
-    Any failure is audited with its message and re-raised."""
-    spark = src.actual.sparkSession
-
-    def body():
-        fresh = stamp_run(run_revenue(src, clock, params, audit=audit))
-        audit.log(f"Delete from target where PERIOD >= {clock.expiration_id}")
-        stats = write_reload(spark, fresh, target, clock.expiration_id)
-        audit.collect_stages()
-        audit.log(f"Reloaded partitions: {stats['written']} written, {stats['dropped']} dropped")
-        return 0
-    with job_settings(spark):
-        return run_job(audit, "revenue", body, spark)
+    Any failure is audited with its message and re-raised.  Unusable feed values are counted (``quarantine`` with a sink keeps
+    them); ``restatement`` adds how the window differs from the old one."""
+    quarantine = quarantine or Quarantine(clock.extract_id)
+    return load_window(src.actual.sparkSession, "revenue", audit, target, clock, restatement, quarantine,
+                       lambda: run_revenue(src, clock, params, audit=audit, quarantine=quarantine))
 
 
 __all__ = ["load_revenue", "RevenueParams", "RevenueSources", "daily_revenue", "revenue_actuals", "revenue_merged",

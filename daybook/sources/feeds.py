@@ -59,6 +59,18 @@ def whole_number_sql(col: str) -> str:
     return f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS INT) END"
 
 
+def day_sql(col: str = "PERIOD") -> str:
+    """The calendar day of a yyyymmdd key (text or number), NULL for all else."""
+    text = f"CAST({col} AS STRING)"
+    return f"CASE WHEN {text} RLIKE '^[0-9]{{8}}$' THEN try_to_date({text}, 'yyyyMMdd') END"
+
+
+def is_day_sql(col: str = "PERIOD") -> str:
+    """Whether an int key is a calendar day; the first 28 days of a month need no date."""
+    return (f"({col} BETWEEN 10000101 AND 99991231 AND (({col} % 100 BETWEEN 1 AND 28 AND {col} div 100 % 100 BETWEEN 1 AND 12) "
+            f"OR {day_sql(col)} IS NOT NULL))")
+
+
 def normalise_keys(df: DataFrame) -> DataFrame:
     """CENTER -> int (roll-up names become NULL), PERIOD -> int."""
     others = [f"`{c}`" for c in df.columns if c.upper() not in ("CENTER", "PERIOD")]
@@ -66,18 +78,25 @@ def normalise_keys(df: DataFrame) -> DataFrame:
     return df.selectExpr(center, "try_cast(PERIOD AS int) AS PERIOD", *others)
 
 
-def window_feed(df: DataFrame, lo: int, hi: int, center_rule=None, columns: list[str] | None = None) -> DataFrame:
-    """Filter a raw feed to [lo, hi] (+ optional center rule), then normalise keys."""
+def window_feed(df: DataFrame, lo: int, hi: int, center_rule=None, columns: list[str] | None = None, watch=None) -> DataFrame:
+    """Filter a raw feed to [lo, hi] (+ optional center rule), then normalise keys.
+
+    ``watch`` (a function of the raw rows of the window) may hang an observation on them: it sees the rows before the
+    center rule.  With a center rule, rows whose center is no whole number are left out, and those whose period is no calendar day always."""
     quote = "'" if _is_text(df, "PERIOD") else ""
     # literals typed like the raw key, so the predicate pushes down
     out = df.where(f"PERIOD BETWEEN {quote}{int(lo)}{quote} AND {quote}{int(hi)}{quote}")
+    out = out if watch is None else watch(out)
     raw_rule = center_rule is not None and not _is_text(df, "CENTER")
     if raw_rule:
         out = out.where(center_rule.sql("CENTER") if hasattr(center_rule, "sql") else center_rule(F.col("CENTER")))
     if columns is not None:
         out = out.selectExpr("CENTER", "PERIOD", *[f"`{c}`" for c in columns])
-    out = normalise_keys(out)
-    return out if raw_rule or center_rule is None else out.where(center_rule(F.col("CENTER")))
+    whole = isinstance(df.schema["CENTER"].dataType, IntegerType)
+    out = normalise_keys(out).where(is_day_sql())
+    if raw_rule:
+        return out if whole else out.where("CENTER IS NOT NULL")
+    return out if center_rule is None else out.where(center_rule(F.col("CENTER")))
 
 
 def reject_counts(df: DataFrame, numbers: list[str] = ()) -> DataFrame:
@@ -109,6 +128,8 @@ def read_partitions(spark: SparkSession, table: str, ranges: list[tuple[int, int
         raise ValueError(f"{table}: no {col}= partitions")
     keep = [p for k, p in sorted(parts.items()) if any(lo <= k <= hi for lo, hi in ranges)]
     reader = spark.read.option("basePath", table)
+    if schema is not None:  # columns and types as declared, whatever the first file says
+        reader = reader.schema(schema)
     if keep:
         return reader.parquet(*keep)
     return reader.parquet(next(iter(parts.values()))).where(F.lit(False))

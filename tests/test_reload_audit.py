@@ -30,7 +30,7 @@ def test_write_reload_replaces_window_and_drops_stale_partitions(spark):
     hist.write.partitionBy("PERIOD").parquet(target)
     fresh = spark.createDataFrame([(1, 20000201, 9.0), (1, 20000202, 8.0)], SCHEMA)
     stats = write_reload(spark, fresh, target, 20000201)
-    assert stats == {"written": 2, "dropped": 1}
+    assert stats == {"written": 2, "dropped": 1, "rows": 2, "deleted": 2}
     assert len(os.listdir(os.path.join(target, "PERIOD=20000201"))) == 2  # one file and its checksum
     got = rows(spark.read.parquet(target))
     assert got == [(1, 20000131, 1.0), (1, 20000201, 9.0), (1, 20000202, 8.0)]
@@ -114,7 +114,7 @@ def test_reload_leaves_the_target_alone_when_something_is_missing(spark, tmp_pat
     with pytest.raises(Exception):
         write_reload(spark, bad, target, 20000201)
     assert files(target) == before
-    assert write_reload(spark, fresh.where("false"), target, 20000201, allow_empty=True) == {"written": 0, "dropped": 1}
+    assert write_reload(spark, fresh.where("false"), target, 20000201, allow_empty=True) == {"written": 0, "dropped": 1, "rows": 0, "deleted": 1}
 
 
 def test_staging_needs_a_shared_folder_off_local_masters():
@@ -156,3 +156,137 @@ def test_job_settings_come_back(spark):
         assert spark.conf.get(key) == JOB_CONF[key]
     assert spark.conf.get(key) == "123"
     spark.conf.set(key, JOB_CONF[key])
+
+
+# ---- crashes, counts, leases ----------------------------------------------------------
+
+HIST = [(1, 20000131, 1.0), (1, 20000201, 2.0), (2, 20000201, 2.5), (2, 20000420, 3.0)]
+FRESH = [(1, 20000201, 9.0), (1, 20000202, 8.0), (2, 20000203, 7.0)]
+AFTER = [(1, 20000131, 1.0), *FRESH]
+
+
+@pytest.fixture
+def target(spark, tmp_path):
+    path = str(tmp_path / "target")
+    spark.createDataFrame(HIST, SCHEMA).write.partitionBy("PERIOD").parquet(path)
+    return path
+
+
+def crash_after(monkeypatch, step):
+    """The process dies in the middle of a reload that is decided."""
+    from daybook.operators import reload as r
+    real_apply, real_remove = r._apply, r.remove
+
+    def apply(spark, target, record):
+        if step == "record":
+            raise SystemExit("killed")
+        if step == "one partition":
+            part = r.read_staged(spark, {**record, "keys": record["keys"][:1]})
+            part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("PERIOD").parquet(target)
+            raise SystemExit("killed")
+
+        def remove(s, path):
+            if step == "overwrite" or step == "stale days" and path.endswith("commit.json"):
+                raise SystemExit("killed")
+            real_remove(s, path)
+        monkeypatch.setattr(r, "remove", remove)
+        real_apply(spark, target, record)
+    monkeypatch.setattr(r, "_apply", apply)
+
+
+@pytest.mark.parametrize("step", ["record", "one partition", "overwrite", "stale days"])
+def test_a_reload_that_was_killed_halfway_is_finished_by_the_next_run(spark, target, monkeypatch, step):
+    from daybook.operators.reload import record_path, recover_reload
+    fresh = spark.createDataFrame(FRESH, SCHEMA)
+    with monkeypatch.context() as m:
+        crash_after(m, step)
+        with pytest.raises(SystemExit):
+            write_reload(spark, fresh, target, 20000201)
+    assert os.path.exists(record_path(target))
+    if step == "one partition":  # a mixed target: what the record is for
+        assert rows(spark.read.parquet(target)) == [(1, 20000131, 1.0), (1, 20000201, 9.0), (2, 20000420, 3.0)]
+    assert recover_reload(spark, target)
+    assert rows(spark.read.parquet(target)) == AFTER
+    assert not recover_reload(spark, target) and os.listdir(os.path.join(target, "_reload")) == []
+    # or the next run does so itself, whatever its own window
+    with monkeypatch.context() as m:
+        crash_after(m, step)
+        with pytest.raises(SystemExit):
+            write_reload(spark, spark.createDataFrame([(5, 20000201, 5.0)], SCHEMA), target, 20000201)
+    stats = write_reload(spark, spark.createDataFrame([(6, 20000301, 6.0)], SCHEMA), target, 20000301)
+    assert rows(spark.read.parquet(target)) == [(1, 20000131, 1.0), (5, 20000201, 5.0), (6, 20000301, 6.0)]
+    assert stats["deleted"] == 0
+
+
+def test_a_failure_before_the_record_leaves_no_trace(spark, target, monkeypatch):
+    from daybook.operators import reload as r
+    before = files(target)
+    monkeypatch.setattr(r, "count_rows", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        write_reload(spark, spark.createDataFrame(FRESH, SCHEMA), target, 20000201)
+    assert files(target) == before and not r.recover_reload(spark, target)
+
+
+def test_a_record_whose_staged_rows_are_gone_is_kept_and_told(spark, target, monkeypatch):
+    from daybook.operators import reload as r
+    with monkeypatch.context() as m:
+        crash_after(m, "record")
+        with pytest.raises(SystemExit):
+            write_reload(spark, spark.createDataFrame(FRESH, SCHEMA), target, 20000201)
+    import json
+    import shutil
+    record = json.loads(open(r.record_path(target)).read())
+    shutil.move(f"{record['staging']}/PERIOD=20000203", os.path.join(os.path.dirname(target), "lost"))
+    with pytest.raises(Exception):
+        r.recover_reload(spark, target)
+    assert os.path.exists(r.record_path(target)) and rows(spark.read.parquet(target)) == HIST
+
+
+def test_rows_without_a_day_stop_the_reload(spark, target):
+    fresh = spark.createDataFrame([*FRESH, (3, None, 1.0)], SCHEMA)
+    with pytest.raises(RuntimeError, match="1 of 4 rows have no PERIOD"):
+        write_reload(spark, fresh, target, 20000201)
+    assert rows(spark.read.parquet(target)) == HIST
+
+
+def test_deleted_rows_come_from_the_footers(spark, target):
+    from daybook.operators.reload import count_rows, footer_scan, partition_dirs
+    doomed = [p for k, p in partition_dirs(spark, target).items() if k >= 20000201]
+    assert count_rows(spark, doomed) == 3 and count_rows(spark, []) == 0
+    plan = footer_scan(spark, doomed).groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    assert write_reload(spark, spark.createDataFrame(FRESH, SCHEMA), target, 20000201)["deleted"] == 3
+
+
+def test_restatement_counts(spark, target):
+    from daybook.operators.restatement import window_changes
+    fresh = spark.createDataFrame([(1, 20000201, 2.0), (2, 20000201, None), (3, 20000201, 1.0)], SCHEMA)
+    stats = write_reload(spark, fresh, target, 20000201, restatement=())
+    assert {k: stats[k] for k in ("added", "changed", "gone", "same")} == {"added": 1, "changed": 1, "gone": 1, "same": 1}
+    two = "CENTER int, PERIOD int, A int, B int"
+    old = spark.createDataFrame([(1, 1, None, 5), (2, 1, None, None)], two)
+    new = spark.createDataFrame([(1, 1, 5, None), (2, 1, None, None)], two)
+    assert [tuple(r) for r in window_changes(old, new).collect()] == [(1, 0, 1, 0, 1)]
+    assert write_reload(spark, fresh, str(target) + "-first", 20000201, restatement=())["added"] == 3
+
+
+def test_one_run_at_a_time(spark, target):
+    from daybook.operators.reload import TargetBusy, lease
+    before = files(target)
+    with lease(spark, target, "first"):
+        with pytest.raises(TargetBusy, match="first"):
+            with lease(spark, target, "second"):
+                raise AssertionError
+        assert {k: v for k, v in files(target).items() if "lease" not in k} == before
+    assert files(target) == before
+    with lease(spark, target, "first", seconds=-1):  # it ran out
+        with lease(spark, target, "second"):
+            with pytest.raises(TargetBusy, match="second"):
+                with lease(spark, target, "third"):
+                    raise AssertionError
+        assert files(target) == before
+    with pytest.raises(ZeroDivisionError):
+        with lease(spark, target, "failing"):
+            1 / 0
+    with lease(spark, target, "after"):
+        pass
