@@ -29,7 +29,9 @@ from daybook.functions.predicates import is_fact_center, is_rollup_member
 from daybook.operators.audit import AuditLog, run_job
 from daybook.operators.merge import merge_metrics
 from daybook.operators.pivot import pivot_accounts
+from daybook.operators.quarantine import reject_rows
 from daybook.operators.reload import reload_window
+from daybook.operators.restatement import STATES, window_changes
 from daybook.operators.snapshot import latest_snapshot, newest_sums
 from daybook.operators.spine import build_spine
 from daybook.operators.yoy import (calendar_key, last_year_key, weekday_key, with_last_year,
@@ -43,7 +45,7 @@ from daybook.sources.fixtures import CENTER_TEXT_COLUMNS, fixture
 AS_OF = dt.date(2000, 3, 15)
 ALL_DAYS = (0, 99991231)
 KEY_COLUMNS = {"CENTER", "PERIOD", "EXTRACT_DATE_ID", "CALENDAR_DATE_ID", "EXPIRATION_DATE_ID",
-               "GOAL_END_ID", "N_ROWS", "MONTH", "ROW_COUNT", "SEVERITY"}
+               "GOAL_END_ID", "N_ROWS", "N_ADDED", "N_CHANGED", "N_GONE", "N_SAME", "MONTH", "ROW_COUNT", "SEVERITY"}
 FIXTURE_PARAMS = RevenueParams(override_centers=(1525,), accrual_since=20000215)
 FIXTURE_ACCOUNTS = og.OpsAccounts(
     nps={"DBACHECKS": ["AF1"], "PROMOTERS_NPS": ["NO1"], "DETRACTORS_NPS": ["RF1"],
@@ -293,6 +295,32 @@ def q_reject_counts(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+def q_rejects_quarantine(spark, d):
+    """The unusable values that a quarantine keeps, by feed, field and value."""
+    feeds = {"goals": (fixture(spark, d, "goals").where(~is_rollup_member("CENTER")), []),
+             "text_center_metrics": (fixture(spark, d, "text_center_metrics"), CENTER_TEXT_COLUMNS),
+             "plan": (fixture(spark, d, "daily_plan_odd_keys"), [])}
+    rows = reduce(DataFrame.unionByName, [reject_rows(f, k, n) for k, (f, n) in feeds.items()])
+    return rows.groupBy("FEED", "FIELD", "VALUE").agg(F.count(F.lit(1)).alias("N_ROWS"))
+
+
+def q_revenue_odd_plan_keys(spark, d):
+    """The revenue tracker on a plan feed with centers that are no whole number and days that are none."""
+    src = revenue_sources(spark, d)
+    src.plan = fixture(spark, d, "daily_plan_odd_keys")
+    return run_revenue(src, clock(), FIXTURE_PARAMS)
+
+
+def q_window_restatement(spark, d):
+    """How the revenue job's window differs by day from a stand-in target of its actual measures."""
+    c = clock()
+    cols = ["CENTER", "PERIOD", *REVENUE_MEASURES]
+    old = revenue_history(spark, d).select(*cols).where(F.col("PERIOD") >= c.expiration_id)
+    new = run_revenue(revenue_sources(spark, d), c, FIXTURE_PARAMS).select(*cols)
+    days = window_changes(old, new)
+    return days.select("PERIOD", *[F.col(s).alias(f"N_{s}") for s in STATES])
+
+
 def _revenue_merged(spark, d):
     c = clock()
     src = revenue_sources(spark, d)
@@ -421,6 +449,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shop_card_totals": q_shop_card_totals,
     "text_center_feed": q_text_center_feed,
     "reject_counts": q_reject_counts,
+    "rejects_quarantine": q_rejects_quarantine,
+    "revenue_odd_plan_keys": q_revenue_odd_plan_keys,
+    "window_restatement": q_window_restatement,
     "revenue_first_run": q_revenue_first_run,
     "ops_first_run": q_ops_first_run,
     **{f"revenue_{r}": partial(q_revenue_tracker, run=r) for r in RUN_DATES},

@@ -161,10 +161,10 @@ def two_regime(cur_cols: list[str], ly: dict[str, str], comp: str, hist: str, ex
     return f"{closed} UNION ALL {opened}"
 
 
-def revenue_ctes() -> dict[str, str]:
+def revenue_ctes(plan: str | None = None) -> dict[str, str]:
     return {
         "feed_a": fixture_sql("daily_actual"),
-        "feed_p": fixture_sql("daily_plan"),
+        "feed_p": plan or fixture_sql("daily_plan"),
         "hier": fixture_sql("hierarchy"),
         "spine": spine_sql(),
         "checks": rev_daily("feed_a", C.start_id, C.end_id, True),
@@ -609,6 +609,39 @@ def sql_reject_counts() -> str:
     return with_(goals=fixture_sql("goals"), tc=fixture_sql("text_center_metrics"), r=body) + "SELECT * FROM r WHERE N_ROWS > 0"
 
 
+def sql_rejects_quarantine() -> str:
+    day = lambda c: f"CASE WHEN length(CAST({c} AS VARCHAR)) = 8 THEN try_strptime(CAST({c} AS VARCHAR), '%Y%m%d') END"
+    g = "goals WHERE CENTER NOT LIKE '%Centers' AND CENTER NOT LIKE 'D%'"
+    fields = [(feed, c, e, frm) for feed, frm in (("goals", g), ("text_center_metrics", "tc"), ("plan", "plan"))
+              for c, e in (("CENTER", "CASE WHEN TRY_CAST(CENTER AS DOUBLE) = floor(TRY_CAST(CENTER AS DOUBLE)) THEN 1 END"), ("PERIOD", day("PERIOD")))]
+    fields += [("text_center_metrics", c, f"TRY_CAST({c} AS DOUBLE)", "tc") for c in CENTER_TEXT_COLUMNS]
+    body = " UNION ALL ".join(f"SELECT '{feed}' AS FEED, '{c}' AS FIELD, CAST({c} AS VARCHAR) AS VALUE, COUNT(*) AS N_ROWS FROM (SELECT * FROM {frm}) x "
+                              f"WHERE {c} IS NOT NULL AND ({e}) IS NULL GROUP BY 3" for feed, c, e, frm in fields)
+    return with_(goals=fixture_sql("goals"), tc=fixture_sql("text_center_metrics"), plan=fixture_sql("daily_plan_odd_keys"), r=body) + "SELECT * FROM r"
+
+
+def sql_revenue_odd_plan_keys() -> str:
+    """Usable rows only: whole centers, days of the calendar."""
+    usable = (f"SELECT * REPLACE (CAST(CENTER AS INTEGER) AS CENTER) FROM ({fixture_sql('daily_plan_odd_keys')}) x WHERE CENTER = floor(CENTER) "
+              "AND try_strptime(CAST(PERIOD AS VARCHAR), '%Y%m%d') IS NOT NULL")
+    ctes = {**revenue_ctes(plan=usable), "data": revenue_data_sql(), "ins": card_rollup_sql()}
+    return with_(**ctes) + final(M.revenue_output_columns(), "ins")
+
+
+def sql_window_restatement() -> str:
+    """By a full outer join of old and new window, column by column."""
+    cols = ", ".join(f'"{m}"' for m in M.REVENUE_MEASURES)
+    differs = " OR ".join(f'CAST(o."{m}" AS DOUBLE) IS DISTINCT FROM CAST(n."{m}" AS DOUBLE)' for m in M.REVENUE_MEASURES)
+    ctes = {**revenue_ctes(), "data": revenue_data_sql(), "ins": card_rollup_sql(),
+            "o": f"SELECT CENTER, PERIOD, {cols} FROM hist WHERE PERIOD >= {C.expiration_id}", "n": f"SELECT CENTER, PERIOD, {cols} FROM ins"}
+    return with_(**ctes) + (
+        "SELECT COALESCE(o.PERIOD, n.PERIOD) AS PERIOD, COUNT(*) FILTER (WHERE o.CENTER IS NULL) AS N_ADDED, "
+        f"COUNT(*) FILTER (WHERE o.CENTER IS NOT NULL AND n.CENTER IS NOT NULL AND ({differs})) AS N_CHANGED, "
+        "COUNT(*) FILTER (WHERE n.CENTER IS NULL) AS N_GONE, "
+        f"COUNT(*) FILTER (WHERE o.CENTER IS NOT NULL AND n.CENTER IS NOT NULL AND NOT ({differs})) AS N_SAME "
+        "FROM o FULL OUTER JOIN n ON o.CENTER = n.CENTER AND o.PERIOD = n.PERIOD GROUP BY 1")
+
+
 def sql_stage_audit_counts() -> str:
     """Audit rows of one revenue run: start, each stage's row count, end."""
     ctes = {**revenue_ctes(), "data": revenue_data_sql(), "ins": card_rollup_sql()}
@@ -666,6 +699,9 @@ def build() -> dict[str, str]:
         "shop_card_totals": sql_shop_card_totals(),
         "text_center_feed": sql_text_center_feed(),
         "reject_counts": sql_reject_counts(),
+        "rejects_quarantine": sql_rejects_quarantine(),
+        "revenue_odd_plan_keys": sql_revenue_odd_plan_keys(),
+        "window_restatement": sql_window_restatement(),
         "revenue_first_run": revenue(first_run=True),
         "ops_first_run": ops_goals_sql(first_run=True),
         **runs,

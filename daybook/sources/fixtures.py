@@ -99,6 +99,13 @@ def daily_plan_sql(t: TableRef) -> str:
             f"{cols} FROM {t('orders')}")
 
 
+def daily_plan_odd_keys_sql(t: TableRef) -> str:
+    """The plan feed with numeric centers that are no whole number now and then, and days that no calendar has."""
+    cols = ", ".join(f"{_orders_decimal(j)} AS {c}" for j, c in enumerate(revenue_feed_columns(actual=False)))
+    return (f"SELECT CAST((o_custkey % 100) * 61 AS DOUBLE) + CASE WHEN o_orderkey % 9 = 0 THEN 0.5 ELSE 0 END AS CENTER, "
+            f"CASE WHEN o_orderkey % 23 = 0 THEN 20000200 + 30 + o_orderkey % 2 ELSE {O_DAY} END AS PERIOD, {cols} FROM {t('orders')}")
+
+
 def account_feed_sql(t: TableRef) -> str:
     """Snapshot feed: account = return flag + line status + line number; three
     extract versions per day; value = quantity."""
@@ -168,6 +175,7 @@ RECIPES = {
     "hierarchy": hierarchy_sql,
     "daily_actual": daily_actual_sql,
     "daily_plan": daily_plan_sql,
+    "daily_plan_odd_keys": daily_plan_odd_keys_sql,
     "account_feed": account_feed_sql,
     "events_feed": events_feed_sql,
     "goals": goals_sql,
