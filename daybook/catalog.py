@@ -33,10 +33,12 @@ from daybook.operators.quarantine import reject_rows
 from daybook.operators.reload import reload_window
 from daybook.operators.restatement import STATES, window_changes
 from daybook.operators.snapshot import latest_snapshot, newest_sums
+from daybook.operators.snapshot_state import SnapshotState, in_steps, month_of
 from daybook.operators.spine import build_spine
 from daybook.operators.yoy import (calendar_key, last_year_key, weekday_key, with_last_year,
                                    with_last_year_two_regime)
 from daybook.plans import ops_goals as og
+from daybook.plans.backfill import backfill_revenue
 from daybook.plans.revenue import (RevenueParams, RevenueSources, daily_revenue, revenue_actuals,
                                    revenue_merged, revenue_output, revenue_target_schema, run_revenue)
 from daybook.sources.feeds import normalise_keys, reject_counts
@@ -77,6 +79,11 @@ RUN_DATES = {
     "new_year": (dt.date(2001, 1, 10), None),
     "same_day": (dt.date(2000, 3, 15), dt.date(2000, 3, 15)),
 }
+# More run dates of the backfill, and the columns that its query returns.
+BACKFILL_DATES = {"april": dt.date(2000, 4, 1), "may": dt.date(2000, 5, 31), "august": dt.date(2000, 8, 15), "december": dt.date(2000, 12, 2),
+                  "january": dt.date(2001, 1, 20)}
+BACKFILL_COLUMNS = [m + s for m in ("TOTALCARDREV", "ELITE", "TOTALCOMM") for s in ("", "_LY", "_PLAN")] + [
+    FIXTURE_PARAMS.accrual_measure, *[m + "_PLAN" for m in FIXTURE_PARAMS.override_measures], "ATM_FEE", "ATM_FEE_LY", "ATM_FEE_PLAN"]
 
 
 def clock(run: str | None = None) -> RunClock:
@@ -321,6 +328,31 @@ def q_window_restatement(spark, d):
     return days.select("PERIOD", *[F.col(s).alias(f"N_{s}") for s in STATES])
 
 
+def q_backfill_windows(spark, d):
+    """Ten run dates of the revenue job in one plan."""
+    days = [clock().as_of, *[x for x, _ in RUN_DATES.values()], *BACKFILL_DATES.values()]
+    out = backfill_revenue(revenue_sources(spark, d), days, FIXTURE_PARAMS, fixed_history=True)
+    return out.select("AS_OF", "CENTER", "PERIOD", "DATES", "EXTRACT_DATE_ID", *BACKFILL_COLUMNS)
+
+
+def _three_extracts(spark, d) -> DataFrame:
+    """The account feed as three extracts of all its days."""
+    feed = normalise_keys(fixture(spark, d, "account_feed"))
+    return feed.withColumn("EXTRACT_DATE_ID", F.col("EXTRACT_DATE_ID") - F.col("PERIOD") + 1)
+
+
+def q_snapshot_state_steps(spark, d):
+    """Newest sums by center, day and account, from one extract after the other."""
+    spec = SnapshotState(("CENTER", "PERIOD", "ACCOUNT"), ("DATA_VALUE",))
+    return in_steps(spec, _three_extracts(spark, d), [1, 2, 3])
+
+
+def q_snapshot_state_month_steps(spark, d):
+    """Day sums of the newest extract of a center, month and account, from one extract after the other."""
+    spec = SnapshotState(("CENTER", "MONTH", "ACCOUNT"), ("DATA_VALUE",), detail=("PERIOD",))
+    return in_steps(spec, _three_extracts(spark, d), [1, 2, 3], lambda rows: rows.withColumn("MONTH", month_of()))
+
+
 def _revenue_merged(spark, d):
     c = clock()
     src = revenue_sources(spark, d)
@@ -452,6 +484,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rejects_quarantine": q_rejects_quarantine,
     "revenue_odd_plan_keys": q_revenue_odd_plan_keys,
     "window_restatement": q_window_restatement,
+    "backfill_windows": q_backfill_windows,
+    "snapshot_state_steps": q_snapshot_state_steps,
+    "snapshot_state_month_steps": q_snapshot_state_month_steps,
     "revenue_first_run": q_revenue_first_run,
     "ops_first_run": q_ops_first_run,
     **{f"revenue_{r}": partial(q_revenue_tracker, run=r) for r in RUN_DATES},

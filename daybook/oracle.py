@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from daybook import oracle_lists as M
-from daybook.catalog import ALL_DAYS, EVENT_ACCOUNTS, EVENT_PIVOT, FIXTURE_ACCOUNTS, FIXTURE_PARAMS, KEY_COLUMNS
+from daybook.catalog import ALL_DAYS, BACKFILL_COLUMNS, EVENT_ACCOUNTS, EVENT_PIVOT, FIXTURE_ACCOUNTS, FIXTURE_PARAMS, KEY_COLUMNS
 from daybook.sources.fixtures import CENTER_TEXT_COLUMNS, fixture_sql
 
 ONE = dt.timedelta(days=1)
@@ -54,6 +54,19 @@ RUNS = {
     "same_day": Bounds(20000315, 20000315, 20000201, 20000201, 20000301, 20000314, 20000331, 20000331, 20000315,
                        ((19990201, 19990228), (19990303, 19990316))),
 }
+# Further run dates of the backfill.
+BACKFILL_RUNS = {
+    "april": Bounds(20000401, 20000331, 20000201, 20000201, 20000301, 20000330, 20000330, 20000331, 20000330,
+                    ((19990201, 19990228), (19990303, 19990401))),
+    "may": Bounds(20000531, 20000530, 20000401, 20000401, 20000501, 20000530, 20000531, 20000531, 20000530,
+                  ((19990401, 19990430), (19990503, 19990601))),
+    "august": Bounds(20000815, 20000814, 20000701, 20000701, 20000801, 20000814, 20000831, 20000831, 20000814,
+                     ((19990701, 19990731), (19990803, 19990816))),
+    "december": Bounds(20001202, 20001201, 20001001, 20001001, 20001101, 20001130, 20001130, 20001130, 20001200,
+                       ((19991001, 19991031), (19991103, 19991202))),
+    "january": Bounds(20010120, 20010119, 20001201, 20001201, 20010101, 20010119, 20010131, 20010131, 20010119,
+                      ((19991201, 19991231), (20000103, 20000121))),
+}
 C = RUNS[None]
 
 
@@ -61,7 +74,7 @@ C = RUNS[None]
 def at(run: str | None):
     """Build SQL for another run date."""
     global C
-    before, C = C, RUNS[run]
+    before, C = C, {**RUNS, **BACKFILL_RUNS}[run]
     try:
         yield
     finally:
@@ -642,6 +655,34 @@ def sql_window_restatement() -> str:
         "FROM o FULL OUTER JOIN n ON o.CENTER = n.CENTER AND o.PERIOD = n.PERIOD GROUP BY 1")
 
 
+def sql_backfill_windows() -> str:
+    """One run after the other, each as its own statement (the run of 2000-03-15 once, with the extract of the day before)."""
+    parts = []
+    for run in [r for r in {**RUNS, **BACKFILL_RUNS} if r != "same_day"]:
+        with at(run):
+            one = _sql_revenue(["CENTER", "PERIOD", "DATES", "EXTRACT_DATE_ID", *BACKFILL_COLUMNS], True)
+            parts.append(f"SELECT {d(C.as_of)} AS AS_OF, r.* FROM ({one}) r")
+    return " UNION ALL ".join(parts)
+
+
+def sql_snapshot_state_steps() -> str:
+    """All extracts at once, by an inner join with the newest."""
+    f = "SELECT * REPLACE (CAST(PERIOD AS INTEGER) AS PERIOD, EXTRACT_DATE_ID - CAST(PERIOD AS INTEGER) + 1 AS EXTRACT_DATE_ID) FROM acct"
+    t = ("SELECT f.CENTER, f.PERIOD, f.ACCOUNT, f.EXTRACT_DATE_ID, SUM(f.DATA_VALUE) AS DATA_VALUE FROM f JOIN (SELECT CENTER, PERIOD, ACCOUNT, "
+         "MAX(EXTRACT_DATE_ID) AS m FROM f GROUP BY ALL) b ON f.CENTER = b.CENTER AND f.PERIOD = b.PERIOD AND f.ACCOUNT = b.ACCOUNT "
+         "AND f.EXTRACT_DATE_ID = b.m GROUP BY ALL")
+    return with_(acct=fixture_sql("account_feed"), f=f, t=t) + final(["CENTER", "PERIOD", "ACCOUNT", "EXTRACT_DATE_ID", "DATA_VALUE"], "t")
+
+
+def sql_snapshot_state_month_steps() -> str:
+    f = ("SELECT * REPLACE (CAST(PERIOD AS INTEGER) AS PERIOD, EXTRACT_DATE_ID - CAST(PERIOD AS INTEGER) + 1 AS EXTRACT_DATE_ID), "
+         "CAST(PERIOD AS INTEGER) // 100 AS MONTH FROM acct")
+    t = ("SELECT f.CENTER, f.MONTH, f.ACCOUNT, f.PERIOD, f.EXTRACT_DATE_ID, SUM(f.DATA_VALUE) AS DATA_VALUE FROM f JOIN (SELECT CENTER, MONTH, "
+         "ACCOUNT, MAX(EXTRACT_DATE_ID) AS m FROM f GROUP BY ALL) b ON f.CENTER = b.CENTER AND f.MONTH = b.MONTH AND f.ACCOUNT = b.ACCOUNT "
+         "AND f.EXTRACT_DATE_ID = b.m GROUP BY ALL")
+    return with_(acct=fixture_sql("account_feed"), f=f, t=t) + final(["CENTER", "MONTH", "ACCOUNT", "PERIOD", "EXTRACT_DATE_ID", "DATA_VALUE"], "t")
+
+
 def sql_stage_audit_counts() -> str:
     """Audit rows of one revenue run: start, each stage's row count, end."""
     ctes = {**revenue_ctes(), "data": revenue_data_sql(), "ins": card_rollup_sql()}
@@ -702,6 +743,9 @@ def build() -> dict[str, str]:
         "rejects_quarantine": sql_rejects_quarantine(),
         "revenue_odd_plan_keys": sql_revenue_odd_plan_keys(),
         "window_restatement": sql_window_restatement(),
+        "backfill_windows": sql_backfill_windows(),
+        "snapshot_state_steps": sql_snapshot_state_steps(),
+        "snapshot_state_month_steps": sql_snapshot_state_month_steps(),
         "revenue_first_run": revenue(first_run=True),
         "ops_first_run": ops_goals_sql(first_run=True),
         **runs,

@@ -57,9 +57,10 @@ class RevenueSources:
     extra: dict = field(default_factory=dict)
 
 
-def daily_revenue(feed: DataFrame, lo: int, hi: int, actual: bool = True, watch=None) -> DataFrame:
-    """E1 + F1-F3 over [lo, hi] for fact centers."""
+def daily_revenue(feed: DataFrame, lo: int, hi: int, actual: bool = True, watch=None, days: DataFrame | None = None) -> DataFrame:
+    """E1 + F1-F3 over [lo, hi] for fact centers; with ``days`` (PERIOD, distinct) over these days only."""
     df = window_feed(feed, lo, hi, center_rule=is_fact_center, watch=watch)
+    df = df if days is None else df.join(days, "PERIOD", "left_semi")
     return derive_check_loan_card(df.groupBy(*KEYS).agg(*revenue_daily_aggregates(actual)))
 
 
@@ -74,12 +75,18 @@ def revenue_merged(actuals: DataFrame, plan_daily: DataFrame, clock: RunClock,
     """D7 + F4-F6 + C8: zero-filled actual/LY/plan triples on the run window."""
     plan_measures = [m for m in REVENUE_MEASURES if has_plan(m)]
     merged = merge_actual_plan(actuals.drop("DAY"), plan_daily, plan_measures)
+    out = revenue_triples(merged, f"DATE'{clock.as_of}'", params)
+    return clip_to_run_window(out, clock.expiration_id).where(F.col("DATES") <= F.lit(clock.month_end))
+
+
+def revenue_triples(merged: DataFrame, as_of: str, params: RevenueParams, more: tuple[str, ...] = ()) -> DataFrame:
+    """F4-F6 on merged actual and plan rows; ``as_of``: the run day as SQL; columns ``more`` are kept."""
     day = "to_date(CAST(PERIOD AS STRING), 'yyyyMMdd')"
     centers = ", ".join(str(int(c)) for c in params.override_centers)
-    cols = ["CENTER", "PERIOD", f"{day} AS DATES"]
+    cols = [*more, "CENTER", "PERIOD", f"{day} AS DATES"]
     for m in REVENUE_MEASURES:
         if m == params.accrual_measure:
-            cols.append(f"CASE WHEN PERIOD > {int(params.accrual_since)} AND {day} < DATE'{clock.as_of}' "
+            cols.append(f"CASE WHEN PERIOD > {int(params.accrual_since)} AND {day} < {as_of} "
                         f"THEN {sql_c0(plan_name(m))} ELSE 0 END AS {q(m)}")
         else:
             cols.append(f"{sql_c0(m)} AS {q(m)}")
@@ -89,17 +96,20 @@ def revenue_merged(actuals: DataFrame, plan_daily: DataFrame, clock: RunClock,
             if m in params.override_measures and centers:
                 plan = f"CASE WHEN CENTER IN ({centers}) THEN 0 ELSE {plan} END"
             cols.append(f"{plan} AS {q(plan_name(m))}")
-    out = merged.selectExpr(*cols)
-    return clip_to_run_window(out, clock.expiration_id).where(F.col("DATES") <= F.lit(clock.month_end))
+    return merged.selectExpr(*cols)
 
 
 def revenue_output(merged: DataFrame, clock: RunClock) -> DataFrame:
     """F7/F8 card roll-ups and the target column order (without load stamp)."""
+    return card_totals(merged, str(int(clock.extract_id)))
+
+
+def card_totals(merged: DataFrame, extract_id: str, more: tuple[str, ...] = ()) -> DataFrame:
     sfx = ("", "_LY", "_PLAN")
     out = merged.selectExpr("*", *[e for s in sfx for e in card_rollup_sql(s)])
     out = out.selectExpr("*", *[total_card_revenue_sql(s) for s in sfx],
-                         f"{int(clock.extract_id)} AS EXTRACT_DATE_ID")
-    return out.selectExpr(*[q(c) for c in revenue_output_columns()])
+                         f"{extract_id} AS EXTRACT_DATE_ID")
+    return out.selectExpr(*more, *[q(c) for c in revenue_output_columns()])
 
 
 def revenue_target_schema() -> StructType:
