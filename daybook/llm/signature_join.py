@@ -18,7 +18,7 @@ Frequent are those that come again within a task's rows, and more than ``FREQUEN
 3. Rounds: each node goes to the largest of its groups that is not linked through yet, once; the links found
    are reduced to components.  What is not linked through after ``ROUNDS`` rounds is compared in all its groups, a pair
    in the first that it has in common.
-4. A comparison walks trees of signatures first; only the documents that may have a partner in their group then
+4. A comparison walks trees of signatures first, folded to half their bits for the way there; only the documents that may have a partner in their group then
    send their full sets there, where the walk is repeated and its pairs are decided on the sets.  A task
    gives back a spanning forest of the links.  Groups over ``BLOCK`` documents are cut into blocks, and pairs of
    blocks go to tasks of their own.
@@ -82,6 +82,11 @@ def folded(sig: np.ndarray, words: int) -> np.ndarray:
     return sig
 
 
+def sent(sig: np.ndarray) -> bytes:
+    """A signature as it is sent to the groups."""
+    return folded(sig, max(1, len(sig) // 2)).tobytes()
+
+
 def least_overlap(sizes: np.ndarray, percent: int) -> np.ndarray:
     """Shingles that two linked sets of together ``sizes`` have in common at least."""
     return -(-percent * sizes // (100 + percent))
@@ -242,7 +247,7 @@ def _describe(n: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterat
         cols = [[], [], [], []]
         for s in (shingle_set(x.as_py(), n, words) for x in b.column(1)):
             keep = int(RESERVE * prefix_length(len(s), percent)) + 1
-            row = (len(s), xxhash.xxh3_128_digest(s.tobytes()), s[:keep].view(np.int64), signature(s).tobytes()) if len(s) else (0, None, None, None)
+            row = (len(s), xxhash.xxh3_128_digest(s.tobytes()), s[:keep].view(np.int64), sent(signature(s))) if len(s) else (0, None, None, None)
             for c, v in zip(cols, row):
                 c.append(v)
         kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
@@ -317,7 +322,7 @@ def _arrays(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
 def _coarse(percent: int, once: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (token, _, _), rows in _by_group(batches, np.uint64):
         label, side = _arrays(rows)
-        earlier = [frozenset(t for t in r[5] if t < token) for r in rows] if once else None
+        earlier = [frozenset(r[5]) for r in rows] if once else None
         found = may_link(np.array([r[4] for r in rows]), [r[3] for r in rows], label, side, percent, earlier)
         if found.any():
             at = np.flatnonzero(found)
@@ -350,7 +355,10 @@ def _compare(source: DataFrame, signed: DataFrame, members: DataFrame, words: in
     if once:
         signed = signed.join(members.groupBy("node").agg(F.collect_list("token").alias("tokens")), "node")
         more.append("tokens")
-    rows = _in_blocks(members.join(signed, "node"), *more)
+    members = members.join(signed, "node")
+    if once:  # only groups before this one matter
+        members = members.withColumn("tokens", F.expr("filter(tokens, t -> t < token)"))
+    rows = _in_blocks(members, *more)
     found = cut(rows.mapInArrow(partial(_coarse, percent, once), "token long, node long, label long").distinct())
     left = found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     places = found.join(left, "token").groupBy("node").agg(F.collect_list(F.struct("token", "label", "n")).alias("places"))
