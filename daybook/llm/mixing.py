@@ -5,14 +5,14 @@
    is reshared by weight until none is above.  That limit is the water level at
    which capped sources sit at their cap: one cumulative sum over the sources in
    order of cap per weight.
-2. Quotas: the mix is cut into blocks of equal token count.  Blocks go to the
-   sources, then each source's blocks to its shards, by highest quotients
+2. Quotas: the mix is cut into blocks of ``QUOTA_WORDS`` words, one by default, so that the smallest source gets its
+   share.  Blocks go to the sources, then each source's blocks to its shards, by highest quotients
    votes / (2 k + 1).  Only the seats that a bound on the divisor leaves open are
    ranked (at most about three per party), never all of them.
 3. Selection: a shard is a seeded hash class of a source's documents of about
-   ``SHARD_WORDS`` words.  In seeded document order the shard's words form a line;
-   a quota beyond the line's length takes whole passes, and the rest is a run of
-   consecutive blocks from a seeded start, wrapping round.
+   ``SHARD_WORDS`` words.  In seeded document order the shard's words form a line, cut into
+   stretches of ``BLOCK_WORDS`` words; a quota beyond the line's length takes whole passes, and the rest is a run of
+   consecutive words from the start of a seeded stretch, wrapping round.
 
 So every document takes at most 2 x its words, large sources are dealt over many
 shards, and only one small row per source and per shard is ever gathered.
@@ -27,11 +27,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import broadcast_if_small, cut, text_of, words_of
+from daybook.llm.common import SPACE, SPACE_CHARS, WORD, broadcast_if_small, cut, text_of, words_of
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_PASSES = 2
+QUOTA_WORDS = 1
 BLOCK_WORDS = 64
 SHARD_WORDS = 200_000
 SEED = 20240229
@@ -112,7 +113,8 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
     *,
-    block: int = BLOCK_WORDS,
+    block: int = QUOTA_WORDS,
+    stretch: int = BLOCK_WORDS,
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
 ) -> DataFrame:
@@ -143,8 +145,8 @@ def mix_sources(
     rows = dealt.withColumn("end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.join(cells, ["rank", "shard"])
     want = F.least(F.col("quota") * block, F.col("cell_size") * MAX_PASSES)
-    n_blocks = F.greatest(F.lit(1), F.floor(F.col("cell_size") / block))
-    first = F.pmod(F.xxhash64(F.lit(seed), F.col("source"), F.col("shard")), n_blocks) * block
+    stretches = F.greatest(F.lit(1), F.floor(F.col("cell_size") / stretch))
+    first = F.pmod(F.xxhash64(F.lit(seed), F.col("source"), F.col("shard")), stretches) * stretch
     rows = rows.select(
         "*",
         (F.col("end") - F.col("size")).alias("start"),
@@ -166,7 +168,7 @@ def mix_sources(
 
 def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: each document's row once per pass, and once per range with its text cut to
-    those words (joined by one blank).  Columns as given.  Rows that share id and size are taken alike,
+    those words, white space between them as it is.  Columns as given.  Rows that share id and size are taken alike,
     as the most taken of them."""
     how = mix_sources(docs, id_col, text_col, source_col, **options)
     how = how.where("taken > 0").groupBy(F.col("doc_id").alias("__m_id"), F.col("size").alias("__m_size")).agg(
@@ -178,6 +180,9 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     whole = F.array_repeat(F.struct(F.lit(-1).cast("long").alias("from"), F.lit(-1).cast("long").alias("to")), F.col("__m_how.passes").cast("int"))
     rows = rows.withColumn("__m_part", F.explode(F.concat(whole, F.col("__m_how.spans"))))
     part = F.col("__m_part")
-    cut_text = F.array_join(F.slice(words, (part["from"] + 1).cast("int"), (part["to"] - part["from"]).cast("int")), " ")
+    # each word with the white space before it; that of the first goes
+    pieces = F.regexp_extract_all(text_of(text), F.lit(f"{SPACE}*{WORD}"), F.lit(0))
+    run = F.array_join(F.slice(pieces, (part["from"] + 1).cast("int"), (part["to"] - part["from"]).cast("int")), "")
+    cut_text = F.ltrim(run, F.lit(SPACE_CHARS))
     new = F.when((part["from"] < 0) | ((part["from"] == 0) & (part["to"] == F.col("__m_size"))), text).otherwise(cut_text)
     return rows.withColumn(text_col, new).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -84,3 +84,50 @@ def test_highest_quotients_match_seat_by_seat(spark):
         df = spark.createDataFrame([(k, v, seats, 0) for k, v in votes.items()], "p string, v long, seats long, g int")
         got = {r.p: r.quota for r in mixing.highest_quotients(df, ["g"], "v", "seats", ["p"]).collect()}
         assert got == {k: highest(votes, seats)[k] for k in votes}, seats
+
+
+def test_many_tiny_sources_take_their_targets(spark):
+    """3,000 sources of ten words, each far below a stretch of the selection."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('s', id) AS source", "repeat('w ', 10) AS text")
+    rows = mixing.mix_sources(docs).collect()
+    check(rows, 1)
+    assert abs(sum(r.taken for r in rows) - 45_000) <= 1
+
+
+def test_partial_texts_are_stretches_of_the_original(spark):
+    lines = "\n".join(f"w{i}\t  x{i}" for i in range(700))
+    docs = spark.createDataFrame([(i, f"  {lines}\n{i} \n", "s%d" % (i % 3)) for i in range(6)], "doc_id long, text string, source string")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    parts = [r for r in mixing.take(docs).collect() if r.text != texts[r.doc_id]]
+    assert parts
+    for r in parts:
+        assert r.text in texts[r.doc_id] and r.text == r.text.strip() and "\t  x" in r.text
+
+
+def test_selection_against_a_walk_over_the_line(spark, sf_dir):
+    """Each shard's words laid end to end: whole passes, then a run that wraps round; its size is the shard's quota."""
+    docs = documents(spark, sf_dir)
+    rows = mixing.mix_sources(docs, shard_words=3000).collect()
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r.source].append(r)
+    hashed = {r.doc_id: (r.draw, r.shard) for r in docs.selectExpr(
+        "doc_id", f"xxhash64(int({mixing.SEED}), doc_id) AS draw",
+        f"xxhash64(xxhash64(int({mixing.SEED}), doc_id), 'shard') AS shard").collect()}
+    for source, own in by_source.items():
+        n = max(1, -(-own[0].source_size // 3000))
+        cells = defaultdict(list)
+        for r in own:
+            cells[hashed[r.doc_id][1] % n].append(r)
+        sizes = {k: sum(r["size"] for r in v) for k, v in cells.items()}
+        quota = highest({k: sizes[k] for k in sorted(sizes)}, sum(r.taken for r in own)) if sum(sizes.values()) < 3000 else None
+        for k, cell in cells.items():
+            cell.sort(key=lambda r: (hashed[r.doc_id][0], r.doc_id, r["size"]))
+            counts = [r.passes + sum(s["from"] <= w < s["to"] for s in r.spans) for r in cell for w in range(r["size"])]
+            assert [sum(counts)] == [sum(r.taken for r in cell)] and (quota is None or sum(counts) == quota[k])
+            if counts:
+                more = [c - min(counts) for c in counts]
+                turns = sum(a != b for a, b in zip(more, more[1:] + more[:1]))
+                assert max(more) <= 1 and turns in (0, 2)
+                begin = [i for i in range(len(more)) if more[i] and not more[i - 1]]
+                assert not begin or begin[0] % mixing.BLOCK_WORDS == 0
