@@ -13,15 +13,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import shuffle_partitions
-from daybook.llm.minmax_dedup import WordHashes
 
 CHUNK_BYTES = 8_000_000
-#: One per worker process, shared by its tasks.
-KNOWN = WordHashes()
 MESSAGE = "chunk int, shard int, blob binary"
 #: A row with shard -1 - k is a chunk's own note, which passes through shard k and comes back.
 TO_SHARD = "CASE WHEN shard < 0 THEN -1 - shard ELSE shard END AS to_shard"
@@ -30,12 +29,14 @@ CHUNKS_PER_SHARD = 4
 
 
 def deal(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
-    """(chunk, doc_id, text as bytes), and the number of shards; both counts follow the volume of text."""
+    """(chunk, doc_id, text as bytes), and the number of shards; both counts follow the volume of text.
+
+    Chunks are dealt by id and text, so that rows with one id, or none, spread over all chunks."""
     text = F.col(f"`{text_col}`").cast("binary")
     volume = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     n = max(math.ceil(volume / chunk_bytes), shuffle_partitions(docs.sparkSession))
     doc_id = F.col(f"`{id_col}`").cast("long")
-    dealt = docs.select(F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("int").alias("chunk"), doc_id.alias("doc_id"), text.alias("text"))
+    dealt = docs.select(F.pmod(F.xxhash64(doc_id, text), F.lit(n)).cast("int").alias("chunk"), doc_id.alias("doc_id"), text.alias("text"))
     return dealt, max(math.ceil(n / CHUNKS_PER_SHARD), min(n, shuffle_partitions(docs.sparkSession)))
 
 
@@ -63,3 +64,16 @@ def in_order(table: pa.Table) -> tuple[list, list[bytes]]:
     ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i] or b""))
     return [ids[i] for i in order], [texts[i] or b"" for i in order]
+
+
+def words_in(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words per text; the words of all texts end to end, as places in a vocabulary; 64-bit hashes of the vocabulary."""
+    raw = pa.array(texts, pa.binary())
+    lists = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.string(), len(raw), raw.buffers()))
+    flat, parent = lists.flatten(), pc.list_parent_indices(lists)
+    word = pc.greater(pc.binary_length(flat), 0)  # a blank at an end of a text leaves an empty string
+    coded = flat.filter(word).dictionary_encode()
+    sizes = np.bincount(parent.filter(word).to_numpy(zero_copy_only=False), minlength=len(texts)).astype(np.int64)
+    known = pa.Array.from_buffers(pa.binary(), len(coded.dictionary), coded.dictionary.buffers()).to_numpy(zero_copy_only=False)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+    return sizes, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), hashes

@@ -36,7 +36,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 
-from daybook.llm.chunks import CHUNK_BYTES, KNOWN, MESSAGE, TO_SHARD, answers, by_shard, deal, in_order, messages
+from daybook.llm.chunks import CHUNK_BYTES, MESSAGE, TO_SHARD, answers, by_shard, deal, in_order, messages, words_in
 from daybook.llm.elias_fano import BigramTrie
 from daybook.llm.minmax_dedup import mix
 
@@ -87,20 +87,17 @@ class Tokens:
 
     def __init__(self, table: pa.Table):
         self.ids, texts = in_order(table)
-        flat, sizes = [], []
-        for t in texts:
-            w = t.lower().split()
-            flat.extend(w)
-            sizes.append(len(w) + 1)
-        self.sizes = np.array(sizes, np.int64)
+        sizes, codes, known = words_in([t.lower() for t in texts])
+        self.sizes = sizes + 1
         self.begins = np.cumsum(self.sizes) - self.sizes
-        h = np.full(int(self.sizes.sum()), END, np.uint64)
-        inner = np.ones(len(h), bool)
+        inner = np.ones(int(self.sizes.sum()), bool)
         inner[self.begins + self.sizes - 1] = False
-        h[inner] = KNOWN.of(flat)
+        # the end comes after the vocabulary
+        self.hashes, place = np.unique(np.append(known, END), return_inverse=True)
+        self.word = np.full(len(inner), place[-1])
+        self.word[inner] = place[codes]
         self.held_out = np.array([is_held_out(i) for i in self.ids], bool)
         self.train = np.repeat(~self.held_out, self.sizes)
-        self.hashes, self.word = np.unique(h, return_inverse=True)
         self.counts = np.bincount(self.word, self.train, len(self.hashes)).astype(np.uint64)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -21,14 +21,13 @@ the other; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import itertools
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from daybook.llm.chunks import CHUNK_BYTES, KNOWN, MESSAGE, TO_SHARD, answers, by_shard, deal, in_order, messages
+from daybook.llm.chunks import CHUNK_BYTES, MESSAGE, TO_SHARD, answers, by_shard, deal, in_order, messages, words_in
 from daybook.llm.minmax_dedup import mix
 
 WINDOW = 20
@@ -68,32 +67,31 @@ def sliding_min(v: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(run[: len(v) - n + 1], run[n - size : len(v) - size + 1])
 
 
-def spell(documents: list[list[bytes]]) -> tuple[list[str], int]:
-    """Every word, end to end, as a string of so many letters, one string per distinct word.
+def spell(codes: np.ndarray, n_words: int, doc: np.ndarray, n_docs: int) -> tuple[str, int]:
+    """All words, end to end, as a text of so many letters a word, with one separator after each document.
 
-    Each place in a string has an alphabet of its own: nodes of an automaton over such strings have few
+    Each place in a word has an alphabet of its own: nodes of an automaton over such words have few
     children, and a match begins with a word.
     """
-    words = dict.fromkeys(w for ws in documents for w in ws)
     letters = 1
-    while RADIX**letters < len(words):
+    while RADIX**letters < n_words:
         letters += 1
-    alphabets = [[chr(FIRST_LETTER + i * RADIX + d) for d in range(RADIX)] for i in range(letters)]
-    codes = dict(zip(words, map("".join, itertools.product(*alphabets))))
-    return [codes[w] for ws in documents for w in ws], letters
+    text = np.full(len(codes) * letters + n_docs, ord(SEPARATOR), "<u2")
+    at = np.arange(len(codes)) * letters + doc
+    for i in range(letters):
+        text[at + i] = FIRST_LETTER + i * RADIX + codes // RADIX ** (letters - 1 - i) % RADIX
+    return text.tobytes().decode("utf-16-le"), letters
 
 
 class Chunk:
     """The words of a chunk in order of (id, start), laid end to end."""
 
     def __init__(self, table: pa.Table):
-        self.ids, texts = in_order(table)
-        self.words = [t.split() for t in texts]
-        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.ids, self.texts = in_order(table)
+        self.sizes, self.codes, known = words_in(self.texts)
         self.begins = np.cumsum(self.sizes) - self.sizes
-        flat = [w for ws in self.words for w in ws]
-        self.hashes = KNOWN.of(flat)
-        self.n = len(flat)
+        self.hashes, self.n_words = known[self.codes], len(known)
+        self.n = len(self.codes)
 
     def starts_within(self, n: int) -> np.ndarray:
         """Flags of the places where ``n`` words of one document begin."""
@@ -117,13 +115,14 @@ class Chunk:
 
     def located(self, places: np.ndarray) -> np.ndarray:
         """Flags of the windows that hold one of the phrases at ``places``, by automata over words."""
-        spelled, letters = spell(self.words)
-        text = SEPARATOR.join("".join(spelled[b : b + k]) for b, k in zip(self.begins.tolist(), self.sizes.tolist()))
+        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        text, letters = spell(self.codes, self.n_words, doc, len(self.sizes))
+        starts, long = places * letters + doc[places], ANCHOR * letters
         found: list[int] = []
         for at in range(0, len(places), AUTOMATON_PHRASES):
             automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-            for p in places[at : at + AUTOMATON_PHRASES].tolist():
-                automaton.add_word("".join(spelled[p : p + ANCHOR]))
+            for p in starts[at : at + AUTOMATON_PHRASES].tolist():
+                automaton.add_word(text[p : p + long])
             automaton.make_automaton()
             found.extend([end for end, _ in automaton.iter(text)])
         # back to words: one separator follows each document
@@ -253,7 +252,7 @@ def _remove(n: int, with_text: bool):
             gone = np.cumsum(edge)[: c.n] > 0
         removed = [int(gone[b : b + k].sum()) for b, k in zip(c.begins.tolist(), c.sizes.tolist())]
         kept = [b" ".join(ws if not r else [w for w, g in zip(ws, gone[b : b + len(ws)].tolist()) if not g])
-                for ws, b, r in zip(c.words, c.begins.tolist(), removed)]
+                for ws, b, r in zip((t.split() for t in c.texts), c.begins.tolist(), removed)]
         return pa.table([
             pa.array(c.ids, pa.int64()), pa.array(c.sizes), pa.array(removed, pa.int64()),
             pa.array([k.decode("utf-8", "replace") if with_text else None for k in kept], pa.string()),
