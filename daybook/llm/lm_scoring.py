@@ -35,6 +35,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from daybook.llm.chunks import CHUNK_BYTES, MESSAGE, TO_SHARD, answers, by_shard, deal, in_order, messages, words_in
 from daybook.llm.elias_fano import BigramTrie
@@ -111,46 +112,60 @@ class Tokens:
 
 
 class Told:
-    """What the word shards answered: number and count per distinct word, and the totals."""
+    """What the word shards answered: number and count per distinct word; and the totals N, V, n1, n2."""
 
-    def __init__(self, by: dict[int, bytes], order: np.ndarray, bounds: np.ndarray):
+    def __init__(self, by: dict[int, bytes], order: np.ndarray, bounds: np.ndarray, totals: np.ndarray):
         self.number, self.count = np.zeros(len(order), np.uint64), np.zeros(len(order), np.uint64)
-        self.totals = np.zeros(4, np.uint64)
+        self.totals = totals
         for s, blob in by.items():  # empty for a chunk that has them already
-            number, count, totals = unpack_ints(blob)
+            number, count = unpack_ints(blob)
             o = order[bounds[s] : bounds[s + 1]]
             self.number[o], self.count[o] = number, count
-            self.totals += totals
 
 
 def _send_words(n: int):
     def run(table: pa.Table) -> pa.Table:
         t, chunk = Tokens(table), table.column("chunk")[0].as_py()
         order, bounds = by_shard(t.hashes, n)
-        # every shard is asked, if only for its totals
-        return messages([(chunk, s, pack_ints(t.hashes[o], t.counts[o])) for s in range(n) for o in (order[bounds[s] : bounds[s + 1]],)])
+        # only shards that hold one of the words, so that messages grow with the words
+        asked = np.flatnonzero(np.diff(bounds)).tolist()
+        return messages([(chunk, s, pack_ints(t.hashes[o], t.counts[o])) for s in asked for o in (order[bounds[s] : bounds[s + 1]],)])
 
     return run
 
 
+def _counted(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """Of a word shard: words per message, its distinct words, each question's place among them, their counts."""
+    parts = [unpack_ints(b) for b in table.column("blob").to_pylist()]
+    words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    counts = np.zeros(len(words), np.uint64)
+    np.add.at(counts, at, np.concatenate([p[1] for p in parts]))
+    return [len(p[0]) for p in parts], words, at, counts
+
+
 def _number(n: int):
     def run(table: pa.Table) -> pa.Table:
         chunks, shard = table.column("chunk").to_pylist(), table.column("shard")[0].as_py()
-        parts = [unpack_ints(b) for b in table.column("blob").to_pylist()]
-        sizes = [len(p[0]) for p in parts]
-        words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        counts = np.zeros(len(words), np.uint64)
-        np.add.at(counts, at, np.concatenate([p[1] for p in parts]))
+        sizes, words, at, counts = _counted(table)
         rank = np.empty(len(words), np.uint64)
         rank[np.lexsort((words, -counts.astype(np.int64)))] = np.arange(len(words), dtype=np.uint64)
-        totals = np.array([counts.sum(), (counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum()], np.uint64)
         number, count = (rank * np.uint64(n) + np.uint64(shard))[at], counts[at]
         ends = np.cumsum(sizes)
-        return messages([(c, shard, pack_ints(number[e - k : e], count[e - k : e], totals)) for c, k, e in zip(chunks, sizes, ends)])
+        return messages([(c, shard, pack_ints(number[e - k : e], count[e - k : e])) for c, k, e in zip(chunks, sizes, ends)])
 
     return run
 
 
+TOTALS = ("total", "known", "once", "twice")
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """A word shard's share of N, V, n1, n2."""
+    *_, counts = _counted(table)
+    share = (counts.sum(), (counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum())
+    return pa.table({name: pa.array([int(v)], pa.int64()) for name, v in zip(TOTALS, share)})
+
+
 def _context_shard(number: np.ndarray, follower: np.ndarray, count: np.ndarray, total: int, n: int) -> np.ndarray:
     """Hash of the context, and for one that holds over half a shard's share of a part of its successors."""
     parts = np.uint64(1) + (np.uint64(2 * n) * count) // np.uint64(max(1, total))
@@ -172,7 +187,7 @@ def _send_pairs(n: int):
         if not docs.num_rows:
             return messages([])
         t, chunk = Tokens(docs), docs.column("chunk")[0].as_py()
-        told = Told(answers(table), *by_shard(t.hashes, n))
+        told = Told(answers(table), *by_shard(t.hashes, n), np.array(table.column("totals")[0].as_py(), np.uint64))
         order, bounds, a, b, c, count, *_ = _ask(t, told, n)
         rows = [(chunk, -1 - chunk % n, pack_ints(told.number, told.count, told.totals))]  # comes back with the answers
         for s in range(n):
@@ -229,8 +244,9 @@ def _score(n: int):
         if not docs.num_rows:
             return schema.empty_table()
         t, by = Tokens(docs), answers(table)
-        told = Told({}, *by_shard(t.hashes, n))
-        told.number, told.count, told.totals = unpack_ints(by.pop(-1))
+        number, count, totals = unpack_ints(by.pop(-1))
+        told = Told({}, *by_shard(t.hashes, n), totals)
+        told.number, told.count = number, count
         tokens, known, distinct, once, twice = t.word, told.count > 0, int(told.totals[1]), int(told.totals[2]), int(told.totals[3])
         total, count = int(told.totals[0]), told.count.astype(np.float64)
         off = once / (once + 2 * twice) if once and twice else 0.5
@@ -253,7 +269,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, ch
     """One row per document: held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     dealt, n = deal(docs, id_col, text_col, chunk_bytes)
     by_chunk = dealt.groupBy("chunk")
-    words = by_chunk.applyInArrow(_send_words(n), MESSAGE).groupBy("shard").applyInArrow(_number(n), MESSAGE)
+    by_word_shard = by_chunk.applyInArrow(_send_words(n), MESSAGE).groupBy("shard")
+    shares = by_word_shard.applyInArrow(_totals, ", ".join(f"{name} long" for name in TOTALS))
+    # one row of four numbers, as a scalar subquery over the same exchange
+    totals = shares.agg(F.array(*(F.coalesce(F.sum(name), F.lit(0)) for name in TOTALS)).alias("totals"))
+    words = by_word_shard.applyInArrow(_number(n), MESSAGE).withColumn("totals", totals.scalar())
     asked = by_chunk.cogroup(words.groupBy("chunk")).applyInArrow(_send_pairs(n), MESSAGE)
     told = asked.selectExpr("*", TO_SHARD).groupBy("to_shard").applyInArrow(_answer_pairs, MESSAGE)
     return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_score(n), RESULT)

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daybook.llm import lm_scoring as lm
@@ -148,3 +149,13 @@ def test_hot_context_is_spread():
     hot = lm._context_shard(np.full(1000, 7, np.uint64), follower, np.full(1000, 500, np.uint64), 1000, 16)
     cold = lm._context_shard(np.full(1000, 7, np.uint64), follower, np.full(1000, 5, np.uint64), 10**6, 16)
     assert len(set((hot % np.uint64(16)).tolist())) > 8 and len(set(cold.tolist())) == 1
+
+
+def test_messages_go_to_shards_with_words_only():
+    """However many shards there are, a chunk asks at most one per distinct word."""
+    texts = [b"a b a", b"", b"b c d"]
+    table = pa.table({"chunk": pa.array([3] * 3, pa.int32()), "doc_id": [1, 2, 9], "text": pa.array(texts, pa.binary())})
+    for shards in (1, 10, 5000):
+        asked = lm._send_words(shards)(table)
+        assert asked.num_rows <= min(shards, 5)  # a b c d and the end
+        assert sum(len(lm.unpack_ints(b)[0]) for b in asked.column("blob").to_pylist()) == 5

@@ -3,8 +3,10 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from daybook.llm import phrase_dedup as pd
+from daybook.llm.chunks import deal, words_in
 from daybook.llm.common import documents
 
 
@@ -61,6 +63,21 @@ def test_edges(edge_docs, no_docs):
     assert pd.remove_repeats(no_docs).count() == 0
 
 
+def test_words_are_the_ascii_ones():
+    texts = [b"  a b\x0bc\x1cd ", b"", b" \n", b"\xff x\xc2\xa0y", "é\u2003é b".encode()]
+    sizes, codes, known = words_in(texts)
+    assert sizes.tolist() == [len(t.split()) for t in texts]
+    flat = [w for t in texts for w in t.split()]
+    assert [known[c] for c in codes] == [xxhash.xxh3_64_intdigest(w) for w in flat]
+
+
+def test_rows_of_one_id_spread_over_chunks(spark):
+    docs = spark.range(4000).selectExpr("CAST(NULL AS LONG) AS doc_id", "concat('text ', id) AS text")
+    dealt, _ = deal(docs, "doc_id", "text", chunk_bytes=2000)
+    sizes = [r["count"] for r in dealt.groupBy("chunk").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 3 * 4000 / len(sizes)
+
+
 def test_rolling_and_sliding():
     a = np.random.default_rng(0).integers(0, 2**63, 50, dtype=np.uint64)
     for n in (1, 2, 7, 10, 20):
