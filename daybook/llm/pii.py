@@ -36,7 +36,7 @@ KEY = "public-test-key"
 
 # Fixed patterns, one group of alternatives each, in order of precedence.
 EMAIL = r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-SECRET = r"(?i:(?:token|secret|password|passwd|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[0-9a-fA-F]{16,64}(?![0-9A-Za-z])"
+SECRET = r"(?i:(?:token|secret|password|passwd|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[0-9a-fA-F]{16,}+(?![0-9A-Za-z])"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
 DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
@@ -207,12 +207,16 @@ def _phone(m: Column, key: str, back: bool) -> Column:
 
 
 def _ssn(m: Column, key: str, back: bool) -> Column:
-    valid = ~m.rlike("^000|-00-|0000$")
-    return F.when(valid, _refill(m, permute_digits(_digits_of(m), "ssn", key, back))).otherwise(m)
+    """Groups 001-999, 01-99, 0001-9999: exactly these are permuted, so a valid number stays one."""
+    part = lambda at, n: F.substring(m, at, n).cast("int")
+    p = feistel((part(1, 3) - 1) * 99 + part(5, 2) - 1, part(8, 4) - 1, F.lit(999 * 99), F.lit(9999), F.lit("ssn"), key, back)
+    written = let(p, lambda s: F.format_string(
+        "%03d-%02d-%04d", F.floor(s["x"] / 99) + 1, s["x"] % 99 + 1, s["y"] + 1))
+    return F.when(~m.rlike("^000|-00-|0000$"), written).otherwise(m)
 
 
 def _secret(m: Column, key: str, back: bool) -> Column:
-    value = F.regexp_extract(m, "[0-9a-fA-F]{16,64}$", 0)
+    value = F.regexp_extract(m, "[0-9a-fA-F]{16,}$", 0)
     return F.concat(F.substr(m, F.lit(1), F.length(m) - F.length(value)), _hex(value, key, back))
 
 

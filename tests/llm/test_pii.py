@@ -109,3 +109,26 @@ def test_cards_and_phones_beside_digits_come_back(spark):
     there = pii.pseudonymise(docs, key="k").drop("pii")
     back = {r.doc_id: r.text for r in pii.pseudonymise(there, key="k", back=True).collect()}
     assert [back[i] for i in range(len(texts))] == texts
+
+
+def test_grouped_numbers_stay_valid_and_come_back(spark):
+    """A hundred thousand of them, the corners of the range too."""
+    plain = spark.range(100_000).selectExpr(
+        "CASE id WHEN 0 THEN '001-01-0001' WHEN 1 THEN '999-99-9999' "
+        "ELSE format_string('%03d-%02d-%04d', 1 + (id * 7919) % 999, 1 + (id * 104729) % 99, 1 + (id * 15485863) % 9999) END AS text").distinct()
+    rows = [r.text for r in plain.collect()]
+    new = pii.pseudonymise(spark.createDataFrame([(t,) for t in rows], "text string")).select("text")
+    out = [r.text for r in new.collect()]
+    assert all(re.fullmatch(r"(?!000)\d{3}-(?!00)\d{2}-(?!0000)\d{4}", t) for t in out)
+    assert len(set(out)) == len(rows) > 90_000 and sum(a == b for a, b in zip(rows, out)) < 5
+    assert [r.text for r in pii.pseudonymise(new, back=True).collect()] == rows
+
+
+def test_long_hex_secrets(spark):
+    texts = [f"api_key={'9af3' * 20} end", f"token: {'c' * 31}", f"secret={'e' * 15}"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    new = [r.text for r in pii.pseudonymise(docs).collect()]
+    assert new[0] != texts[0] and new[1] != texts[1] and new[2] == texts[2]
+    assert [len(t) for t in new] == [len(t) for t in texts]
+    back = pii.pseudonymise(spark.createDataFrame([(t,) for t in new], "text string"), back=True)
+    assert [r.text for r in back.collect()] == texts
