@@ -47,10 +47,11 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     rows = turns.select(
         col(conv_col).alias("conv_id"),
         col(turn_col).alias("turn"),
-        escape(text_of(col(role_col))).alias("role"),
-        escape(text_of(col(text_col))).alias("text"),
-    )
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+        text_of(col(role_col)).alias("plain_role"),
+        text_of(col(text_col)).alias("plain_text"),
+    ).withColumn("role", escape(F.col("plain_role"))).withColumn("text", escape(F.col("plain_text")))
+    # rows of one turn in the order of what they say, not of its escaped form
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "plain_role", "plain_text")
     before, after = F.lag("role").over(order), F.lead("role").over(order)
     opening = F.when(before.eqNullSafe(F.col("role")), F.lit(SEP)).otherwise(F.concat(F.lit(TURN), "role", F.lit(TEXT)))
     closing = F.when(after.eqNullSafe(F.col("role")), F.lit("")).otherwise(F.lit(END))

@@ -56,3 +56,10 @@ def test_edges_merging_and_mask(spark):
             assert r.formatted == ("<|turn|><|text|><|end|>\n<|turn|>assistant<|text|>a<|sep|>b<|end|>\n<|turn|>user<|text|>c<|sep|>c<|end|>\n")
             assert [tuple(s) for s in r.loss_spans] == [(r.formatted.index("a<|sep|>b"), 1), (r.formatted.index("b<|end"), 1)]
     assert chat.format_chats(df.where("false")).count() == 0
+
+
+def test_rows_of_one_turn_are_ordered_before_escaping(spark):
+    rows = [(1, 0, "user", "<|"), (1, 0, "user", "<a")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    formatted = chat.format_chats(turns).first().formatted
+    assert formatted.index("<a") < formatted.index("<\\|", formatted.index(chat.TEXT) + len(chat.TEXT))
