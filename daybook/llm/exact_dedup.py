@@ -12,8 +12,9 @@ small row each, are then merged by content digest.
 Defined cases: a null text counts as empty; empty texts form one group; of a
 group the row with the longest original text (code points), then the smallest
 id (a null id comes last) stays; rows repeated with their id are members of
-their own and, when the longest, all of them count as the row that stays; other
-columns are never read.
+their own and, when the longest, all of them count as the row that stays in
+``content_groups``, while ``drop_copies`` keeps one of them; other columns are never read
+but to order such rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import SPACE, cut, shuffle_partitions, text_of, without_ids
+from daybook.llm.common import GONE_ROWS, SPACE, broadcast_if_small, cut, shuffle_partitions, text_of, without_ids
 
 #: Characters of a text in a splitter; texts that agree in them are told apart by hash.
 SPLITTER_CHARS = 32
@@ -77,6 +78,23 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose id stays in one of its groups, with all columns as given."""
-    stays = content_groups(docs, id_col, text_col).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    return without_ids(docs, stays.where("NOT kept").select("doc_id"), id_col)
+    """One row of each group of equal texts, with all columns as given: the row that stays; where rows share
+    its id (or have none) and its length, the first by original text and then by all columns."""
+    doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    groups = content_groups(docs, id_col, text_col)
+    ids = cut(groups.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")))
+    alone = without_ids(docs, ids.where("NOT kept OR rows > 1").select("doc_id"), id_col)
+    shared = cut(ids.where("kept AND rows > 1").select(F.col("doc_id").alias("__llm_shared")))
+    if shared.isEmpty():
+        return alone
+    small = broadcast_if_small(shared, GONE_ROWS)
+    # the texts whose row that stays is one of several with its id
+    wins = groups.where("kept").join(small, F.col("doc_id").eqNullSafe(F.col("__llm_shared")), "left_semi")
+    wins = cut(wins.select(F.col("text_sha256").alias("__llm_sha"), F.col("keep_id").alias("__llm_keep")).distinct())
+    first = Window.partitionBy("__llm_sha").orderBy(
+        F.length(text_of(text)).desc(), text.asc_nulls_last(), F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))))
+    several = docs.join(small, doc_id.eqNullSafe(F.col("__llm_shared")), "left_semi").withColumn(
+        "__llm_digest", F.sha2(normalised(text).cast("binary"), 256))
+    several = several.join(broadcast_if_small(wins), (F.col("__llm_digest") == F.col("__llm_sha")) & doc_id.eqNullSafe(F.col("__llm_keep")))
+    several = several.withColumn("__llm_at", F.row_number().over(first)).where("__llm_at = 1")
+    return alone.unionByName(several.select(*(F.col(f"`{c}`") for c in docs.columns)))

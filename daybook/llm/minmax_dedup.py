@@ -16,9 +16,9 @@ similarity) with less variance than as many minima.  The signature is cut into `
 4. Components of the links.
 
 Defined cases: null, empty and blank texts have no shingles and are linked with nothing; texts of
-fewer words than a shingle have one, the whole sequence; documents that share an id are one document; a
-null id belongs to no group, and its row is kept; equal sets link whatever the text; other columns are
-ignored.
+fewer words than a shingle have one, the whole sequence; in ``near_groups`` documents that share an id are one
+document, and a null id belongs to no group (``drop_near`` tells such rows apart by their texts); equal sets link
+whatever the text; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import broadcast_if_small, cut, shuffle_partitions, without_ids
@@ -219,6 +219,23 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each near-duplicate group, with all columns as given."""
-    gone = near_groups(docs, id_col, text_col, **options).where("NOT kept").select("doc_id").distinct()
-    return without_ids(docs, gone, id_col)
+    """One document of each near-duplicate group, with all columns as given.
+
+    Rows that share an id, or have none, are told apart by a 62-bit hash of id and text in place of the id, behind
+    all usual ids; of rows equal in both, the first by all columns stays."""
+    doc_id = F.col(f"`{id_col}`").cast("long")
+    ids = docs.groupBy(doc_id.alias("__llm_shared")).count()
+    shared = cut(ids.where("count > 1 OR __llm_shared IS NULL").select("__llm_shared"))
+    if shared.isEmpty():
+        gone = near_groups(docs, id_col, text_col, **options).where("NOT kept").select("doc_id").distinct()
+        return without_ids(docs, gone, id_col)
+    marked = docs.join(broadcast_if_small(shared.withColumn("__llm_several", F.lit(True)), BROADCAST_ROWS),
+                       doc_id.eqNullSafe(F.col("__llm_shared")), "left")
+    own = F.lit(2**62) + F.pmod(F.xxhash64(doc_id, F.col(f"`{text_col}`")), F.lit(2**62))
+    marked = marked.withColumn("__llm_key", F.when(F.col("__llm_several"), own).otherwise(doc_id))
+    gone = near_groups(marked, "__llm_key", text_col, **options).where("NOT kept").select("doc_id").distinct()
+    left = without_ids(marked, gone, "__llm_key")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    first = Window.partitionBy("__llm_key").orderBy(F.to_json(F.struct(*columns)))
+    several = left.where("__llm_several").withColumn("__llm_at", F.row_number().over(first)).where("__llm_at = 1")
+    return left.where("__llm_several IS NULL").select(*columns).unionByName(several.select(*columns))

@@ -35,5 +35,21 @@ def test_large_group_is_cut_into_runs(spark):
 def test_drop_copies_keeps_columns_and_one_per_group(edge_docs):
     kept = exact_dedup.drop_copies(edge_docs)
     assert kept.columns == edge_docs.columns
-    # 2 (longest of its group, a repeated row), 5 of the blank texts, and the single ones
-    assert sorted(r.doc_id for r in kept.collect()) == [2, 2, 5, 6, 7, 8, 9]
+    # one row of 2 (longest of its group, a repeated row), 5 of the blank texts, and the single ones
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 5, 6, 7, 8, 9]
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    rows = [
+        (1, "a b c", "x"), (1, "a b c", "x"),  # a row read twice
+        (2, "a bc", "x"), (2, "own text", "y"),  # one id, two texts: the first is a copy of 1's
+        (None, "lone", "n"), (None, "lo ne", "n"), (None, "lo ne", "m"),  # no id: the longest, then by columns
+        (None, "abc", "n"), (3, "l o n e", "z"), (4, "one", "q"), (None, None, "e"), (None, "", "e"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, salt string")
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.columns == docs.columns
+    texts = sorted((r.doc_id or 0, r.text or "", r.salt) for r in kept.collect())
+    assert texts == [(0, "", "e"), (1, "a b c", "x"), (2, "own text", "y"), (3, "l o n e", "z"), (4, "one", "q")]
+    without = docs.where("doc_id IS NULL")
+    assert sorted((r.text or "", r.salt) for r in exact_dedup.drop_copies(without).collect()) == [("", "e"), ("abc", "n"), ("lo ne", "m")]

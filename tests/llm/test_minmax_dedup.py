@@ -67,7 +67,8 @@ def test_edges(edge_docs, no_docs):
     assert mm.near_groups(no_docs).count() == 0
     kept = mm.drop_near(edge_docs)
     assert kept.columns == edge_docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "6", "8", "9", "None"]
+    # the row without an id has the text of 1
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "6", "8", "9"]
 
 
 def test_min_and_max_estimate_the_similarity():
@@ -90,3 +91,18 @@ def test_components_of_paths_and_stars(spark):
     want = {i: 100 for i in range(100, 141)} | {i: 7 for i in [7, *range(200, 260)]} | {i: 299 for i in (299, 300, 301)}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_drop_near_on_rows_that_share_an_id_or_have_none(spark):
+    long = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    near = long[0].replace("a59", "z")
+    rows = [(1, long[0], "p"), (1, long[0], "p"), (1, long[1], "p"), (None, near, "p"), (None, long[2], "p"),
+            (None, long[2], "o"), (5, long[3], "p"), (None, "", "p"), (6, None, "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, grp string")
+    left = mm.drop_near(docs)
+    assert left.columns == docs.columns
+    got = [(r.doc_id, r.text, r.grp) for r in left.collect()]
+    texts = [t for _, t, _ in got]
+    assert sorted(t for t in texts if t and t != near and t != long[0]) == sorted(long[1:])
+    assert sum(t in (long[0], near) for t in texts) == 1
+    assert (None, long[2], "o") in got and (None, "", "p") in got and (6, None, "p") in got and len(got) == 6
