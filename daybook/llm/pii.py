@@ -99,10 +99,11 @@ def permute_digits(digits: Column, tweak: str, key: str, back: bool = False, bas
 
 
 def _hex(digits: Column, key: str, back: bool) -> Column:
-    """Hex digits in groups of 16 (the last one longer by what is left), each permuted."""
+    """Hex digits in groups of 16, each permuted; the last one is longer by what is left, or has 15 (31 digits
+    don't halve into 64-bit numbers)."""
 
     def body(d: Column) -> Column:
-        groups = F.greatest(F.lit(1), F.floor(F.length(d) / 16)).cast("int")
+        groups = F.greatest(F.lit(1), F.floor((F.length(d) + 1) / 16)).cast("int")
         return F.array_join(F.transform(F.sequence(F.lit(0), groups - 1), lambda i: permute_digits(
             F.substr(d, i * 16 + 1, F.when(i == groups - 1, F.length(d) - i * 16).otherwise(F.lit(16))), "hex", key, back, 16)), "")
 
