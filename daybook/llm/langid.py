@@ -9,7 +9,8 @@ its language's where the centroid has few members).  A text of fewer than ``FULL
 cannot come as near, so its limit shrinks with the square root of their number.
 
 The classifier is fitted on a bounded sample of labelled rows, ``SAMPLE_PER_LANG`` rows of each
-language (smallest seeded hash of the id); only their vectors reach the driver.  Prediction reads
+language (smallest seeded hash of the id, then of the text); only their vectors reach the driver, however
+many rows share an id.  Prediction reads
 every whole text in one scan without a shuffle; the broadcast model has at most ``MAX_CENTROIDS``
 rows of ``DIM`` floats.
 
@@ -129,7 +130,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     # the hash bound of each language's sample, as a small predicate pushed into the second scan
     bounds = drawn.groupBy("lang").agg(F.max("draw").alias("most")).withColumnRenamed("lang", "l")
     picked = rows.join(F.broadcast(bounds), (F.col("lang") == F.col("l")) & (F.col("draw") <= F.col("most")))
-    got = picked.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(_vectors, "lang string, v binary").collect()
+    # rows that share an id share a draw: of more rows at a bound than the sample holds, the first by hash of text
+    order = Window.partitionBy("lang").orderBy("draw", "id", F.xxhash64(F.lit(SEED), "text"), "text")
+    picked = picked.select("lang", "draw", "id", F.col("text").cast("binary").alias("text"))
+    picked = picked.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_lang)
+    got = picked.select("lang", "text").mapInArrow(_vectors, "lang string, v binary").collect()
     if not got:
         return CentroidModel([], np.zeros(0, int), np.zeros((0, DIM)), np.ones(DIM), np.zeros(0))
     got.sort(key=lambda r: (r[0], r[1]))
