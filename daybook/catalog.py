@@ -67,6 +67,8 @@ EVENT_PIVOT = {"DBACHECKS": ["click"], "PROMOTERS_NPS": ["purchase"], "DETRACTOR
                "PASSIVE_NPS": ["view"]}
 EVENT_ACCOUNTS = ["click", "purchase", "view"]
 TEXT_CAST = "double"
+#: Decimal places of the order-free sums.
+GRID_PLACES = 6
 
 
 # Further run dates of the jobs: first and second of a month, November (a closed month
@@ -175,6 +177,20 @@ def q_daily_actual_measures(spark, d):
                       "LOAN_LOSS", "PPLOADFEESANDCARDSALES", "DDLOADFEESANDCARDSALES")
 
 
+def q_order_free_actual_measures(spark, d):
+    return daily_revenue(fixture(spark, d, "daily_actual_thirds"), *ALL_DAYS, actual=True, places=GRID_PLACES)
+
+
+def q_order_free_plan_measures(spark, d):
+    c = clock()
+    return daily_revenue(fixture(spark, d, "daily_plan_thirds"), c.start_id, c.plan_end_id, actual=False, places=GRID_PLACES)
+
+
+def q_order_free_newest_sums(spark, d):
+    feed = normalise_keys(fixture(spark, d, "account_feed_thirds"))
+    return newest_sums(feed, ["CENTER", "PERIOD", "ACCOUNT"], {"DATA_VALUE": None}, places=GRID_PLACES)
+
+
 def q_check_loan_card_derivations(spark, d):
     return revenue_history(spark, d).select(
         "CENTER", "PERIOD", "NET_CHECK_COLLECTIONS", "CHECKLOSS", "NET_CHECK_REVENUE", "NET_LOAN_REVENUE",
@@ -452,6 +468,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_center_filter": q_fact_center_filter,
     "rollup_member_filter": q_rollup_member_filter,
     "daily_actual_measures": q_daily_actual_measures,
+    "order_free_actual_measures": q_order_free_actual_measures,
+    "order_free_plan_measures": q_order_free_plan_measures,
+    "order_free_newest_sums": q_order_free_newest_sums,
     "check_loan_card_derivations": q_check_loan_card_derivations,
     "daily_plan_to_month_end": q_daily_plan_to_month_end,
     "yoy_calendar_regime": q_yoy_calendar_regime,

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.exact import total_sql
+
 
 def s(c: str) -> Column:
     return F.sum(F.col(c))
@@ -77,34 +79,37 @@ def q(c: str) -> str:
     return f"`{c}`"
 
 
-def sql_s0(c: str) -> str:
-    return f"SUM(COALESCE({q(c)}, 0))"
+def sql_s0(c: str, places: int | None = None) -> str:
+    return total_sql(sql_c0(c), places)
 
 
 def sql_c0(c: str) -> str:
     return f"COALESCE({q(c)}, 0)"
 
 
-def revenue_daily_aggregate_sql(actual: bool = True) -> list[str]:
-    """E1/E2 as SQL expressions (the actual feed adds the 3 check counts).
+def revenue_daily_aggregate_sql(actual: bool = True, places: int | None = None) -> list[str]:
+    """E1/E2 as SQL expressions (the actual feed adds the 3 check counts); with ``places``
+    sums do not depend on the order of rows (``functions.exact``).
 
     Wide registries are handed to Spark as expression strings: one parse in
     the JVM instead of several driver round trips per Column object."""
+    total = lambda value: total_sql(value, places)
+    added = lambda parts: " + ".join(sql_s0(c, places) for c in parts)
     aggs = [
-        f"{sql_s0('NET_CHECK_FEES')} + {sql_s0('MOBILE_CHECK_ACE_FEES')} AS NET_CHECK_FEES",
-        f"SUM({sql_c0(COLLECT_PARTS[0])} + {sql_c0(COLLECT_PARTS[1])}) AS STORE_CHECK_COLLECTIONS",
-        f"SUM(({sql_c0(RETURN_PARTS[0])} + {sql_c0(RETURN_PARTS[1])}) * -1) AS STORE_CHECK_RETURNS",
-        " + ".join(map(sql_s0, INTEREST_PARTS)) + " AS TOTAL_INTEREST_INCOME",
-        " + ".join(map(sql_s0, FIRST_RETURN_PARTS)) + " AS LOAN_FIRST_RETURNS",
-        " + ".join(map(sql_s0, COLLECTION_PARTS)) + " AS NET_LOAN_COLLECTIONS",
-        "SUM(`MONEY_ORDER_FEES`) + SUM(`MONEY_GRAM_FEES`) + SUM(`BILL_PAYMENT_FEES`) AS TOTAL_MONEY_SERVICES",
+        f"{added(['NET_CHECK_FEES', 'MOBILE_CHECK_ACE_FEES'])} AS NET_CHECK_FEES",
+        total(f"({sql_c0(COLLECT_PARTS[0])} + {sql_c0(COLLECT_PARTS[1])})") + " AS STORE_CHECK_COLLECTIONS",
+        total(f"(({sql_c0(RETURN_PARTS[0])} + {sql_c0(RETURN_PARTS[1])}) * -1)") + " AS STORE_CHECK_RETURNS",
+        f"{added(INTEREST_PARTS)} AS TOTAL_INTEREST_INCOME",
+        f"{added(FIRST_RETURN_PARTS)} AS LOAN_FIRST_RETURNS",
+        f"{added(COLLECTION_PARTS)} AS NET_LOAN_COLLECTIONS",
+        " + ".join(total(q(c)) for c in ["MONEY_ORDER_FEES", "MONEY_GRAM_FEES", "BILL_PAYMENT_FEES"]) + " AS TOTAL_MONEY_SERVICES",
     ]
-    aggs += [f"SUM({q(c)}) AS {q(c)}" for c in PLAIN_SUMS + (ACTUAL_ONLY if actual else [])]
+    aggs += [f"{total(q(c))} AS {q(c)}" for c in PLAIN_SUMS + (ACTUAL_ONLY if actual else [])]
     return aggs
 
 
-def revenue_daily_aggregates(actual: bool = True) -> list[Column]:
-    return [F.expr(e) for e in revenue_daily_aggregate_sql(actual)]
+def revenue_daily_aggregates(actual: bool = True, places: int | None = None) -> list[Column]:
+    return [F.expr(e) for e in revenue_daily_aggregate_sql(actual, places)]
 
 
 def derive_check_loan_card(df: DataFrame) -> DataFrame:

@@ -11,9 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.exact import total_sql
 
-def _sql_list(values: list[str]) -> str:
-    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+
+def sql_list(values: list[str]) -> str:
+    """Literals for IN; of no values one that nothing equals."""
+    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values) or "NULL"
 
 
 def pivot_accounts(
@@ -23,15 +26,19 @@ def pivot_accounts(
     keys: tuple[str, ...] = ("CENTER", "PERIOD"),
     account: str = "ACCOUNT",
     conditions: dict[str, Column | str] | None = None,
+    places: int | None = None,
 ) -> DataFrame:
-    """``conditions`` may be Columns or SQL predicate strings."""
+    """``conditions`` may be Columns or SQL predicate strings; with ``places`` sums are order-free
+    (``functions.exact``), which needs SQL strings."""
     conditions = conditions or {}
     aggs = []
     for name, accounts in columns.items():
         cond = conditions.get(name)
         if cond is None or isinstance(cond, str):
-            hit = f"`{account}` IN ({_sql_list(list(accounts))})" + (f" AND ({cond})" if cond else "")
-            aggs.append(F.expr(f"SUM(CASE WHEN {hit} THEN `{value}` ELSE 0 END) AS `{name}`"))
+            hit = f"`{account}` IN ({sql_list(list(accounts))})" + (f" AND ({cond})" if cond else "")
+            aggs.append(F.expr(total_sql(f"CASE WHEN {hit} THEN `{value}` ELSE 0 END", places)).alias(name))
+        elif places is not None:
+            raise TypeError(f"condition of {name}: order-free sums need it as an SQL string")
         else:
             hit = F.col(account).isin(list(accounts)) & cond
             aggs.append(F.sum(F.when(hit, F.col(value)).otherwise(F.lit(0))).alias(name))

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.exact import total_sql
+
 
 def latest_snapshot(df: DataFrame, keys: list[str], version: str = "EXTRACT_DATE_ID") -> DataFrame:
     clean = df.na.drop(subset=[*keys, version])
@@ -23,13 +25,13 @@ def latest_snapshot(df: DataFrame, keys: list[str], version: str = "EXTRACT_DATE
     return clean.join(newest, [*keys, version], "left_semi").select(*df.columns)
 
 
-def preaggregate(df: DataFrame, keys: list[str], value: str, version: str = "EXTRACT_DATE_ID") -> DataFrame:
-    """Sum ``value`` per (keys, version): exact for any later sum over latest rows."""
-    return df.groupBy(*keys, version).agg(F.sum(value).alias(value))
+def preaggregate(df: DataFrame, keys: list[str], value: str, version: str = "EXTRACT_DATE_ID", places: int | None = None) -> DataFrame:
+    """Sum ``value`` per (keys, version), for any later sum over latest rows; order-free with ``places``."""
+    return df.groupBy(*keys, version).agg(F.expr(total_sql(f"`{value}`", places)).alias(value))
 
 
 def newest_sums(df: DataFrame, keys: list[str], columns: dict[str, Column | None],
-                version: str = "EXTRACT_DATE_ID", place: tuple[str, ...] = ("CENTER", "PERIOD")) -> DataFrame:
+                version: str = "EXTRACT_DATE_ID", place: tuple[str, ...] = ("CENTER", "PERIOD"), places: int | None = None) -> DataFrame:
     """Per key, sums over the rows of the newest ``version`` only (no join).
 
     ``columns`` maps output name -> value Column (``None``: the column of the
@@ -37,12 +39,14 @@ def newest_sums(df: DataFrame, keys: list[str], columns: dict[str, Column | None
     version are already added up and a hot center collapses map-side.  The sums
     are then dealt by ``place``, a part of the keys: step 2 (per key, each
     column's sum at the greatest version) and a later grouping by ``place`` need no
-    further shuffle.  ``max_by`` over single columns stays a hash aggregate.
+    further shuffle.  ``max_by`` over single columns stays a hash aggregate.  With ``places``
+    the sums do not depend on the order of rows (``functions.exact``).
     """
     clean = df.na.drop(subset=[*keys, version])
     extra = [c for c in place if c not in keys]
+    clean = clean.select(*keys, *extra, version, *[(v if v is not None else F.col(n)).alias(f"_sum_{n}") for n, v in columns.items()])
     sums = clean.groupBy(*keys, *extra, version).agg(
-        *[F.sum(v if v is not None else F.col(n)).alias(n) for n, v in columns.items()])
+        *[F.expr(total_sql(f"`_sum_{n}`", places)).alias(n) for n in columns])
     newest = sums.repartition(*place).groupBy(*keys, *extra).agg(
         *[F.max_by(F.col(n), F.col(version)).alias(n) for n in columns])
     return newest

@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions.exact import total_sql
 from daybook.operators.reload import list_children, partition_dirs, remove
 from daybook.operators.snapshot import latest_snapshot
 
@@ -32,6 +33,7 @@ class SnapshotState:
     sums: tuple[str, ...]
     detail: tuple[str, ...] = ()
     version: str = VERSION
+    places: int | None = None  # decimals of order-free sums (``functions.exact``); None: plain sums
 
     @property
     def columns(self) -> list[str]:
@@ -41,7 +43,8 @@ class SnapshotState:
         """The state after ``rows``, whose extracts are newer than all in ``state`` (None: an empty one).  Rows without a
         key or extract are left out."""
         by = [*self.keys, *self.detail, self.version]
-        fresh = rows.na.drop(subset=[*self.keys, self.version]).groupBy(*by).agg(*[F.sum(c).alias(c) for c in self.sums])
+        fresh = rows.na.drop(subset=[*self.keys, self.version]).groupBy(*by).agg(
+            *[F.expr(total_sql(f"`{c}`", self.places)).alias(c) for c in self.sums])
         fresh = fresh.select(*self.columns)
         both = fresh if state is None else state.select(*self.columns).unionByName(fresh)
         return self._newest(both)

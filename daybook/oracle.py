@@ -128,18 +128,27 @@ DERIVED = ["NET_CHECK_COLLECTIONS", "CHECKLOSS", "NET_CHECK_REVENUE", "NET_LOAN_
            "PPLOADFEESANDCARDSALES", "DDLOADFEESANDCARDSALES"]
 
 
-def rev_daily(feed: str, lo: int, hi: int, actual: bool) -> str:
+def plain_sum(x: str) -> str:
+    return f"SUM({x})"
+
+
+def grid_sum(x: str) -> str:
+    """Sum of the values as written out, to six decimals, in exact decimals; the double nearest to it."""
+    return f"CAST(CAST(SUM(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,6))) AS VARCHAR) AS DOUBLE)"
+
+
+def rev_daily(feed: str, lo: int, hi: int, actual: bool, total=plain_sum) -> str:
     """Daily aggregate + check/loan/card derivations, warehouse shape."""
-    s0 = lambda x: f"SUM(COALESCE({x},0))"
+    s0 = lambda x: total(f"COALESCE({x},0)")
     aggs = [
         f"{s0('NET_CHECK_FEES')} + {s0('MOBILE_CHECK_ACE_FEES')} AS NET_CHECK_FEES",
-        "SUM(COALESCE(REGULAR_CHECK_COLLECT_VOLUME,0) + COALESCE(FORGERY_COLLECT_VOLUME,0)) AS STORE_CHECK_COLLECTIONS",
-        "SUM((COALESCE(FORGERY_RETURNED_VOLUME,0) + COALESCE(REGULAR_CHECK_RETURNED_VOLUME,0)) * -1) AS STORE_CHECK_RETURNS",
+        total("COALESCE(REGULAR_CHECK_COLLECT_VOLUME,0) + COALESCE(FORGERY_COLLECT_VOLUME,0)") + " AS STORE_CHECK_COLLECTIONS",
+        total("(COALESCE(FORGERY_RETURNED_VOLUME,0) + COALESCE(REGULAR_CHECK_RETURNED_VOLUME,0)) * -1") + " AS STORE_CHECK_RETURNS",
         " + ".join(s0(x) for x in M.INTEREST_PARTS) + " AS TOTAL_INTEREST_INCOME",
         " + ".join(s0(x) for x in M.FIRST_RETURN_PARTS) + " AS LOAN_FIRST_RETURNS",
         " + ".join(s0(x) for x in M.COLLECTION_PARTS) + " AS NET_LOAN_COLLECTIONS",
-        "SUM(MONEY_ORDER_FEES) + SUM(MONEY_GRAM_FEES) + SUM(BILL_PAYMENT_FEES) AS TOTAL_MONEY_SERVICES",
-        *[f"SUM({x}) AS {x}" for x in M.PLAIN_SUMS + (M.ACTUAL_ONLY if actual else [])],
+        " + ".join(total(x) for x in ("MONEY_ORDER_FEES", "MONEY_GRAM_FEES", "BILL_PAYMENT_FEES")) + " AS TOTAL_MONEY_SERVICES",
+        *[f"{total(x)} AS {x}" for x in M.PLAIN_SUMS + (M.ACTUAL_ONLY if actual else [])],
     ]
     inner = (f"SELECT CENTER, CAST(PERIOD AS INTEGER) AS PERIOD, {', '.join(aggs)} FROM {feed} "
              f"WHERE CAST(PERIOD AS INTEGER) BETWEEN {lo} AND {hi} AND {FACT_RULE.format(c='CENTER')} "
@@ -464,6 +473,19 @@ def sql_daily_actual_measures() -> str:
         ["CENTER", "PERIOD"] + rev_agg_cols(True), "h")
 
 
+def sql_order_free(feed: str, lo: int, hi: int, actual: bool) -> str:
+    return with_(feed=fixture_sql(feed), h=rev_daily("feed", lo, hi, actual, total=grid_sum)) + final(
+        ["CENTER", "PERIOD"] + rev_agg_cols(actual) + DERIVED, "h")
+
+
+def sql_order_free_newest_sums() -> str:
+    keys = "CENTER, PERIOD, ACCOUNT"
+    return with_(f=f"SELECT CENTER, CAST(PERIOD AS INTEGER) AS PERIOD, ACCOUNT, DATA_VALUE, EXTRACT_DATE_ID FROM ({fixture_sql('account_feed_thirds')}) a",
+                 m=f"SELECT {keys}, MAX(EXTRACT_DATE_ID) AS EXTRACT_DATE_ID FROM f GROUP BY {keys}",
+                 t=f"SELECT {keys}, {grid_sum('DATA_VALUE')} AS DATA_VALUE FROM f JOIN m USING ({keys}, EXTRACT_DATE_ID) GROUP BY {keys}",
+                 ) + final(["CENTER", "PERIOD", "ACCOUNT", "DATA_VALUE"], "t")
+
+
 def sql_check_loan_card_derivations() -> str:
     return with_(feed_a=fixture_sql("daily_actual"), h=rev_daily("feed_a", *ALL_DAYS, True)) + final(
         ["CENTER", "PERIOD"] + DERIVED, "h")
@@ -711,6 +733,9 @@ def build() -> dict[str, str]:
         "fact_center_filter": sql_fact_center_filter(),
         "rollup_member_filter": sql_rollup_member_filter(),
         "daily_actual_measures": sql_daily_actual_measures(),
+        "order_free_actual_measures": sql_order_free("daily_actual_thirds", *ALL_DAYS, True),
+        "order_free_plan_measures": sql_order_free("daily_plan_thirds", C.start_id, C.plan_end_id, False),
+        "order_free_newest_sums": sql_order_free_newest_sums(),
         "check_loan_card_derivations": sql_check_loan_card_derivations(),
         "daily_plan_to_month_end": sql_daily_plan_to_month_end(),
         "yoy_calendar_regime": _sql_yoy("calendar"),

@@ -84,7 +84,7 @@ def backfill_revenue(src: RevenueSources, as_of: list[dt.date], params: RevenueP
 
     def daily(feed: DataFrame, end: str, last: str, actual: bool) -> DataFrame:
         days = runs.run_days(spark, end).select("PERIOD").distinct()
-        return daily_revenue(feed, *runs.bounds(last), actual=actual, days=days)
+        return daily_revenue(feed, *runs.bounds(last), actual=actual, days=days, places=params.places)
 
     actual = daily(src.actual, "WINDOW_END", "end_id", True).selectExpr("CENTER", "PERIOD", *map(q, REVENUE_MEASURES))
     rows = runs.spine(src.hierarchy).join(actual, ["CENTER", "PERIOD"], "left")

@@ -24,12 +24,13 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, StructField, St
 
 from daybook.functions.clock import RunClock
 from daybook.functions.dates import day_key, key_day, last_day, month_start
+from daybook.functions.exact import total_sql
 from daybook.functions.measures import c0, derive_card_sales, derive_shop_totals
 from daybook.functions.predicates import is_fact_center, is_operating_center, is_rollup_member
 from daybook.operators.audit import AuditLog
 from daybook.operators.load import load_window
 from daybook.operators.merge import merge_metrics
-from daybook.operators.pivot import pivot_accounts
+from daybook.operators.pivot import pivot_accounts, sql_list
 from daybook.operators.quarantine import Quarantine, watcher
 from daybook.operators.snapshot import newest_sums, preaggregate
 from daybook.operators.spine import build_spine
@@ -93,21 +94,21 @@ BUY_BACK_OPPS = ["STOREFRONT_PAYDAY_BUY_BACK_OPPORTUNITIES", "STOREFRONT_INSTALL
 CHECK_TEXTS = ["FORGERYRETURNEDVOLUME", "FORGERYCOLLECTVOLUME", "CHECKCASHINGVOLUME", "OPENLATE", "CLOSEEARLY"]
 
 
-def _try_cast(c: str, to: str) -> Column:
-    return F.expr(f"try_cast({c} AS {to})")
+def _text_sum(c: str, to: str, places: int | None) -> Column:
+    return F.expr(total_sql(f"try_cast({c} AS {to})", places))
 
 
 # ---- components -------------------------------------------------------------
 
 def snapshot_pivot(feed: DataFrame, lo: int, hi: int, columns: dict, center_rule=None,
-                   account_filter: bool = False) -> DataFrame:
+                   account_filter: bool = False, places: int | None = None) -> DataFrame:
     """Newest extract per (center, day, account), then account pivot (D6a + E3)."""
     raw = feed
     if account_filter:
         raw = raw.where(F.col("ACCOUNT").isin([a for accts in columns.values() for a in accts]))
     df = window_feed(raw, lo, hi, center_rule=center_rule)
-    latest = newest_sums(df, [*KEYS, "ACCOUNT"], {V: None})
-    return pivot_accounts(latest, columns, value=V)
+    latest = newest_sums(df, [*KEYS, "ACCOUNT"], {V: None}, places=places)
+    return pivot_accounts(latest, columns, value=V, places=places)
 
 
 def account_sums(columns: dict) -> dict:
@@ -116,26 +117,26 @@ def account_sums(columns: dict) -> dict:
             for name, accts in columns.items()}
 
 
-def snapshot_sum(feed: DataFrame, lo: int, hi: int, accounts: list, out: str) -> DataFrame:
+def snapshot_sum(feed: DataFrame, lo: int, hi: int, accounts: list, out: str, places: int | None = None) -> DataFrame:
     """Newest extract per (center, day) over an account set, summed (D6b + E9)."""
     df = window_feed(feed.where(F.col("ACCOUNT").isin(accounts)), lo, hi)
-    return newest_sums(df, KEYS, {out: F.col(V)})
+    return newest_sums(df, KEYS, {out: F.col(V)}, places=places)
 
 
-def nps_component(feed, lo, hi, acc: OpsAccounts):
-    return snapshot_pivot(feed, lo, hi, acc.nps, center_rule=is_operating_center, account_filter=True)
+def nps_component(feed, lo, hi, acc: OpsAccounts, places=None):
+    return snapshot_pivot(feed, lo, hi, acc.nps, center_rule=is_operating_center, account_filter=True, places=places)
 
 
-def hours_component(feed, lo, hi, cast_to="double", watch=None):
+def hours_component(feed, lo, hi, cast_to="double", watch=None, places=None):
     df = window_feed(feed, lo, hi, center_rule=is_fact_center, watch=watch)
-    return df.groupBy(*KEYS).agg(*[F.sum(_try_cast(src, cast_to)).alias(dst) for dst, src in STAFF_MAP.items()])
+    return df.groupBy(*KEYS).agg(*[_text_sum(src, cast_to, places).alias(dst) for dst, src in STAFF_MAP.items()])
 
 
-def dds_component(feed, lo, hi, acc: OpsAccounts):
-    return snapshot_sum(feed, lo, hi, acc.dds, "FIRSTTIME_DDS_CY")
+def dds_component(feed, lo, hi, acc: OpsAccounts, places=None):
+    return snapshot_sum(feed, lo, hi, acc.dds, "FIRSTTIME_DDS_CY", places)
 
 
-def dda_feed_component(feed, lo, hi, acc: OpsAccounts) -> DataFrame:
+def dda_feed_component(feed, lo, hi, acc: OpsAccounts, places: int | None = None) -> DataFrame:
     """DDA cards (newest extract over an account set, D6b) and NC4S (newest extract of each
     account, D6a) from one read of the DDA feed, one row per (center, day).
 
@@ -147,10 +148,12 @@ def dda_feed_component(feed, lo, hi, acc: OpsAccounts) -> DataFrame:
     own = sorted({a for v in acc.nc4s.values() for a in v})
     cards = [a for v in acc.dda.values() for a in v]
     df = window_feed(feed, lo, hi).na.drop(subset=[*KEYS, "ACCOUNT", version])
-    pre = preaggregate(df, [*KEYS, "ACCOUNT"], V, version).repartition(*KEYS)
+    pre = preaggregate(df, [*KEYS, "ACCOUNT"], V, version, places).repartition(*KEYS)
+    card_sql = f"ACCOUNT IN ({sql_list(cards)})"
     is_card = F.col("ACCOUNT").isin(cards)
     extracts = pre.groupBy(*KEYS, version).agg(
-        *[F.sum(F.when(is_card, v)).alias(n) for n, v in account_sums(acc.dda).items()],
+        *[F.expr(total_sql(f"CASE WHEN {card_sql} THEN CASE WHEN ACCOUNT IN ({sql_list(a)}) THEN `{V}` ELSE 0 END END", places)).alias(n)
+          for n, a in acc.dda.items()],
         F.max(F.when(is_card, F.col(version))).alias("_cards"),
         F.max(~F.col("ACCOUNT").isin(own)).alias("_others"),
         *[F.sum(F.when(F.col("ACCOUNT") == a, F.col(V))).alias(f"_v{i}") for i, a in enumerate(own)],
@@ -174,22 +177,21 @@ def dda_feed_component(feed, lo, hi, acc: OpsAccounts) -> DataFrame:
         *KEYS, *acc.dda, *[column(v).alias(n) for n, v in acc.nc4s.items()])
 
 
-def prepaid_component(feed, lo, hi, acc: OpsAccounts):
-    return snapshot_sum(feed, lo, hi, acc.prepaid, "PREPAIDCARDSALEITEMS")
+def prepaid_component(feed, lo, hi, acc: OpsAccounts, places=None):
+    return snapshot_sum(feed, lo, hi, acc.prepaid, "PREPAIDCARDSALEITEMS", places)
 
 
-def bbk_component(feed, lo, hi, watch=None):
+def bbk_component(feed, lo, hi, watch=None, places=None):
     df = window_feed(feed, lo, hi, center_rule=is_fact_center, watch=watch)
-    sums = df.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in BUY_BACKS + BUY_BACK_OPPS],
-                                 F.sum("CASH_SHORTS_PSD").alias("CASH_SHORTS_PSD"),
-                                 F.sum("INTERNAL_AUDIT").alias("INTERNAL_AUDIT"))
+    sums = df.groupBy(*KEYS).agg(*[F.expr(total_sql(f"`{c}`", places)).alias(c)
+                                   for c in [*BUY_BACKS, *BUY_BACK_OPPS, "CASH_SHORTS_PSD", "INTERNAL_AUDIT"]])
     return sums.select(*KEYS,
                        (c0(BUY_BACKS[0]) + c0(BUY_BACKS[1]) + c0(BUY_BACKS[2])).alias("BBK_ITEMS_CY"),
                        (c0(BUY_BACK_OPPS[0]) + c0(BUY_BACK_OPPS[1]) + c0(BUY_BACK_OPPS[2])).alias("BBK_OPP_ITEMS_CY"),
                        "CASH_SHORTS_PSD", "INTERNAL_AUDIT")
 
 
-def cash_component(feed, lo, hi):
+def cash_component(feed, lo, hi, places: int | None = None):
     """Newest extract per (center, *month*, account) (D6c).  The month is read
     whole before the snapshot (a later day of the month may carry the newest
     extract); the exact window applies after it."""
@@ -200,16 +202,16 @@ def cash_component(feed, lo, hi):
     df = df.na.drop(subset=[*KEYS, "ACCOUNT", version])
     # per (center, month, account) at most ~31 days x a few extracts remain after
     # the pre-aggregation, so the window partitions are small whatever the skew
-    pre = preaggregate(df, [*KEYS, "ACCOUNT"], V, version).withColumn("MONTH", F.expr("PERIOD div 100"))
+    pre = preaggregate(df, [*KEYS, "ACCOUNT"], V, version, places).withColumn("MONTH", F.expr("PERIOD div 100"))
     newest = F.max(version).over(Window.partitionBy("CENTER", "MONTH", "ACCOUNT"))
     latest = pre.withColumn("_NEWEST", newest).where(F.col(version) == F.col("_NEWEST"))
     return (latest.where(F.col("PERIOD").between(lo, hi))
-            .groupBy(*KEYS).agg(F.sum(V).alias("AUDCASHSHORTS")))
+            .groupBy(*KEYS).agg(F.expr(total_sql(f"`{V}`", places)).alias("AUDCASHSHORTS")))
 
 
-def checks_component(feed, lo, hi, cast_to="double", watch=None):
+def checks_component(feed, lo, hi, cast_to="double", watch=None, places=None):
     df = window_feed(feed, lo, hi, center_rule=is_fact_center, watch=watch)
-    s = lambda c: F.sum(_try_cast(c, cast_to))
+    s = lambda c: _text_sum(c, cast_to, places)
     return df.groupBy(*KEYS).agg(
         (s("FORGERYRETURNEDVOLUME") - s("FORGERYCOLLECTVOLUME")).alias("FORGERIES_VOL"),
         s("CHECKCASHINGVOLUME").alias("CHECK_CASHING_VOL"),
@@ -218,12 +220,12 @@ def checks_component(feed, lo, hi, cast_to="double", watch=None):
         F.sum("NO_OF_DAYS").alias("NO_DAYS_CY"))
 
 
-def employees_component(feed, lo, hi, acc: OpsAccounts):
-    return snapshot_pivot(feed, lo, hi, acc.employees, center_rule=is_fact_center)
+def employees_component(feed, lo, hi, acc: OpsAccounts, places=None):
+    return snapshot_pivot(feed, lo, hi, acc.employees, center_rule=is_fact_center, places=places)
 
 
-def shops_component(feed, lo, hi, acc: OpsAccounts):
-    return snapshot_pivot(feed, lo, hi, acc.shops, center_rule=is_fact_center)
+def shops_component(feed, lo, hi, acc: OpsAccounts, places=None):
+    return snapshot_pivot(feed, lo, hi, acc.shops, center_rule=is_fact_center, places=places)
 
 
 def goal_rows(goals: DataFrame, clock: RunClock) -> DataFrame:
@@ -231,7 +233,8 @@ def goal_rows(goals: DataFrame, clock: RunClock) -> DataFrame:
     return goals.where(period_between(goals, clock.expiration_id, clock.goal_end_id) & ~is_rollup_member(F.col("CENTER")))
 
 
-def goal_component(goals: DataFrame, clock: RunClock, acc: OpsAccounts, quarantine: Quarantine | None = None) -> DataFrame:
+def goal_component(goals: DataFrame, clock: RunClock, acc: OpsAccounts, quarantine: Quarantine | None = None,
+                   places: int | None = None) -> DataFrame:
     """Goal cube (D6a over all accounts, E4 cut-off, C3 roll-up exclusion).
     Snapshot on the raw text center; grouped on the *cast* center so '25' and
     '025' land in one row.  Members that name no center are left out
@@ -241,10 +244,10 @@ def goal_component(goals: DataFrame, clock: RunClock, acc: OpsAccounts, quaranti
         rows = quarantine.watch("goals", rows, raw=goals.where(~is_rollup_member(F.col("CENTER"))))
     raw = rows.where(is_day_sql("try_cast(PERIOD AS INT)")).selectExpr(f"{whole_number_sql('CENTER')} AS _CENTER", "CENTER", "try_cast(PERIOD AS INT) AS PERIOD",
                                              "ACCOUNT", "GOAL_VALUE", "EXTRACT_DATE_ID").where("_CENTER IS NOT NULL")
-    latest = newest_sums(raw, [*KEYS, "ACCOUNT"], {"GOAL_VALUE": None}, place=("_CENTER", "PERIOD"))
+    latest = newest_sums(raw, [*KEYS, "ACCOUNT"], {"GOAL_VALUE": None}, place=("_CENTER", "PERIOD"), places=places)
     latest = latest.selectExpr("_CENTER AS CENTER", "PERIOD", "ACCOUNT", "GOAL_VALUE")
     cutoff = {"FTDD_GOAL_MTD": f"PERIOD < {int(clock.end_id)}"}
-    return pivot_accounts(latest, acc.goals, value="GOAL_VALUE", conditions=cutoff)
+    return pivot_accounts(latest, acc.goals, value="GOAL_VALUE", conditions=cutoff, places=places)
 
 
 def lag_open_month(df: DataFrame, columns: list[str], clock: RunClock, drop_rows: bool = False) -> DataFrame:
@@ -327,20 +330,20 @@ class OpsSources:
 
 
 def spine_components(src: OpsSources, lo: int, hi: int, acc: OpsAccounts, cast_to: str = "double",
-                     quarantine: Quarantine | None = None) -> list[DataFrame]:
-    """The ten components on the spine; ``quarantine`` watches the three wide feeds."""
+                     quarantine: Quarantine | None = None, places: int | None = None) -> list[DataFrame]:
+    """The ten components on the spine; ``quarantine`` watches the three wide feeds; with ``places`` sums are order-free."""
     watch = lambda name, feed, numbers=(): watcher(quarantine, name, feed, numbers)
     return [
-        nps_component(src.nps, lo, hi, acc),
-        hours_component(src.staff, lo, hi, cast_to, watch("staff", src.staff, list(STAFF_MAP.values()))),
-        dds_component(src.dds, lo, hi, acc),
-        dda_feed_component(src.dda, lo, hi, acc),
-        prepaid_component(src.prepaid, lo, hi, acc),
-        bbk_component(src.visit, lo, hi, watch("visit", src.visit)),
-        cash_component(src.cash, lo, hi),
-        checks_component(src.center, lo, hi, cast_to, watch("center", src.center, CHECK_TEXTS)),
-        employees_component(src.employees, lo, hi, acc),
-        shops_component(src.shops, lo, hi, acc),
+        nps_component(src.nps, lo, hi, acc, places),
+        hours_component(src.staff, lo, hi, cast_to, watch("staff", src.staff, list(STAFF_MAP.values())), places),
+        dds_component(src.dds, lo, hi, acc, places),
+        dda_feed_component(src.dda, lo, hi, acc, places),
+        prepaid_component(src.prepaid, lo, hi, acc, places),
+        bbk_component(src.visit, lo, hi, watch("visit", src.visit), places),
+        cash_component(src.cash, lo, hi, places),
+        checks_component(src.center, lo, hi, cast_to, watch("center", src.center, CHECK_TEXTS), places),
+        employees_component(src.employees, lo, hi, acc, places),
+        shops_component(src.shops, lo, hi, acc, places),
     ]
 
 
@@ -351,22 +354,24 @@ def ops_target_schema() -> StructType:
 
 
 def ops_metrics(src: OpsSources, lo: int, hi: int, acc: OpsAccounts = OpsAccounts(),
-                cast_to: str = "double", quarantine: Quarantine | None = None) -> DataFrame:
+                cast_to: str = "double", quarantine: Quarantine | None = None, places: int | None = None) -> DataFrame:
     """All spine components over [lo, hi], merged on (CENTER, PERIOD)."""
-    return merge_metrics(spine_components(src, lo, hi, acc, cast_to, quarantine))
+    return merge_metrics(spine_components(src, lo, hi, acc, cast_to, quarantine, places))
 
 
 def run_ops_goals(src: OpsSources, clock: RunClock, acc: OpsAccounts = OpsAccounts(),
-                  cast_to: str = "double", audit: AuditLog | None = None, quarantine: Quarantine | None = None) -> DataFrame:
+                  cast_to: str = "double", audit: AuditLog | None = None, quarantine: Quarantine | None = None,
+                  places: int | None = None) -> DataFrame:
+    """The job's output rows; with ``places`` the sums of DOUBLE feeds do not depend on the order of rows."""
     stage = audit.stage if audit else (lambda name, df: df)
     spine = stage("spine", build_spine(src.hierarchy, clock.start, clock.end))
-    metrics = ops_metrics(src, clock.start_id, clock.end_id, acc, cast_to, quarantine)
+    metrics = ops_metrics(src, clock.start_id, clock.end_id, acc, cast_to, quarantine, places)
     cur = spine.join(metrics, KEYS, "left")
     cur = with_last_year_two_regime(cur, src.history, LY_MAP, clock)
     cur = lag_open_month(cur, ["FIRSTTIME_DDS_CY", "FIRSTTIME_DDS_LY"], clock)
     cur = zero_fill(cur, ZERO_FILLED).drop("DAY")
     cur = stage("components", cur)
-    goals = stage("goal", goal_component(src.goals, clock, acc, quarantine))
+    goals = stage("goal", goal_component(src.goals, clock, acc, quarantine, places))
     merged = cur.join(goals, KEYS, "full")
     merged = derive_card_sales(derive_shop_totals(merged))
     out = clip_to_run_window(merged, clock.expiration_id, clock.goal_end_id)
@@ -377,14 +382,14 @@ def run_ops_goals(src: OpsSources, clock: RunClock, acc: OpsAccounts = OpsAccoun
 
 
 def load_ops_goals(src, clock: RunClock, target: str, audit: AuditLog, acc: OpsAccounts = OpsAccounts(), cast_to: str = "double", *,
-                   quarantine: Quarantine | None = None, restatement: bool = False) -> int:
+                   quarantine: Quarantine | None = None, restatement: bool = False, places: int | None = None) -> int:
     """Job entry (I5): audit start, stage counts, stamped reload of the run
     window into ``target`` (partitioned by PERIOD), audit end; returns 0.
     Any failure is audited with its message and re-raised.  Unusable feed values are counted (``quarantine`` with a sink keeps
     them); ``restatement`` adds how the window differs from the old one."""
     quarantine = quarantine or Quarantine(clock.extract_id)
     return load_window(src.hierarchy.sparkSession, "ops_goals", audit, target, clock, restatement, quarantine,
-                       lambda: run_ops_goals(src, clock, acc, cast_to, audit=audit, quarantine=quarantine))
+                       lambda: run_ops_goals(src, clock, acc, cast_to, audit=audit, quarantine=quarantine, places=places))
 
 
 __all__ = ["load_ops_goals", "OpsAccounts", "OpsSources", "run_ops_goals", "ops_metrics", "spine_components",

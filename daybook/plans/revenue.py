@@ -46,6 +46,8 @@ class RevenueParams:
     # period after which the accrual applies.
     accrual_measure: str = "OTHER_PREPAID_CARD_REVENUE"
     accrual_since: int = 20191231
+    # Decimal places of order-free sums of DOUBLE feeds; None: plain sums, for feeds whose sums are exact.
+    places: int | None = None
 
 
 @dataclass
@@ -57,11 +59,13 @@ class RevenueSources:
     extra: dict = field(default_factory=dict)
 
 
-def daily_revenue(feed: DataFrame, lo: int, hi: int, actual: bool = True, watch=None, days: DataFrame | None = None) -> DataFrame:
-    """E1 + F1-F3 over [lo, hi] for fact centers; with ``days`` (PERIOD, distinct) over these days only."""
+def daily_revenue(feed: DataFrame, lo: int, hi: int, actual: bool = True, watch=None, days: DataFrame | None = None,
+                  places: int | None = None) -> DataFrame:
+    """E1 + F1-F3 over [lo, hi] for fact centers; with ``days`` (PERIOD, distinct) over these days only; with ``places``
+    sums that do not depend on the order of rows."""
     df = window_feed(feed, lo, hi, center_rule=is_fact_center, watch=watch)
     df = df if days is None else df.join(days, "PERIOD", "left_semi")
-    return derive_check_loan_card(df.groupBy(*KEYS).agg(*revenue_daily_aggregates(actual)))
+    return derive_check_loan_card(df.groupBy(*KEYS).agg(*revenue_daily_aggregates(actual, places)))
 
 
 def revenue_actuals(spine: DataFrame, actual_daily: DataFrame, history: DataFrame, clock: RunClock) -> DataFrame:
@@ -122,9 +126,11 @@ def run_revenue(src: RevenueSources, clock: RunClock, params: RevenueParams = Re
                 audit: AuditLog | None = None, quarantine: Quarantine | None = None) -> DataFrame:
     stage = audit.stage if audit else (lambda name, df: df)
     spine = stage("spine", build_spine(src.hierarchy, clock.start, clock.end))
-    actual_daily = daily_revenue(src.actual, clock.start_id, clock.end_id, actual=True, watch=watcher(quarantine, "actual", src.actual))
+    actual_daily = daily_revenue(src.actual, clock.start_id, clock.end_id, actual=True, watch=watcher(quarantine, "actual", src.actual),
+                                 places=params.places)
     actuals = stage("actuals", revenue_actuals(spine, actual_daily, src.history, clock))
-    plan_daily = stage("plan", daily_revenue(src.plan, clock.start_id, clock.plan_end_id, actual=False, watch=watcher(quarantine, "plan", src.plan)))
+    plan_daily = stage("plan", daily_revenue(src.plan, clock.start_id, clock.plan_end_id, actual=False, watch=watcher(quarantine, "plan", src.plan),
+                                            places=params.places))
     merged = stage("data", revenue_merged(actuals, plan_daily, clock, params))
     return stage("insert", revenue_output(merged, clock))
 

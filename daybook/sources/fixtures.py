@@ -106,6 +106,21 @@ def daily_plan_odd_keys_sql(t: TableRef) -> str:
             f"CASE WHEN o_orderkey % 23 = 0 THEN 20000200 + 30 + o_orderkey % 2 ELSE {O_DAY} END AS PERIOD, {cols} FROM {t('orders')}")
 
 
+def daily_actual_thirds_sql(t: TableRef) -> str:
+    """The actual feed in thirds of a cent's multiples: doubles whose sums depend on the order of rows."""
+    cols = ", ".join(f"{c} / CAST(3 AS DOUBLE) AS {c}" for c in revenue_feed_columns(actual=True))
+    return f"SELECT CENTER, PERIOD, {cols} FROM ({daily_actual_sql(t)}) d"
+
+
+def daily_plan_thirds_sql(t: TableRef) -> str:
+    cols = ", ".join(f"{c} / CAST(3 AS DOUBLE) AS {c}" for c in revenue_feed_columns(actual=False))
+    return f"SELECT CENTER, PERIOD, {cols} FROM ({daily_plan_sql(t)}) d"
+
+
+def account_feed_thirds_sql(t: TableRef) -> str:
+    return f"SELECT CENTER, PERIOD, ACCOUNT, DATA_VALUE / CAST(3 AS DOUBLE) AS DATA_VALUE, EXTRACT_DATE_ID FROM ({account_feed_sql(t)}) d"
+
+
 def account_feed_sql(t: TableRef) -> str:
     """Snapshot feed: account = return flag + line status + line number; three
     extract versions per day; value = quantity."""
@@ -177,6 +192,9 @@ RECIPES = {
     "daily_plan": daily_plan_sql,
     "daily_plan_odd_keys": daily_plan_odd_keys_sql,
     "account_feed": account_feed_sql,
+    "daily_actual_thirds": daily_actual_thirds_sql,
+    "daily_plan_thirds": daily_plan_thirds_sql,
+    "account_feed_thirds": account_feed_thirds_sql,
     "events_feed": events_feed_sql,
     "goals": goals_sql,
     "staff_metrics": staff_metrics_sql,
