@@ -27,6 +27,7 @@ from daybook.functions.clock import RunClock, clock_columns, expiration_of, goal
 from daybook.functions.measures import REVENUE_MEASURES, SHOP_DEN, SHOP_NUM, derive_card_sales, derive_shop_totals, ly_name
 from daybook.functions.predicates import is_fact_center, is_rollup_member
 from daybook.operators.audit import AuditLog, run_job
+from daybook.operators.lineage import CREATED_AT, CREATED_BY, MODIFIED_AT, stamp_lineage
 from daybook.operators.merge import merge_metrics
 from daybook.operators.pivot import pivot_accounts
 from daybook.operators.quarantine import reject_rows
@@ -191,6 +192,19 @@ def q_order_free_newest_sums(spark, d):
     return newest_sums(feed, ["CENTER", "PERIOD", "ACCOUNT"], {"DATA_VALUE": None}, places=GRID_PLACES)
 
 
+def q_run_lineage(spark, d):
+    """A rerun of the window: rows of even orders' days were there before, some of them without a first stamp."""
+    c = clock()
+    rows = normalise_keys(fixture(spark, d, "daily_actual").select("CENTER", "PERIOD")).where(F.col("PERIOD") >= c.expiration_id)
+    fresh = rows.groupBy("CENTER", "PERIOD").agg(F.count(F.lit(1)).alias("N_ROWS"))
+    stamp = F.timestamp_seconds(F.lit(951868800) + F.col("CENTER"))
+    old = rows.where("CENTER % 2 = 0").withColumns({
+        CREATED_AT: F.when(F.col("PERIOD") % 3 != 0, stamp), CREATED_BY: F.when(F.col("PERIOD") % 3 != 0, F.lit("first")),
+        MODIFIED_AT: F.timestamp_seconds(F.lit(952000000) + F.col("CENTER"))})
+    out = stamp_lineage(fresh, old, "second", now=F.timestamp_seconds(F.lit(953000000)))
+    return out.withColumns({t: F.unix_timestamp(t).cast("string") for t in (CREATED_AT, MODIFIED_AT)})
+
+
 def q_check_loan_card_derivations(spark, d):
     return revenue_history(spark, d).select(
         "CENTER", "PERIOD", "NET_CHECK_COLLECTIONS", "CHECKLOSS", "NET_CHECK_REVENUE", "NET_LOAN_REVENUE",
@@ -471,6 +485,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_free_actual_measures": q_order_free_actual_measures,
     "order_free_plan_measures": q_order_free_plan_measures,
     "order_free_newest_sums": q_order_free_newest_sums,
+    "run_lineage": q_run_lineage,
     "check_loan_card_derivations": q_check_loan_card_derivations,
     "daily_plan_to_month_end": q_daily_plan_to_month_end,
     "yoy_calendar_regime": q_yoy_calendar_regime,

@@ -486,6 +486,15 @@ def sql_order_free_newest_sums() -> str:
                  ) + final(["CENTER", "PERIOD", "ACCOUNT", "DATA_VALUE"], "t")
 
 
+def sql_run_lineage() -> str:
+    return with_(f=f"SELECT CENTER, CAST(PERIOD AS INTEGER) AS PERIOD, COUNT(*) AS N_ROWS FROM ({fixture_sql('daily_actual')}) a "
+                   f"WHERE CAST(PERIOD AS INTEGER) >= {C.expiration_id} GROUP BY CENTER, PERIOD") + (
+        "SELECT CENTER, PERIOD, N_ROWS, "
+        "CAST(CASE WHEN CENTER % 2 <> 0 THEN 953000000 WHEN PERIOD % 3 <> 0 THEN 951868800 + CENTER ELSE 952000000 + CENTER END AS VARCHAR) "
+        "AS DW_CREATED_DATETIME, CASE WHEN CENTER % 2 <> 0 THEN 'second' WHEN PERIOD % 3 <> 0 THEN 'first' END AS DW_CREATED_BY, "
+        "'953000000' AS DW_MOD_DATETIME, 'second' AS DW_MOD_BY FROM f")
+
+
 def sql_check_loan_card_derivations() -> str:
     return with_(feed_a=fixture_sql("daily_actual"), h=rev_daily("feed_a", *ALL_DAYS, True)) + final(
         ["CENTER", "PERIOD"] + DERIVED, "h")
@@ -736,6 +745,7 @@ def build() -> dict[str, str]:
         "order_free_actual_measures": sql_order_free("daily_actual_thirds", *ALL_DAYS, True),
         "order_free_plan_measures": sql_order_free("daily_plan_thirds", C.start_id, C.plan_end_id, False),
         "order_free_newest_sums": sql_order_free_newest_sums(),
+        "run_lineage": sql_run_lineage(),
         "check_loan_card_derivations": sql_check_loan_card_derivations(),
         "daily_plan_to_month_end": sql_daily_plan_to_month_end(),
         "yoy_calendar_regime": _sql_yoy("calendar"),

@@ -382,14 +382,16 @@ def run_ops_goals(src: OpsSources, clock: RunClock, acc: OpsAccounts = OpsAccoun
 
 
 def load_ops_goals(src, clock: RunClock, target: str, audit: AuditLog, acc: OpsAccounts = OpsAccounts(), cast_to: str = "double", *,
-                   quarantine: Quarantine | None = None, restatement: bool = False, places: int | None = None) -> int:
+                   quarantine: Quarantine | None = None, restatement: bool = False, places: int | None = None,
+                   lineage_user: str | None = None) -> int:
     """Job entry (I5): audit start, stage counts, stamped reload of the run
     window into ``target`` (partitioned by PERIOD), audit end; returns 0.
     Any failure is audited with its message and re-raised.  Unusable feed values are counted (``quarantine`` with a sink keeps
-    them); ``restatement`` adds how the window differs from the old one."""
+    them); ``restatement`` adds how the window differs from the old one; ``places``: order-free sums; ``lineage_user`` stamps rows with
+    their first and last run."""
     quarantine = quarantine or Quarantine(clock.extract_id)
     return load_window(src.hierarchy.sparkSession, "ops_goals", audit, target, clock, restatement, quarantine,
-                       lambda: run_ops_goals(src, clock, acc, cast_to, audit=audit, quarantine=quarantine, places=places))
+                       lambda: run_ops_goals(src, clock, acc, cast_to, audit=audit, quarantine=quarantine, places=places), lineage_user)
 
 
 __all__ = ["load_ops_goals", "OpsAccounts", "OpsSources", "run_ops_goals", "ops_metrics", "spine_components",

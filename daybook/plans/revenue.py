@@ -137,14 +137,14 @@ def run_revenue(src: RevenueSources, clock: RunClock, params: RevenueParams = Re
 
 
 def load_revenue(src, clock: RunClock, target: str, audit: AuditLog, params: RevenueParams = RevenueParams(), *,
-                 quarantine: Quarantine | None = None, restatement: bool = False) -> int:
+                 quarantine: Quarantine | None = None, restatement: bool = False, lineage_user: str | None = None) -> int:
     """Job entry (I5): audit start, stage counts, stamped reload of the run
     window into ``target`` (partitioned by PERIOD), audit end; returns 0.
     Any failure is audited with its message and re-raised.  Unusable feed values are counted (``quarantine`` with a sink keeps
-    them); ``restatement`` adds how the window differs from the old one."""
+    them); ``restatement`` adds how the window differs from the old one; ``lineage_user`` stamps rows with their first and last run."""
     quarantine = quarantine or Quarantine(clock.extract_id)
     return load_window(src.actual.sparkSession, "revenue", audit, target, clock, restatement, quarantine,
-                       lambda: run_revenue(src, clock, params, audit=audit, quarantine=quarantine))
+                       lambda: run_revenue(src, clock, params, audit=audit, quarantine=quarantine), lineage_user)
 
 
 __all__ = ["load_revenue", "RevenueParams", "RevenueSources", "daily_revenue", "revenue_actuals", "revenue_merged",
