@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release() -> None:
+    """Gives what this process has freed back to the system.  A Python worker outlives its tasks and stages beside
+    the executor's heap, and Arrow and the C library would keep the room of the largest batch that it has seen."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; others give back by themselves
+    if trim:
+        trim(0)
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text modulo ``n`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.llm.common import release
+
 DIM = 4096
 CENTROIDS = 3
 SAMPLE_PER_LANG = 400
@@ -163,6 +165,7 @@ def identify(docs: DataFrame, model: CentroidModel, text_col: str = "text") -> D
     @F.pandas_udf("lang string, score double, rejected boolean")
     def judged(text: pd.Series) -> pd.DataFrame:
         lang, score, out = shared.value.score(text.tolist())
+        release()
         return pd.DataFrame({"lang": lang, "score": score, "rejected": out})
 
     # evaluated once, however often its fields are used

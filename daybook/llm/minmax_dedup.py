@@ -31,13 +31,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import broadcast_if_small, cut, shuffle_partitions, without_ids
+from daybook.llm.common import broadcast_if_small, cut, release, shuffle_partitions, without_ids
 from daybook.llm.graph import components
 
 PERMUTATIONS = 126
 ROWS = 7
 BANDS = 2 * PERMUTATIONS // ROWS
 BLOCK = 2048
+#: Documents whose sets leave a Python worker at once.
+SET_ROWS = 1000
 CACHE_WORDS = 400_000
 BROADCAST_ROWS = 500_000
 _RNG = np.random.default_rng(20240611)
@@ -103,6 +105,7 @@ def _signatures(n: int):
                 [b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "digest", "bands"],
             )
+            release()
 
     return run
 
@@ -111,9 +114,12 @@ def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for b in batches:
-            sets = [shingle_set(t, n, words).tobytes() for t in (x.as_py() for x in b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), b.column(4), pa.array(sets, pa.binary())],
-                                             names=["node", "grp", "blk", "blocks", "shingles"])
+            for at in range(0, b.num_rows, SET_ROWS):
+                some = b.slice(at, SET_ROWS)
+                sets = pa.array((shingle_set(x.as_py(), n, words).tobytes() for x in some.column(1)), pa.binary())
+                yield pa.RecordBatch.from_arrays([*(some.column(i) for i in (0, 2, 3, 4)), sets],
+                                                 names=["node", "grp", "blk", "blocks", "shingles"])
+            release()
 
     return run
 
@@ -166,13 +172,15 @@ def _links(percent: int):
                     yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for b in batches:
-            for k, node, s, blob in zip(zip(*(b.column(i).to_pylist() for i in range(3))), *(b.column(i).to_pylist() for i in (3, 4, 5))):
+            for k, node, s, blob in zip(zip(*(b.column(i).to_pylist() for i in range(3))), b.column(3).to_pylist(), b.column(4).to_pylist(),
+                                        (x.as_py() for x in b.column(5))):  # one set at a time: no second copy of the batch
                 if k != key:
                     yield from flush()
                     key, nodes, side, sets = k, [], [], []
                 nodes.append(node)
                 side.append(s)
                 sets.append(np.frombuffer(blob, np.uint64))
+            release()
         yield from flush()
 
     return run

@@ -41,6 +41,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.common import release
+
 SEQ_LEN = 1024
 SENTENCE_CUT = 3
 MID_CUT = 8
@@ -176,10 +178,20 @@ def split_tail(start: int, end: int, seq_len: int = SEQ_LEN) -> list[int]:
     return (start + np.cumsum(bits)).tolist()
 
 
-def pack_run(doc_ids: list, ids: list[np.ndarray], is_end: np.ndarray, first_sequence: int, with_ids: bool) -> tuple[list[list], int]:
-    """Columns of the pieces of one run, and the number of sequences."""
-    stream = np.concatenate(ids)
+def binary_pieces(stream: np.ndarray, to: np.ndarray) -> pa.Array:
+    """The stream's bytes up to each of the places ``to`` (ascending, the last is its end), as one binary value
+    each that points into the stream: no copy."""
+    at = np.concatenate(([0], to * stream.itemsize))
+    if at[-1] >= 2**31:
+        raise ValueError("a run of tokens is beyond the 2 GB of a binary column")
+    return pa.Array.from_buffers(pa.binary(), len(to), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(stream)])
+
+
+def pack_run(doc_ids: list, ids: list[np.ndarray], is_end: np.ndarray, first_sequence: int, with_ids: bool) -> tuple[list, int]:
+    """Columns of the pieces of one run, and the number of sequences.  ``ids`` is emptied."""
+    stream = np.ascontiguousarray(np.concatenate(ids), "<u4")
     sizes = np.array([len(x) for x in ids])
+    ids.clear()  # the stream holds them now
     ends = np.cumsum(sizes)
     cuts = best_cuts(*cut_places(ends, np.flatnonzero(is_end[stream]) + 1))
     cuts = [*cuts[:-1], *split_tail(cuts[-2] if len(cuts) > 1 else 0, cuts[-1])]
@@ -190,7 +202,7 @@ def pack_run(doc_ids: list, ids: list[np.ndarray], is_end: np.ndarray, first_seq
     doc = np.searchsorted(ends, frm, side="right")
     seq = np.searchsorted(cuts, frm, side="right")
     seq_begin = np.concatenate(([0], cuts))[seq]
-    raw = memoryview(np.ascontiguousarray(stream, "<u4")).cast("B")
+    raw = memoryview(stream).cast("B")
     a, b = (frm * 4).tolist(), (to * 4).tolist()
     return [
         [doc_ids[i] for i in doc.tolist()],
@@ -200,7 +212,7 @@ def pack_run(doc_ids: list, ids: list[np.ndarray], is_end: np.ndarray, first_seq
         sizes[doc],
         first_sequence + seq,
         frm - seq_begin,
-        [bytes(raw[x:y]) for x, y in zip(a, b)] if with_ids else [None] * len(a),
+        binary_pieces(stream, to) if with_ids else pa.nulls(len(a), pa.binary()),
     ], len(cuts)
 
 
@@ -214,7 +226,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tok
         is_end = sentence_end_ids(tok, added)
         base, done = TaskContext.get().partitionId() << 40, 0
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
-        types = [pa.int64()] * 7 + [pa.binary()]
         end = np.array([END_ID], "<u4").tobytes()
         doc_ids, ids, held = [], [], 0
 
@@ -222,7 +233,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tok
             nonlocal doc_ids, ids, held, done
             cols, n = pack_run(doc_ids, ids, is_end, base + done, with_ids)
             doc_ids, ids, held, done = [], [], 0, done + n
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:-1]), cols[-1]], names=names)
 
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), (x.as_py() for x in b.column(1))):
@@ -232,8 +243,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tok
                 held += len(x)
                 if held >= RUN_TOKENS:
                     yield flush()
+                    release()
         if ids:
             yield flush()
+        release()
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(run, SCHEMA)

@@ -106,3 +106,20 @@ def test_drop_near_on_rows_that_share_an_id_or_have_none(spark):
     assert sorted(t for t in texts if t and t != near and t != long[0]) == sorted(long[1:])
     assert sum(t in (long[0], near) for t in texts) == 1
     assert (None, long[2], "o") in got and (None, "", "p") in got and (6, None, "p") in got and len(got) == 6
+
+
+def test_sets_leave_a_worker_in_slices():
+    """Sets of a batch of texts are never held all at once."""
+    import pyarrow as pa
+
+    from daybook.llm import minmax_dedup as m
+
+    n = 2 * m.SET_ROWS + 7
+    texts = pa.array([b"" if i % 5 == 0 else b"a b c d e f %d" % i for i in range(n)], pa.binary())
+    ids, one = pa.array(range(n), pa.int64()), pa.array([1] * n, pa.int32())
+    batch = pa.RecordBatch.from_arrays([ids, texts, ids, one, one], names=["node", "text", "grp", "blk", "blocks"])
+    got = list(m._sets(5)(iter([batch])))
+    assert [b.num_rows for b in got] == [m.SET_ROWS, m.SET_ROWS, 7]
+    assert pa.Table.from_batches(got)["node"].to_pylist() == list(range(n))
+    words = m.WordHashes()
+    assert pa.Table.from_batches(got)["shingles"].to_pylist() == [m.shingle_set(t, 5, words).tobytes() for t in texts.to_pylist()]

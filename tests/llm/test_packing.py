@@ -119,3 +119,47 @@ def test_added_tokens_are_one_id_as_in_the_tokenizer_file(spark):
         got = np.frombuffer(b"".join(r.ids for r in own), "<u4").tolist()
         assert got == [*t.encode(text, add_special_tokens=False).ids, packing.END_ID] and own[0].doc_tokens == len(got)
     assert t.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+
+
+def test_pieces_point_into_the_stream(monkeypatch):
+    """The ids of a run are handed on without a copy, and a worker gives back what it has freed."""
+    import pyarrow as pa
+
+    ids = [np.arange(1, n, dtype="<u4") for n in (1500, 3, 2, 700)]
+    whole = np.concatenate(ids)
+    cols, _ = packing.pack_run([1, 2, 3, 4], ids, np.zeros(2000, bool), 0, True)
+    assert not ids and isinstance(cols[-1], pa.Array)
+    data = cols[-1].buffers()[2]
+    assert data.size == whole.nbytes and data.to_pybytes() == whole.tobytes()
+    assert [zlib.crc32(x) for x in cols[-1].to_pylist()] == cols[3]
+    assert [len(x) // 4 for x in cols[-1].to_pylist()] == cols[2].tolist()
+    at = np.zeros(4, "<u4")
+    first, second = packing.binary_pieces(at, np.array([1, 4])).to_pylist()
+    assert (first, second) == (bytes(4), bytes(12))
+    assert packing.pack_run([1], [at], np.zeros(2, bool), 0, False)[0][-1].null_count == 1
+
+
+def test_freed_memory_is_given_back():
+    """Small blocks freed under one that stays: the C library keeps them until asked."""
+    import subprocess
+    import sys
+
+    code = """
+import re
+from daybook.llm.common import release
+rss = lambda: int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+some = [bytes(5000) for _ in range(30_000)]
+last = bytes(5000)
+del some
+before = rss()
+release()
+print(before - rss())
+"""
+    got = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env=_with_repo())
+    assert float(got.stdout.split()[-1]) > 100
+
+
+def _with_repo():
+    import os
+
+    return os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))}
