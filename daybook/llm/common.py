@@ -17,6 +17,8 @@ SPACE = r"[\x20\x09-\x0D]"
 #: Ids (8 bytes each) that may be broadcast.
 GONE_ROWS = 500_000
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of a few numbers that make a task.
+TASK_ROWS = 50_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +72,12 @@ def broadcast_if_small(df: DataFrame, rows: int = 20_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def narrow(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, at most ``rows`` rows of a few numbers, in as many tasks as these rows call for, and one for each core at
+    least: the session's shuffle partitions would leave them in as many tiny tasks, stage after stage."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
+
+
 def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     """``docs`` without the rows of the ids ``gone`` (one column, distinct).  At most ``GONE_ROWS`` ids are
     broadcast, which spares a shuffle of the texts; more are joined by shuffle."""

@@ -16,8 +16,8 @@ Frequent are those that come again within a task's rows, and more than ``FREQUEN
 1. Documents of one and the same set are one node, however many copies there are.
 2. Groups of the same members are one group.
 3. Rounds: each node goes to the largest of its groups that is not linked through yet, once; the links found
-   are reduced to components.  What is not linked through after ``ROUNDS`` rounds is compared in all its groups, a pair
-   in the first that it has in common.
+   are reduced to components.  What is not linked through after ``ROUNDS`` rounds, or after one that closed fewer
+   members of groups than it compared, is compared in all its groups, a pair in the first that it has in common.
 4. A comparison walks trees of signatures first, folded to half their bits for the way there; only the documents that may have a partner in their group then
    send their full sets there, where the walk is repeated and its pairs are decided on the sets.  A task
    gives back a spanning forest of the links.  Groups over ``BLOCK`` documents are cut into blocks, and pairs of
@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import broadcast_if_small, cut, shuffle_partitions
+from daybook.llm.common import broadcast_if_small, cut, narrow, shuffle_partitions
 from daybook.llm.graph import components
 from daybook.llm.minmax_dedup import WordHashes, shingle_set
 
@@ -353,15 +353,20 @@ def _compare(source: DataFrame, signed: DataFrame, members: DataFrame, words: in
     """Links (a, b) found in the groups ``members`` (token, node, label, n); ``once``: a pair in the first group that it shares."""
     more = ["sig", "n_shingles"]
     if once:
-        signed = signed.join(members.groupBy("node").agg(F.collect_list("token").alias("tokens")), "node")
+        told = members.groupBy("node").agg(F.collect_list(F.struct("token", "label", "n")).alias("all"))
+        members = signed.join(told, "node").select("*", F.explode("all").alias("p")).select(
+            "p.*", "node", *more, F.expr("filter(all.token, t -> t < p.token)").alias("tokens"))  # only groups before this one matter
         more.append("tokens")
-    members = members.join(signed, "node")
-    if once:  # only groups before this one matter
-        members = members.withColumn("tokens", F.expr("filter(tokens, t -> t < token)"))
+    else:
+        members = members.join(signed, "node")
     rows = _in_blocks(members, *more)
     found = cut(rows.mapInArrow(partial(_coarse, percent, once), "token long, node long, label long").distinct())
-    left = found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    places = found.join(left, "token").groupBy("node").agg(F.collect_list(F.struct("token", "label", "n")).alias("places"))
+    n = found.count()
+    found = narrow(found, n)
+    left = narrow(found.groupBy("token").agg(F.count(F.lit(1)).alias("n")), n)
+    places = found.join(F.broadcast(left) if n <= NARROW_ROWS else left, "token").groupBy("node").agg(
+        F.collect_list(F.struct("token", "label", "n")).alias("places"))
+    places = narrow(places, n)
     texts = source.join(broadcast_if_small(cut(places), BROADCAST_ROWS), F.col("doc_id") == F.col("node"))
     sets = texts.select("node", "text", "places").mapInArrow(
         partial(_sets, words), "node long, blob binary, places array<struct<token:bigint,label:bigint,n:bigint>>")
@@ -415,14 +420,15 @@ def _groups(keyed: DataFrame, percent: int) -> DataFrame:
     return cut(pairs.union(small.select(*pairs.columns)).select("token", "node", "n").distinct())
 
 
-def _open_groups(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    """The groups not linked through yet: (token, node, label, n)."""
+def _open_groups(members: DataFrame, found: DataFrame | None, few: bool) -> DataFrame:
+    """The groups not linked through yet: (token, node, label, n).  ``few``: ``found`` may be broadcast."""
     if found is None:
         return members.select("token", "node", F.col("node").alias("label"), "n")
-    labelled = members.join(found, "node", "left").select("token", "node", F.coalesce("root", "node").alias("label"), "n")
-    labelled = cut(labelled)
+    labelled = members.join(F.broadcast(found) if few else found, "node", "left").select(
+        "token", "node", F.coalesce("root", "node").alias("label"), "n")
+    labelled = labelled if few else cut(labelled)
     still = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return labelled.join(still.select("token"), "token", "left_semi")
+    return cut(labelled.join(broadcast_if_small(cut(still.select("token")), NARROW_ROWS), "token", "left_semi"))
 
 
 def _largest(members: DataFrame) -> DataFrame:
@@ -440,22 +446,31 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = cut(base.withColumn("place", F.monotonically_increasing_id()))
     # the row of the smallest id stands for all documents of a set
     chosen = cut(base.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("x")))
-    places, few = chosen.select(F.col("x.place").alias("place")), chosen.count() <= NARROW_ROWS
+    n_sets = chosen.count()
+    chosen, few = narrow(chosen, n_sets), n_sets <= NARROW_ROWS
+    places = chosen.select(F.col("x.place").alias("place"))
     nodes = base.join(F.broadcast(places) if few else places, "place", "left_semi").withColumnRenamed("doc_id", "node")
     nodes = nodes if few else cut(nodes)
 
     members = _groups(_keyed(source, nodes.select("node", "n_shingles", "first"), words, percent), percent)
     signed = cut(nodes.select("node", "n_shingles", "sig").join(members.select("node").distinct(), "node", "left_semi"))
 
-    links, found = [], None
+    links, n_links, found, compared, was = [], 0, None, signed.count(), None
     for turn in range(ROUNDS + 1):
-        still = _open_groups(members, found)
-        new = _compare(source, signed, _largest(still), words, percent, False) if turn < ROUNDS else None
-        if new is None or new.isEmpty():
-            new, turn = _compare(source, signed, still, words, percent, True), ROUNDS
-        links.append(new)
-        found = cut(components(reduce(DataFrame.union, links)))
-        if turn == ROUNDS:
+        still = _open_groups(members, found, 2 * n_links <= NARROW_ROWS)
+        now = still.count()
+        # a round compares each node once, the rest every member: another one must be worth it
+        last = turn == ROUNDS or was is not None and was - now < compared
+        was = now
+        new = _compare(source, signed, still if last else _largest(still), words, percent, last)
+        n_new = new.count()
+        if not (n_new or last):
+            new, last = _compare(source, signed, still, words, percent, True), True
+            n_new = new.count()
+        links.append(narrow(new, n_new))
+        n_links += n_new
+        found = cut(narrow(components(reduce(DataFrame.union, links), n_links), 2 * n_links))
+        if last:
             break
     roots = chosen.select(F.col("digest").alias("d"), F.col("x.doc_id").alias("node")).join(found, "node", "left")
     roots = roots.select("d", F.coalesce("root", "node").alias("component_id"))

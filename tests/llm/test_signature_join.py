@@ -5,6 +5,7 @@ import pytest
 
 from daybook.llm import signature_join as sj
 from daybook.llm.common import documents
+from daybook.llm.graph import components
 from test_minmax_dedup import brute
 
 
@@ -87,3 +88,51 @@ def test_trees_rule_out_no_pair_and_most_strangers():
             root[find(a)] = find(b)
         links = sj.forest(sets, np.arange(len(sets)), none, percent)
         assert len(links) == len(sets) - len({find(x) for x in range(len(sets))}) and all(find(a) == find(b) for a, b in links)
+
+
+def test_rounds_end_where_they_close_little(spark, monkeypatch):
+    """Texts that share passages, few of them linked: the second round had as many members to compare as the first."""
+    rng = random.Random(11)
+    passages = [[f"p{i}x{k}" for k in range(12)] for i in range(8)]
+    rows = []
+    for _ in range(60):
+        text = [w for p in rng.sample(passages, 4) for w in p] + [f"w{rng.randrange(5000)}" for _ in range(40)]
+        rows.append(" ".join(text))
+    rows += [rows[k] + " more" for k in range(3)]
+    rows = list(enumerate(rows))
+    monkeypatch.setattr(sj, "RESERVE", 1.0)
+    calls, compare = [], sj._compare
+    monkeypatch.setattr(sj, "_compare", lambda *a: calls.append(a[-1]) or compare(*a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(docs, 4, 85) == want(rows, 4, 85)
+    assert calls == [False, True]
+
+
+def test_few_edges_make_few_tasks(spark):
+    """Many shuffle partitions leave no tiny tasks in every stage of the rounds; known and unknown counts agree."""
+    rng = random.Random(5)
+    pairs = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(90)]
+    held = {"spark.sql.shuffle.partitions": "96", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        edges, sc = spark.createDataFrame(pairs, "a long, b long"), spark.sparkContext
+        sc.setJobGroup("few edges", "components")
+        known = sorted(map(tuple, components(edges, len(pairs)).collect()))
+        tracker = sc.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("few edges") for s in tracker.getJobInfo(j).stageIds}
+        tasks = [s.numTasks for s in map(tracker.getStageInfo, stages) if s and s.numCompletedTasks]
+        assert tasks and max(tasks) <= 3 * sc.defaultParallelism
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        assert known == sorted(map(tuple, components(edges).collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    root = {x: x for p in pairs for x in p if p[0] != p[1]}
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a, b in pairs:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    assert known == sorted((x, find(x)) for x in root)
